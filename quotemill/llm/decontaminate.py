@@ -27,7 +27,7 @@ class SpacedSeeds:
     #: Kept (1) and ignored (0) words of each mask.
     masks: tuple[str, ...] = ("11011011011", "1110010111", "1111111")
     #: An overlap has so many equal words, and so many of a hundred of its words are equal.
-    min_equal: int = 13
+    min_equal: int = 10
     min_percent: int = 75
     #: What a substituted word takes off an overlap's score, in equal words.
     penalty: float = 2.0

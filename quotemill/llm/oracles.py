@@ -44,7 +44,7 @@ edges as (
   from spans where every > 0),
 points as (
   select i, i * 0.6180339887498949 - floor(i * 0.6180339887498949) as u
-  from range((select coalesce(max(round(every)), 0)::bigint from spans)) t(i)),
+  from range(0, (select coalesce(max(round(every)), 0)::bigint from spans)) t(i)),
 ranked as (
   select place, n_blocks, row_number() over (partition by place order by i) - 1 as rank
   from points join edges on u >= lo_u and u < hi_u and slots > 0),
@@ -53,7 +53,7 @@ times as (
 placed as (
   select d.doc_id, d.size, s.place, s.source_size, s.target, s.n_blocks,
          sum(d.size) over (partition by s.place order by ('0x' || substr(d.key, 1, 8))::bigint % 4096, d.key, d.size
-                           rows between unbounded preceding and current row) - d.size as start,
+                           rows between unbounded preceding and current row)::bigint - d.size as start,
          row_number() over () as id
   from docs d join spans s on d.source is not distinct from s.source),
 pieces as (

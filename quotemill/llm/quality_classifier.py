@@ -1,6 +1,6 @@
 """Quality classifier by supervised subword embeddings.
 
-Vectors of hashed words and character 3-grams are averaged over a document; a softmax layer over the average
+Vectors of hashed words, repeated words and character 3-grams are averaged over a document; a softmax layer over the average
 gives the class. Vectors and layer are learned together by stochastic gradient descent in numpy, from a bounded
 sample of the labelled documents. Both are linear, so a document's log odds are the mean of one number for each
 n-gram, which is what the scoring tasks get.
@@ -28,13 +28,13 @@ class SubwordModel:
     epochs: int = 8
     rate: float = 0.5
     #: Most labelled documents that the model is fitted on.
-    most_rows: int = 5000
+    most_rows: int = 4000
     threshold: float = 0.3
     seed: int = 11
 
 
-def grams_of(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of all 3-grams and words of a group, and the place of each text's first 3-gram."""
+def grams_of(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all 3-grams and words of a group; a word that repeats the one before it is a mark of its own."""
     half = np.uint64(buckets // 2 - 1)
     b = words.buf.astype(np.uint64)
     if len(b) >= 3:
@@ -42,7 +42,10 @@ def grams_of(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray, np.nda
         grams = ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) & half
     else:
         grams = np.zeros(0, np.uint64)
-    return grams.astype(np.int32), ((words.hashes & half) + half + np.uint64(1)).astype(np.int32), words.text_starts
+    tokens = ((words.hashes & half) + half + np.uint64(1)).astype(np.int32)
+    again = np.flatnonzero(words.hashes[1:] == words.hashes[:-1]) + 1
+    tokens[np.setdiff1d(again, words.bounds)] = buckets // 2
+    return grams.astype(np.int32), tokens
 
 
 def _ranges(words: Words) -> Iterator[tuple[slice, slice]]:
@@ -59,7 +62,7 @@ def _training_grams(rows: DataFrame, model: SubwordModel) -> pd.DataFrame:
         for batch in batches:
             grams, counts = [], []
             for words in groups_of(as_bytes(batch["text"]), lower=False):
-                chars, tokens, _ = grams_of(words, model.buckets)
+                chars, tokens = grams_of(words, model.buckets)
                 for c, w in _ranges(words):
                     g, n = np.unique(np.concatenate((chars[c], tokens[w])), return_counts=True)
                     grams.append(g)
@@ -126,7 +129,7 @@ def score_quality(documents: DataFrame, labels: DataFrame, model: SubwordModel =
             out = np.empty(len(texts))
             raw = [None if t is None else t.encode() for t in texts]
             for words in groups_of(raw, lower=False):
-                chars, tokens, _ = grams_of(words, model.buckets)
+                chars, tokens = grams_of(words, model.buckets)
                 by_char = np.concatenate(([0.0], np.cumsum(per_gram[chars], dtype=np.float64)))
                 by_word = np.concatenate(([0.0], np.cumsum(per_gram[tokens], dtype=np.float64)))
                 for k, (c, w) in enumerate(_ranges(words)):

@@ -34,13 +34,15 @@ class ChainModel:
     #: Bytes of the word beginnings that are features beside the words.
     beginnings: tuple[int, ...] = (4, 5, 6, 7)
     #: Most labelled rows that the chain is fitted on; rows in which a feature must occur.
-    most_rows: int = 6000
-    min_rows: int = 4
+    most_rows: int = 5000
+    min_rows: int = 6
+    #: How far, in standard deviations, a feature must be more frequent in rows of the category than in all.
+    min_z: float = 4.0
     folds: int = 4
     epochs: int = 12
     rate: float = 0.3
     decay: float = 1e-3
-    threshold: float = 0.5
+    threshold: float = 0.4
     seed: int = 5
 
 
@@ -53,7 +55,7 @@ def features_of(words: Words, model: ChainModel) -> np.ndarray:
         at = np.flatnonzero(lens > n)
         letters = words.buf[words.starts[at][:, None] + np.arange(n)].astype(np.uint64)
         packed = (letters << (np.arange(n, dtype=np.uint64) * np.uint64(8))).sum(axis=1, dtype=np.uint64) if len(at) else np.zeros(0, np.uint64)
-        keys.append(mixed(packed + np.uint64(n) * np.uint64(0x9E3779B97F4A7C15)))
+        keys.append(mixed(packed + np.uint64((n * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)))
         docs.append(doc[at])
     bucket = np.concatenate(keys) & np.uint64(model.buckets - 1)
     return np.unique((np.concatenate(docs).astype(np.uint64) << np.uint64(32)) | bucket)
@@ -94,8 +96,19 @@ def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
+def selected(rows: list[np.ndarray], y: np.ndarray, model: ChainModel) -> list[np.ndarray]:
+    """``rows`` with only the features that occur in enough rows, and clearly oftener in those of the category."""
+    flat, hit = np.concatenate([*rows, np.zeros(0, np.int64)]), np.repeat(y, [len(r) for r in rows])
+    n = np.bincount(flat, minlength=model.buckets)
+    expected = n * (y.mean() if len(y) else 0.0)
+    z = (np.bincount(flat, hit, model.buckets) - expected) / np.sqrt(np.maximum(expected, 1e-9))
+    keep = (n >= model.min_rows) & (z >= model.min_z)
+    return [r[keep[r]] for r in rows]
+
+
 def fit_linear(rows: list[np.ndarray], extra: np.ndarray, y: np.ndarray, model: ChainModel) -> tuple[np.ndarray, np.ndarray]:
     """Logistic weights of the buckets, and of ``extra`` (earlier probabilities) with the intercept last."""
+    rows = selected(rows, y, model)
     rng = np.random.default_rng(model.seed)
     w, v = np.zeros(model.buckets), np.zeros(extra.shape[1] + 1)
     sums, sums_v = np.full(model.buckets, 1e-2), np.full(len(v), 1e-2)
@@ -123,8 +136,6 @@ def fit_linear(rows: list[np.ndarray], extra: np.ndarray, y: np.ndarray, model:
 def fit_chain(sample: pd.DataFrame, model: ChainModel) -> list[tuple[np.ndarray, np.ndarray]]:
     """A linear model for each category, in order."""
     rows = [np.asarray(f, dtype=np.int64) for f in sample["feats"]]
-    seen = np.bincount(np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64), minlength=model.buckets)
-    rows = [r[seen[r] >= model.min_rows] for r in rows]
     toxic = sample["label"].to_numpy(dtype=float)
     seeds = np.array(list(sample["seeds"]), dtype=float).reshape(len(rows), len(SEEDS))
     targets = [toxic * seeds[:, k] for k in range(len(SEEDS))] + [toxic]
