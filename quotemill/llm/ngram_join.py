@@ -8,6 +8,10 @@
 4. The token-group matrix has a row for a shingle and a part of a group. A node is compared with a part only
    if they are in different classes and a prefix shingle meets; the part's token union bounds the overlap,
    and only parts that can reach the threshold are opened, set against set.
+
+Token sets and unions are bit maps of fixed size until a pair is left to be verified: a bit that only one of two
+sets has is a shingle that only one has, which bounds the overlap from above. Whole sets are read again from
+the texts for those pairs alone.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ class JaccardJoin:
     percent: int = 75
     #: Counters of the shingle order; most members of a part of a group.
     counters: int = 1 << 20
+    #: 64-bit words of a set's bit map.
+    map_words: int = 32
     part_members: int = 64
     #: Texts of which a task remembers the node, to send equal texts once.
     remembered: int = 200_000
@@ -56,6 +62,29 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64))
 
 
+def bit_map(shingles: np.ndarray, n_words: int) -> np.ndarray:
+    """``n_words`` 64-bit words in which each shingle sets a bit."""
+    bits = np.zeros(n_words * 64, dtype=np.uint8)
+    bits[((shingles >> np.uint64(20)) & np.uint64(n_words * 64 - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def _bits(a: Column, b: Column, pick) -> Column:
+    counted = F.zip_with(a, b, lambda x, y: F.bit_count(pick(x, y)).cast("int"))
+    return F.aggregate(counted, F.lit(0), lambda s, v: s + v)
+
+
+def may_be_similar(n_a: Column, n_b: Column, a: Column, b: Column, percent: int) -> Column:
+    """False only for sets that can't be: bits of one set alone are shingles of one set alone."""
+    apart = _bits(a, b, lambda x, y: x.bitwiseXOR(y))
+    return (100 + percent) * apart <= (100 - percent) * (n_a + n_b)
+
+
+def may_be_covered(n: Column, bits: Column, union: Column, percent: int) -> Column:
+    """False only if fewer than ``percent`` of the shingles of a set can be in the union."""
+    return 100 * _bits(bits, union, lambda x, y: x.bitwiseAND(F.bitwise_not(y))) <= (100 - percent) * n
+
+
 def similar(n_a: Column, n_b: Column, both: Column, percent: int) -> Column:
     return 100 * both >= percent * (n_a + n_b - both)
 
@@ -82,7 +111,7 @@ def _profiles(documents: DataFrame, join: JaccardJoin) -> DataFrame:
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, seen = counts.value, set()
         for batch in batches:
-            n, nodes, keys, prefixes = [], [], [], []
+            n, nodes, keys, prefixes, maps = [], [], [], [], []
             for words in groups_of(as_bytes(batch["text"])):
                 for s in shingle_sets(words, join.shingle_words):
                     n.append(len(s))
@@ -91,12 +120,14 @@ def _profiles(documents: DataFrame, join: JaccardJoin) -> DataFrame:
                     if node is None or node in seen:
                         keys.append(None)
                         prefixes.append(None)
+                        maps.append(None)
                         continue
                     if len(seen) >= join.remembered:
                         seen.clear()
                     seen.add(node)
                     a, b, c = (int(mixed(s * m).min()) for m in odd)
                     keys.append([hash((k, x, y)) for k, (x, y) in enumerate(((a, b), (b, c), (a, c)))])
+                    maps.append(bit_map(s, join.map_words))
                     order = np.lexsort((s, count[(s & np.uint64(join.counters - 1)).astype(np.int64)]))
                     need = (join.percent * len(s) + 99) // 100
                     prefixes.append(s[order[: len(s) - need + 1]].view(np.int64))
@@ -107,11 +138,12 @@ def _profiles(documents: DataFrame, join: JaccardJoin) -> DataFrame:
                     "node": pa.array(nodes, pa.int64()),
                     "keys": pa.array(keys, pa.list_(pa.int64())),
                     "prefix": pa.array(prefixes, pa.list_(pa.int64())),
+                    "bits": pa.array(maps, pa.list_(pa.int64())),
                 }
             )
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.mapInArrow(profile, "doc_id long, n_shingles long, node long, keys array<long>, prefix array<long>")
+    return docs.mapInArrow(profile, "doc_id long, n_shingles long, node long, keys array<long>, prefix array<long>, bits array<long>")
 
 
 def _sets(documents: DataFrame, wanted: DataFrame, join: JaccardJoin) -> DataFrame:
@@ -160,12 +192,18 @@ def _pivot_links(profiles: DataFrame) -> DataFrame:
     return pairs.where("node <> b").select(F.col("node").alias("a"), "b", "n", "n_b").distinct()
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of ``pairs`` (a, b), those that are similar."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return both.where(similar(F.col("na"), F.col("nb"), _overlap("ta", "tb"), percent)).select("a", "b")
+def _linked(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, join: JaccardJoin, label: str) -> DataFrame:
+    """Of ``pairs`` (a, b), those that are similar: by bit maps first, then by the whole sets."""
+    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"m{k}"))
+    near = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
+    near = near.where(may_be_similar(F.col("na"), F.col("nb"), F.col("ma"), F.col("mb"), join.percent))
+    near = stored(near.select("a", "b", "na", "nb"), f"jaccard-{label}-pairs")
+    wanted = stored(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), f"jaccard-{label}-wanted")
+    sets = _sets(documents, wanted, join)
+    both = near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
+    found = both.where(similar(F.col("na"), F.col("nb"), _overlap("ta", "tb"), join.percent))
+    return stored(found.select("a", "b"), f"jaccard-{label}-links")
 
 
 def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
@@ -183,19 +221,19 @@ def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) ->
     postings = stored(shared.where("lo <> hi").select("token", "node").distinct(), "jaccard-postings")
     size_of = lambda a, b: (100 * F.least(a, b) >= join.percent * F.greatest(a, b))
     pivot_pairs = stored(_pivot_links(profiles).where(size_of(F.col("n"), F.col("n_b"))), "jaccard-pivots")
-    wanted = postings.select("node").union(pivot_pairs.select("a")).union(pivot_pairs.select("b")).distinct()
-    wanted = stored(wanted.withColumnRenamed("a", "node"), "jaccard-wanted")
-    sets = _sets(documents, wanted, join)
+    nodes = profiles.where("bits is not null").dropDuplicates(["node"])
+    nodes = stored(nodes.select("node", F.col("n_shingles").alias("n"), "bits"), "jaccard-nodes")
 
-    first = stored(_linked(pivot_pairs, sets, join.percent), "jaccard-links")
-    grouped = connected_components(first)
-    members = sets.select("node", "n").join(grouped, "node", "left")
+    first = _linked(pivot_pairs, nodes, documents, join, "pivot")
+    members = postings.select("node").distinct().join(nodes, "node")
+    members = members.join(connected_components(first), "node", "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
     sizes = members.groupBy("component").agg(F.count("*").alias("members"))
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / F.lit(join.part_members)))
-    members = stored(members.join(sizes, "component").select("node", "n", "component", part.alias("part")), "jaccard-members")
+    members = members.join(sizes, "component").select("node", "n", "bits", "component", part.alias("part"))
+    members = stored(members, "jaccard-members")
 
-    placed = postings.join(members, "node")
+    placed = postings.join(members.drop("bits"), "node")
     span = placed.withColumns({"lo": F.min("component").over(by_token), "hi": F.max("component").over(by_token)})
     matrix = stored(span.where("lo <> hi").select("token", "node", "n", "component", "part"), "jaccard-matrix")
     columns = matrix.groupBy("token", "component", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"))
@@ -205,17 +243,14 @@ def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) ->
         & (100 * F.col("most") >= join.percent * F.col("n"))
         & (100 * F.col("n") >= join.percent * F.col("least"))
     )
-    queries = stored(meets.select("node", "of", "of_part").distinct(), "jaccard-queries")
-
-    opened = queries.select("of", "of_part").distinct()
-    inside = members.select(F.col("node").alias("b"), F.col("component").alias("of"), F.col("part").alias("of_part"))
-    inside = inside.join(opened, ["of", "of_part"], "left_semi")
-    held = inside.join(sets.select(F.col("node").alias("b"), "tokens"), "b")
-    unions = held.groupBy("of", "of_part").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
-    bounded = queries.join(sets, "node").join(unions, ["of", "of_part"])
-    bounded = bounded.where(100 * _overlap("tokens", "union") >= join.percent * F.col("n"))
+    queries = meets.select("node", "of", "of_part").distinct()
+    ors = F.array(*[F.bit_or(F.col("bits")[k]) for k in range(join.map_words)])
+    unions = members.groupBy(F.col("component").alias("of"), F.col("part").alias("of_part")).agg(ors.alias("union"))
+    bounded = queries.join(nodes, "node").join(unions, ["of", "of_part"])
+    bounded = bounded.where(may_be_covered(F.col("n"), F.col("bits"), F.col("union"), join.percent))
     qualifying = stored(bounded.select(F.col("node").alias("a"), "of", "of_part"), "jaccard-qualifying")
-    second = _linked(qualifying.join(inside, ["of", "of_part"]), sets, join.percent)
+    inside = members.select(F.col("node").alias("b"), F.col("component").alias("of"), F.col("part").alias("of_part"))
+    second = _linked(qualifying.join(inside, ["of", "of_part"]), nodes, documents, join, "group")
 
     classes = connected_components(first.union(second))
     labelled = profiles.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
