@@ -1 +1,9 @@
+"""Plans: operators put together as the registered queries."""
 
+
+def load_queries():
+    """(queries, oracle SQL) of the market operators, by ID."""
+    from quotemill.plans import core_queries, trade_queries  # noqa: F401
+    from quotemill.plans.registry import ORACLES, QUERIES
+
+    return QUERIES, ORACLES
