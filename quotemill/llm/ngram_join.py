@@ -3,8 +3,8 @@
 1. Texts become sets of 5-word shingle hashes; equal sets are one node.
 2. A node's rarest shingles (by a fixed-size counter table over all texts) are its prefix. Two sets with a
    Jaccard similarity of t share a shingle of their prefixes, for any one order of all shingles.
-3. Similar nodes are brought into groups: nodes with equal pairs of min-hashes are compared with one pivot,
-   and what links to it joins its group. Groups are cut into parts of bounded size.
+3. Similar nodes are brought into groups: nodes with equal pairs of min-hashes are compared with a few pivots,
+   and what links to one joins its group. Groups are cut into parts of bounded size.
 4. The token-group matrix has a row for a shingle and a part of a group. A node is compared with a part only
    if they are in different classes and a prefix shingle meets; the part's token union bounds the overlap,
    and only parts that can reach the threshold are opened, set against set.
@@ -39,7 +39,9 @@ class JaccardJoin:
     #: Counters of the shingle order; most members of a part of a group.
     counters: int = 1 << 20
     #: 64-bit words of a set's bit map.
-    map_words: int = 32
+    map_words: int = 16
+    #: Pivots of a min-hash key, tried one round after the other.
+    pivots: int = 3
     part_members: int = 64
     #: Texts of which a task remembers the node, to send equal texts once.
     remembered: int = 200_000
@@ -106,7 +108,8 @@ def _sketch(documents: DataFrame, join: JaccardJoin) -> np.ndarray:
 def _profiles(documents: DataFrame, join: JaccardJoin) -> DataFrame:
     """(doc_id, n_shingles, node, keys, prefix); keys and prefix only once for a node and task."""
     counts = documents.sparkSession.sparkContext.broadcast(_sketch(documents, join))
-    odd = multipliers(3)
+    odd = multipliers(4)
+    couples = [(i, k) for i in range(4) for k in range(i + 1, 4)]
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, seen = counts.value, set()
@@ -125,8 +128,8 @@ def _profiles(documents: DataFrame, join: JaccardJoin) -> DataFrame:
                     if len(seen) >= join.remembered:
                         seen.clear()
                     seen.add(node)
-                    a, b, c = (int(mixed(s * m).min()) for m in odd)
-                    keys.append([hash((k, x, y)) for k, (x, y) in enumerate(((a, b), (b, c), (a, c)))])
+                    least = [int(mixed(s * m).min()) for m in odd]
+                    keys.append([hash((i, k, least[i], least[k])) for i, k in couples])
                     maps.append(bit_map(s, join.map_words))
                     order = np.lexsort((s, count[(s & np.uint64(join.counters - 1)).astype(np.int64)]))
                     need = (join.percent * len(s) + 99) // 100
@@ -183,27 +186,56 @@ def _overlap(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b)).cast("long")
 
 
-def _pivot_links(profiles: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a node and the pivot of a min-hash key; only of sizes that can be similar."""
+def _pivot_pairs(profiles: DataFrame, join: JaccardJoin) -> DataFrame:
+    """(turn, a, b): a node and a pivot of one of its min-hash keys; a key has a pivot for each turn."""
     keyed = profiles.where("keys is not null").select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
-    pivots = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("pivot"), F.max("node").alias("last"))
-    pivots = pivots.where("pivot.node <> last").drop("last")
-    pairs = keyed.join(pivots, "key").select("node", "n", F.col("pivot.node").alias("b"), F.col("pivot.n").alias("n_b"))
-    return pairs.where("node <> b").select(F.col("node").alias("a"), "b", "n", "n_b").distinct()
+    chosen = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "n")).alias(f"p{k}") for k in range(join.pivots)]
+    pivots = keyed.groupBy("key").agg(*chosen, F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
+    turns = F.array(*[F.struct(F.lit(k).alias("turn"), F.col(f"p{k}.node").alias("b"), F.col(f"p{k}.n").alias("n_b")) for k in range(join.pivots)])
+    pairs = keyed.join(pivots.select("key", turns.alias("turns")), "key").select(F.col("node").alias("a"), "n", F.inline("turns"))
+    sizes = 100 * F.least("n", "n_b") >= join.percent * F.greatest("n", "n_b")
+    return pairs.where((F.col("a") != F.col("b")) & sizes).groupBy("a", "b").agg(F.min("turn").alias("turn"))
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, join: JaccardJoin, label: str) -> DataFrame:
-    """Of ``pairs`` (a, b), those that are similar: by bit maps first, then by the whole sets."""
+def _near(pairs: DataFrame, nodes: DataFrame, join: JaccardJoin, label: str) -> DataFrame:
+    """``pairs`` (a, b, ...) with sizes na and nb, without those that the bit maps rule out."""
     side = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"m{k}"))
-    near = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
-    near = near.where(may_be_similar(F.col("na"), F.col("nb"), F.col("ma"), F.col("mb"), join.percent))
-    near = stored(near.select("a", "b", "na", "nb"), f"jaccard-{label}-pairs")
-    wanted = stored(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), f"jaccard-{label}-wanted")
-    sets = _sets(documents, wanted, join)
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    near = both.where(may_be_similar(F.col("na"), F.col("nb"), F.col("ma"), F.col("mb"), join.percent))
+    return stored(near.drop("ma", "mb"), f"jaccard-{label}-pairs")
+
+
+def _sets_of(near: DataFrame, documents: DataFrame, join: JaccardJoin, label: str) -> DataFrame:
+    wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    return _sets(documents, stored(wanted, f"jaccard-{label}-wanted"), join)
+
+
+def _verified(near: DataFrame, sets: DataFrame, join: JaccardJoin) -> DataFrame:
+    """The pairs (a, b, na, nb) whose whole sets are similar."""
     both = near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-    found = both.where(similar(F.col("na"), F.col("nb"), _overlap("ta", "tb"), join.percent))
-    return stored(found.select("a", "b"), f"jaccard-{label}-links")
+    return both.where(similar(F.col("na"), F.col("nb"), _overlap("ta", "tb"), join.percent))
+
+
+def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` whose two nodes are not in one class yet."""
+    side = lambda k: classes.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
+
+
+def _grouped(profiles: DataFrame, nodes: DataFrame, documents: DataFrame, join: JaccardJoin) -> tuple[DataFrame, DataFrame]:
+    """Links to pivots, turn by turn, and the classes that they make. A later turn compares only what is still apart."""
+    near = _near(_pivot_pairs(profiles, join), nodes, join, "pivot")
+    sets = _sets_of(near, documents, join, "pivot")
+    links, classes = None, None
+    for turn in range(join.pivots):
+        pairs = near.where(F.col("turn") == turn).drop("turn")
+        pairs = pairs if classes is None else _apart(pairs, classes)
+        found = stored(_verified(pairs, sets, join).select("a", "b"), "jaccard-pivot-links")
+        links = found if links is None else links.union(found)
+        classes = connected_components(links)
+    return links, classes
 
 
 def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
@@ -215,33 +247,35 @@ def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) ->
     empty result. Sets are compared by 64-bit shingle hashes.
     """
     profiles = stored(_profiles(documents, join), "jaccard-profiles")
-    prefix = profiles.where("prefix is not null").select(F.explode("prefix").alias("token"), "node")
+    prefix = profiles.where("prefix is not null").select("node", F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("place", "token"))
     by_token = W.partitionBy("token")
     shared = prefix.withColumns({"lo": F.min("node").over(by_token), "hi": F.max("node").over(by_token)})
-    postings = stored(shared.where("lo <> hi").select("token", "node").distinct(), "jaccard-postings")
-    size_of = lambda a, b: (100 * F.least(a, b) >= join.percent * F.greatest(a, b))
-    pivot_pairs = stored(_pivot_links(profiles).where(size_of(F.col("n"), F.col("n_b"))), "jaccard-pivots")
+    # What a set has from this shingle on bounds the overlap of two sets that meet in it first.
+    postings = shared.where("lo <> hi").select("token", "node", "n", (F.col("n") - F.col("place")).alias("rest")).distinct()
+    postings = stored(postings, "jaccard-postings")
     nodes = profiles.where("bits is not null").dropDuplicates(["node"])
     nodes = stored(nodes.select("node", F.col("n_shingles").alias("n"), "bits"), "jaccard-nodes")
 
-    first = _linked(pivot_pairs, nodes, documents, join, "pivot")
-    members = postings.select("node").distinct().join(nodes, "node")
-    members = members.join(connected_components(first), "node", "left")
+    first, grouped = _grouped(profiles, nodes, documents, join)
+    members = postings.select("node").distinct().join(nodes, "node").join(grouped, "node", "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
     sizes = members.groupBy("component").agg(F.count("*").alias("members"))
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / F.lit(join.part_members)))
     members = members.join(sizes, "component").select("node", "n", "bits", "component", part.alias("part"))
     members = stored(members, "jaccard-members")
 
-    placed = postings.join(members.drop("bits"), "node")
+    placed = postings.join(members.select("node", "component", "part"), "node")
     span = placed.withColumns({"lo": F.min("component").over(by_token), "hi": F.max("component").over(by_token)})
-    matrix = stored(span.where("lo <> hi").select("token", "node", "n", "component", "part"), "jaccard-matrix")
-    columns = matrix.groupBy("token", "component", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    columns = columns.select("token", F.col("component").alias("of"), F.col("part").alias("of_part"), "least", "most")
+    matrix = stored(span.where("lo <> hi").drop("lo", "hi"), "jaccard-matrix")
+    columns = matrix.groupBy("token", "component", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("most_rest"))
+    columns = columns.select("token", F.col("component").alias("of"), F.col("part").alias("of_part"), "least", "most", "most_rest")
+    need = join.percent * (F.col("n") + F.col("least"))
     meets = matrix.join(columns, "token").where(
         (F.col("component") > F.col("of"))
         & (100 * F.col("most") >= join.percent * F.col("n"))
         & (100 * F.col("n") >= join.percent * F.col("least"))
+        & ((100 + join.percent) * F.col("rest") >= need)
+        & ((100 + join.percent) * F.col("most_rest") >= need)
     )
     queries = meets.select("node", "of", "of_part").distinct()
     ors = F.array(*[F.bit_or(F.col("bits")[k]) for k in range(join.map_words)])
@@ -250,7 +284,10 @@ def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) ->
     bounded = bounded.where(may_be_covered(F.col("n"), F.col("bits"), F.col("union"), join.percent))
     qualifying = stored(bounded.select(F.col("node").alias("a"), "of", "of_part"), "jaccard-qualifying")
     inside = members.select(F.col("node").alias("b"), F.col("component").alias("of"), F.col("part").alias("of_part"))
-    second = _linked(qualifying.join(inside, ["of", "of_part"]), nodes, documents, join, "group")
+    near = _near(qualifying.join(inside, ["of", "of_part"]).drop("of_part"), nodes, join, "group")
+    found = _verified(near, _sets_of(near, documents, join, "group"), join)
+    # One link of a node with a class is enough.
+    second = stored(found.groupBy("a", "of").agg(F.min("b").alias("b")).select("a", "b"), "jaccard-group-links")
 
     classes = connected_components(first.union(second))
     labelled = profiles.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
