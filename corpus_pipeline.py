@@ -40,7 +40,7 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     classes = jaccard_classes(docs)
     out = classes.where(F.col("node").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = stored(out.select(F.col("doc_id").alias("gone_id")).distinct(), "pipeline-copies")
-    kept = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
+    kept = docs.select(*COLUMNS).join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
     return kept.select(*COLUMNS)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotemill.llm.folded import bloom_cells, bloom_size, folded, in_bloom
-from quotemill.llm.storage import stored
+from quotemill.llm.storage import fresh, stored
 from quotemill.llm.tokens import Words, as_bytes, groups_of, int64_list, window_hashes
 
 
@@ -179,6 +179,7 @@ def contaminated_items(documents: DataFrame, benchmark: DataFrame, masks: Spaced
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, masks: SpacedSeeds = SpacedSeeds()) -> DataFrame:
     """``documents`` without those that overlap an item; a document with a null id goes with its null twins."""
-    bad = find_overlaps(documents, benchmark, masks).select(F.col("doc_id").alias("bad_id")).distinct()
+    bad_id = fresh(documents, "bad_id")
+    bad = find_overlaps(documents, benchmark, masks).select(F.col("doc_id").alias(bad_id)).distinct()
     bad = stored(bad, "bench-bad")
-    return documents.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("bad_id")), "left_anti")
+    return documents.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col(bad_id)), "left_anti")

@@ -40,7 +40,7 @@ class JaccardJoin:
     counters: int = 1 << 20
     #: 64-bit words of a set's bit map.
     map_words: int = 16
-    #: Pivots of a min-hash key, tried one round after the other.
+    #: Pivots of a min-hash key.
     pivots: int = 3
     part_members: int = 64
     #: Texts of which a task remembers the node, to send equal texts once.
@@ -225,16 +225,14 @@ def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _grouped(profiles: DataFrame, nodes: DataFrame, documents: DataFrame, join: JaccardJoin) -> tuple[DataFrame, DataFrame]:
-    """Links to pivots, turn by turn, and the classes that they make. A later turn compares only what is still apart."""
+    """Links to pivots, and the classes that they make. After the first pivot only what is still apart is compared."""
     near = _near(_pivot_pairs(profiles, join), nodes, join, "pivot")
     sets = _sets_of(near, documents, join, "pivot")
-    links, classes = None, None
-    for turn in range(join.pivots):
-        pairs = near.where(F.col("turn") == turn).drop("turn")
-        pairs = pairs if classes is None else _apart(pairs, classes)
-        found = stored(_verified(pairs, sets, join).select("a", "b"), "jaccard-pivot-links")
-        links = found if links is None else links.union(found)
-        classes = connected_components(links)
+    first = _verified(near.where("turn = 0").drop("turn"), sets, join).select("a", "b")
+    first = stored(first, "jaccard-pivot-links")
+    rest = _apart(near.where("turn > 0").drop("turn"), connected_components(first))
+    links = first.union(stored(_verified(rest, sets, join).select("a", "b"), "jaccard-pivot-links"))
+    classes = connected_components(links)
     return links, classes
 
 
@@ -247,12 +245,12 @@ def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) ->
     empty result. Sets are compared by 64-bit shingle hashes.
     """
     profiles = stored(_profiles(documents, join), "jaccard-profiles")
-    prefix = profiles.where("prefix is not null").select("node", F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("place", "token"))
+    prefix = profiles.where("prefix is not null").select("node", "n_shingles", F.posexplode("prefix").alias("place", "token"))
+    # What a set has from this shingle on bounds the overlap of two sets that meet in it first.
+    prefix = prefix.select("token", "node", (F.col("n_shingles") - F.col("place")).alias("rest"))
     by_token = W.partitionBy("token")
     shared = prefix.withColumns({"lo": F.min("node").over(by_token), "hi": F.max("node").over(by_token)})
-    # What a set has from this shingle on bounds the overlap of two sets that meet in it first.
-    postings = shared.where("lo <> hi").select("token", "node", "n", (F.col("n") - F.col("place")).alias("rest")).distinct()
-    postings = stored(postings, "jaccard-postings")
+    postings = stored(shared.where("lo <> hi").select("token", "node", "rest").distinct(), "jaccard-postings")
     nodes = profiles.where("bits is not null").dropDuplicates(["node"])
     nodes = stored(nodes.select("node", F.col("n_shingles").alias("n"), "bits"), "jaccard-nodes")
 
@@ -264,7 +262,7 @@ def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) ->
     members = members.join(sizes, "component").select("node", "n", "bits", "component", part.alias("part"))
     members = stored(members, "jaccard-members")
 
-    placed = postings.join(members.select("node", "component", "part"), "node")
+    placed = postings.join(members.select("node", "n", "component", "part"), "node")
     span = placed.withColumns({"lo": F.min("component").over(by_token), "hi": F.max("component").over(by_token)})
     matrix = stored(span.where("lo <> hi").drop("lo", "hi"), "jaccard-matrix")
     columns = matrix.groupBy("token", "component", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("most_rest"))
@@ -278,13 +276,16 @@ def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) ->
         & ((100 + join.percent) * F.col("most_rest") >= need)
     )
     queries = meets.select("node", "of", "of_part").distinct()
+    # A part of a group is one row: its union, and its members to open it with. Only pairs that the maps leave are rows.
     ors = F.array(*[F.bit_or(F.col("bits")[k]) for k in range(join.map_words)])
-    unions = members.groupBy(F.col("component").alias("of"), F.col("part").alias("of_part")).agg(ors.alias("union"))
-    bounded = queries.join(nodes, "node").join(unions, ["of", "of_part"])
+    held = F.collect_list(F.struct("node", "n", "bits")).alias("held")
+    parts = members.groupBy(F.col("component").alias("of"), F.col("part").alias("of_part")).agg(ors.alias("union"), held)
+    bounded = queries.join(nodes, "node").join(parts, ["of", "of_part"])
     bounded = bounded.where(may_be_covered(F.col("n"), F.col("bits"), F.col("union"), join.percent))
-    qualifying = stored(bounded.select(F.col("node").alias("a"), "of", "of_part"), "jaccard-qualifying")
-    inside = members.select(F.col("node").alias("b"), F.col("component").alias("of"), F.col("part").alias("of_part"))
-    near = _near(qualifying.join(inside, ["of", "of_part"]).drop("of_part"), nodes, join, "group")
+    opened = F.filter("held", lambda m: may_be_similar(F.col("n"), m["n"], F.col("bits"), m["bits"], join.percent))
+    left = F.transform(opened, lambda m: F.struct(m["node"].alias("b"), m["n"].alias("nb")))
+    near = bounded.select(F.col("node").alias("a"), F.col("n").alias("na"), "of", F.inline(left))
+    near = stored(near, "jaccard-group-pairs")
     found = _verified(near, _sets_of(near, documents, join, "group"), join)
     # One link of a node with a class is enough.
     second = stored(found.groupBy("a", "of").agg(F.min("b").alias("b")).select("a", "b"), "jaccard-group-links")

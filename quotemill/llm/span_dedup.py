@@ -11,12 +11,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.storage import stored
+from quotemill.llm.storage import fresh, stored
 from quotemill.llm.tokens import as_bytes
 
 
@@ -128,16 +129,17 @@ def remove_repeated_spans(documents: DataFrame, rule: SentenceSpans = SentenceSp
     Null and empty texts, and texts without a repeated span, stay as they are; of rows that repeat id and text
     all keep the same sentences; an empty table gives an empty result.
     """
-    gone = removed_sentences(documents, rule).select(F.col("doc_id").alias("gone_id"), F.col("doc").alias("gone_doc"), "removed")
+    gone_id, gone_doc, removed, own = (fresh(documents, n) for n in ("gone_id", "gone_doc", "removed", "own_doc"))
+    gone = removed_sentences(documents, rule).select("doc_id", "doc", "removed").toDF(gone_id, gone_doc, removed)
 
     @F.pandas_udf("long")
     def named(texts):
         return texts.map(lambda t: None if t is None else int(np.uint64(xxhash.xxh3_64_intdigest(t.encode())).view(np.int64)))
 
     @F.pandas_udf("string")
-    def cut(texts, removed):
+    def cut(texts, gaps):
         out = []
-        for text, numbers in zip(texts, removed, strict=True):
+        for text, numbers in zip(texts, gaps, strict=True):
             if text is None or numbers is None or not len(numbers):
                 out.append(text)
                 continue
@@ -149,12 +151,9 @@ def remove_repeated_spans(documents: DataFrame, rule: SentenceSpans = SentenceSp
                     kept.append(raw[at:a])
                     at = b
             out.append(b"".join([*kept, raw[at:]]).decode())
-        import pandas as pd
-
         return pd.Series(out)
 
-    columns = documents.columns
-    marked = documents.withColumn("span_doc_", named("text"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.col("span_doc_") == F.col("gone_doc"))
-    joined = marked.join(gone, on, "left").withColumn("text", cut("text", "removed"))
-    return joined.select(*columns)
+    marked = documents.withColumn(own, named("text"))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(gone_id)) & (F.col(own) == F.col(gone_doc))
+    joined = marked.join(gone, on, "left").withColumn("text", cut("text", removed))
+    return joined.select(*documents.columns)

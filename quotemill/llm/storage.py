@@ -1,37 +1,21 @@
-"""Tables written once and read again, in the folder that all executors share."""
+"""Tables in the folder that all executors share, the input tables, and names for joined columns."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folder: str | None = None
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where none is set (local tests)."""
-    global _own_folder
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if _own_folder is None:
-        _own_folder = tempfile.mkdtemp(prefix="quotemill-")
-    return _own_folder
-
+from quotemill.sources.scratch import shared_folder, stored
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back.
-
-    Cuts lineage so that a lost executor costs a read, not a recomputation, and gives Spark the true
-    size of the table: whether a join broadcasts it is then decided by ``autoBroadcastJoinThreshold``.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/quotemill/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["fresh", "read_table", "shared_folder", "stored"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
