@@ -52,7 +52,7 @@ def _ranges(words: Words) -> Iterator[tuple[slice, slice]]:
     """3-grams and words of each text; a 3-gram doesn't reach into the next text."""
     for k in range(len(words)):
         start, end = int(words.text_starts[k]), int(words.text_starts[k + 1]) - 1
-        yield slice(start, max(start, end - 2)), slice(int(words.bounds[k]), int(words.bounds[k + 1]))
+        yield slice(start, end - 2) if end - start > 2 else slice(0, 0), slice(int(words.bounds[k]), int(words.bounds[k + 1]))
 
 
 def _training_grams(rows: DataFrame, model: SubwordModel) -> pd.DataFrame:

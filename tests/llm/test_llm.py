@@ -180,8 +180,8 @@ def test_op5_chains_and_groups(spark):
 
 
 def test_op6_text_and_order(spark):
-    run = "alpha beta gamma\ndelta epsilon zeta\neta theta iota kappa"
-    rows = [(1, f"first\n{run}\nend"), (2, f"{run}\nother words here"), (3, "alpha beta gamma\nsomething else"), (4, None)]
+    run = "alpha beta gamma one two\ndelta epsilon zeta three four\neta theta iota kappa five"
+    rows = [(1, f"first\n{run}\nend"), (2, f"{run}\nother words here"), (3, "alpha beta gamma one two\nsomething else"), (4, None)]
     out = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out == {1: rows[0][1], 2: "other words here", 3: rows[2][1], 4: None}
 
