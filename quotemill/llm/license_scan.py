@@ -66,22 +66,20 @@ class LicenceScan:
 
 @dataclass
 class SuffixAutomaton:
-    """States of all runs of the given word sequences; ``ends``: (sequence, end) of a first occurrence."""
+    """States of all runs of the given word sequences."""
 
     next: list[dict[int, int]] = field(default_factory=lambda: [{}])
     link: list[int] = field(default_factory=lambda: [-1])
     length: list[int] = field(default_factory=lambda: [0])
-    ends: list[tuple[int, int]] = field(default_factory=lambda: [(-1, -1)])
 
-    def _state(self, length: int, end: tuple[int, int]) -> int:
+    def _state(self, length: int) -> int:
         self.next.append({})
         self.link.append(0)
         self.length.append(length)
-        self.ends.append(end)
         return len(self.next) - 1
 
     def _split(self, p: int, word: int, q: int) -> int:
-        clone = self._state(self.length[p] + 1, self.ends[q])
+        clone = self._state(self.length[p] + 1)
         self.next[clone] = dict(self.next[q])
         self.link[clone], self.link[q] = self.link[q], clone
         while p >= 0 and self.next[p].get(word) == q:
@@ -89,14 +87,14 @@ class SuffixAutomaton:
             p = self.link[p]
         return clone
 
-    def add(self, sequence: int, words: list[int]) -> None:
+    def add(self, words: list[int]) -> None:
         last = 0
-        for at, word in enumerate(words):
+        for word in words:
             known = self.next[last].get(word)
             if known is not None:
                 last = known if self.length[known] == self.length[last] + 1 else self._split(last, word, known)
                 continue
-            new, p = self._state(self.length[last] + 1, (sequence, at + 1)), last
+            new, p = self._state(self.length[last] + 1), last
             while p >= 0 and word not in self.next[p]:
                 self.next[p][word] = new
                 p = self.link[p]
@@ -170,8 +168,8 @@ class Scanner:
         self.numbered = [[numbers[w] for w in t] for t in texts]
         self.phrases = [np.array([numbers[w] for w in p]) for p in phrases]
         self.automaton = SuffixAutomaton()
-        for k, t in enumerate(self.numbered):
-            self.automaton.add(k, t)
+        for t in self.numbered:
+            self.automaton.add(t)
         self.places = self._places()
 
     def _places(self) -> dict[tuple[int, ...], list[tuple[int, int]]]:

@@ -101,10 +101,6 @@ def segment(word: str, log_p: dict[str, float], unknown: float, max_word: int) -
     return out[::-1]
 
 
-def url_words(host: str, path: str, log_p: dict[str, float], unknown: float, max_word: int) -> list[str]:
-    return [f"h:{w}" for w in _host_words(host, log_p, unknown, max_word)] + [f"p:{w}" for w in _pieces(path)]
-
-
 def _host_words(host: str, log_p: dict[str, float], unknown: float, max_word: int) -> list[str]:
     return [w for piece in _pieces(host) for w in segment(piece, log_p, unknown, max_word)]
 
@@ -117,12 +113,15 @@ def seeded(host: Column) -> Column:
 def unigrams(pages: DataFrame, model: UrlModel) -> tuple[dict[str, float], float]:
     """Log shares of the words between separators in all hosts, and the cost of an unknown letter.
 
-    Counted once for each distinct host, so that a hot host doesn't drown the others; at most
-    ``vocabulary`` words come to the driver. The seeds are in the model even where no host shows them.
+    Counted once for each distinct host, so that a hot host doesn't drown the others. A label without hyphens may be
+    words run together: it counts as a word only if two hosts have it. At most ``vocabulary`` words come to the
+    driver. The seeds are in the model even where no host shows them.
     """
-    hosts = pages.select(F.split("host", r"[^a-z\x{80}-\x{10ffff}]+").alias("w"), "host").groupBy("host").agg(F.first("w").alias("w"))
-    words = hosts.select(F.explode("w").alias("word")).where(F.length("word").between(2, model.max_word))
-    counts = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(model.vocabulary)
+    labels = pages.select("host").distinct().select(F.explode(F.split("host", r"\.")).alias("label"))
+    pieces = F.array_remove(F.split("label", r"[^a-z\x{80}-\x{10ffff}]+"), "")
+    words = labels.select(pieces.alias("w")).select((F.size("w") > 1).alias("parted"), F.explode("w").alias("word"))
+    counts = words.where(F.length("word").between(2, model.max_word)).groupBy("word").agg(F.count("*").alias("n"), F.max("parted").alias("parted"))
+    counts = counts.where("parted or n > 1").orderBy(F.desc("n"), "word").limit(model.vocabulary)
     n = {s: 1 for s in SEEDS if "-" not in s}
     for row in counts.collect():
         n[row["word"]] = n.get(row["word"], 0) + row["n"]

@@ -109,8 +109,8 @@ def test_op1_matching_statistics_equal_brute_force():
 
     templates = [[1, 2, 1, 2, 3], [2, 3, 1, 2], [4, 1, 2, 3, 3]]
     automaton = SuffixAutomaton()
-    for k, t in enumerate(templates):
-        automaton.add(k, t)
+    for t in templates:
+        automaton.add(t)
     text = [1, 2, 3, 3, 9, 2, 3, 1, 2, 1, 2, 3, 4, 1]
     runs = {tuple(t[a:b]) for t in templates for a in range(len(t)) for b in range(a + 1, len(t) + 1)}
     want = [max([n for n in range(1, i + 2) if tuple(text[i + 1 - n : i + 1]) in runs], default=0) for i in range(len(text))]
