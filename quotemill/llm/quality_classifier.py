@@ -28,7 +28,7 @@ class SubwordModel:
     epochs: int = 8
     rate: float = 0.5
     #: Most labelled documents that the model is fitted on.
-    most_rows: int = 4000
+    most_rows: int = 3000
     threshold: float = 0.3
     seed: int = 11
 
@@ -127,15 +127,17 @@ def score_quality(documents: DataFrame, labels: DataFrame, model: SubwordModel =
         per_gram, rest = shared.value
         for texts in batches:
             out = np.empty(len(texts))
-            raw = [None if t is None else t.encode() for t in texts]
-            for words in groups_of(raw, lower=False):
-                chars, tokens = grams_of(words, model.buckets)
-                by_char = np.concatenate(([0.0], np.cumsum(per_gram[chars], dtype=np.float64)))
-                by_word = np.concatenate(([0.0], np.cumsum(per_gram[tokens], dtype=np.float64)))
-                for k, (c, w) in enumerate(_ranges(words)):
-                    n = (c.stop - c.start) + (w.stop - w.start)
-                    total = by_char[c.stop] - by_char[c.start] + by_word[w.stop] - by_word[w.start]
-                    out[words.first_row + k] = (total / n if n else 0.0) + rest
+            # A few hundred texts at a time are encoded, so that a batch is not held twice.
+            for first in range(0, len(texts), 256):
+                raw = [None if t is None else t.encode() for t in texts.iloc[first : first + 256]]
+                for words in groups_of(raw, lower=False):
+                    chars, tokens = grams_of(words, model.buckets)
+                    by_char = np.concatenate(([0.0], np.cumsum(per_gram[chars], dtype=np.float64)))
+                    by_word = np.concatenate(([0.0], np.cumsum(per_gram[tokens], dtype=np.float64)))
+                    for k, (c, w) in enumerate(_ranges(words)):
+                        n = (c.stop - c.start) + (w.stop - w.start)
+                        total = by_char[c.stop] - by_char[c.start] + by_word[w.stop] - by_word[w.start]
+                        out[first + words.first_row + k] = (total / n if n else 0.0) + rest
             yield pd.Series(np.round(1.0 / (1.0 + np.exp(-out)), 9))
 
     scored = documents.withColumn("score", score("text"))

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text hashed at once; a longer text is a group of its own.
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 19
 
 # Word bytes by the two rules of the contracts, after lower-casing A-Z.
 _bytes = np.arange(256)
