@@ -186,6 +186,38 @@ def test_op6_text_and_order(spark):
     assert out == {1: rows[0][1], 2: "other words here", 3: rows[2][1], 4: None}
 
 
+def all_repeated(parts, least):
+    """Of each text's parts, the numbers that any later copy of any run with ``least`` words covers; by trying all runs."""
+    first, gone = {}, {}
+    for doc_id in sorted(parts):
+        own = parts[doc_id]
+        for a in range(len(own)):
+            for b in range(a + 1, len(own) + 1):
+                if first.setdefault(tuple(own[a:b]), (doc_id, a)) != (doc_id, a) and sum(len(x.split()) for x in own[a:b]) >= least:
+                    gone.setdefault(doc_id, set()).update(range(a, b))
+    return {d: sorted(x) for d, x in gone.items()}
+
+
+def test_op6_all_runs(spark):
+    from random import Random
+
+    r = Random(6)
+    pool = [" ".join(f"w{r.randrange(9)}" for _ in range(n)) for n in (1, 1, 2, 2, 3, 3, 4, 12)]
+    passages = [[r.choice(pool) for _ in range(n)] for n in (3, 5, 6, 7, 9, 11, 13, 15, 20, 40)]
+    rows = []
+    for i in range(60):
+        p = r.choice(passages)
+        lines = [f"own {i}", *p[r.randrange(3) :], f"end {i}", *r.choice(passages)[: r.randrange(1, 9)]]
+        rows.append((i, [x for line in lines for x in ([line, ""] if i % 3 == 0 else [line, " \t"] if i % 7 == 0 else [line])]))
+    rows += [(70, ["a b c d", "e f g h", "i j k"]), (71, ["a b c d", "", "e f g h", "", "i j k"]), (72, ["x"] * 25)]
+    texts = spark.createDataFrame([(i, "\n".join(x)) for i, x in rows], "doc_id long, text string")
+    got = {x.doc_id: x.removed for x in line_report(texts).collect() if x.n_removed}
+    at = {i: [k for k, x in enumerate(lines) if x.split()] for i, lines in rows}
+    want = all_repeated({i: [lines[k] for k in at[i]] for i, lines in rows}, 10)
+    assert got == {d: ",".join(str(at[d][k]) for k in x) for d, x in want.items()}
+    assert got[71] == "0,2,4"
+
+
 def test_op7_held_out(spark):
     sf = SF.replace("0.001", "0.1")
     scored = q.op7_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("toxic").alias("y")), "doc_id").toPandas()
