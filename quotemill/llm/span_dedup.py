@@ -1,7 +1,11 @@
 """Substring dedup by sliding sentence spans.
 
-Of every sentence of a text, the run of sentences from it on that first reaches ``span_words`` words is hashed.
-Hashes are joined over all texts; every occurrence of a span but the first covers sentences to remove.
+Of every sentence of a text, the shortest runs of sentences with ``span_words`` words from it on and up to it are
+hashed. Hashes are joined over all texts; every occurrence of a span but the first covers sentences to remove.
+
+These spans cover every repeated run of sentences with ``span_words`` words, however long: each sentence of it is in
+the shortest span that ends at that sentence, or in the one that starts where the run starts. Both lie within the
+run and are repeated with it.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from quotemill.llm.tokens import as_bytes
 
 @dataclass(frozen=True)
 class SentenceSpans:
-    #: A span is the shortest run of consecutive sentences with so many words.
+    #: A span is a shortest run of consecutive sentences with so many words.
     span_words: int = 24
 
 
@@ -46,7 +50,13 @@ def sentences_of(text: bytes) -> tuple[list[tuple[int, int]], list[bytes]]:
 
 
 def span_runs(words: list[int], rule: SentenceSpans) -> list[tuple[int, int]]:
-    """(first, behind last) sentence of each span: a window that slides on by one sentence."""
+    """(first, behind last) sentence of each span: the shortest from each sentence on, and the shortest up to each."""
+    n = len(words)
+    return sorted({*_slid(words, rule), *((n - b, n - a) for a, b in _slid(words[::-1], rule))})
+
+
+def _slid(words: list[int], rule: SentenceSpans) -> list[tuple[int, int]]:
+    """The shortest spans from each sentence on: a window that slides on by one sentence."""
     out, end, total = [], 0, 0
     for start in range(len(words)):
         if end < start:
@@ -112,7 +122,7 @@ def removed_sentences(documents: DataFrame, rule: SentenceSpans = SentenceSpans(
     """(doc_id, doc, removed, kept_ids) of every text that loses sentences.
 
     ``removed``: the numbers of its sentences, from 0, that a non-first span covers; ``kept_ids``: the documents
-    that keep them. A text's own spans are at most as many as its sentences, which bounds a row.
+    that keep them. A text's own spans are at most twice as many as its sentences, which bounds a row.
     """
     spans = later_spans(documents, rule).groupBy("doc_id", "doc").agg(
         F.collect_set(F.struct("first", "behind")).alias("covers"), F.collect_set("kept_doc_id").alias("kept_ids")

@@ -249,6 +249,20 @@ def test_op8_cuts_the_sentences(spark):
     assert out[1] == rows[0][1] and out[2].strip() == "Only this stays."
 
 
+def test_op8_all_runs(spark):
+    from random import Random
+
+    r = Random(8)
+    pool = [" ".join(f"w{r.randrange(99)}" for _ in range(n)) + "." for n in (1, 3, 5, 8, 8, 8, 12, 23, 24, 30)]
+    passages = [[r.choice(pool) for _ in range(n)] for n in (2, 3, 4, 5, 7, 12)] + [[pool[9], pool[3], pool[4]]]
+    texts = {i: f"own a{i}. {' '.join(r.choice(passages))} own b{i}. {' '.join(r.choice(passages)[: r.randrange(1, 5)])} end c{i}." for i in range(40)}
+    texts |= {50: f"Begin here. {pool[9]} x{'y' * 5}.", 60: f"A start. {' '.join(passages[-1])} One end.", 61: f"Other start. {' '.join(passages[-1])} Other end."}
+    rows = removed_sentences(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    want = all_repeated({i: [x.decode() for x in sentences_of(t.encode())[1]] for i, t in texts.items()}, 24)
+    assert {x.doc_id: x.removed for x in rows} == want
+    assert want[61] == [1, 2, 3]
+
+
 def test_op9_rules(spark):
     rows = [
         ("http://a.example.com/en/825?x", "a.example.com", "/en/825", "com/en/", "block"), ("HTTPS://WWW.EXAMPLE.COM/en/7/q#z", "www.example.com", "/en/7/q", "example.com/en/7", "allow"),
