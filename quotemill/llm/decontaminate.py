@@ -24,8 +24,8 @@ from quotemill.llm.tokens import Words, as_bytes, groups_of, int64_list, window_
 
 @dataclass(frozen=True)
 class SpacedSeeds:
-    #: Kept (1) and ignored (0) words of each mask.
-    masks: tuple[str, ...] = ("11011011011", "1110010111", "1111111")
+    #: Kept (1) and ignored (0) words of each mask. Every overlap that the other values accept holds one of these.
+    masks: tuple[str, ...] = ("1110111", "11111", "111101", "11010011", "110111")
     #: An overlap has so many equal words, and so many of a hundred of its words are equal.
     min_equal: int = 10
     min_percent: int = 75

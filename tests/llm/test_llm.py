@@ -126,6 +126,51 @@ def test_op2_substitutions(spark):
     assert got == {(1, 1, 3, 35), (4, 1, 0, 12)}
 
 
+def test_op2_every_accepted_pattern_holds_a_seed():
+    """Grows all runs of equal and other words that hold no seed: none is an overlap, and none goes on for ever."""
+    from quotemill.llm.decontaminate import SpacedSeeds
+
+    m = SpacedSeeds()
+    kept, recent = [int(x, 2) for x in m.masks], (1 << (max(map(len, m.masks)) - 1)) - 1
+    grown, size = {(0, 0)}, 0  # which of the last words are equal, and how many of all are not
+    while grown and size < 60:
+        size += 1
+        ways = {((b << 1) | e, other + 1 - e) for b, other in grown for e in (0, 1)}
+        ways = {(b, other) for b, other in ways if size - other >= m.penalty * other and not any(b & x == x for x in kept)}
+        assert not [b for b, other in ways if size - other >= m.min_equal and 100 * (size - other) >= m.min_percent * size]
+        grown = {(b & recent, other) for b, other in ways}
+    assert not grown and min(map(len, m.masks)) <= m.min_item
+
+
+def test_op2_equals_all_diagonals(spark):
+    from random import Random
+
+    import numpy as np
+
+    from quotemill.llm.decontaminate import best_overlap
+
+    r = Random(2)
+    items = {i: [f"i{i}w{k}" for k in range(r.choice((7, 9, 12, 15, 16, 17, 30, 59)))] for i in range(80)}
+    texts = {}
+    for d in range(400):
+        words, rate = items[d % 80], r.choice((0, 0.1, 0.15, 0.2, 0.25))
+        every = {1: 4, 2: 5}.get(d % 9)
+        copy = [f"x{d}n{k}" if (k % every == every - 1 if every else r.random() < rate) else w for k, w in enumerate(words)]
+        texts[d] = [f"b{d}", *copy[r.randrange(3) :], f"e{d}"]
+    want = set()
+    for d, text in texts.items():
+        for i, item in items.items():
+            for diagonal in range(1 - len(item), len(text)) if i == d % 80 else ():  # no other item shares a word
+                p = max(diagonal, 0)
+                n = min(len(text) - p, len(item) - p + diagonal)
+                a, b = best_overlap(equal := np.array([text[p + k] == item[p - diagonal + k] for k in range(n)]), 2.0)
+                same = int(equal[a:b].sum())
+                if same >= min(10, len(item)) and 100 * same >= 75 * (b - a):
+                    want.add((d, i, p + a, p - diagonal + a, b - a, same))
+    frame = lambda rows, name: spark.createDataFrame([(k, " ".join(v)) for k, v in rows.items()], f"{name} long, text string")
+    assert {tuple(x) for x in find_overlaps(frame(texts, "doc_id"), frame(items, "item_id")).collect()} == want
+
+
 def test_op2_finds_every_shared_passage(spark, docs, texts):
     items = [SPACE.findall(lower(r.text)) for r in benchmark(spark).collect()]
     grams = {tuple(w[i : i + 16]) for w in items for i in range(len(w) - 15)}
