@@ -33,15 +33,23 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: the one that names it.
+    """One row of each near-duplicate class: the one with the smallest doc_id (null last).
 
-    Documents without shingles are in no class and all stay; of rows that share the naming id, one stays.
+    Documents without shingles are in no class and all stay. Rows are told apart by id and text, so that neither
+    null ids nor ids with several texts lose a row of another class; of rows that repeat both, one stays.
     """
-    classes = jaccard_classes(docs)
-    out = classes.where(F.col("node").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = stored(out.select(F.col("doc_id").alias("gone_id")).distinct(), "pipeline-copies")
-    kept = docs.select(*COLUMNS).join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
-    return kept.select(*COLUMNS)
+    row = docs.select(F.xxhash64("doc_id", "text").alias("row"), *COLUMNS)
+    classes = jaccard_classes(row.select(F.col("row").alias("doc_id"), "text")).where("node is not null")
+    members = classes.groupBy(F.col("doc_id").alias("row")).agg(F.min("component_id").alias("class"), F.count("*").alias("n"))
+    ids = row.groupBy("row").agg(F.min(F.col("doc_id").cast("long")).alias("id"))
+    members = stored(members.join(ids, "row"), "pipeline-members")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    first = members.groupBy("class").agg(F.min(place)["row"].alias("row")).select("row", F.lit(True).alias("stays"))
+    marks = members.join(first, "row", "left").where("stays is null or n > 1").select("row", "stays")
+    marks = stored(marks, "pipeline-copies")
+    once = row.join(marks, "row", "left_anti").select(*COLUMNS)
+    repeated = row.join(marks.where("stays"), "row", "left_semi").groupBy("row").agg(F.min(F.struct(*COLUMNS)).alias("r"))
+    return once.union(repeated.select("r.*"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -178,8 +178,8 @@ def contaminated_items(documents: DataFrame, benchmark: DataFrame, masks: Spaced
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, masks: SpacedSeeds = SpacedSeeds()) -> DataFrame:
-    """``documents`` without those that overlap an item; a document with a null id goes with its null twins."""
-    bad_id = fresh(documents, "bad_id")
-    bad = find_overlaps(documents, benchmark, masks).select(F.col("doc_id").alias(bad_id)).distinct()
+    """``documents`` without those whose text overlaps an item, whatever their ids."""
+    bad_text, text = fresh(documents, "bad_text"), F.xxhash64("text")
+    bad = find_overlaps(documents.select(text.alias("doc_id"), "text"), benchmark, masks).select(F.col("doc_id").alias(bad_text)).distinct()
     bad = stored(bad, "bench-bad")
-    return documents.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col(bad_id)), "left_anti")
+    return documents.join(bad, text == F.col(bad_text), "left_anti")

@@ -351,3 +351,23 @@ def test_pipeline_stages(spark, docs):
     assert last.where("taken > 3 * size").count() == 0
     good = labels(spark).where("quality = 1").join(docs, "doc_id").count()
     assert kept.join(labels(spark).where("quality = 1"), "doc_id").count() > 0.6 * good
+
+
+def test_pipeline_null_and_repeated_ids(spark):
+    text = lambda name, n=30: " ".join(f"{name}{i}" for i in range(n))
+    a, b, c, d = map(text, "abcd")
+    rows = [
+        (5, a), (None, a), (None, text("clean")), (None, ""), (None, None),  # a copy with a null id; other null ids are clean
+        (7, b), (9, b), (9, text("other")),  # one id with two texts, one of them a copy
+        (3, c), (3, c), (3, c + " more"), (None, d), (None, d), (None, d + " more"),  # repeated rows, near copies, null ids only
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.one_of_each_class(spark, docs, SF).collect()]
+    third = [x for x in got if (x[1] or "")[:2] == "c0"]
+    fourth = [x for x in got if (x[1] or "")[:2] == "d0"]
+    assert len(third) == len(fourth) == 1 and third[0][0] == 3 and fourth[0][0] is None
+    want = [(5, a), (None, text("clean")), (None, ""), (None, None), (7, b), (9, text("other"))]
+    assert sorted(map(repr, set(got) - {third[0], fourth[0]})) == sorted(map(repr, want)) and len(got) == 8
+    item = spark.createDataFrame([(1, a)], "item_id long, text string")
+    left = {(r.doc_id, r.text) for r in without_contaminated(docs, item).collect()}
+    assert left == {x for x in rows if x[1] != a}
