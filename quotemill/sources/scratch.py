@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: str | None = None
+#: Paths stored by each open ``working_tables`` block, outermost first.
+_open: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where none is set (local tests)."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where none is set and all tasks run in this process."""
     global _own_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="quotemill-")
     return _own_folder
@@ -30,4 +36,37 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quotemill/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _open:
+        _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes at its end what ``stored`` wrote within, but for tables that ``kept`` wrote.
+
+    What leaves the block must be read from kept tables alone. Where the block fails nothing is deleted.
+    """
+    own: list[str] = []
+    _open.append(own)
+    try:
+        yield own
+    finally:
+        _open.pop()
+    for path in own:
+        _drop(spark, path)
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """``stored``, for a table that outlives the innermost ``working_tables`` block; a block around that one owns it."""
+    inner = _open.pop() if _open else None
+    try:
+        return stored(df, label)
+    finally:
+        if inner is not None:
+            _open.append(inner)
