@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.folded import bloom_cells, bloom_size, folded, in_bloom
-from quotemill.llm.storage import fresh, stored
+from quotemill.llm.folded import bloom_of, parted
+from quotemill.llm.storage import fresh, kept, stored, working_tables
 from quotemill.llm.tokens import Words, as_bytes, groups_of, int64_list, window_hashes
 
 
@@ -29,10 +29,8 @@ class SpacedSeeds:
     #: An overlap has so many equal words, and so many of a hundred of its words are equal.
     min_equal: int = 10
     min_percent: int = 75
-    #: What a substituted word takes off an overlap's score, in equal words.
-    penalty: float = 2.0
-    #: Shorter items than min_equal words are overlaps as a whole, down to this length.
-    min_item: int = 7
+    #: Shorter items than min_equal words are overlaps as a whole, down to this length (that of the plain mask).
+    min_item: int = 5
 
     def offsets(self) -> list[tuple[int, ...]]:
         return [tuple(k for k, c in enumerate(m) if c == "1") for m in self.masks]
@@ -81,13 +79,7 @@ def _benchmark_tables(benchmark: DataFrame, masks: SpacedSeeds) -> tuple[DataFra
 
 def _hits(documents: DataFrame, seeds: DataFrame, masks: SpacedSeeds) -> DataFrame:
     """(doc_id, doc, words, hits) of documents with a seed that the filter lets through."""
-    cells = bloom_size(seeds.count(), bits_per_key=32)
-    bits = folded(
-        seeds.select("seed"),
-        cells,
-        lambda b: iter([bloom_cells(b["seed"].to_numpy(zero_copy_only=False).view(np.uint64), cells)]),
-    )
-    shared = documents.sparkSession.sparkContext.broadcast(np.minimum(bits, 1).astype(np.uint8))
+    shared = documents.sparkSession.sparkContext.broadcast(bloom_of(seeds.select("seed"), bits_per_key=32))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = shared.value
@@ -96,7 +88,7 @@ def _hits(documents: DataFrame, seeds: DataFrame, masks: SpacedSeeds) -> DataFra
             for words in groups_of(as_bytes(batch["text"])):
                 at, hashes = [], []
                 for p, h in seeds_of(words, masks):
-                    keep = np.flatnonzero(in_bloom(h, filled))
+                    keep = np.flatnonzero(filled.may_hold(h))
                     at.append(p[keep])
                     hashes.append(h[keep])
                 if not at or not sum(map(len, at)):
@@ -120,22 +112,36 @@ def _hits(documents: DataFrame, seeds: DataFrame, masks: SpacedSeeds) -> DataFra
     return stored(found.withColumn("doc", F.xxhash64("doc_id", "words")), "bench-hits")
 
 
-def best_overlap(equal: np.ndarray, penalty: float) -> tuple[int, int]:
-    """[start, end) of the best-scoring run of ``equal``: 1 for an equal word, -penalty for any other."""
-    run = np.concatenate(([0.0], np.cumsum(np.where(equal, 1.0, -penalty))))
-    rise = run - np.minimum.accumulate(run)
-    end = int(rise.argmax())
-    return int(run[: end + 1].argmin()), end
+def best_overlap(equal: np.ndarray, percent: int) -> tuple[int, int]:
+    """[start, end) of the run with the most equal words, ``percent`` of a hundred of its words or more; (0, 0) if none.
+
+    An equal word counts 100 - percent and any other -percent, so that runs whose sum is 0 or more have enough equal
+    words. From each end, the earliest start with no larger sum before it has the most; the first best run is taken.
+    """
+    if not equal.any():
+        return 0, 0
+    sums = np.concatenate(([0], np.cumsum(np.where(equal, 100 - percent, -percent))))
+    words = np.concatenate(([0], np.cumsum(equal)))
+    starts = np.searchsorted(-np.minimum.accumulate(sums), -sums)
+    end = int((words - words[starts]).argmax())
+    inside = np.flatnonzero(equal[starts[end] : end])
+    return int(starts[end] + inside[0]), int(starts[end] + inside[-1]) + 1
 
 
 def find_overlaps(documents: DataFrame, benchmark: DataFrame, masks: SpacedSeeds = SpacedSeeds()) -> DataFrame:
     """Overlaps of documents with benchmark items: one row for each document, item and diagonal that qualifies.
 
-    Columns: doc_id, item_id, doc_word and item_word (first words, from 0), n_words, n_equal. Words are split at
-    ASCII white space after lower-casing A-Z. Null and empty texts overlap nothing; items of fewer than
-    ``min_item`` words are no evidence. Repeated rows give one row, as do repeated items; an empty table on
-    either side gives an empty result; other columns are left out.
+    Columns: doc_id, item_id, doc_word and item_word (first words, from 0), n_words, n_equal: of each diagonal the run
+    with the most equal words. Words are split at ASCII white space after lower-casing A-Z. Null and empty texts
+    overlap nothing, null ids stay null; an item of fewer than ``min_equal`` words must stand in the text as a whole,
+    one of fewer than ``min_item`` words is no evidence. Repeated rows give one row, as do repeated items; an empty
+    table on either side gives an empty result; other columns are left out.
     """
+    with working_tables(documents.sparkSession):
+        return kept(_overlaps(documents, benchmark, masks), "bench-overlaps")
+
+
+def _overlaps(documents: DataFrame, benchmark: DataFrame, masks: SpacedSeeds) -> DataFrame:
     items, seeds = _benchmark_tables(benchmark, masks)
     hits = _hits(documents, seeds, masks)
     placed = hits.select("doc", F.explode(F.arrays_zip("seed", "p")).alias("h")).select("doc", "h.seed", "h.p")
@@ -156,10 +162,9 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame, masks: SpacedSeeds
             rows = []
             for r in batch.itertuples(index=False):
                 equal = np.asarray(r.d) == np.asarray(r.t)
-                a, b = best_overlap(equal, masks.penalty)
+                a, b = best_overlap(equal, masks.min_percent)
                 n = int(equal[a:b].sum())
-                least = min(masks.min_equal, r.item_words) if r.item_words >= masks.min_item else masks.min_equal
-                if n >= least and 100 * n >= masks.min_percent * (b - a):
+                if n >= (min(masks.min_equal, r.item_words) if r.item_words >= masks.min_item else masks.min_equal):
                     rows.append((r.doc_id, r.item_id, r.p + a, r.q + a, b - a, n))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "doc_word", "item_word", "n_words", "n_equal"]).astype(
                 {"doc_id": "Int64", "item_id": "Int64"}
@@ -170,7 +175,11 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame, masks: SpacedSeeds
 
 
 def contaminated_items(documents: DataFrame, benchmark: DataFrame, masks: SpacedSeeds = SpacedSeeds()) -> DataFrame:
-    """(doc_id, item_id, n_overlaps, n_equal): one row for each contaminated document and item."""
+    """(doc_id, item_id, n_overlaps, n_equal, first_word): one row for each contaminated document and item.
+
+    Rows of ``find_overlaps``, counted: null ids are one group, repeated rows and ties count once, texts without words
+    and empty tables give no row.
+    """
     found = find_overlaps(documents, benchmark, masks)
     return found.groupBy("doc_id", "item_id").agg(
         F.count("*").alias("n_overlaps"), F.max("n_equal").alias("n_equal"), F.min("doc_word").alias("first_word")
@@ -178,8 +187,14 @@ def contaminated_items(documents: DataFrame, benchmark: DataFrame, masks: Spaced
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, masks: SpacedSeeds = SpacedSeeds()) -> DataFrame:
-    """``documents`` without those whose text overlaps an item, whatever their ids."""
+    """``documents`` without those whose text overlaps an item, whatever their ids; all columns are kept.
+
+    Null and empty texts stay, repeated rows stay or go together, an empty table on either side changes nothing. Only
+    rows that a Bloom filter of the overlapping texts lets through are shuffled.
+    """
     bad_text, text = fresh(documents, "bad_text"), F.xxhash64("text")
-    bad = find_overlaps(documents.select(text.alias("doc_id"), "text"), benchmark, masks).select(F.col("doc_id").alias(bad_text)).distinct()
-    bad = stored(bad, "bench-bad")
-    return documents.join(bad, text == F.col(bad_text), "left_anti")
+    with working_tables(documents.sparkSession):
+        found = find_overlaps(documents.select(text.alias("doc_id"), "text"), benchmark, masks)
+        bad = kept(found.select(F.col("doc_id").alias(bad_text)).distinct(), "bench-bad")
+    likely, others = parted(documents, text, bad)
+    return others.union(likely.join(bad, text == F.col(bad_text), "left_anti"))

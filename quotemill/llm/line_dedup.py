@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quotemill.llm.storage import fresh, stored
+from quotemill.llm.folded import parted
+from quotemill.llm.storage import fresh, kept, stored, working_tables
 
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
@@ -149,14 +150,19 @@ def removed_lines(documents: DataFrame, rule: LineRuns = LineRuns()) -> DataFram
     return runs.select("doc_id", "doc", F.array_sort(F.array_distinct(F.flatten("runs"))).alias("removed"))
 
 
+def _removed(documents: DataFrame, rule: LineRuns) -> DataFrame:
+    with working_tables(documents.sparkSession):
+        return kept(removed_lines(documents, rule), "line-removed")
+
+
 def line_report(documents: DataFrame, rule: LineRuns = LineRuns()) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed) of every row; ``removed`` lists line numbers, comma-joined.
 
     Null and empty texts have one empty line; lines without words are passed over: they neither end a run nor
-    are deleted. Rows that repeat id and
-    text keep the same lines. Other columns are left out; an empty table gives an empty result.
+    are deleted. Rows that repeat id and text keep the same lines. Other columns are left out; an empty table gives
+    an empty result.
     """
-    gone = stored(removed_lines(documents, rule), "line-removed").withColumnRenamed("doc_id", "gone_id")
+    gone = _removed(documents, rule).withColumnRenamed("doc_id", "gone_id")
     text = F.coalesce("text", F.lit(""))
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("doc"), F.size(F.split(text, "\n")).cast("long").alias("n_lines")
@@ -174,13 +180,16 @@ def dedup_lines(documents: DataFrame, rule: LineRuns = LineRuns()) -> DataFrame:
     """``documents`` without the later copies of repeated runs, all columns kept.
 
     A text all of whose lines go becomes empty; what to do with its row is the caller's choice. Null texts stay.
+    Rows that repeat id and text lose the same lines, an empty table gives an empty one. Only rows that a Bloom filter
+    of the changed texts lets through are shuffled.
     """
     gone_id, gone_doc, removed = (fresh(documents, n) for n in ("gone_id", "gone_doc", "removed"))
-    gone = stored(removed_lines(documents, rule), "line-removed").toDF(gone_id, gone_doc, removed)
-    lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0).cast("long"), (F.size(lines) - 1).cast("long")), F.col(removed))
-    cut = F.transform(F.array(lines), lambda x: F.array_join(F.transform(kept, lambda i: F.get(x, i.cast("int"))), "\n"))[0]
+    gone = _removed(documents, rule).toDF(gone_id, gone_doc, removed)
+    likely, others = parted(documents, text_key(F.col("text")), gone.select(gone_doc))
     on = (text_key(F.col("text")) == F.col(gone_doc)) & F.col("doc_id").cast("long").eqNullSafe(F.col(gone_id))
-    joined = documents.join(gone, on, "left")
+    joined = likely.join(gone, on, "left")
+    lines = F.split("text", "\n")
+    left = F.array_except(F.sequence(F.lit(0).cast("long"), (F.size(lines) - 1).cast("long")), F.col(removed))
+    cut = F.transform(F.array(lines), lambda x: F.array_join(F.transform(left, lambda i: F.get(x, i.cast("int"))), "\n"))[0]
     text = F.when(F.col(removed).isNull(), F.col("text")).otherwise(cut)
-    return joined.withColumn("text", text).select(*documents.columns)
+    return others.union(joined.withColumn("text", text).select(*documents.columns))

@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quotemill.llm.storage import stored
+from quotemill.llm.storage import kept, stored, working_tables
 
-# Fixed value: the fractional part of the golden ratio.
-GOLDEN = 0.6180339887498949
+# Fixed value: the fractional part of the golden ratio, in units of 2**-53.
+GOLDEN = 5_566_755_282_872_655
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -83,15 +83,25 @@ def source_targets(sizes: DataFrame, mix: Mixture) -> DataFrame:
     )
 
 
+def golden_point(slot: Column) -> Column:
+    """The fraction of ``slot`` times the golden ratio: exact 53-bit integers, so that far slots are as even as the first.
+
+    The product modulo 2**53 is made of parts that fit into 63 bits; for slots below 2**52.
+    """
+    a, b = F.shiftright(slot, 26), slot.bitwiseAND((1 << 26) - 1)
+    high, low = GOLDEN >> 27, GOLDEN & ((1 << 27) - 1)
+    product = b * low + F.shiftleft((b * high).bitwiseAND((1 << 26) - 1), 27) + F.shiftleft((a * low).bitwiseAND((1 << 27) - 1), 26)
+    return product.bitwiseAND((1 << 53) - 1) / F.lit(float(1 << 53))
+
+
 def schedule(targets: DataFrame, mix: Mixture) -> DataFrame:
     """Slots in order: (slot, place, pass_no, block). One row for each block that the mix takes."""
     spark = targets.sparkSession
     row = targets.agg(F.max("all_slots").alias("n")).first()
     n_slots = round(row["n"] or 0)
     tasks = max(1, min(n_slots // mix.chunk_slots + 1, 100_000))
-    point = F.col("slot") * F.lit(GOLDEN)
     slots = spark.range(0, n_slots, 1, tasks).select(F.col("id").alias("slot"))
-    slots = slots.withColumn("u", point - F.floor(point)).withColumn("cell", F.floor(F.col("u") * mix.cells))
+    slots = slots.withColumn("u", golden_point(F.col("slot"))).withColumn("cell", F.floor(F.col("u") * mix.cells))
     touched = F.sequence(
         F.floor(F.col("lo") * mix.cells), F.least(F.floor(F.col("hi") * mix.cells), F.lit(mix.cells - 1))
     )
@@ -132,22 +142,24 @@ def mix_sources(documents: DataFrame, mix: Mixture = Mixture()) -> DataFrame:
     takes none. Reruns agree: the shuffled order is a hash of the id, equal ids go by size. Blocks cut
     documents, so that ``taken`` counts words, and no document is taken more than ``most_passes`` times.
     """
-    docs = laid_out(documents, mix)
-    sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = stored(source_targets(sizes, mix), "mix-targets")
-    place = targets.select(F.col("source").alias("of"), "place", "source_size", "target", "n_blocks")
-    named = docs.join(place, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    within = W.partitionBy("place", "part").orderBy("key", "size").rowsBetween(W.unboundedPreceding, 0)
-    parts = named.groupBy("place", "part").agg(F.sum("size").alias("in_part"))
-    ahead = W.partitionBy("place").orderBy("part").rowsBetween(W.unboundedPreceding, 0)
-    parts = parts.select("place", "part", (F.sum("in_part").over(ahead) - F.col("in_part")).alias("ahead"))
-    spans = (
-        named.withColumn("start", F.sum("size").over(within) - F.col("size"))
-        .join(parts, ["place", "part"])
-        .withColumn("start", F.col("start") + F.col("ahead"))
-        .drop("part", "ahead", "key")
-    )
-    spans = stored(spans, "mix-spans")
+    with working_tables(documents.sparkSession):
+        docs = laid_out(documents, mix)
+        sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
+        targets = stored(source_targets(sizes, mix), "mix-targets")
+        place = targets.select(F.col("source").alias("of"), "place", "source_size", "target", "n_blocks")
+        named = docs.join(place, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+        within = W.partitionBy("place", "part").orderBy("key", "size").rowsBetween(W.unboundedPreceding, 0)
+        parts = named.groupBy("place", "part").agg(F.sum("size").alias("in_part"))
+        ahead = W.partitionBy("place").orderBy("part").rowsBetween(W.unboundedPreceding, 0)
+        parts = parts.select("place", "part", (F.sum("in_part").over(ahead) - F.col("in_part")).alias("ahead"))
+        spans = (
+            named.withColumn("start", F.sum("size").over(within) - F.col("size"))
+            .join(parts, ["place", "part"])
+            .withColumn("start", F.col("start") + F.col("ahead"))
+            .drop("part", "ahead", "key")
+        )
+        spans = kept(spans, "mix-spans")
+        taken = kept(schedule(targets, mix).groupBy("place", "block").agg(F.count("*").alias("times")), "mix-taken")
     base = ["doc_id", "source", "size", "source_size", "target", "place", "start"]
 
     # Block b of a source of n blocks holds the words from floor(b * size / n) to floor((b + 1) * size / n).
@@ -163,7 +175,6 @@ def mix_sources(documents: DataFrame, mix: Mixture = Mixture()) -> DataFrame:
     overlap = F.least(F.col("start") + F.col("size"), edge(F.col("block") + 1)) - F.greatest(
         F.col("start"), edge(F.col("block"))
     )
-    taken = schedule(targets, mix).groupBy("place", "block").agg(F.count("*").alias("times"))
     used = (
         pieces.join(taken, ["place", "block"], "left")
         .groupBy(*base)

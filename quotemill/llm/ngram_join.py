@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quotemill.llm.components import connected_components
-from quotemill.llm.folded import bloom_cells, bloom_size, folded, in_bloom
-from quotemill.llm.storage import stored
+from quotemill.llm.folded import bloom_of, folded
+from quotemill.llm.storage import kept, stored, working_tables
 from quotemill.llm.tokens import Words, as_bytes, groups_of, int64_list, mixed, multipliers, window_hashes
 
 
@@ -151,9 +151,7 @@ def _profiles(documents: DataFrame, join: JaccardJoin) -> DataFrame:
 
 def _sets(documents: DataFrame, wanted: DataFrame, join: JaccardJoin) -> DataFrame:
     """(node, n, tokens) of the nodes in ``wanted`` (node), read again from the texts."""
-    cells = bloom_size(wanted.count())
-    bits = folded(wanted, cells, lambda b: iter([bloom_cells(b["node"].to_numpy(zero_copy_only=False).view(np.uint64), cells)]))
-    shared = documents.sparkSession.sparkContext.broadcast(np.minimum(bits, 1).astype(np.uint8))
+    shared = documents.sparkSession.sparkContext.broadcast(bloom_of(wanted))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled, seen = shared.value, set()
@@ -161,7 +159,7 @@ def _sets(documents: DataFrame, wanted: DataFrame, join: JaccardJoin) -> DataFra
             for words in groups_of(as_bytes(batch["text"])):
                 sets = [s for s in shingle_sets(words, join.shingle_words) if len(s)]
                 nodes = np.array([node_of(s) for s in sets], dtype=np.int64)
-                keep = np.flatnonzero(in_bloom(nodes.view(np.uint64), filled)) if len(nodes) else []
+                keep = np.flatnonzero(filled.may_hold(nodes.view(np.uint64)))
                 new = []
                 for k in keep:
                     if int(nodes[k]) not in seen:
@@ -236,14 +234,8 @@ def _grouped(profiles: DataFrame, nodes: DataFrame, documents: DataFrame, join:
     return links, classes
 
 
-def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
-    """(doc_id, n_shingles, node, component_id) of every row: the classes of the Jaccard join.
-
-    Exact: two different sets are linked when 100 * intersection >= percent * union. Null and empty texts
-    have no shingles and are linked with nothing; equal texts and repeated rows are in one class; a class is
-    named by its smallest doc_id (null if it has none). Other columns are left out, an empty table gives an
-    empty result. Sets are compared by 64-bit shingle hashes.
-    """
+def _labelled(documents: DataFrame, join: JaccardJoin) -> DataFrame:
+    """(doc_id, n_shingles, node, class) of every row, ``class`` being the smallest node of its component."""
     profiles = stored(_profiles(documents, join), "jaccard-profiles")
     prefix = profiles.where("prefix is not null").select("node", "n_shingles", F.posexplode("prefix").alias("place", "token"))
     # What a set has from this shingle on bounds the overlap of two sets that meet in it first.
@@ -292,7 +284,20 @@ def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) ->
 
     classes = connected_components(first.union(second))
     labelled = profiles.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
-    labelled = stored(labelled.withColumn("class", F.coalesce("component", "node")).drop("component"), "jaccard-labelled")
+    labelled = kept(labelled.withColumn("class", F.coalesce("component", "node")).drop("component"), "jaccard-labelled")
+    return labelled
+
+
+def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
+    """(doc_id, n_shingles, node, component_id) of every row: the classes of the Jaccard join.
+
+    Exact: two different sets are linked when 100 * intersection >= percent * union. Null and empty texts
+    have no shingles and are linked with nothing; equal texts and repeated rows are in one class; a class is
+    named by its smallest doc_id (null if it has none). Other columns are left out, an empty table gives an
+    empty result. Sets are compared by 64-bit shingle hashes.
+    """
+    with working_tables(documents.sparkSession):
+        labelled = _labelled(documents, join)
     names = labelled.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
     return labelled.join(names, "class", "left").select(
         "doc_id", "n_shingles", "node", F.coalesce("component_id", F.when(F.col("node").isNull(), F.col("doc_id"))).alias("component_id")

@@ -43,7 +43,7 @@ edges as (
          case when place = max(place) filter (where slots > 0) over () then 2 else hi / every end as hi_u
   from spans where every > 0),
 points as (
-  select i, i * 0.6180339887498949 - floor(i * 0.6180339887498949) as u
+  select i, ((i::hugeint * 5566755282872655) % 9007199254740992)::double / 9007199254740992 as u
   from range(0, (select coalesce(max(round(every)), 0)::bigint from spans)) t(i)),
 ranked as (
   select place, n_blocks, row_number() over (partition by place order by i) - 1 as rank
@@ -88,18 +88,21 @@ left join (select a as doc_id, min(b) as component_id from reach group by a) c u
     "op6_line_dedup": f"""
 with split as (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
 lines as (
-  select doc_id, i - 1 as line, l[i] as content, len({_words("l[i]")}) as words
-  from (select doc_id, l, unnest(range(1, len(l) + 1)) as i from split)),
-blocks as (
-  select doc_id, line, n, string_agg(content, chr(10)) over w as block, sum(words) over w as words,
-         count(*) over w as found, min(words) over w as least
-  from lines cross join (values (1), (2), (4), (8), (16)) k(n)
-  window w as (partition by doc_id, n order by line rows between current row and n - 1 following)),
-whole as (select * from blocks where found = n and least > 0),
-firsts as (select *, min((doc_id, line)) over (partition by n, block) as first from whole),
+  select doc_id, i - 1 as line, row_number() over (partition by doc_id order by i) as pos, l[i] as content, len({_words("l[i]")}) as words
+  from (select doc_id, l, unnest(range(1, len(l) + 1)) as i from split) where len({_words("l[i]")}) > 0),
+-- All runs of all lengths of which every line is in two places; a line that is nowhere else ends them.
+shared as (
+  select * from lines where content in (select content from lines group by content having count(*) > 1)),
+islands as (select *, pos - row_number() over (partition by doc_id order by pos) as island from shared),
+runs as (
+  select a.doc_id, a.pos, b.pos as upto, string_agg(c.content, chr(10) order by c.pos) as block, sum(c.words) as words
+  from islands a join islands b on b.doc_id = a.doc_id and b.island = a.island and b.pos >= a.pos
+  join islands c on c.doc_id = a.doc_id and c.pos between a.pos and b.pos
+  group by a.doc_id, a.pos, b.pos having sum(c.words) >= 10),
+firsts as (select *, min((doc_id, pos)) over (partition by block) as first from runs),
+later as (select doc_id, pos, upto from firsts where (doc_id, pos) <> first),
 gone as (
-  select distinct doc_id, unnest(range(line, line + n)) as line from firsts
-  where words >= 10 and (doc_id, line) <> first),
+  select distinct l.doc_id, l.line from lines l join later r on r.doc_id = l.doc_id and l.pos between r.pos and r.upto),
 listed as (select doc_id, count(*) as n_removed, string_agg(line::varchar, ',' order by line) as removed from gone group by doc_id)
 select doc_id, len(l)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed, coalesce(removed, '') as removed
 from split left join listed using (doc_id)

@@ -1,9 +1,10 @@
 """Substring dedup by sliding sentence spans.
 
-Of every sentence of a text, the shortest runs of sentences with ``span_words`` words from it on and up to it are
-hashed. Hashes are joined over all texts; every occurrence of a span but the first covers sentences to remove.
+Of every sentence of a text, the shortest runs of ``least_sentences`` sentences or more with ``span_words`` words from
+it on and up to it are hashed. Hashes are joined over all texts; every occurrence of a span but the first covers
+sentences to remove.
 
-These spans cover every repeated run of sentences with ``span_words`` words, however long: each sentence of it is in
+These spans cover every repeated run of so many sentences and words, however long: each sentence of it is in
 the shortest span that ends at that sentence, or in the one that starts where the run starts. Both lie within the
 run and are repeated with it.
 """
@@ -21,32 +22,38 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.storage import fresh, stored
+from quotemill.llm.storage import fresh, kept, stored, working_tables
 from quotemill.llm.tokens import as_bytes
 
 
 @dataclass(frozen=True)
 class SentenceSpans:
-    #: A span is a shortest run of consecutive sentences with so many words.
+    #: A span is a shortest run of consecutive sentences with so many words,
     span_words: int = 24
+    #: and of so many sentences.
+    least_sentences: int = 2
 
 
-#: A sentence ends behind . ! or ? and white space, and at a line's end.
-_ENDS = re.compile(rb"(?<=[.!?])[ \t]+|\s*\n\s*")
+#: Within a line, a sentence ends behind . ! or ? and white space.
+_ENDS = re.compile(rb"(?<=[.!?])[ \t]+")
 
 
 def sentences_of(text: bytes) -> tuple[list[tuple[int, int]], list[bytes]]:
-    """Byte spans of the sentences of ``text``, and each as its words in lower case."""
-    spans, at = [], 0
-    for m in _ENDS.finditer(text):
-        if m.start() > at:
-            spans.append((at, m.start()))
-        at = m.end()
-    if at < len(text):
-        spans.append((at, len(text)))
-    out = [(s, b" ".join(text[s[0] : s[1]].lower().split())) for s in spans]
-    out = [x for x in out if x[1]]
-    return [x[0] for x in out], [x[1] for x in out]
+    """Byte spans of the sentences of ``text``, and each as its words in lower case; no sentence goes over a line's end."""
+    spans, parts, at = [], [], 0
+    for line in text.split(b"\n"):
+        ends = [*(m.span() for m in _ENDS.finditer(line)), (len(line), len(line))]
+        start = 0
+        for end, following in ends:
+            words = line[start:end].split()
+            if words:
+                own = line[start:end]
+                first = at + start + len(own) - len(own.lstrip())
+                spans.append((first, first + len(own.strip())))
+                parts.append(b" ".join(words).lower())
+            start = following
+        at += len(line) + 1
+    return spans, parts
 
 
 def span_runs(words: list[int], rule: SentenceSpans) -> list[tuple[int, int]]:
@@ -59,12 +66,10 @@ def _slid(words: list[int], rule: SentenceSpans) -> list[tuple[int, int]]:
     """The shortest spans from each sentence on: a window that slides on by one sentence."""
     out, end, total = [], 0, 0
     for start in range(len(words)):
-        if end < start:
-            end, total = start, 0
-        while end < len(words) and total < rule.span_words:
+        while end < len(words) and (total < rule.span_words or end - start < rule.least_sentences):
             total += words[end]
             end += 1
-        if total < rule.span_words:
+        if total < rule.span_words or end - start < rule.least_sentences:
             break
         out.append((start, end))
         total -= words[start]
@@ -108,7 +113,8 @@ def later_spans(documents: DataFrame, rule: SentenceSpans = SentenceSpans()) ->
     """(doc_id, doc, first, behind, kept_doc_id): every span that is not the first of its kind.
 
     First is by doc_id (null last), text hash and place. The earliest occurrence of each repeated span comes
-    from a grouped minimum, combined on the map side; no group of equal spans is gathered.
+    from a grouped minimum, combined on the map side; no group of equal spans is gathered. Null and empty texts have
+    no spans, rows that repeat id and text have the same ones; an empty table gives an empty result.
     """
     spans = stored(_spans(documents, rule), "spans")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "first")
@@ -122,15 +128,18 @@ def removed_sentences(documents: DataFrame, rule: SentenceSpans = SentenceSpans(
     """(doc_id, doc, removed, kept_ids) of every text that loses sentences.
 
     ``removed``: the numbers of its sentences, from 0, that a non-first span covers; ``kept_ids``: the documents
-    that keep them. A text's own spans are at most twice as many as its sentences, which bounds a row.
+    that keep them. A text's own spans are at most twice as many as its sentences, which bounds a row. Nulls, repeated
+    rows and empty tables as in ``later_spans``.
     """
-    spans = later_spans(documents, rule).groupBy("doc_id", "doc").agg(
-        F.collect_set(F.struct("first", "behind")).alias("covers"), F.collect_set("kept_doc_id").alias("kept_ids")
-    )
-    numbers = F.flatten(F.transform("covers", lambda c: F.sequence(c["first"], c["behind"] - 1)))
-    return spans.select(
-        "doc_id", "doc", F.array_sort(F.array_distinct(numbers)).alias("removed"), F.array_sort("kept_ids").alias("kept_ids")
-    )
+    with working_tables(documents.sparkSession):
+        spans = later_spans(documents, rule).groupBy("doc_id", "doc").agg(
+            F.collect_set(F.struct("first", "behind")).alias("covers"), F.collect_set("kept_doc_id").alias("kept_ids")
+        )
+        numbers = F.flatten(F.transform("covers", lambda c: F.sequence(c["first"], c["behind"] - 1)))
+        removed = spans.select(
+            "doc_id", "doc", F.array_sort(F.array_distinct(numbers)).alias("removed"), F.array_sort("kept_ids").alias("kept_ids")
+        )
+        return kept(removed, "span-removed")
 
 
 def remove_repeated_spans(documents: DataFrame, rule: SentenceSpans = SentenceSpans()) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotemill.sources.scratch import shared_folder, stored
+from quotemill.sources.scratch import kept, shared_folder, stored, working_tables
 
-__all__ = ["fresh", "read_table", "shared_folder", "stored"]
+__all__ = ["fresh", "kept", "read_table", "shared_folder", "stored", "working_tables"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
