@@ -1,27 +1,27 @@
 """URL filters: host and path rules, then a classifier over segmented host and path words.
 
 Host labels such as ``freecasinobets`` are split into words by Viterbi over a unigram model, and multinomial
-naive Bayes scores the words of host and path. Both models are counted over all URLs of the table. URLs whose
-host has a seed word between its dots and hyphens are the class ``block``, all others the class ``allow``.
+naive Bayes scores the words of host and path. Both models are counted over all URLs of the table and stay tables:
+whatever needs a word's figures is joined with them, so that no vocabulary is cut off. Pages have no labels: hosts with
+a seed word between their dots and hyphens are the class ``block``, all others the class ``allow``. Hosts are counted
+once each, and so is a path's set of words for each host, so that a host with most pages doesn't drown the others.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.storage import stored
+from quotemill.llm.storage import kept, stored, working_tables
 
 # Words of hosts that nobody wants in a corpus; the seeds of the class block.
 SEEDS = (
-    "adult", "bet", "bets", "betting", "casino", "escort", "free-bets", "jackpot", "payday", "phish", "pills",
+    "adult", "bet", "bets", "betting", "casino", "escort", "jackpot", "payday", "phish", "pills",
     "poker", "porn", "sex", "slots", "spam", "viagra", "warez", "win", "xxx",
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,12 +50,15 @@ RULES = (
 
 @dataclass(frozen=True)
 class UrlModel:
-    #: Words of the unigram model: the most frequent ones. The model's size is bounded by this.
-    vocabulary: int = 50_000
+    #: Letters of the longest word of the unigram model; longer pieces than ``max_piece`` (no host label is) are one word.
     max_word: int = 20
-    smoothing: float = 1.0
+    max_piece: int = 63
+    #: Occurrences that are added to each word's count in each class.
+    smoothing: float = 0.1
     #: A page is blocked if the log odds of block are above this.
     threshold: float = 0.0
+    #: Parts that the rows of one key are dealt to where a table is joined to them.
+    salts: int = 8
 
 
 def host_of(url: Column) -> Column:
@@ -80,13 +83,16 @@ def matched_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) ->
     return out
 
 
-def _pieces(part: str) -> list[str]:
-    """Letters between anything else, in lower case; digits carry no word."""
-    return [x for x in re.split(r"[^a-z\u0080-\U0010ffff]+", part.lower()) if x]
+#: What separates words: anything but letters; digits carry no word.
+_BETWEEN = r"[^a-z\x{80}-\x{10ffff}]+"
+
+
+def pieces_of(part: Column) -> Column:
+    return F.array_remove(F.split(F.lower(part), _BETWEEN), "")
 
 
 def segment(word: str, log_p: dict[str, float], unknown: float, max_word: int) -> list[str]:
-    """The likeliest split of ``word``: Viterbi over unigrams; an unknown piece costs ``unknown`` a letter."""
+    """The likeliest split of ``word``: Viterbi over unigrams; an unknown piece costs ``unknown`` a letter and once more."""
     best, back = [0.0] + [-math.inf] * len(word), [0] * (len(word) + 1)
     for end in range(1, len(word) + 1):
         for start in range(max(0, end - max_word), end):
@@ -101,81 +107,118 @@ def segment(word: str, log_p: dict[str, float], unknown: float, max_word: int) -
     return out[::-1]
 
 
-def _host_words(host: str, log_p: dict[str, float], unknown: float, max_word: int) -> list[str]:
-    return [w for piece in _pieces(host) for w in segment(piece, log_p, unknown, max_word)]
+def seeded(host: Column) -> Column:
+    return F.exists(F.split(host, r"[.\-]"), lambda p: p.isin(*SEEDS))
 
 
-def seeded(host: Column) -> Column:
-    parts = F.split(host, r"[.\-]")
-    return F.exists(parts, lambda p: p.isin([s for s in SEEDS if "-" not in s]))
+def spread_join(rows: DataFrame, table: DataFrame, on: str, salts: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, which has a row for each ``on``: a key with most rows is dealt to ``salts`` parts."""
+    salted = rows.withColumn("salt_", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    copies = table.withColumn("salt_", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return salted.join(copies, [on, "salt_"], how).drop("salt_")
 
 
-def unigrams(pages: DataFrame, model: UrlModel) -> tuple[dict[str, float], float]:
-    """Log shares of the words between separators in all hosts, and the cost of an unknown letter.
+def unigrams(hosts: DataFrame, model: UrlModel) -> DataFrame:
+    """(word, n) of the words between separators in distinct hosts.
 
-    Counted once for each distinct host, so that a hot host doesn't drown the others. A label without hyphens may be
-    words run together: it counts as a word only if two hosts have it. At most ``vocabulary`` words come to the
-    driver. The seeds are in the model even where no host shows them.
+    A label without hyphens may be words run together: it counts as a word only if two hosts have it. The seeds are in
+    the model even where no host shows them.
     """
-    labels = pages.select("host").distinct().select(F.explode(F.split("host", r"\.")).alias("label"))
-    pieces = F.array_remove(F.split("label", r"[^a-z\x{80}-\x{10ffff}]+"), "")
-    words = labels.select(pieces.alias("w")).select((F.size("w") > 1).alias("parted"), F.explode("w").alias("word"))
+    labels = hosts.select(F.explode(F.split("host", r"\.")).alias("label"))
+    words = labels.select(pieces_of(F.col("label")).alias("w")).select((F.size("w") > 1).alias("parted"), F.explode("w").alias("word"))
     counts = words.where(F.length("word").between(2, model.max_word)).groupBy("word").agg(F.count("*").alias("n"), F.max("parted").alias("parted"))
-    counts = counts.where("parted or n > 1").orderBy(F.desc("n"), "word").limit(model.vocabulary)
-    n = {s: 1 for s in SEEDS if "-" not in s}
-    for row in counts.collect():
-        n[row["word"]] = n.get(row["word"], 0) + row["n"]
-    total = sum(n.values())
-    return {w: math.log(c / total) for w, c in n.items()}, -math.log(total * 26.0)
+    counts = counts.where("parted or n > 1").select("word", "n")
+    seeds = hosts.sparkSession.createDataFrame([(w, 1) for w in SEEDS], "word string, n long")
+    return counts.union(seeds).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, model: UrlModel = UrlModel()) -> DataFrame:
-    """Verdict of every page: page_id, host, path, rule, verdict, score (log odds of block), words.
+def segmented(pieces: DataFrame, counts: DataFrame, model: UrlModel) -> DataFrame:
+    """(piece, words) of distinct pieces: each is split by Viterbi over those of its substrings that the model has.
 
-    A null url or one without ``://`` has an empty host and path, no words, and is allowed by the prior.
-    Repeated rows are judged alike, other columns are left out, an empty table gives an empty result.
+    Substrings are rows that meet the counts in a join; what comes back to a piece is bounded by its length.
     """
-    urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    urls = stored(urls.withColumn("host", F.coalesce("host", F.lit(""))).withColumn("path", F.coalesce("path", F.lit(""))), "urls")
-    log_p, unknown = unigrams(urls, model)
-    shared = urls.sparkSession.sparkContext.broadcast((log_p, unknown, model.max_word))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("total"))
+    p = counts.crossJoin(F.broadcast(total)).select("word", F.log(F.col("n") / F.col("total")).alias("p"))
+    short = pieces.where(F.length("piece") <= model.max_piece)
+    ends = F.transform(F.sequence(F.lit(1), F.length("piece")), lambda at: F.transform(F.sequence(F.lit(1), F.least(F.length("piece") - at + 1, F.lit(model.max_word))), lambda n: F.substring(F.col("piece"), at, n)))
+    parts = short.select("piece", F.explode(F.array_distinct(F.flatten(ends))).alias("word"))
+    found = spread_join(parts, p, "word", model.salts).groupBy("piece").agg(F.map_from_entries(F.collect_list(F.struct("word", "p"))).alias("p"))
+    known = pieces.join(found, "piece", "left").crossJoin(F.broadcast(total))
 
     @F.pandas_udf("array<string>")
-    def words_udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        p, cost, longest = shared.value
-        of = lru_cache(100_000)(lambda host: tuple(f"h:{w}" for w in _host_words(host, p, cost, longest)))
-        for hosts, paths in batches:
-            yield pd.Series([[*of(h), *(f"p:{w}" for w in _pieces(x))] for h, x in zip(hosts, paths, strict=True)])
-
-    worded = stored(urls.withColumn("words", words_udf("host", "path")).withColumn("seeded", seeded(F.col("host"))), "url-words")
-    blocked, n = F.col("seeded").cast("long"), F.size("words").cast("long")
-    totals = worded.agg(
-        F.count("*").alias("pages"), F.sum(blocked).alias("pages_b"), F.sum(n).alias("words"), F.sum(n * blocked).alias("words_b")
-    ).first()
-    # The class counts of each word; a word's log odds follow from them and from the totals.
-    counts = worded.select(F.explode("words").alias("word"), blocked.alias("b")).groupBy("word").agg(
-        F.count("*").alias("n"), F.sum("b").alias("n_b")
+    def split(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for words, figures, totals in batches:
+            yield pd.Series(
+                [
+                    segment(w, dict(f), -math.log(n * 26.0), model.max_word) if f is not None else [w]
+                    for w, f, n in zip(words, figures, totals, strict=True)
+                ]
+            )
+
+    return known.select("piece", split("piece", "p", "total").alias("words"))
+
+
+def word_odds(words: DataFrame, smoothing: float) -> DataFrame:
+    """(word, odds) from (word, blocked): log of the smoothed share among blocked words over that among allowed ones.
+
+    The shares are smoothed by the distinct words that were counted.
+    """
+    counts = words.groupBy("word").agg(F.sum(F.col("blocked").cast("long")).alias("b"), F.count("*").alias("n"))
+    counts = stored(counts, "url-counts")
+    total = counts.agg(F.sum("b").alias("b_all"), F.sum("n").alias("n_all"), F.count("*").alias("size"))
+    share = lambda k, of: (k + smoothing) / (of + smoothing * F.col("size"))
+    odds = F.log(share(F.col("b"), F.col("b_all"))) - F.log(share(F.col("n") - F.col("b"), F.col("n_all") - F.col("b_all")))
+    return counts.crossJoin(F.broadcast(total)).select("word", odds.alias("odds"))
+
+
+def _scored(pairs: DataFrame, model: UrlModel) -> DataFrame:
+    """(pair, score, words) of (pair, host, path_words): the log odds of block."""
+    hosts = stored(pairs.select("host").distinct().withColumn("blocked", seeded(F.col("host"))), "url-hosts")
+    placed = hosts.select("host", "blocked", F.posexplode(pieces_of(F.col("host"))).alias("place", "piece"))
+    pieces = stored(placed.select("piece").distinct(), "url-pieces")
+    split = stored(segmented(pieces, stored(unigrams(hosts, model), "url-unigrams"), model), "url-split")
+    host_words = spread_join(placed, split, "piece", model.salts).select("host", "blocked", "place", "words")
+    host_words = stored(host_words, "url-host-words")
+    path_words = pairs.select("pair", seeded(F.col("host")).alias("blocked"), F.posexplode("path_words").alias("place", "w"))
+    path_words = path_words.select("pair", "blocked", "place", F.concat(F.lit("p:"), "w").alias("word"))
+    of_host = host_words.select("host", "blocked", "place", F.posexplode("words").alias("within", "w"))
+    of_host = of_host.select("host", "blocked", "place", "within", F.concat(F.lit("h:"), "w").alias("word"))
+    odds = stored(word_odds(of_host.select("word", "blocked").union(path_words.select("word", "blocked")), model.smoothing), "url-odds")
+
+    def summed(words: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
+        listed = F.array_sort(F.collect_list(F.struct(*order, "word")))["word"]
+        return spread_join(words, odds, "word", model.salts).groupBy(key).agg(F.sum("odds").alias(name), listed.alias(f"{name}_words"))
+
+    by_host = stored(summed(of_host, "host", ["place", "within"], "host_odds"), "url-host-odds")
+    by_path = summed(path_words, "pair", ["place"], "path_odds")
+    both = spread_join(pairs.select("pair", "host"), by_host, "host", model.salts, "left").join(by_path, "pair", "left")
+    # A host is a seeded one or not: the prior counts hosts.
+    hosts_of = hosts.agg(F.count_if("blocked").alias("b"), F.count("*").alias("n"))
+    prior = F.log((F.col("b") + model.smoothing) / (F.col("n") - F.col("b") + model.smoothing))
+    both = both.crossJoin(F.broadcast(hosts_of.select(prior.alias("prior"))))
+    none = F.array().cast("array<string>")
+    return both.select(
+        "pair",
+        F.round(F.col("prior") + F.coalesce("host_odds", F.lit(0.0)) + F.coalesce("path_odds", F.lit(0.0)), 9).alias("score"),
+        F.concat_ws(" ", F.coalesce("host_odds_words", none), F.coalesce("path_odds_words", none)).alias("words"),
     )
-    counts = counts.orderBy(F.desc("n"), "word").limit(model.vocabulary)
-    a, size = model.smoothing, float(model.vocabulary)
-    words_b, words_a = totals["words_b"] or 0, (totals["words"] or 0) - (totals["words_b"] or 0)
-    odds = {
-        r["word"]: math.log((r["n_b"] + a) / (words_b + a * size)) - math.log((r["n"] - r["n_b"] + a) / (words_a + a * size))
-        for r in counts.collect()
-    }
-    pages_b, pages_a = totals["pages_b"] or 0, (totals["pages"] or 0) - (totals["pages_b"] or 0)
-    prior = math.log((pages_b + a) / (pages_a + a))
-    weights = urls.sparkSession.sparkContext.broadcast(odds)
-
-    @F.pandas_udf("double")
-    def score_udf(words: pd.Series) -> pd.Series:
-        w = weights.value
-        return pd.Series([prior + sum(w.get(x, 0.0) for x in row) for row in words], dtype="float64")
-
-    rule = matched_rule(F.col("host"), F.col("path"), rules)
-    judged = worded.withColumn("score", score_udf("words")).withColumn("fit", rule)
+
+
+def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, model: UrlModel = UrlModel()) -> DataFrame:
+    """Verdict of every page: page_id, host, path, rule, verdict, score (log odds of block), words.
+
+    A null url or one without ``://`` has an empty host and path, no words, and the prior as its score; a table without
+    seeded hosts blocks nothing but by rules. Repeated rows and ties are judged alike, a null page_id is kept, very long
+    urls are read whole, other columns are left out, an empty table gives an empty result.
+    """
+    path_words = F.array_distinct(pieces_of(F.col("path")))
+    urls = pages.select("page_id", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), F.coalesce(path_of(F.col("url")), F.lit("")).alias("path"))
+    urls = urls.withColumn("path_words", path_words).withColumn("pair", F.xxhash64("host", "path_words"))
+    with working_tables(pages.sparkSession):
+        pairs = urls.groupBy("pair").agg(F.min("host").alias("host"), F.min("path_words").alias("path_words"))
+        scores = kept(_scored(stored(pairs, "url-pairs"), model), "url-scores")
+    judged = spread_join(urls.drop("path_words"), scores, "pair", model.salts).withColumn("fit", matched_rule(F.col("host"), F.col("path"), rules))
     by_model = F.when(F.col("score") > model.threshold, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(
-        "page_id", "host", "path", F.col("fit.name").alias("rule"),
-        F.coalesce(F.col("fit.verdict"), by_model).alias("verdict"), "score", F.concat_ws(" ", "words").alias("words"),
-    )
+        "page_id", "host", "path", F.col("fit.name").alias("rule"), F.coalesce(F.col("fit.verdict"), by_model).alias("verdict"), "score", "words"
+    )

@@ -220,6 +220,37 @@ def test_op3_base_counts(docs, texts):
         assert r.base_failed == (len(words) < 50 or 100 * len(covered) > 50 * len(words)) and not (r.base_failed and r.kept)
 
 
+def test_op3_distances_equal_plain_ones(spark):
+    """Both Jensen-Shannon distances by counting in Python, with numpy's logarithms."""
+    from collections import Counter
+
+    import numpy as np
+
+    from quotemill.llm.quality_rules import QualityRules
+
+    rules = QualityRules()
+    rows = [(1, "en", "The cat and the dog, the END. 123 & more $$"), (2, "en", "a cat\nand THE dog the the"), (3, None, "Äpfel und Öl und"), (4, "", "und x"), (5, "en", None), (6, "xx", "")]
+    kinds = [str.isupper, str.isdigit, lambda c: c in " \t\n\v\f\r", lambda c: c in ".,;:!?'\"()-", lambda c: c in "#*$%&|<>"]
+
+    def classes(text):
+        c = [sum(f(x) and x.isascii() for x in text) for f in kinds] + [len(text.encode()) - len(text)]
+        return np.array([*c, max(0, len(text) - sum(c))], dtype=float)
+
+    def distance(a, b):
+        p, q = (x / x.sum() if x.sum() else x for x in (a, b))
+        term = lambda x, y: np.sum([u * np.log2(u / v) for u, v in zip(x, y, strict=True) if u > 0 and v > 0])
+        return max(0.0, (term(p, (p + q) / 2) + term(q, (p + q) / 2)) / 2) ** 0.5
+
+    got = {r.doc_id: r for r in apply_quality_rules(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    for doc_id, lang, text in rows:
+        own = [t or "" for _, g, t in rows if (g or "") == (lang or "")]
+        n = Counter(w for t in own for w in SPACE.findall(t.lower()))
+        top = sorted((w for w in n if len(w) <= rules.common_word_chars), key=lambda w: (-n[w], w))[: rules.common_words]
+        hist = lambda c: np.array([*(c[w] for w in top), sum(c.values()) - sum(c[w] for w in top)], dtype=float)  # noqa: B023, E731
+        assert abs(got[doc_id].class_distance - distance(classes(text or ""), sum(map(classes, own)))) < 1e-9
+        assert abs(got[doc_id].word_distance - distance(hist(Counter(SPACE.findall((text or "").lower()))), hist(n))) < 1e-9
+
+
 def test_op3_keeps_good_and_drops_bad(spark):
     kept = q.op3_quality_rules(spark, SF).join(labels(spark), "doc_id").where("not base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("rate"))
     rate = {r.quality: r.rate for r in kept.collect()}
@@ -368,13 +399,70 @@ def test_op9_rules(spark):
     assert judge_urls(pages.limit(0)).count() == 0
 
 
-def test_op9_segments_and_model(spark):
-    p = {"free": -2.0, "casino": -3.0, "bets": -3.0}
-    assert segment("freecasinobets", p, -9.0, 20) == ["free", "casino", "bets"] and segment("", p, -9.0, 20) == []
-    urls = [f"https://{h}.org/fr/1" for h in ["casino-win", "free-bets"] * 6 + ["news", "garden", "cooking"] * 10 + ["freecasinobets"]]
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    got = {r.host: r.verdict for r in judge_urls(pages).collect()}
-    assert got["freecasinobets.org"] == "block" and got["garden.org"] == "allow"
+def test_op9_segments_equal_all_splits():
+    from itertools import product
+    from random import Random
+
+    r = Random(9)
+    for _ in range(60):
+        p = {"".join(r.choice("ab") for _ in range(r.randrange(1, 5))): -r.random() * 9 - 0.1 for _ in range(6)}
+        word, cost = "".join(r.choice("ab") for _ in range(r.randrange(0, 9))), -4.0
+        score = lambda parts: sum(p.get(x, cost * (len(x) + 1)) for x in parts)  # noqa: B023, E731
+        splits = []
+        for cuts in product((0, 1), repeat=max(0, len(word) - 1)):
+            at = [0, *(k + 1 for k, c in enumerate(cuts) if c), len(word)]
+            splits.append([word[a:b] for a, b in zip(at, at[1:], strict=False)] if word else [])
+        assert abs(score(segment(word, p, cost, 20)) - max(map(score, splits))) < 1e-9
+
+
+def test_op9_scores_equal_plain_counting(spark):
+    """Naive Bayes by counting in dictionaries, over the words that the operator itself found."""
+    from collections import Counter
+    from math import log
+
+    from quotemill.llm.url_filter import SEEDS, UrlModel
+
+    a = UrlModel().smoothing
+    sf = SF.replace("0.001", "0.01")
+    rows = judge_urls(spark.read.parquet(f"{sf}/pages.parquet")).toPandas()
+    bad = lambda host: bool(set(re.split(r"[.-]", host)) & set(SEEDS))
+    counts = {True: Counter(), False: Counter()}
+    hosts, paths = {}, set()
+    for x in rows.itertuples():
+        words = x.words.split()
+        hosts[x.host] = [w for w in words if w.startswith("h:")]
+        paths.add((x.host, tuple(w for w in words if w.startswith("p:"))))
+    for host, words in hosts.items():
+        counts[bad(host)].update(words)
+    for host, words in paths:
+        counts[bad(host)].update(words)
+    n_bad, size = sum(map(bad, hosts)), len(counts[True] | counts[False])
+    total = {k: sum(c.values()) for k, c in counts.items()}
+    share = lambda w, k: (counts[k][w] + a) / (total[k] + a * size)
+    for x in rows.itertuples():
+        want = log((n_bad + a) / (len(hosts) - n_bad + a)) + sum(log(share(w, True) / share(w, False)) for w in x.words.split())
+        assert abs(want - x.score) < 1e-6
+
+
+def test_op9_blocks_bad_hosts_and_no_others(spark):
+    rows = q.op9_url_filters(spark, SF.replace("0.001", "0.1")).where("rule is null").toPandas()
+    bad = rows["host"].str.contains("casino-win|free-bets|cheap-pills|spam-farm|adult-x")
+    assert bad.sum() > 20 and (rows[bad]["verdict"] == "block").all() and (rows[~bad]["verdict"] == "allow").all()
+
+
+def test_op9_run_together_hosts_and_odd_rows(spark):
+    names = ["free-bets", "casino-win", "cheap-pills", "spam-farm"] * 3 + ["news", "garden", "cooking", "weather-maps", "town-hall"] * 6
+    path = "fr/" + "very-long/" * 2000
+    urls = [f"https://{'abcdefghijkl'[i % 12]}.{h}.example.org/{path}" for i, h in enumerate(names)]
+    new = ["freecasinobets", "cheapcasinopills", "spamcasinowin", "gardennews", "cookingmaps", "x" * 200]
+    urls += [f"https://www.{h}.example.org/{path}" for h in new] + [None, "", "no scheme", None]
+    pages = spark.createDataFrame([(None if u is None else i, u, 1.0) for i, u in enumerate(urls)], "page_id long, url string, score double")
+    got = judge_urls(pages).collect()
+    assert len(got) == len(urls)
+    verdict = {r.host.removeprefix("www.").removesuffix(".example.org"): r.verdict for r in got}
+    assert [verdict[h] for h in new] == ["block"] * 3 + ["allow"] * 3 and verdict[""] == "allow"
+    words = {r.host: r.words.split() for r in got}
+    assert words["www.freecasinobets.example.org"][1:4] == ["h:free", "h:casino", "h:bets"]
 
 
 def test_op10_held_out(spark):
