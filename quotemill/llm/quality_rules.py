@@ -8,6 +8,7 @@ distance. Documents shorter than ``min_words`` are left to the count rules.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +20,9 @@ from quotemill.llm.storage import stored
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
-# Character classes of the histogram, besides the symbols, bytes beyond one a character, and the rest.
-CLASSES = {"upper": "A-Z", "digit": "0-9", "space": r"\x20\x09-\x0D", "stop": r".,;:!?'\"()\-", "symbol": SYMBOLS}
-N_CLASSES = len(CLASSES) + 2
+# Character classes of the histogram, besides the symbols, bytes beyond one a character, the rest.
+CLASSES = {"upper": "A-Z", "digit": "0-9", "space": r"\x20\x09-\x0D", "stop": r".,;:!?'\"()\-"}
+N_CLASSES = 7
 
 
 @dataclass(frozen=True)
@@ -79,15 +80,23 @@ def repeated_lines(text: Column) -> Column:
     return bind(with_words, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
-def class_counts(text: Column) -> Column:
-    """Characters in each class, bytes beyond one a character (accents, other scripts), all other characters."""
-    counts = [F.length(F.regexp_replace(text, f"[^{chars}]+", "")) for chars in CLASSES.values()]
-    wide = F.octet_length(text) - F.length(text)
+def with_class_counts(texts: DataFrame) -> DataFrame:
+    """``texts`` with word_chars, n_symbols and ``classes``: characters in each class, bytes beyond one a character
+    (accents, other scripts), all other characters.
 
-    def with_rest(c: Column) -> Column:
-        return F.concat(c, F.array(F.greatest(F.length(text) - F.aggregate(c, F.lit(0), lambda a, x: a + x), F.lit(0))))
-
-    return F.transform(bind(F.array(*counts, wide), with_rest), lambda x: x.cast("double"))
+    Counts are columns before they are an array, so that each is made once. Matches are counted, not replaced: the
+    code that is generated for replacing five times in a row is too long to be compiled further by the JVM.
+    """
+    count = lambda chars: F.regexp_count("text", F.lit(f"[{chars}]"))
+    own = {f"{k}_": count(chars) for k, chars in CLASSES.items()}
+    counted = texts.withColumns(
+        {"n_symbols": count(SYMBOLS), "chars_": F.length("text"), "wide_": F.octet_length("text") - F.length("text"), **own}
+    )
+    counted = counted.withColumn("word_chars", F.col("chars_") - F.col("space_"))
+    known = [F.col("upper_"), F.col("digit_"), F.col("space_"), F.col("stop_"), F.col("n_symbols"), F.col("wide_")]
+    rest = F.greatest(F.col("chars_") - reduce(lambda a, c: a + c, known), F.lit(0))
+    classes = F.array(*[c.cast("double") for c in (*known, rest)])
+    return counted.withColumn("classes", classes).drop("chars_", "wide_", *own)
 
 
 def shares(counts: Column) -> Column:
@@ -117,7 +126,7 @@ def language_references(documents: DataFrame, rules: QualityRules) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     docs = documents.select(F.coalesce("lang", F.lit("")).alias("ref_lang"), text.alias("text"))
-    classes = docs.select("ref_lang", class_counts(F.col("text")).alias("c"))
+    classes = with_class_counts(docs).select("ref_lang", F.col("classes").alias("c"))
     classes = classes.groupBy("ref_lang").agg(F.array(*[F.sum(F.col("c")[i]) for i in range(N_CLASSES)]).alias("c"))
     words = docs.select("ref_lang", F.explode(words_of(F.lower("text"))).alias("word"))
     short = F.length("word") <= rules.common_word_chars
@@ -147,38 +156,39 @@ def language_references(documents: DataFrame, rules: QualityRules) -> DataFrame:
 def apply_quality_rules(documents: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """Rule counts, distances and verdict of every document; one row per input row.
 
-    Null text counts as a text without words, and fails ``min_words``. A null language is a language of its
-    own. Ties and repeated rows are judged alike, other columns are left out, an empty table gives an empty
+    Null text counts as a text without words, and fails ``min_words``. A null language and an empty one are one
+    language, and so are all rows of a language nobody else has. Ties and repeated rows are judged alike, other columns are left out, an empty table gives an empty
     result. Whole texts are judged.
     """
     refs = stored(language_references(documents, rules), "quality-refs")
     text = F.coalesce("text", F.lit(""))
     docs = documents.select("doc_id", F.coalesce("lang", F.lit("")).alias("ref_lang"), text.alias("text"))
-    words = docs.withColumn("words", words_of(F.col("text")))
+    words = with_class_counts(docs).withColumn("words", words_of(F.col("text")))
     counted = words.select(
         "doc_id",
         "ref_lang",
         "text",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", SPACES, "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace("text", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
+        F.col("word_chars").cast("long").alias("word_chars"),
+        F.col("n_symbols").cast("long").alias("n_symbols"),
+        "classes",
         repeated_lines(F.col("text")).alias("n_dup_lines"),
         repeated_window_words(F.col("words")).alias("n_repeat_words"),
     )
     n = F.col("n_words")
     failed = (n < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * n)
     joined = counted.withColumn("base_failed", failed).join(refs, "ref_lang", "left")
-    lowered = F.transform(words_of(F.lower("text")), lambda w: F.xxhash64(w))
-    listed = F.transform("ref_words", lambda w: F.xxhash64(w))
+    # Most words are none of the listed ones: they go first, and only the others are counted word by word.
+    common = F.filter(words_of(F.lower("text")), lambda w: F.array_contains("ref_words", w))
     hits = bind(
-        lowered,
-        lambda w: F.transform(listed, lambda c: (F.size(w) - F.size(F.array_remove(w, c))).cast("double")),
+        common,
+        lambda w: F.transform("ref_words", lambda c: (F.size(w) - F.size(F.array_remove(w, c))).cast("double")),
     )
     rest = bind(hits, lambda h: F.concat(h, F.array(n.cast("double") - F.aggregate(h, F.lit(0.0), lambda a, x: a + x))))
     allowance = F.lit(rules.noise) / F.sqrt(F.greatest(n, F.lit(1)).cast("double"))
     scored = joined.withColumns(
         {
-            "class_distance": jensen_shannon(shares(class_counts(F.col("text"))), F.col("ref_class_shares")),
+            "class_distance": jensen_shannon(shares(F.col("classes")), F.col("ref_class_shares")),
             "word_distance": jensen_shannon(shares(rest), F.col("ref_word_shares")),
         }
     )
