@@ -37,7 +37,21 @@ TEMPLATES = (
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
     ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("mit", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("boost", "Distributed under the Boost Software License, Version 1.0."),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("cc-by", "Licensed under CC BY 4.0."),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
@@ -62,6 +76,8 @@ class LicenceScan:
     #: A template's label needs so many covered words, and so much of the template.
     min_covered: int = 5
     min_share: float = 0.6
+    #: Of the labels whose spans share words, those that cover at least so much of the most that one covers stay.
+    rival_share: float = 0.95
 
 
 @dataclass
@@ -131,19 +147,20 @@ def maximal_runs(automaton: SuffixAutomaton, words: list[int], least: int) -> li
 def chained(runs: list[tuple[int, int, int]], max_gap: int) -> tuple[int, int, int]:
     """The best chain of (text start, template start, length): covered words, first and last text word.
 
-    Runs are in text order. A chain goes forward in text and template and leaves no gap over ``max_gap``.
+    Runs are in text order. A chain goes forward in text and template and leaves no gap over ``max_gap``. Every run
+    that may come before is tried: none that starts so early that even the longest run would end too far off.
     """
     best: list[tuple[int, int]] = []
-    top = (0, -1, -1)
+    top, longest = (0, -1, -1), max((n for _, _, n in runs), default=0)
     for i, (at, of, n) in enumerate(runs):
         score, first = n, at
-        for j in range(i - 1, max(-1, i - 50), -1):
+        for j in range(i - 1, -1, -1):
             p_at, p_of, p_n = runs[j]
-            gap = at - (p_at + p_n)
-            if gap > max_gap:
+            if p_at + longest + max_gap < at:
                 break
-            over = max(0, -gap, p_of + p_n - of)
-            if at > p_at and of > p_of and over < n and of - (p_of + p_n) <= max_gap and best[j][0] + n - over > score:
+            over = max(0, p_at + p_n - at, p_of + p_n - of)
+            near = at - (p_at + p_n) <= max_gap and of - (p_of + p_n) <= max_gap
+            if near and at > p_at and of > p_of and over < n and best[j][0] + n - over > score:
                 score, first = best[j][0] + n - over, best[j][1]
         best.append((score, first))
         if score > top[0]:
@@ -211,6 +228,16 @@ class Scanner:
                 self._place(seq, a + start, length, runs)
         return {k: chained(sorted(set(r)), self.scan.max_gap) for k, r in runs.items()}
 
+    def spans(self, numbers: np.ndarray) -> list[tuple[str, float, int, int]]:
+        """(label, covered share, first, last word) of the templates that count, without those that a rival explains better."""
+        found = []
+        for k, (n, first, last) in self.covered(numbers).items():
+            size = len(self.numbered[k])
+            if n >= min(self.scan.min_covered, size) and n >= self.scan.min_share * size:
+                found.append((self.labels[k], min(1.0, n / size), first, last, n))
+        most = lambda x: max(y[4] for y in found if y[2] <= x[3] and x[2] <= y[3])
+        return [x[:4] for x in found if x[4] >= self.scan.rival_share * most(x) or x[1] == 1.0]
+
     def _place(self, seq: list[int], at: int, length: int, runs: dict[int, list[tuple[int, int, int]]]) -> None:
         n = self.scan.min_run
         for k, a in self.places.get(tuple(seq[at : at + n]), []):
@@ -240,12 +267,10 @@ def scan_licences(documents: DataFrame, scan: LicenceScan = LicenceScan()) -> Da
                     base = scanner.base(own) if len(own) else []
                     found = {scan.phrases[k][1] for _, k in base}
                     score, labels, spans = 1.0 if base else 0.0, set(found), []
-                    for k, (n, first, last) in (scanner.covered(own) if len(own) else {}).items():
-                        share = n / len(scanner.numbered[k])
-                        if n >= min(scan.min_covered, len(scanner.numbered[k])) and share >= scan.min_share:
-                            labels.add(scanner.labels[k])
-                            score = max(score, min(1.0, share))
-                            spans.append(f"{scanner.labels[k]}:{first}-{last}")
+                    for label, share, first, last in scanner.spans(own) if len(own) else []:
+                        labels.add(label)
+                        score = max(score, share)
+                        spans.append(f"{label}:{first}-{last}")
                     out["n_words"].append(len(own))
                     out["n_base"].append(len(base))
                     out["first_word"].append(min(base)[0] if base else None)

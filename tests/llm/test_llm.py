@@ -117,6 +117,51 @@ def test_op1_matching_statistics_equal_brute_force():
     assert [n for n, _ in automaton.matching_statistics(text)] == want
 
 
+def best_chain(runs, max_gap):
+    """The most covered words of all chains, by trying every way on from every run."""
+    from functools import cache
+
+    @cache
+    def ends(i):
+        at, of, n = runs[i]
+        out = [n]
+        for j, (p_at, p_of, p_n) in enumerate(runs):
+            over = max(0, p_at + p_n - at, p_of + p_n - of)
+            if j < i and at > p_at and of > p_of and over < n and at - p_at - p_n <= max_gap and of - p_of - p_n <= max_gap:
+                out.append(ends(j) + n - over)
+        return max(out)
+
+    return max((ends(i) for i in range(len(runs))), default=0)
+
+
+def test_op1_chains_equal_all_chains():
+    from random import Random
+
+    from quotemill.llm.license_scan import chained
+
+    r = Random(1)
+    assert chained([(0, 0, 100), (10, 150, 4), (105, 105, 10)], 12)[0] == 110
+    for _ in range(200):
+        runs = sorted({(r.randrange(90), r.randrange(60), r.choice((4, 5, 9, 30))) for _ in range(r.randrange(0, 90))})
+        assert chained(runs, 12)[0] == best_chain(runs, 12)
+
+
+def test_op1_templates_give_their_labels(spark):
+    from quotemill.llm.license_scan import TEMPLATES
+
+    rows = [(k, f"Some words before it.\n{text}\nAnd others after it.") for k, (_, text) in enumerate(TEMPLATES)]
+    rows += [(900, "Redistribution of wealth and use of words in source texts"), (901, "the software is free and the license is open")]
+    got = {x.doc_id: x for x in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (label, text) in enumerate(TEMPLATES):
+        spans = dict(s.split(":") for s in got[k].spans.split() if s.startswith(f"{label}:"))
+        first, last = map(int, spans[label].split("-"))
+        n = len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text)))
+        assert label in got[k].labels.split(",") and got[k].score == 1.0 and first <= 4 and last >= 4 + n - 1
+    assert got[900].labels == got[901].labels == ""
+    lgpl = next(k for k, (x, _) in enumerate(TEMPLATES) if x == "lgpl")
+    assert got[lgpl].labels == "lgpl"
+
+
 def test_op2_substitutions(spark):
     words = [f"word{i}" for i in range(40)]
     changed = [w if i % 9 else "other" for i, w in enumerate(words)]
