@@ -16,10 +16,11 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str, most: int
     """(doc_id, text, label) of at most ``most`` labelled rows that are not held out.
 
     The rows with the smallest hashes of their ids: the same on every run, and spread over the labels. Of
-    several labels of an id the largest counts. At most ``most`` ids are joined, so Spark may broadcast them.
+    several labels of an id the largest counts, and of several texts of an id the smallest, so that repeated rows do
+    not add to the sample. At most ``most`` ids are joined, so Spark may broadcast them.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.join(F.broadcast(chosen), "doc_id")
+    return rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))

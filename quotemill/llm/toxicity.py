@@ -1,7 +1,8 @@
 """Toxicity by classifier chains.
 
 Linear models over hashed words and word beginnings predict one category after the other; each later model also
-gets the probabilities of the earlier categories. While fitting, those come from models that did not see the row
+gets the probabilities of the earlier categories. The label is the last category; those before it are kinds of toxic
+texts, which are found in the labelled rows: groups of rows that share the features which toxic rows have oftener. While fitting, those come from models that did not see the row
 (out-of-fold), so that the chain learns from probabilities as good as those it meets later.
 """
 
@@ -19,13 +20,8 @@ from pyspark.sql import functions as F
 from quotemill.llm.labelled import held_out, training_rows
 from quotemill.llm.tokens import ALNUM, Words, as_bytes, groups_of, mixed
 
-# Seed words of the categories before the last; a category holds where a row is labelled toxic and
-# has such a word. The last category is the label itself.
-SEEDS = {
-    "insult": ("clown", "idiot", "loser", "moron", "scum"),
-    "contempt": ("disgusting", "pathetic", "stupid", "trash", "worthless"),
-}
-CATEGORIES = (*SEEDS, "toxic")
+#: The kinds of toxic texts that fitting finds, and last the label itself.
+CATEGORIES = ("kind_1", "kind_2", "toxic")
 
 
 @dataclass(frozen=True)
@@ -68,28 +64,17 @@ def by_text(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sample(rows: DataFrame, model: ChainModel) -> pd.DataFrame:
-    """(doc_id, label, feats, seeds); ``seeds``: for each seeded category whether a seed word stands in the text."""
+    """(doc_id, label, feats) of the labelled rows, one for each id: that with the smallest text hash."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = [{int(next(groups_of([w.encode()], ALNUM)).hashes[0]) for w in words} for words in SEEDS.values()]
-        seeds = [np.array(sorted(s), dtype=np.uint64) for s in seeds]
         for batch in batches:
-            feats, has = [], []
+            feats = []
             for words in groups_of(as_bytes(batch["text"]), ALNUM):
                 buckets, bounds = by_text(features_of(words, model), len(words))
                 feats += [buckets[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                hit = [np.isin(words.hashes, s) for s in seeds]
-                has += [[int(h[a:b].any()) for h in hit] for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch["doc_id"],
-                    "label": batch["label"],
-                    "feats": pa.array(feats, pa.list_(pa.int32())),
-                    "seeds": pa.array(has, pa.list_(pa.int32())),
-                }
-            )
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "label": batch["label"], "feats": pa.array(feats, pa.list_(pa.int32()))})
 
-    return rows.mapInArrow(found, "doc_id long, label int, feats array<int>, seeds array<int>").toPandas()
+    return rows.mapInArrow(found, "doc_id long, label int, feats array<int>").toPandas()
 
 
 def sigmoid(z):
@@ -106,6 +91,32 @@ def selected(rows: list[np.ndarray], y: np.ndarray, model: ChainModel) -> list[n
     return [r[keep[r]] for r in rows]
 
 
+def kinds_of(rows: list[np.ndarray], y: np.ndarray, model: ChainModel) -> list[np.ndarray]:
+    """Of each row whether it is of each kind: two groups of the toxic rows by the selected features that they share.
+
+    The groups start from the rows with the commonest feature, and from those with the commonest one of the rest; each
+    row then goes to the group in which a mean row has most of its features, until none moves. Ties go to the first.
+    """
+    toxic = np.flatnonzero(y > 0)
+    own = selected(rows, y, model)
+    names, at = np.unique(np.concatenate([*(own[k] for k in toxic), np.zeros(0, np.int64)]), return_inverse=True)
+    has = np.zeros((len(toxic), len(names)))
+    has[np.repeat(np.arange(len(toxic)), [len(own[k]) for k in toxic]), at] = 1.0
+    second = np.zeros(len(toxic), dtype=bool)
+    if len(names):
+        first = has[:, has.sum(axis=0).argmax()] > 0
+        second = ~first & (has[:, (has[~first]).sum(axis=0).argmax()] > 0)
+        for _ in range(model.epochs):
+            means = [has[g].sum(axis=0) / np.sqrt(max(1, g.sum())) for g in (~second, second)]
+            moved = has @ (means[1] - means[0]) > 0
+            if (moved == second).all():
+                break
+            second = moved
+    out = [np.zeros(len(rows)), np.zeros(len(rows))]
+    out[0][toxic[~second]], out[1][toxic[second]] = 1.0, 1.0
+    return out
+
+
 def fit_linear(rows: list[np.ndarray], extra: np.ndarray, y: np.ndarray, model: ChainModel) -> tuple[np.ndarray, np.ndarray]:
     """Logistic weights of the buckets, and of ``extra`` (earlier probabilities) with the intercept last."""
     rows = selected(rows, y, model)
@@ -137,8 +148,7 @@ def fit_chain(sample: pd.DataFrame, model: ChainModel) -> list[tuple[np.ndarray,
     """A linear model for each category, in order."""
     rows = [np.asarray(f, dtype=np.int64) for f in sample["feats"]]
     toxic = sample["label"].to_numpy(dtype=float)
-    seeds = np.array(list(sample["seeds"]), dtype=float).reshape(len(rows), len(SEEDS))
-    targets = [toxic * seeds[:, k] for k in range(len(SEEDS))] + [toxic]
+    targets = [*kinds_of(rows, toxic, model), toxic]
     fold = np.arange(len(rows)) % model.folds
     extra, chain = np.zeros((len(rows), 0)), []
     for y in targets:
@@ -154,11 +164,11 @@ def fit_chain(sample: pd.DataFrame, model: ChainModel) -> list[tuple[np.ndarray,
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame, model: ChainModel = ChainModel()) -> DataFrame:
-    """(doc_id, held_out, p_insult, p_contempt, score, toxic) of every row.
+    """(doc_id, held_out, p_kind_1, p_kind_2, score, toxic) of every row.
 
     ``score`` is the probability of the last category, ``toxic`` is 1 where it reaches the threshold. Null and
     empty texts get the scores of a text without words; equal texts get equal scores; without labelled rows all
-    probabilities are 0.5; other columns are left out; an empty table gives an empty result. Whole texts are
+    probabilities are 0.5; null ids are kept; other columns are left out; an empty table gives an empty result. Whole texts are
     scored by models of fixed size; labels are used only for fitting, from rows that are not held out.
     """
     sample = _sample(training_rows(documents, labels, "toxic", model.most_rows), model)

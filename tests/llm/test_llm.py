@@ -382,6 +382,43 @@ def test_op7_held_out(spark):
     assert hit > 0.75 and wrong < 0.02
 
 
+def test_op7_chain_equals_plain_numpy():
+    """The chain on a small sample: kinds split the toxic rows, and probabilities follow from dense products."""
+    import numpy as np
+    import pandas as pd
+
+    from quotemill.llm.toxicity import ChainModel, fit_chain, fit_linear, kinds_of, sigmoid
+
+    r = np.random.default_rng(7)
+    model = ChainModel(buckets=256, min_rows=2, min_z=1.0)
+    rows, y = [], []
+    for k in range(200):
+        toxic = k % 4 == 0
+        words = set(r.integers(0, 200, 12)) | ({210, 211 + k % 3} if toxic and k % 8 == 0 else {220, 221 + k % 3} if toxic else set())
+        rows.append(np.array(sorted(words)))
+        y.append(int(toxic))
+    y = np.array(y, dtype=float)
+    kinds = kinds_of(rows, y, model)
+    assert (kinds[0] + kinds[1] == y).all() and {int(a[::8].sum()) for a in kinds} == {0, 25}
+    chain = fit_chain(pd.DataFrame({"doc_id": range(200), "label": y.astype(int), "feats": rows}), model)
+    dense = np.array([np.bincount(x, minlength=256) for x in rows], dtype=float)
+    extra, fold = np.zeros((200, 0)), np.arange(200) % model.folds
+    for target, (w, v) in zip([*kinds, y], chain, strict=True):
+        again, rest = fit_linear(rows, extra, target, model)
+        assert np.allclose(w, again) and np.allclose(v, rest)
+        unseen = np.zeros(200)
+        for f in range(model.folds):
+            fit = np.flatnonzero(fold != f)
+            w_f, v_f = fit_linear([rows[k] for k in fit], extra[fit], target[fit], model)
+            p = sigmoid(dense @ w_f + np.hstack([extra, np.ones((200, 1))]) @ v_f)
+            unseen[fold == f] = p[fold == f]
+        extra = np.hstack([extra, unseen[:, None]])
+    seen = np.zeros((200, 0))
+    for w, v in chain:
+        seen = np.hstack([seen, sigmoid(dense @ w + seen @ v[:-1] + v[-1])[:, None]])
+    assert ((seen[:, 2] > 0.5) == (y > 0)).mean() > 0.97
+
+
 def test_op8_equals_brute_force(spark, texts):
     """All runs of two sentences or more are tried; long texts have their repeats in runs of up to 40 sentences."""
     got = {r.doc_id: r.removed for r in q.op8_substring_dedup(spark, SF).collect()}
