@@ -122,6 +122,18 @@ def label_return(label: Column | str, win: float = 1.3) -> Column:
     return F.when(col(label) == 1, win).when(col(label) == -1, -1.0).when(col(label) == 0, 0.0)
 
 
+def frequency_ms(name: Column | str) -> Column:
+    """Milliseconds of a frequency like 250ms, 1s, 5m, 4h or 1d; NULL where it is none."""
+    unit = F.create_map(*[F.lit(v) for kv in (("ms", 1), ("s", 1000), ("m", 60_000), ("h", 3_600_000), ("d", 86_400_000)) for v in kv])
+    known = F.when(col(name).rlike(r"^\d+(ms|[smhd])$"), col(name))
+    return (F.regexp_extract(known, r"^\d+", 0).cast("long") * unit[F.regexp_extract(known, r"[a-z]+$", 0)]).cast("long")
+
+
+def resample_name(name: Column | str) -> Column:
+    """The frequency as resamplers call it: minutes are min, all others as they are."""
+    return F.when(col(name).rlike(r"^\d+m$"), F.concat(F.regexp_extract(col(name), r"^\d+", 0), F.lit("min"))).otherwise(col(name))
+
+
 def to_bps(x: Column | str) -> Column:
     return finite(x) * 1e4
 

@@ -109,7 +109,7 @@ def stability(stats: DataFrame) -> DataFrame:
         F.stddev_samp("ev").alias("std_ev"),
         F.count_if(F.col("ev") > 0).alias("pos_months"),
         F.count("ev").alias("n_months"),
-        (F.count_if(F.col("ev") > 0) / F.count("ev")).alias("pos_rate"),
+        F.try_divide(F.count_if(F.col("ev") > 0), F.count("ev")).alias("pos_rate"),
     )
 
 

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from quotemill.operators.thresholds import ThresholdPlan, score
+from quotemill.operators.thresholds import ThresholdPlan, beside, score
 
 MASKS = (
     "dir", "spread_rel", "spread_ticks", "range60", "obi", "micro", "flow", "ti", "nps", "persist", "thin",
@@ -36,9 +37,9 @@ def masks() -> list[tuple[str, Column]]:
     return [(n, F.coalesce(x, F.lit(False))) for n, x in zip(MASKS, conditions, strict=True)]
 
 
-def with_thresholds(features: DataFrame, fitted: DataFrame) -> DataFrame:
-    """Features beside the one fitted row."""
-    return features.crossJoin(F.broadcast(fitted))
+def with_thresholds(features: DataFrame, fitted: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Features beside the fitted row of their group (without ``by``: the only one)."""
+    return beside(features, fitted, by or [])
 
 
 def passing(features: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def passing(features: DataFrame) -> DataFrame:
     return features.where(reduce(lambda a, b: a & b, [m for _, m in masks()]))
 
 
-def tagged(features: DataFrame, keep_share: float = 0.97, plan: ThresholdPlan = ThresholdPlan()) -> DataFrame:
+def tagged(features: DataFrame, keep_share: float = 0.97, plan: ThresholdPlan = ThresholdPlan(), by: list[str] | None = None) -> DataFrame:
     """All rows, with a flag of each step, the cumulative flags, the score of those that pass all, and its cut.
 
     ``ms_cut`` is the exact percentile ``keep_share`` of the passers' scores; ``pass_ms_keep`` are those above it.
@@ -57,8 +58,8 @@ def tagged(features: DataFrame, keep_share: float = 0.97, plan: ThresholdPlan =
         flags[f"pass_up_to_{n}"] = reduce(lambda a, b: a & b, [F.col(f"pass_{x}") for x in MASKS[: k + 1]])
     out = out.withColumns(flags).withColumn("pass_all_hard", F.col(f"pass_up_to_{MASKS[-1]}"))
     out = out.withColumn("ms", F.when(F.col("pass_all_hard"), score(plan)))
-    cut = out.agg(F.percentile("ms", F.lit(keep_share)).alias("ms_cut"))
-    out = out.crossJoin(F.broadcast(cut))
+    cut = out.groupBy(*(by or [])).agg(F.percentile("ms", F.lit(keep_share)).alias("ms_cut"))
+    out = beside(out, cut, by or [])
     return out.withColumn("pass_ms_keep", F.coalesce(F.col("ms") >= F.col("ms_cut"), F.lit(False)))
 
 
@@ -69,8 +70,16 @@ def funnel_counts(tags: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def label_mask(tags: DataFrame, cap: int) -> str:
-    """The first of three flags that holds for some rows, but at most ``cap``; '' if none does."""
+def sampled(df: DataFrame, most: int, by: list[Column], ids: list[str], seed: int = 42) -> DataFrame:
+    """At most ``most`` rows of each group: those with the smallest md5 of seed and ids, the same on any layout."""
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in ids]))
+    place = F.row_number().over(W.partitionBy(*by).orderBy(key, *ids))
+    return df.withColumn("place_", place).where(F.col("place_") <= most).drop("place_")
+
+
+def labelled_rows(tags: DataFrame, cap: int, ids: list[str], seed: int = 42) -> DataFrame:
+    """Rows of the first of three flags that holds for some rows, but at most ``cap``; else ``cap`` rows of the last one."""
     choices = ["pass_all_hard", "pass_ms_keep", "pass_up_to_sign_ti"]
     row = tags.agg(*[F.count_if(c).alias(c) for c in choices]).first()
-    return next((c for c in choices if 0 < row[c] <= cap), "")
+    chosen = next((c for c in choices if 0 < row[c] <= cap), "")
+    return tags.where(chosen) if chosen else sampled(tags.where(choices[-1]), cap, [F.lit(0)], ids, seed)

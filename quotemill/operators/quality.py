@@ -2,24 +2,69 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quotemill.operators.timejoins import in_windows
+
 
-def book_probe(book: DataFrame, by: list[str], ts: str = "timestamp", received: str = "received_time", seq: str = "seq") -> DataFrame:
-    """One row a group: rows, time span, latency percentiles, crossed rows, falling sequence numbers, spread."""
+def book_probe(book: DataFrame, by: list[str], ts: str = "timestamp", received: str = "received_time", seq: str = "seq", slot_seconds: int = 1) -> DataFrame:
+    """One row a group: rows, time spans, latency percentiles, share of empty slots, crossed rows, falling sequence
+    numbers, spread percentiles."""
     order = W.partitionBy(*by).orderBy(ts, seq)
     rows = book.withColumn("before_", F.lag(seq).over(order))
     delay = (F.unix_micros(received) - F.unix_micros(ts)) / 1000.0
     spread = F.col("ask_0_price") - F.col("bid_0_price")
-    p = lambda c, q: F.percentile(c, F.lit(q))
-    return rows.groupBy(*by).agg(
+    slot = F.floor(F.unix_seconds(ts) / F.lit(slot_seconds))
+    percents = lambda c, *qs: F.percentile(c, F.array(*map(F.lit, qs)))
+    stats = rows.groupBy(*by).agg(
         F.count("*").alias("n_rows"), F.unix_micros(F.min(ts)).alias("first_us"), F.unix_micros(F.max(ts)).alias("last_us"),
-        p(delay, 0.5).alias("latency_p50"), p(delay, 0.99).alias("latency_p99"), F.count_if(delay < 0).alias("latency_negative"),
+        F.unix_micros(F.min(received)).alias("first_received_us"), F.unix_micros(F.max(received)).alias("last_received_us"),
+        percents(delay, 0.5, 0.9, 0.99).alias("d_"), F.count_if(delay < 0).alias("latency_negative"),
+        (1 - F.count_distinct(slot) / (F.max(slot) - F.min(slot) + 1)).alias("gap_ratio"),
         F.count_if(spread < 0).alias("crossed"), F.count_if(F.col(seq) < F.col("before_")).alias("seq_falls"),
-        p(spread, 0.1).alias("spread_p10"), p(spread, 0.9).alias("spread_p90"),
+        percents(spread, 0.1, 0.5, 0.9).alias("s_"),
+    )
+    named = {f"latency_p{q}": F.col("d_")[k] for k, q in enumerate((50, 90, 99))} | {f"spread_p{q}": F.col("s_")[k] for k, q in enumerate((10, 50, 90))}
+    return stats.withColumns(named).drop("d_", "s_")
+
+
+def io_scan(book: DataFrame, trades: DataFrame, expected: DataFrame, by: list[str], slot_seconds: int, most_gaps: float, most_delay_ms: float) -> DataFrame:
+    """The probe of each expected group, with its trade rows and flags (``;``-joined): missing groups have 0 rows."""
+    counts = trades.groupBy(*by).agg(F.count("*").alias("n_trades"))
+    out = expected.join(book_probe(book, by, slot_seconds=slot_seconds), by, "left").join(counts, by, "left")
+    out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_rows", "n_trades")})
+    flags = F.array(
+        F.when(F.col("n_rows") == 0, "no_book"), F.when(F.col("n_trades") == 0, "no_trades"), F.when(F.col("gap_ratio") > most_gaps, "gaps"),
+        F.when(F.col("latency_p99") > most_delay_ms, "late"), F.when(F.col("latency_negative") > 0, "negative_latency"), F.when(F.col("crossed") > 0, "crossed"),
     )
+    return out.withColumn("flags", F.array_join(F.array_compact(flags), ";"))
+
+
+def book_checks(book: DataFrame, by: list[str], need: list[str], levels: int, gap_seconds: float, ts: str = "timestamp", seq: str = "seq") -> DataFrame:
+    """(by, check, n_bad) of book snapshots: missing columns, rows of a time that has others, crossed and empty tops,
+    gaps, falling sequence numbers, levels out of price order, levels without size."""
+    lost = [c for c in need if c not in book.columns]
+    order = W.partitionBy(*by).orderBy(ts, seq)
+    rows = book.withColumns({"before_": F.lag(ts).over(order), "seq_before_": F.lag(seq).over(order)})
+    gap = (F.unix_micros(ts) - F.unix_micros("before_")) / 1e6
+    price = lambda s, i: F.col(f"{s}_{i}_price")
+    either = lambda conditions: reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions])
+    rules = {
+        "same_time": F.coalesce(F.col(ts) == F.col("before_"), F.lit(False)),
+        "crossed": price("ask", 0) < price("bid", 0),
+        "no_price": ~F.coalesce((price("bid", 0) > 0) & (price("ask", 0) > 0), F.lit(False)),
+        "gap": gap > gap_seconds,
+        "seq_falls": F.col(seq) < F.col("seq_before_"),
+        "levels_out_of_order": either([c for i in range(1, levels) for c in (price("bid", i) > price("bid", i - 1), price("ask", i) < price("ask", i - 1))]),
+        "no_size": either([F.col(f"{s}_{i}_size") <= 0 for i in range(levels) for s in ("bid", "ask")]),
+    }
+    counts = rows.groupBy(*by).agg(*[F.count_if(c).alias(n) for n, c in rules.items()], F.lit(len(lost)).cast("long").alias("missing_columns"))
+    found = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("n_bad")) for n in (*rules, "missing_columns")])
+    return counts.select(*by, F.inline(found))
 
 
 def checks(df: DataFrame, rules: dict[str, Column], by: list[str], most: int = 0) -> DataFrame:
@@ -73,6 +118,22 @@ def cleaned(candles: DataFrame, flagged: DataFrame, key: str = "symbol") -> Data
     return candles.join(flagged.select(key, "timestamp").distinct(), [key, "timestamp"], "left_anti")
 
 
+def auto_cleaned(candles: DataFrame, flagged: DataFrame, step: int, least: int = 5, windows: DataFrame | None = None, key: str = "symbol") -> DataFrame:
+    """``candles`` with ``why``: NULL for those that stay, else zero_volume, flat_run or excluded.
+
+    Zero-volume events go; candles of flat events go where ``least`` or more follow each other ``step`` seconds apart; what
+    an exclusion window (key, start, end; left-closed) holds goes.
+    """
+    flat = consecutive_runs(flagged.where("type = 'flat_run'").select(key, "timestamp").distinct(), step, least, key)
+    bad = flagged.where("type = 'zero_volume'").select(key, "timestamp", F.lit("zero_volume").alias("why_"))
+    bad = bad.union(flat.select(key, "timestamp", F.lit("flat_run")))
+    if windows is not None:
+        inside = in_windows(candles, windows, 6 * 3600, half_open=True, key=key)
+        bad = bad.union(inside.select(key, "timestamp", F.lit("excluded")))
+    first = bad.groupBy(key, "timestamp").agg(F.min("why_").alias("why"))
+    return candles.join(first, [key, "timestamp"], "left")
+
+
 def gap_report(candles: DataFrame, step: int, key: str = "symbol") -> DataFrame:
     """(key, n_rows, n_gaps, largest gap in seconds, duplicates, first and last time)."""
     by = W.partitionBy(key).orderBy("timestamp")

@@ -32,11 +32,29 @@ def group_regime(df: DataFrame, value: str, by: list[Column], lo: float = 0.4, h
     named = df.withColumns({f"g{i}_": c for i, c in enumerate(by)})
     keys = [f"g{i}_" for i in range(len(by))]
     cuts = named.groupBy(*keys).agg(F.percentile(value, F.lit(lo)).alias("lo_"), F.percentile(value, F.lit(hi)).alias("hi_"), F.count(value).alias("n_"))
-    joined = named.join(cuts, keys)
+    joined = named.join(F.broadcast(cuts), keys)
     regime = F.when(F.col("n_") < least_rows, "NORMAL").when(F.col(value) >= F.col("hi_"), "VOLATILE").when(F.col(value) <= F.col("lo_"), "CALM").otherwise("NORMAL")
     return joined.withColumn("regime", regime).drop(*keys, "lo_", "hi_", "n_")
 
 
+def binned_regime(df: DataFrame, value: str, by: list[Column], lo: float = 0.4, hi: float = 0.75) -> DataFrame:
+    """Regime of each row by right-closed bins: its group's percentiles, where they don't rise those of all rows, and
+    where those don't either the median of all. Unknown values have no regime."""
+    named = df.withColumns({f"g{i}_": c for i, c in enumerate(by)})
+    keys = [f"g{i}_" for i in range(len(by))]
+    p = lambda q: F.percentile(value, F.lit(q))
+    own = named.groupBy(*keys).agg(p(lo).alias("lo_"), p(hi).alias("hi_"))
+    every = df.agg(p(lo).alias("all_lo_"), p(hi).alias("all_hi_"), p(0.5).alias("med_"))
+    rises, all_rise = F.col("lo_") < F.col("hi_"), F.col("all_lo_") < F.col("all_hi_")
+    pick = lambda a, b, m: F.when(rises, F.col(a)).when(all_rise, F.col(b)).otherwise(m)
+    edges = own.crossJoin(F.broadcast(every)).select(
+        *keys, pick("lo_", "all_lo_", F.col("med_") - 1e-12).alias("e1_"), pick("hi_", "all_hi_", F.col("med_") + 1e-12).alias("e2_")
+    )
+    joined = named.join(F.broadcast(edges), keys)
+    regime = F.when(F.col(value) <= F.col("e1_"), "CALM").when(F.col(value) <= F.col("e2_"), "NORMAL").when(F.col(value).isNotNull(), "VOLATILE")
+    return joined.withColumn("regime", regime).drop(*keys, "e1_", "e2_")
+
+
 def strict_reasons(df: DataFrame, cuts: DataFrame, features: list[str], ids: list[str], on: list[str]) -> DataFrame:
     """(ids, on, feature, verdict): keep, reject or na of each row and feature against range cut-offs.
 
@@ -64,20 +82,28 @@ def majority_vote(conditions: dict[str, tuple[Column, Column]], all_of: Column)
     return (there > 0) & (yes >= need)
 
 
-def rolling_thresholds(local: DataFrame, by: list[str], month: str, prior: str, value: str, count: str, n0: int, least: int, clip: float = 0.07) -> DataFrame:
+def rolling_thresholds(
+    local: DataFrame, by: list[str], month: str, prior: str, value: str, count: str, n0: int, least: int, clip: float = 0.07, op: str = "op", enabled: str | None = None
+) -> DataFrame:
     """Bayesian thresholds: the blend after each month, valid from the next on.
 
     alpha = n / (n + n0); the new value is (1 - alpha) old + alpha local, moved at most ``clip`` of the old; fewer than
-    ``least`` rows keep the old; from n0 rows on it may only rise. A group's months are one array, folded natively.
+    ``least`` rows or an unknown local value keep the old. From n0 rows on it only gets stricter: for features that
+    must be below it (``op`` <) it may only fall, for those above (>) only rise. Groups that ``enabled`` rules out keep
+    their prior. A group's months are one array, folded natively.
     """
-    rows = local.groupBy(*by).agg(F.first(prior).cast("double").alias("p0"), F.array_sort(F.collect_list(F.struct(F.col(month).alias("m"), F.col(value).cast("double").alias("v"), F.col(count).cast("double").alias("n")))).alias("t"))
+    on = F.lit(True) if enabled is None else F.first(enabled)
+    month_row = F.struct(F.col(month).alias("m"), F.col(value).cast("double").alias("v"), F.col(count).cast("double").alias("n"))
+    rows = local.groupBy(*by).agg(F.first(prior).cast("double").alias("p0"), F.first(op).alias("op_"), on.alias("on_"), F.array_sort(F.collect_list(month_row)).alias("t"))
 
     def step(acc: Column, x: Column) -> Column:
         old, a = acc["cur"], x["n"] / (x["n"] + n0)
         blend = (1 - a) * old + a * x["v"]
         room = F.abs(old) * clip
         moved = F.least(F.greatest(blend, old - room), old + room)
-        new = F.when(x["n"] < least, old).when(x["n"] >= n0, F.greatest(moved, old)).otherwise(moved)
+        strict = F.when(F.col("op_") == "<", F.least(moved, old)).when(F.col("op_") == ">", F.greatest(moved, old)).otherwise(moved)
+        keeps = ~F.col("on_") | (x["n"] < least) | x["v"].isNull()
+        new = F.when(keeps, old).when(x["n"] >= n0, strict).otherwise(moved)
         return F.struct(new.alias("cur"), F.concat(acc["done"], F.array(F.struct(x["m"].alias("m"), old.alias("used"), new.alias("next")))).alias("done"))
 
     kind = local.schema[month].dataType.simpleString()
@@ -85,36 +111,38 @@ def rolling_thresholds(local: DataFrame, by: list[str], month: str, prior: str,
     return rows.select(*by, F.inline(F.aggregate("t", start, step)["done"])).withColumnRenamed("m", month)
 
 
-def expectancy(df: DataFrame, by: list[str], value: str, kept: str) -> DataFrame:
-    """Count, mean and win rate of all and of kept rows, uplift and coverage."""
+def expectancy(df: DataFrame, by: list[str], value: str, kept: str, least: int = 0) -> DataFrame:
+    """Count, mean and win rate of all and of kept rows, uplift and coverage; ``few`` where fewer than ``least`` are kept."""
     k = F.when(F.col(kept), F.col(value))
     return df.groupBy(*by).agg(
         F.count(value).alias("n_all"), F.avg(value).alias("ev_all"), F.count(k).alias("n_kept"), F.avg(k).alias("ev_kept"),
         F.avg((k > 0).cast("int")).alias("winrate"), (F.avg(k) - F.avg(value)).alias("uplift"),
-        F.try_divide(F.count(k), F.count(value)).alias("coverage"),
+        F.try_divide(F.count(k), F.count(value)).alias("coverage"), (F.count(k) < least).alias("few"),
     )
 
 
-def grid_search(df: DataFrame, value: str, features: list[str], grid: list[tuple[float, ...]], month: str, least: int = 1) -> DataFrame:
-    """Percentile cut-offs of each grid point, at most the cut-off passes; rows with counts over the months.
+def grid_search(df: DataFrame, value: str, features: dict[str, tuple[str, list[float]]], month: str, by: list[str], need: int) -> DataFrame:
+    """Percentile cut-offs of every point of a grid, in each group: rows with ``need`` votes or more pass.
 
-    Cut-offs come from one pass over all shares in the grid; the grid is a small table beside the rows.
+    ``features``: name to (op, shares); a vote is a value strictly below (<) or above (>) the group's percentile. Columns:
+    the group, q_<feature>, n, coverage, ev, winrate (weighted by months' counts), least_month. Points whose cut-off is
+    unknown or which let nothing pass are left out. Cut-offs are one pass over all shares, a few rows beside the rows.
     """
-    shares = sorted({q for point in grid for q in point})
-    cuts = df.agg(*[F.percentile(f, F.array(*map(F.lit, shares))).alias(f"c_{i}") for i, f in enumerate(features)])
-    spark = df.sparkSession
-    points = spark.createDataFrame([(k, *[float(q) for q in p]) for k, p in enumerate(grid)], "point int, " + ", ".join(f"q_{i} double" for i in range(len(features))))
-    index = lambda i: F.array_position(F.array(*map(F.lit, shares)), F.col(f"q_{i}"))
-    limits = points.crossJoin(cuts).select("point", *[f"q_{i}" for i in range(len(features))], *[F.element_at(f"c_{i}", index(i).cast("int")).alias(f"l_{i}") for i in range(len(features))])
-    rows = df.crossJoin(F.broadcast(limits))
-    ok = reduce(lambda a, b: a & b, [F.coalesce(F.col(f) <= F.col(f"l_{i}"), F.lit(False)) for i, f in enumerate(features)])
-    k = F.when(ok, F.col(value))
-    monthly = rows.groupBy("point", *[f"q_{i}" for i in range(len(features))], month).agg(F.count(value).alias("n_all"), F.count(k).alias("n"), F.avg(k).alias("ev"), F.avg((k > 0).cast("int")).alias("wr"))
-    weight = F.sum("n")
-    return monthly.where(F.col("n") >= least).groupBy("point", *[f"q_{i}" for i in range(len(features))]).agg(
-        weight.alias("n"), F.try_divide(weight, F.sum("n_all")).alias("coverage"),
-        F.try_divide(F.sum(F.col("ev") * F.col("n")), weight).alias("ev"), F.try_divide(F.sum(F.col("wr") * F.col("n")), weight).alias("winrate"),
-    )
+    cuts = df.groupBy(*by).agg(*[F.percentile(f, F.array(*map(F.lit, qs))).alias(f"c_{f}") for f, (_, qs) in features.items()], F.count(value).alias("all_"))
+    points = cuts
+    for f, (_, qs) in features.items():
+        places = F.array(*[F.struct(F.lit(float(q)).alias(f"q_{f}"), F.lit(k).alias("k_")) for k, q in enumerate(qs)])
+        points = points.select("*", F.inline(places)).withColumn(f"l_{f}", F.get(f"c_{f}", F.col("k_"))).where(F.col(f"l_{f}").isNotNull()).drop("k_", f"c_{f}")
+    rows = df.select(*by, month, value, *features).join(F.broadcast(points), by)
+    vote = lambda f, op: F.coalesce(F.col(f) < F.col(f"l_{f}") if op == "<" else F.col(f) > F.col(f"l_{f}"), F.lit(False)).cast("int")
+    votes = reduce(lambda a, b: a + b, [vote(f, op) for f, (op, _) in features.items()])
+    shares = [*by, "all_", *[f"q_{f}" for f in features]]
+    passed = rows.where((votes >= need) & F.col(value).isNotNull())
+    monthly = passed.groupBy(*shares, month).agg(F.count("*").alias("n"), F.sum(value).alias("s"), F.count_if(F.col(value) > 0).alias("w"))
+    n = F.sum("n")
+    return monthly.groupBy(*shares).agg(
+        n.alias("n"), F.try_divide(n, F.first("all_")).alias("coverage"), F.try_divide(F.sum("s"), n).alias("ev"), F.try_divide(F.sum("w"), n).alias("winrate"), F.min("n").alias("least_month")
+    ).drop("all_")
 
 
 def shares_by(df: DataFrame, by: list[str], value: str) -> DataFrame:

@@ -15,13 +15,18 @@ def percentiles(df: DataFrame, columns: dict[str, tuple[str, float]], by: list[s
     return df.groupBy(*(by or [])).agg(*[F.percentile(finite(c), F.lit(q)).alias(name) for name, (c, q) in columns.items()])
 
 
-def median_mad(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row: med_<c> and mad_<c>, the median of absolute deviations from the median."""
-    medians = df.agg(*[F.percentile(finite(c), F.lit(0.5)).alias(f"med_{c}") for c in columns])
-    # One row on the right: a cross join that copies a row of a few numbers.
-    spread = df.select(*columns).crossJoin(F.broadcast(medians))
-    mads = spread.agg(*[F.percentile(F.abs(finite(c) - F.col(f"med_{c}")), F.lit(0.5)).alias(f"mad_{c}") for c in columns])
-    return medians.crossJoin(mads)
+def beside(df: DataFrame, few: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` with the row of its group from ``few``, a table of a row for each group (without ``by``: one row)."""
+    return df.join(F.broadcast(few), by) if by else df.crossJoin(F.broadcast(few))
+
+
+def median_mad(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """A row for each group: med_<c> and mad_<c>, the median of absolute deviations from the median."""
+    by = by or []
+    medians = df.groupBy(*by).agg(*[F.percentile(finite(c), F.lit(0.5)).alias(f"med_{c}") for c in columns])
+    spread = beside(df.select(*by, *columns), medians, by)
+    mads = spread.groupBy(*by).agg(*[F.percentile(F.abs(finite(c) - F.col(f"med_{c}")), F.lit(0.5)).alias(f"mad_{c}") for c in columns])
+    return beside(medians, mads, by)
 
 
 @dataclass(frozen=True)
@@ -45,10 +50,10 @@ class ThresholdPlan:
     weights: tuple[float, ...] = (1.0, 0.9, 0.9, 0.7, -0.4, 0.2)
 
 
-def fit_thresholds(train: DataFrame, plan: ThresholdPlan = ThresholdPlan()) -> DataFrame:
-    """One row with all cut-offs, medians and deviations of the plan."""
-    cuts = percentiles(train, {name: (c, q) for name, c, q in plan.cuts})
-    return cuts.crossJoin(median_mad(train, list(plan.scored)))
+def fit_thresholds(train: DataFrame, plan: ThresholdPlan = ThresholdPlan(), by: list[str] | None = None) -> DataFrame:
+    """A row for each group (of no columns: one) with all cut-offs, medians and deviations of the plan."""
+    cuts = percentiles(train, {name: (c, q) for name, c, q in plan.cuts}, by)
+    return beside(cuts, median_mad(train, list(plan.scored), by), by or [])
 
 
 def score(plan: ThresholdPlan = ThresholdPlan()) -> Column:
@@ -60,7 +65,7 @@ def score(plan: ThresholdPlan = ThresholdPlan()) -> Column:
     return out
 
 
-def regime_edges(train: DataFrame, column: str, lo: float = 0.4, hi: float = 0.75, least_rows: int = 0) -> DataFrame:
+def regime_edges(train: DataFrame, column: str, lo: float = 0.4, hi: float = 0.75, least_rows: int = 50_000) -> DataFrame:
     """One row (lo, hi); NULL where the training rows are fewer than ``least_rows``."""
     n = F.count(finite(column))
     cut = lambda q: F.when(n >= least_rows, F.percentile(finite(column), F.lit(q)))

@@ -12,6 +12,7 @@ from quotemill.operators import thresholds as th
 from quotemill.operators import windows as w
 from quotemill.plans.registry import query, r, rounded, us
 from quotemill.plans.stage0 import FEATURES_SQL, FITTED_SQL, TAGS_SQL, is_train, tape_features
+from quotemill.sources.scratch import kept, stored, working_tables
 from quotemill.sources.views import tape, view
 
 HOUR = "1 hour"
@@ -126,7 +127,7 @@ _REGIME = "case when spread_bps_entry <= lo then 'CALM' when spread_bps_entry <=
 @query("P09_quantile_regime", f"with q as (select quantile_cont(spread_bps_entry, 0.4) as lo, quantile_cont(spread_bps_entry, 0.75) as hi from grid_v where day(t) <= 20) select event_id, {_REGIME} as regime, 'sym' as source from grid_v cross join q")
 def quantile_regime(spark, sf):
     g = view(spark, sf, "grid_v")
-    edges = th.regime_edges(g.where(is_train("t")), "spread_bps_entry")
+    edges = th.regime_edges(g.where(is_train("t")), "spread_bps_entry", least_rows=1)
     out = g.crossJoin(F.broadcast(edges))
     return out.select("event_id", x.quantile_regime("spread_bps_entry", F.col("lo"), F.col("hi")).alias("regime"), F.lit("sym").alias("source"))
 
@@ -174,13 +175,13 @@ def costs(spark, sf):
     return view(spark, sf, "signals_v").select("event_id", F.col("fees_rt_bps").cast("double").alias("fees_rt_bps"), (F.lit(4.0) + F.col("fees_rt_bps") + F.col("slip_bps")).cast("double").alias("thr_exec_bps"))
 
 
-@query("P20_frequencies", "select f, case right(f, 1) when 'm' then 60000 when 'h' then 3600000 else 86400000 end * left(f, len(f) - 1)::bigint as ms, count(*) as n from (select unnest(['1m','3m','5m','15m','30m','1h','4h','1d']) as f, event_id from tape where event_id % 10 = 0) group by 1, 2")
+_FREQUENCIES = {"click": "1m", "view": "15m", "purchase": "1h", "error": "4h"}
+
+
+@query("P20_frequencies", "with f as (select event_id, case event_type " + " ".join(f"when '{k}' then '{v}'" for k, v in _FREQUENCIES.items()) + " else '1d' end as f from tape) select event_id, f, case right(f, 1) when 'm' then 60000 when 'h' then 3600000 else 86400000 end * left(f, len(f) - 1)::bigint as ms, case when right(f, 1) = 'm' then left(f, len(f) - 1) || 'min' else f end as resample from f")
 def frequencies(spark, sf):
-    names = F.explode(F.array(*map(F.lit, ["1m", "3m", "5m", "15m", "30m", "1h", "4h", "1d"]))).alias("f")
-    unit = F.create_map(F.lit("m"), F.lit(60_000), F.lit("h"), F.lit(3_600_000), F.lit("d"), F.lit(86_400_000))
-    t = tape(spark, sf).where("event_id % 10 = 0").select(names)
-    ms = unit[F.substring("f", -1, 1)] * F.expr("left(f, length(f) - 1)").cast("long")
-    return t.groupBy("f").agg(F.count("*").alias("n")).select("f", ms.cast("long").alias("ms"), "n")
+    f = F.coalesce(F.create_map(*[F.lit(v) for kv in _FREQUENCIES.items() for v in kv])[F.col("event_type")], F.lit("1d"))
+    return tape(spark, sf).withColumn("f", f).select("event_id", "f", x.frequency_ms("f").alias("ms"), x.resample_name("f").alias("resample"))
 
 
 @query("P21_label_return", "select event_id, case event_id % 3 - 1 when 1 then 1.3 when -1 then -1.0 when 0 then 0.0 end as ret from tape")
@@ -209,13 +210,15 @@ def training_columns(spark, sf):
 
 
 def _train(spark, sf):
-    return tape_features(spark, sf).where(is_train()).persist()
+    return kept(tape_features(spark, sf).where(is_train()), "train")
 
 
 def _tags(spark, sf):
-    f = tape_features(spark, sf).persist()
-    fitted = th.fit_thresholds(f.where(is_train()))
-    return fn.tagged(fn.with_thresholds(f.where(~is_train()), fitted)).persist()
+    """Features made once, thresholds fitted on the training days, all other days tagged; what only they need is deleted."""
+    with working_tables(spark):
+        f = stored(tape_features(spark, sf), "features")
+        fitted = stored(th.fit_thresholds(f.where(is_train())), "fitted")
+        return kept(fn.tagged(fn.with_thresholds(f.where(~is_train()), fitted)), "tags")
 
 
 @query("A03_percentiles", f"with {FEATURES_SQL} select symbol, round(quantile_cont(spread_bps, 0.1), 5) as p10, round(quantile_cont(spread_bps, 0.5), 5) as p50, round(quantile_cont(spread_bps, 0.97), 5) as p97 from feat group by symbol")
@@ -238,9 +241,13 @@ def fit_thresholds(spark, sf):
     return rounded(th.fit_thresholds(_train(spark, sf)).select(*_FIT), 5)
 
 
-@query("A06_regime_edges", f"with {FEATURES_SQL} select round(quantile_cont(range600_bps, 0.4), 5) as lo, round(quantile_cont(range600_bps, 0.75), 5) as hi, count(*) as n_rows from feat where day(bucket) <= 20")
+#: Fewer training rows give no edges; the guard of a live tape, 50 000, at the fixture's scale.
+LEAST_ROWS = 500
+
+
+@query("A06_regime_edges", f"with {FEATURES_SQL} select case when count(*) >= {LEAST_ROWS} then round(quantile_cont(range600_bps, 0.4), 5) end as lo, case when count(*) >= {LEAST_ROWS} then round(quantile_cont(range600_bps, 0.75), 5) end as hi, count(*) as n_rows from feat where day(bucket) <= 20")
 def regime_edges(spark, sf):
-    return rounded(th.regime_edges(_train(spark, sf), "range600_bps"), 5)
+    return rounded(th.regime_edges(_train(spark, sf), "range600_bps", least_rows=LEAST_ROWS), 5)
 
 
 _FLAGS = ", ".join(f"pass_{n}" for n in fn.MASKS)
@@ -253,7 +260,7 @@ def hard_masks(spark, sf):
 
 @query("F02_apply_masks", f"with {TAGS_SQL} select symbol, epoch_us(bucket) as bucket from tags where pass_all_hard")
 def apply_masks(spark, sf):
-    f = tape_features(spark, sf).persist()
+    f = kept(tape_features(spark, sf), "features")
     fitted = th.fit_thresholds(f.where(is_train()))
     return us(fn.passing(fn.with_thresholds(f.where(~is_train()), fitted)).select("symbol", "bucket"), "bucket")
 
@@ -273,15 +280,21 @@ def funnel_counts(spark, sf):
 
 @query("F06_label_mask", f"with {TAGS_SQL} select symbol, epoch_us(bucket) as bucket from tags where case when (select count(*) from tags where pass_all_hard) between 1 and 50000 then pass_all_hard when (select count(*) from tags where pass_ms_keep) between 1 and 50000 then pass_ms_keep else pass_up_to_sign_ti end")
 def label_mask(spark, sf):
-    tags = _tags(spark, sf)
-    chosen = fn.label_mask(tags, 50_000)
-    return us(tags.where(F.col(chosen) if chosen else F.lit(False)).select("symbol", "bucket"), "bucket")
+    return us(fn.labelled_rows(_tags(spark, sf), 50_000, ["symbol", "bucket"]).select("symbol", "bucket"), "bucket")
+
+
+@query("F06_sampled_mask", f"with {TAGS_SQL}, l as (select symbol, epoch_us(bucket) as bucket from tags where pass_up_to_obi) select symbol, bucket from l order by md5('42|' || symbol || '|' || bucket::varchar), symbol, bucket limit 2")
+def sampled_mask(spark, sf):
+    """No flag holds for so few rows: a sample of the last one."""
+    t = _tags(spark, sf).where("pass_up_to_obi").withColumn("bucket", F.unix_micros("bucket"))
+    every = t.withColumns({c: F.lit(True) for c in ("pass_all_hard", "pass_ms_keep", "pass_up_to_sign_ti")})
+    return fn.labelled_rows(every, 2, ["symbol", "bucket"]).select("symbol", "bucket")
 
 
-@query("A13_sampled_rows", "select event_id, event_type from (select *, row_number() over (partition by event_type order by event_id * 7919 % 100003, event_id) as k from tape) where k <= 100")
+@query("A13_sampled_rows", "select event_id, month from (select *, strftime(ts, '%Y-%m') as month, row_number() over (partition by strftime(ts, '%Y-%m') order by md5('7|' || event_id::varchar), event_id) as k from tape) where k <= 300")
 def sampled_rows(spark, sf):
-    by = W.partitionBy("event_type").orderBy(F.col("event_id") * 7919 % 100003, "event_id")
-    return tape(spark, sf).withColumn("k", F.row_number().over(by)).where("k <= 100").select("event_id", "event_type")
+    t = tape(spark, sf).withColumn("month", F.date_format("ts", "yyyy-MM"))
+    return fn.sampled(t, 300, [F.col("month")], ["event_id"], 7).select("event_id", "month")
 
 
 @query("A12_dedup_by_key", "select symbol, epoch_us(hour) as hour, trade_id from (select symbol, date_trunc('hour', timestamp) as hour, trade_id, row_number() over (partition by symbol, date_trunc('hour', timestamp) order by timestamp, trade_id) as k from trades_v) where k = 1")

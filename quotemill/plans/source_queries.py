@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from quotemill.operators import funnel as fn
 from quotemill.operators import study as st
+from quotemill.functions import expr as x
 from quotemill.operators import thresholds as th
-from quotemill.plans.core_queries import _tags
+from quotemill.operators import timejoins as tj
+from quotemill.plans.core_queries import LEAST_ROWS
 from quotemill.plans.registry import query, r, rounded, us
-from quotemill.plans.stage0 import FITTED_SQL, TAGS_SQL, is_train, tape_features
+from quotemill.plans.stage0 import FEATURES_SQL, TAGS_SQL, is_train, tape_features
 from quotemill.plans.study_queries import _GOVERNOR, _sized
-from quotemill.plans.trade_queries import _PATH_SQL, stageb_dataset
+from quotemill.plans.trade_queries import _DATASET_SQL, _PATH_SQL, stageb_dataset
 from quotemill.operators import backtest as bt
 from quotemill.sources import ingest as ig
-from quotemill.sources.scratch import shared_folder
+from quotemill.sources.scratch import kept, shared_folder, stored, working_tables
 from quotemill.sources.views import tape, view
 from quotemill.streaming import live
 
@@ -114,10 +116,10 @@ def trade_aliases(spark, sf):
     return rounded(ig.normalize_trades(raw).select("trade_id", "price", "is_aggr_buy", F.unix_micros("received_time").alias("received_us")))
 
 
-@query("S15_normalize_book", "select case when seq % 4 = 0 then -1 else seq end as seq, round(ask_0_price - bid_0_price, 6) as spread_top, ask_14_size from book_v")
+@query("S15_normalize_book", "select case when seq % 4 = 0 then -1 else seq end as seq, round(ask_0_price - bid_0_price, 6) as spread_top, ask_14_size::float as ask_14_size, epoch_us(timestamp) // 1000 * 1000 + 3000 as received_us from book_v")
 def normalize_book(spark, sf):
-    raw = view(spark, sf, "book_v").withColumn("sequence_number", F.when(F.col("seq") % 4 != 0, F.col("seq"))).drop("seq")
-    return rounded(ig.normalize_book(raw).select("seq", "spread_top", "ask_14_size"))
+    raw = view(spark, sf, "book_v").withColumns({"sequence_number": F.when(F.col("seq") % 4 != 0, F.col("seq")), "received_time": F.unix_millis("timestamp") + 3}).drop("seq")
+    return rounded(ig.normalize_book(raw).select("seq", "spread_top", "ask_14_size", F.unix_micros("received_time").alias("received_us")))
 
 
 @query("S16_conform", "select trade_id, round(price, 6) as price, null::timestamp is null as no_received from trades_v")
@@ -126,6 +128,13 @@ def conform(spark, sf):
     return rounded(t.select("trade_id", "price", F.col("received_time").isNull().alias("no_received")))
 
 
+@query("S16_conform_book", "select seq, round(bid_0_price, 6) as bid_0_price, bid_3_size::float as bid_3_size, true as no_spread, 65::bigint as n_columns from book_v")
+def conform_book(spark, sf):
+    """Reordered, cast, and what is missing added as typed NULLs."""
+    b = ig.conform(view(spark, sf, "book_v").withColumn("bid_0_price", F.col("bid_0_price").cast("string")), ig.book_schema())
+    return rounded(b.select("seq", "bid_0_price", "bid_3_size", F.col("spread_top").isNull().alias("no_spread"), F.lit(len(b.columns)).cast("long").alias("n_columns")))
+
+
 @query("S17_contract_check", "select symbol, count(*) as n, '' as missing_trades, 'received_time' as missing_strict from trades_v group by symbol")
 def contract_check(spark, sf):
     t = view(spark, sf, "trades_v")
@@ -164,45 +173,128 @@ def trailing_months(spark, sf):
     return ig.in_months(view(spark, sf, "candles_v"), ig.trailing_months("2024-02", 3)).groupBy("symbol").agg(F.count("*").alias("n"))
 
 
-_FEATS = ["atr_bps", "dir_use", "ms", "entry"]
+_FEATS = ["ms", "micro_bias", "abs_micro", "obi10", "abs_obi10", "ti", "abs_ti", "thin3", "persist_micro_ms", "persist_obi_ms", "range60_bps", "atr_bps"]
+LEAST_TRAINING_ROWS = 80
 
 
 def _scored(spark, sf):
-    """Boosted trees on the breakout rows of the training split; all splits scored."""
-    rows = stageb_dataset(spark, sf).where("is_tradeable = 1 and router_branch = 'BO'").select("event_id", "split", "vol_bucket", "pnl", F.col("y_go").cast("double").alias("label"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in _FEATS])
-    data = VectorAssembler(inputCols=_FEATS, outputCol="features").transform(rows).persist()
-    model = GBTClassifier(maxDepth=3, stepSize=0.1, maxIter=10, subsamplingRate=0.8, seed=7).fit(data.where("split = 'train'").orderBy("event_id"))
-    return model, model.transform(data).withColumn("score", vector_to_array("probability")[1])
+    """Boosted trees on the tradeable breakout rows of one volatility regime, twelve features; all splits scored.
+
+    The features are those of the last bucket that ended by the signal. Too few training rows: no model.
+    """
+    data = stageb_dataset(spark, sf).where("is_tradeable = 1 and router_branch = 'BO'").withColumn("regime3", x.vol_regime3("vol_bucket"))
+    signals = data.where("regime3 = 'high'").select("event_id", "symbol", "timestamp", "split", "vol_bucket", "pnl", "y_go", "atr_bps", F.col("ms").cast("double").alias("ms"))
+    buckets = tape_features(spark, sf).withColumn("timestamp", F.col("bucket"))
+    near = tj.asof(signals, buckets, [c for c in _FEATS if c not in ("ms", "atr_bps")], ["seq"])
+    rows = near.select("event_id", "split", "vol_bucket", "pnl", F.col("y_go").cast("double").alias("label"), *[F.coalesce(x.finite(c), F.lit(0.0)).alias(c) for c in _FEATS])
+    rows = stored(VectorAssembler(inputCols=_FEATS, outputCol="features").transform(rows), "model-rows")
+    train = rows.where("split = 'train'")
+    if train.count() < LEAST_TRAINING_ROWS:
+        return None, rows.withColumn("score", F.lit(None).cast("double"))
+    model = GBTClassifier(maxDepth=3, stepSize=0.1, maxIter=10, subsamplingRate=0.8, seed=7).fit(train.orderBy("event_id"))
+    return model, model.transform(rows).withColumn("score", vector_to_array("probability")[1])
 
 
 @query("M01_boosted_trees")
 def boosted_trees(spark, sf):
     _, scored = _scored(spark, sf)
-    return rounded(st.metrics(scored.withColumn("y", F.col("label").cast("int")), "y", "score", ["split"]))
+    counts = scored.groupBy("split").agg(F.count("*").alias("n_rows"))
+    return rounded(counts.join(st.metrics(scored.withColumn("y", F.col("label").cast("int")), "y", "score", ["split"]), "split", "left"))
+
+
+@query("M01_model_rows", f"with {_DATASET_SQL} select case when day(timestamp) <= 15 then 'train' when day(timestamp) <= 22 then 'val' else 'test' end as split, count(*) as n_rows, sum(coalesce(case when p60 < 0 then p60 else p180 end > 0, false)::int)::bigint as n_go from p where router_branch = 'BO' and vol_bucket in ('b3', 'b4') and case when p60 < 0 then p60 else p180 end is not null group by 1")
+def model_rows(spark, sf):
+    """The rows that the model is fitted on and judged by, and how many of them are worth a trade."""
+    data = stageb_dataset(spark, sf).where("is_tradeable = 1 and router_branch = 'BO'").withColumn("regime3", x.vol_regime3("vol_bucket"))
+    return data.where("regime3 = 'high'").groupBy("split").agg(F.count("*").alias("n_rows"), F.sum("y_go").cast("long").alias("n_go"))
 
 
 @query("M02_feature_importance")
 def feature_importance(spark, sf):
     model, scored = _scored(spark, sf)
-    weights = F.create_map(*[v for k, w in enumerate(model.featureImportances.toArray()) for v in (F.lit(_FEATS[k]), F.lit(float(w)))])
+    found = model.featureImportances.toArray() if model else [0.0] * len(_FEATS)
+    weights = F.create_map(*[v for k, w in enumerate(found) for v in (F.lit(_FEATS[k]), F.lit(float(w)))])
     return rounded(scored.agg(F.count("*").alias("n")).select("n", F.explode(weights).alias("feature", "importance")))
 
 
-@query("M06_production_thresholds", f"with {FITTED_SQL} select round(thr_spread_rel, 5) as thr_spread_rel, round(thr_nps, 5) as thr_nps, round(med_nps, 5) as med_nps, round((select quantile_cont(range600_bps, 0.4) from train), 5) as regime_lo from fitted")
+_RECORD_SQL = TAGS_SQL.replace("from feat cross join fitted where day(bucket) > 20", "from feat cross join fitted where day(bucket) <= 20")
+
+
+@query("M06_production_thresholds", f"""with {_RECORD_SQL}, reg as (select quantile_cont(range600_bps, 0.4) as lo, quantile_cont(range600_bps, 0.75) as hi from train)
+select 'hard' as record, thr_spread_rel as a, thr_nps as b, null::double as c from (select round(thr_spread_rel, 5) as thr_spread_rel, round(thr_nps, 5) as thr_nps from fitted)
+union all select 'score', round(med_nps, 5), round(mad_nps, 5), (select round(max(ms_cut), 4) from tags) from fitted
+union all select 'regime', case when (select count(*) from train) >= {LEAST_ROWS} then round(lo, 5) end, case when (select count(*) from train) >= {LEAST_ROWS} then round(hi, 5) end, null from reg""")
 def production_thresholds(spark, sf):
-    """Fitted on the trailing period, written as one JSON record and read back."""
-    train = tape_features(spark, sf).where(is_train()).persist()
-    record = th.fit_thresholds(train).crossJoin(th.regime_edges(train, "range600_bps").select(F.col("lo").alias("regime_lo")))
+    """Fitted on a sample of each trailing month; three JSON records: hard cut-offs, score with its cut, regime edges.
+
+    The sample takes all rows of the fixture, whose months have fewer.
+    """
+    train = tape_features(spark, sf).where(is_train())
+    train = stored(fn.sampled(train, 250_000, [F.date_format("bucket", "yyyy-MM")], ["symbol", "bucket"], 7), "production-train")
+    fitted = th.fit_thresholds(train)
+    cut = fn.tagged(fn.with_thresholds(train, fitted)).agg(F.max("ms_cut").alias("ms_cut"))
+    regime = th.regime_edges(train, "range600_bps", least_rows=LEAST_ROWS)
     path = _folder(spark, "thresholds")
-    record.write.json(path)
-    schema = ", ".join(f"{c} {t}" for c, t in record.dtypes)
-    return rounded(spark.read.schema(schema).json(path).select("thr_spread_rel", "thr_nps", "med_nps", "regime_lo"), 5)
+    names = [n for n, _, _ in th.ThresholdPlan().cuts]
+    records = {
+        "hard": fitted.select(*names),
+        "score": fitted.select(*[f"{k}_{c}" for k in ("med", "mad") for c in th.ThresholdPlan().scored]).crossJoin(F.broadcast(cut)),
+        "regime": regime,
+    }
+    for name, record in records.items():
+        record.write.json(f"{path}/{name}")
+    read = lambda name: spark.read.schema(", ".join(f"{c} {t}" for c, t in records[name].dtypes)).json(f"{path}/{name}")
+    none = F.lit(None).cast("double")
+    shown = {"hard": ("thr_spread_rel", "thr_nps", none), "score": ("med_nps", "mad_nps", r("ms_cut", 4)), "regime": ("lo", "hi", none)}
+    rows = [read(n).select(F.lit(n).alias("record"), F.col(a).alias("a"), F.col(b).alias("b"), c.alias("c")) for n, (a, b, c) in shown.items()]
+    return rounded(rows[0].union(rows[1]).union(rows[2]), 5)
+
+
+#: Each third of the month is tagged with what the thirds before it gave; expressions up to ``tags``.
+_WALK_SQL = (
+    FEATURES_SQL
+    + f""",
+fit_on as (select f.*, t.target from feat f join (values (1), (2), (3)) t(target) on (day(bucket) - 1) // 10 between t.target - 2 and t.target - 1),
+cuts as (select target, {", ".join(f"quantile_cont({c}, {q}) as {n}" for n, c, q in th.ThresholdPlan().cuts)}, {", ".join(f"median({c}) as med_{c}" for c in th.ThresholdPlan().scored)} from fit_on group by target),
+mads as (select target, {", ".join(f"median(abs({c} - med_{c})) as mad_{c}" for c in th.ThresholdPlan().scored)} from fit_on join cuts using (target) group by target),
+fitted as (select * from cuts join mads using (target)),
+flags as"""
+    + TAGS_SQL.split("flags as", 1)[1]
+    .replace("from feat cross join fitted where day(bucket) > 20", "from feat join fitted on (day(bucket) - 1) // 10 = target")
+    .replace("(select quantile_cont(ms, 0.97) from scored)", "(select quantile_cont(s2.ms, 0.97) from scored s2 where s2.target = scored.target)")
+)
+
+
+def _walk(spark, sf, months: int = 2):
+    """Tags of every month that has a month before it: fitted on the ``months`` before, in one plan for all of them.
+
+    Months are thirds of one at the fixture's scale. A row is in the fits of the months that follow it, and is tagged
+    with its own month's thresholds.
+    """
+    with working_tables(spark):
+        f = stored(tape_features(spark, sf).withColumn("month", F.floor((F.dayofmonth("bucket") - 1) / 10).cast("int")), "walk-features")
+        fits = f.withColumn("target", F.explode(F.array(*[F.col("month") + k for k in range(1, months + 1)])))
+        fitted = stored(th.fit_thresholds(fits, by=["target"]), "walk-thresholds")
+        return kept(fn.tagged(fn.with_thresholds(f.withColumn("target", F.col("month")), fitted, ["target"]), by=["target"]), "walk-tags")
+
+
+@query("M07_walk_forward", f"with {_WALK_SQL} select target as month, symbol, count(*) as n, count(*) filter (where pass_all_hard) as n_all, count(*) filter (where pass_up_to_obi) as n_obi, count(*) filter (where pass_ms_keep) as n_keep, round(min(thr_spread_rel), 5) as thr_spread_rel, round(min(ms_cut), 4) as ms_cut from tags group by target, symbol")
+def walk_forward(spark, sf):
+    """Walk-forward tagging: each month by the thresholds of the months before it."""
+    t = _walk(spark, sf)
+    counts = [F.count_if(c).alias(n) for c, n in (("pass_all_hard", "n_all"), ("pass_up_to_obi", "n_obi"), ("pass_ms_keep", "n_keep"))]
+    return t.groupBy(F.col("target").alias("month"), "symbol").agg(F.count("*").alias("n"), *counts, r(F.min("thr_spread_rel"), 5).alias("thr_spread_rel"), r(F.min("ms_cut"), 4).alias("ms_cut"))
 
 
-@query("M07_walk_forward", f"with {TAGS_SQL} select symbol, count(*) as n, count(*) filter (where pass_all_hard) as n_all, count(*) filter (where pass_up_to_obi) as n_obi, count(*) filter (where pass_ms_keep) as n_keep from tags group by symbol")
-def walk_forward(spark, sf):
-    t = _tags(spark, sf)
-    return t.groupBy("symbol").agg(F.count("*").alias("n"), *[F.count_if(c).alias(n) for c, n in (("pass_all_hard", "n_all"), ("pass_up_to_obi", "n_obi"), ("pass_ms_keep", "n_keep"))])
+_WALK_PATH_SQL = _PATH_SQL.replace("from signals_v", "from cands")
+
+
+@query("M07_walk_labels", f"with {_WALK_SQL}, cands as (select seq as event_id, symbol, bucket as timestamp, dir0, 8.0::double as fees_rt_bps, 2.0::double as slip_bps, target from tags where pass_up_to_obi), {_WALK_PATH_SQL} select target as month, coalesce(reason, 'none') as reason, count(*) as n, sum(coalesce((net_max >= 20)::int, 0))::bigint as hits from cands left join res using (event_id) group by 1, 2")
+def walk_labels(spark, sf):
+    """Labels of the tagged candidates of each month, from the book that follows them."""
+    c = _walk(spark, sf).where("pass_up_to_obi").select(F.col("seq").alias("event_id"), "symbol", F.col("bucket").alias("timestamp"), "dir0", F.lit(8.0).alias("fees_rt_bps"), F.lit(2.0).alias("slip_bps"), "target")
+    out = bt.path_labels(c, view(spark, sf, "book_v"), 360 * 60.0, 20.0)
+    return out.groupBy(F.col("target").alias("month"), "reason").agg(F.count("*").alias("n"), F.sum("label").cast("long").alias("hits"))
 
 
 @query("M07_label_summary", f"with {_PATH_SQL} select coalesce(reason, 'none') as reason, count(*) as n, sum(coalesce((net_max >= 20)::int, 0))::bigint as hits from signals_v left join res using (event_id) group by 1")
@@ -211,16 +303,26 @@ def label_summary(spark, sf):
     return out.groupBy("reason").agg(F.count("*").alias("n"), F.sum("label").cast("long").alias("hits"))
 
 
-def _stream(spark, df, name, files: int = 4):
-    """``df`` written in time order as a few files, and read as a stream of them."""
+def _stream(spark, df, name, parts: int = 4, ts: str = "timestamp"):
+    """``df`` as files that are written one after the other, by days, and read as a stream in that order.
+
+    A stream of files takes them by the time they were written. A day is in one part, and a part is one micro-batch.
+    """
     path = _folder(spark, name)
-    df.repartitionByRange(files, "timestamp").sortWithinPartitions("timestamp").write.parquet(path)
+    day = F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date"))
+    ends = df.agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
+    if ends["a"] is None:
+        df.write.parquet(path)
+    else:
+        part = F.floor((day - ends["a"]) * parts / (ends["b"] - ends["a"] + 1))
+        for k in range(parts):
+            df.where(part == k).coalesce(1).sortWithinPartitions(ts).write.mode("append").parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-@query("X01_stream_buckets")
+@query("X01_stream_buckets", "with f as (select symbol, epoch_us(date_trunc('hour', timestamp) + interval 1 hour) as bucket, arg_max(price, (timestamp, trade_id)) as last_price, sum(case when is_aggr_buy then price * qty else 0 end) as notional_buy, sum(case when is_aggr_buy then 0 else price * qty end) as notional_sell, count(*) as ntr from trades_v group by 1, 2) select symbol, bucket, round(last_price, 6) as last_price, round(notional_buy, 6) as notional_buy, round(notional_sell, 6) as notional_sell, ntr from f where bucket <= (select epoch_us(max(timestamp)) - 172800000000 from trades_v)")
 def stream_buckets(spark, sf):
-    """Closed buckets; those that the watermark has not passed at the end stay open."""
+    """Closed buckets: all but those that the last watermark, two days before the last tick, has not passed."""
     ticks = _stream(spark, view(spark, sf, "trades_v"), "ticks")
     out = live.stream_buckets(ticks, "1 hour", "2 days")
     return us(rounded(live.run_to_end(out, "buckets", _folder(spark, "stream"))), "bucket")

@@ -11,7 +11,8 @@ from quotemill.operators import routing as rt
 from quotemill.operators import study as st
 from quotemill.operators import bootstrap as bs
 from quotemill.plans.registry import query, r, rounded, us
-from quotemill.sources.views import tape, view
+from quotemill.sources.scratch import kept
+from quotemill.sources.views import view
 
 
 def _router(spark, sf):
@@ -69,6 +70,12 @@ def _sized(spark, sf):
 
 @query("A26_strategy_summary", f"with {_SIZED}, s as (select 'base' as strategy, day, pnl_net_bps as v, 1.0 as size from sized union all select 'sized', day, pnl_net_bps * size, size from sized union all select 'cut', day, pnl_net_bps, 1.0 from sized where score is null or score >= 0.3) select strategy, count(*) as n, count(distinct day) as n_days, round(avg(v), 5) as mean, round(avg(size), 5) as avg_size from s group by strategy")
 def strategy_summary(spark, sf):
+    return strategy_intervals(spark, sf).select("strategy", "n", "n_days", "mean", "avg_size")
+
+
+@query("A26_strategy_intervals")
+def strategy_intervals(spark, sf):
+    """The comparison of strategies with the intervals of their means, whole days drawn."""
     t = _sized(spark, sf)
     every = F.array(
         F.struct(F.lit("base").alias("strategy"), F.col("v").alias("w"), F.lit(1.0).alias("z")),
@@ -77,7 +84,7 @@ def strategy_summary(spark, sf):
     )
     rows = t.select("day", F.inline(F.array_compact(every)))
     out = bs.day_interval(rows, "w", "day", ["strategy"], reps=200).join(rows.groupBy("strategy").agg(F.avg("z").alias("avg_size")), "strategy")
-    return rounded(out.select("strategy", "n", "n_days", "mean", "avg_size"), 5)
+    return rounded(out, 5)
 
 
 @query("A27_daily_policy", f"with {_SIZED} select epoch_us(day) as day, round(avg(pnl_net_bps), 5) as base, round(avg(pnl_net_bps * size), 5) as policy, round(avg(pnl_net_bps * size) - avg(pnl_net_bps), 5) as gain from sized group by day")
@@ -105,11 +112,12 @@ def policies(spark, sf):
     return view(spark, sf, "router_v").select("event_id", (~F.coalesce(drop, F.lit(False))).alias("kept_threshold"), F.coalesce(F.col("score") >= 0.3, F.lit(True)).alias("kept_size"))
 
 
-@query("F12_intersection", "with c as (select quantile_cont(score, 0.9) as a, quantile_cont(pnl_net_bps, 0.1) as b from router_v where day(timestamp) <= 20) select event_id from router_v cross join c where day(timestamp) > 20 and score >= a and pnl_net_bps >= b")
+@query("F12_intersection", "with c as (select quantile_cont(score, 0.9) as a, quantile_cont(strength, 0.1) as b from router_v where day(timestamp) <= 20) select event_id from router_v cross join c where day(timestamp) > 20 and score >= a and strength >= b")
 def intersection(spark, sf):
+    """Rows that pass both filters, their cut-offs learned on the training days; neither looks at a result."""
     t = _router(spark, sf)
-    cut = t.where(F.dayofmonth("timestamp") <= 20).agg(F.percentile("score", F.lit(0.9)).alias("a"), F.percentile("v", F.lit(0.1)).alias("b"))
-    return t.where(F.dayofmonth("timestamp") > 20).crossJoin(F.broadcast(cut)).where("score >= a and v >= b").select("event_id")
+    cut = t.where(F.dayofmonth("timestamp") <= 20).agg(F.percentile("score", F.lit(0.9)).alias("a"), F.percentile("strength", F.lit(0.1)).alias("b"))
+    return t.where(F.dayofmonth("timestamp") > 20).crossJoin(F.broadcast(cut)).where("score >= a and strength >= b").select("event_id")
 
 
 _GOVERNOR = f"""with recursive {_SIZED},
@@ -129,12 +137,35 @@ def drawdown_governor(spark, sf):
     return out.select("event_id", r("size_used", 5).alias("size_used"), r("before", 4).alias("before"))
 
 
-@query("M11_policy_study", _GOVERNOR.replace("select event_id, round(used, 5) as size_used, round(before, 4) as before from fold", "select epoch_us(f.d) as day, count(*) as n, round(avg(s.pnl_net_bps), 4) as base, round(avg(s.pnl_net_bps * used), 4) as governed from fold f join seq s using (event_id) group by f.d"))
+#: Policies of the study as (policy, traded, result) of each row; results have few digits, so that sums are exact.
+_POLICIES_SQL = _GOVERNOR.replace(
+    "select event_id, round(used, 5) as size_used, round(before, 4) as before from fold",
+    """, rows as (select f.event_id, s.d, day(s.d) // 10 as month, s.pnl_net_bps::double as v, s.size, s.score, s.router_pick, s.vol_bucket, f.used from fold f join seq s using (event_id)),
+policies as (
+  select d, month, 'baseline' as policy, v as w from rows
+  union all select d, month, 'threshold', v from rows where not coalesce(router_pick = 'BO' and vol_bucket in ('b3', 'b4') and score < 0.4, false)
+  union all select d, month, 'sizing', v * size from rows
+  union all select d, month, 'governor', v * used from rows)
+select 'day' as grain, epoch_us(d) as period, policy, count(*) as n, round(avg(w), 10) as ev from policies group by d, policy
+union all select 'month', month, policy, count(*), round(avg(w), 10) from policies group by month, policy""",
+)
+
+
+@query("M11_policy_study", _POLICIES_SQL)
 def policy_study(spark, sf):
+    """Daily and monthly mean results of the baseline, the threshold, the learned sizes and the governor."""
     t = _sized(spark, sf)
     g = st.governor(t, "day", ["timestamp", "event_id"], "v", "size", [(0.0, 1.0), (-5.0, 0.9), (-10.0, 0.75)], 0.5)
-    j = t.join(g.select("event_id", "size_used"), "event_id")
-    return us(rounded(j.groupBy("day").agg(F.count("*").alias("n"), F.avg("v").alias("base"), F.avg(F.col("v") * F.col("size_used")).alias("governed")), 4), "day")
+    rows = t.join(g.select("event_id", "size_used"), "event_id")
+    drop = (F.col("router_pick") == "BO") & F.col("vol_bucket").isin("b3", "b4") & (F.col("score") < 0.4)
+    policy = lambda name, w: F.struct(F.lit(name).alias("policy"), w.alias("w"))
+    every = F.array(
+        policy("baseline", F.col("v")), F.when(~F.coalesce(drop, F.lit(False)), policy("threshold", F.col("v"))),
+        policy("sizing", F.col("v") * F.col("size")), policy("governor", F.col("v") * F.col("size_used")),
+    )
+    long = rows.select("day", F.floor(F.dayofmonth("timestamp") / 10).alias("month"), F.inline(F.array_compact(every)))
+    table = lambda grain, period: long.groupBy(F.lit(grain).alias("grain"), period.alias("period"), "policy").agg(F.count("*").alias("n"), F.avg("w").alias("ev"))
+    return rounded(table("day", F.unix_micros("day")).union(table("month", F.col("month"))), 10)
 
 
 @query("W14_learned_sizes", "with tr as (select * from router_v where day(timestamp) <= 20 and score is not null), e as (select quantile_cont(score, 0.2) as a, quantile_cont(score, 0.4) as b, quantile_cont(score, 0.6) as c, quantile_cont(score, 0.8) as d, avg(pnl_net_bps) as m from (select * from router_v where day(timestamp) <= 20)), s as (select (score > a)::int + (score > b)::int + (score > c)::int + (score > d)::int as bin, avg(pnl_net_bps) / min(m) as ratio from tr cross join e group by 1), z as (select bin, least(greatest(max(ratio) over (order by bin), 0), 2) as size from s) select event_id, round(size, 5) as size from (select *, case when score is not null then (score > a)::int + (score > b)::int + (score > c)::int + (score > d)::int end as bin from router_v cross join e where day(timestamp) > 20) left join z using (bin)")
@@ -168,6 +199,18 @@ def group_regime(spark, sf):
     return _regimes(spark, sf).select("event_id", "regime")
 
 
+_BINNED = """edges as (select symbol, day(t) // 10 as part, quantile_cont(atr_pct, 0.4) as lo, quantile_cont(atr_pct, 0.75) as hi from grid_v group by 1, 2),
+every as (select quantile_cont(atr_pct, 0.4) as all_lo, quantile_cont(atr_pct, 0.75) as all_hi, median(atr_pct) as med from grid_v),
+bins as (select symbol, part, case when lo < hi then lo when all_lo < all_hi then all_lo else med - 1e-12 end as e1, case when lo < hi then hi when all_lo < all_hi then all_hi else med + 1e-12 end as e2 from edges cross join every)"""
+
+
+@query("W13_binned_regime", f"with {_BINNED} select event_id, case when atr_pct <= e1 then 'CALM' when atr_pct <= e2 then 'NORMAL' else 'VOLATILE' end as regime from grid_v g join bins b on b.symbol = g.symbol and b.part = day(g.t) // 10")
+def binned_regime(spark, sf):
+    """By symbol and part of the month, with the fall-backs of degenerate groups."""
+    part = F.floor(F.dayofmonth("t") / 10)
+    return rt.binned_regime(view(spark, sf, "grid_v"), "atr_pct", [F.col("symbol"), part]).select("event_id", "regime")
+
+
 _PARAMS = [("click", "CALM", 1.2), ("click", "NORMAL", 1.0), ("view", "VOLATILE", 2.0), ("error", "CALM", 3.0), ("purchase", "NORMAL", 1.5)]
 
 
@@ -214,7 +257,7 @@ voted as (select *, yes >= case when regime = 'CALM' then there else 3 end as ke
 
 
 def _voted(spark, sf):
-    g = _regimes(spark, sf).persist()
+    g = kept(_regimes(spark, sf), "regimes")
     p = lambda c, q: F.percentile(c, F.lit(q))
     cuts = g.groupBy("regime").agg(p("spread_bps_entry", 0.6).alias("s"), p("quote_churn_10s", 0.6).alias("c"), p("obi_5", 0.4).alias("o"), p("aggr_ratio_10s", 0.4).alias("f"))
     j = g.join(F.broadcast(cuts), "regime")
@@ -240,29 +283,111 @@ def vote_shares(spark, sf):
     return rounded(rt.shares_by(_voted(spark, sf), ["regime"], "yes"), 5)
 
 
-_EXPECT = "count(pnl) as n_all, round(avg(pnl) * 1e4, 4) as ev_all, count(pnl) filter (where kept) as n_kept, round(avg(pnl) filter (where kept) * 1e4, 4) as ev_kept, round(avg((pnl > 0)::int) filter (where kept), 5) as winrate, round(count(pnl) filter (where kept) / count(pnl), 5) as coverage"
+_EXPECT = "count(pnl) as n_all, round(avg(pnl) * 1e4, 9) as ev_all, count(pnl) filter (where kept) as n_kept, round(avg(pnl) filter (where kept) * 1e4, 9) as ev_kept, round(avg((pnl > 0)::int) filter (where kept), 5) as winrate, round(count(pnl) filter (where kept) / count(pnl), 5) as coverage"
 
 
 def _expect(df, by):
     out = rt.expectancy(df, by, "pnl", "kept")
-    return out.select(*by, "n_all", r(F.col("ev_all") * 1e4, 4).alias("ev_all"), "n_kept", r(F.col("ev_kept") * 1e4, 4).alias("ev_kept"), r("winrate", 5).alias("winrate"), r("coverage", 5).alias("coverage"))
+    return out.select(*by, "n_all", r(F.col("ev_all") * 1e4, 9).alias("ev_all"), "n_kept", r(F.col("ev_kept") * 1e4, 9).alias("ev_kept"), r("winrate", 5).alias("winrate"), r("coverage", 5).alias("coverage"))
 
 
-@query("A34_symbol_expectancy", f"with {_VOTE} select symbol, {_EXPECT} from voted group by symbol")
+@query("A34_symbol_expectancy", f"with {_VOTE} select symbol, {_EXPECT}, count(pnl) filter (where kept) < 50 as few from voted group by symbol")
 def symbol_expectancy(spark, sf):
-    return _expect(_voted(spark, sf), ["symbol"])
+    v = _voted(spark, sf)
+    few = rt.expectancy(v, ["symbol"], "pnl", "kept", least=50).select("symbol", "few")
+    return _expect(v, ["symbol"]).join(few, "symbol")
+
+
+#: Votes: feature to (op, share); the last one is the flux, which CALM rows don't vote on.
+_FEATURES = {"spread_bps_entry": ("<", 0.6), "quote_churn_10s": ("<", 0.6), "obi_5": (">", 0.4), "aggr_ratio_10s": (">", 0.4)}
+_N0, _LEAST = 30, 10
+
+#: Thresholds used in each month (of six days): fixed ones of the first days, and rolling ones; expressions up to ``used``.
+_ROLLING = f"""{_REGIME},
+feats as (select event_id, symbol, regime, t, day(t) // 6 as month, feature, op, q, v from regimes, lateral (values
+  {", ".join(f"('{f}', '{op}', {q}, {f}::double)" for f, (op, q) in _FEATURES.items())}) x(feature, op, q, v)),
+priors as (select regime, feature, min(op) as op, case when min(q) = 0.6 then quantile_cont(v, 0.6) else quantile_cont(v, 0.4) end as prior from feats where day(t) <= 10 group by regime, feature),
+loc as (select symbol, regime, feature, month, case when min(q) = 0.6 then quantile_cont(v, 0.6) else quantile_cont(v, 0.4) end as v, count(v) as n from feats group by symbol, regime, feature, month),
+seq as (select l.*, op, prior, row_number() over (partition by symbol, regime, feature order by month) as k from loc l join priors using (regime, feature)),
+calc as (select *, n / (n + {_N0})::double as a from seq),
+fold as (
+  select symbol, regime, feature, op, month, k, n, v, a, prior as used from calc where k = 1
+  union all
+  select c.symbol, c.regime, c.feature, c.op, c.month, c.k, c.n, c.v, c.a,
+    case when f.regime = 'CALM' or f.n < {_LEAST} then f.used
+         when f.n >= {_N0} and f.op = '<' then least(f.used, least(greatest((1 - f.a) * f.used + f.a * f.v, f.used - abs(f.used) * 0.07), f.used + abs(f.used) * 0.07))
+         when f.n >= {_N0} then greatest(f.used, least(greatest((1 - f.a) * f.used + f.a * f.v, f.used - abs(f.used) * 0.07), f.used + abs(f.used) * 0.07))
+         else least(greatest((1 - f.a) * f.used + f.a * f.v, f.used - abs(f.used) * 0.07), f.used + abs(f.used) * 0.07) end
+  from fold f join calc c on c.symbol = f.symbol and c.regime = f.regime and c.feature = f.feature and c.k = f.k + 1),
+used as (select f.symbol, f.regime, f.feature, f.op, f.month, f.used as rolling, p.prior as fixed from fold f join priors p using (regime, feature))"""
+
+
+def _thresholds(spark, sf):
+    """(symbol, regime, feature, op, month, fixed, rolling), a row for each group and month of the rows."""
+    g = _regimes(spark, sf).withColumn("month", F.floor(F.dayofmonth("t") / 6))
+    each = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(op).alias("op"), F.lit(q).alias("q"), F.col(f).cast("double").alias("v")) for f, (op, q) in _FEATURES.items()])
+    long = g.select("symbol", "regime", "t", "month", F.inline(each))
+    shares = sorted({q for _, q in _FEATURES.values()})
+    cut = lambda by, rows: rows.groupBy(*by).agg(F.percentile("v", F.array(*map(F.lit, shares))).alias("c"), F.min("q").alias("q"), F.min("op").alias("op"), F.count("v").alias("n")).withColumn("c", F.element_at("c", F.array_position(F.array(*map(F.lit, shares)), F.col("q")).cast("int")))  # noqa: E731, E501
+    priors = cut(["regime", "feature"], long.where(F.dayofmonth("t") <= 10)).select("regime", "feature", F.col("c").alias("fixed"))
+    local = cut(["symbol", "regime", "feature", "month"], long).join(F.broadcast(priors), ["regime", "feature"]).withColumn("on", F.col("regime") != "CALM")
+    by = ["symbol", "regime", "feature", "op"]
+    out = rt.rolling_thresholds(local, by, "month", "fixed", "c", "n", _N0, _LEAST, enabled="on")
+    return out.withColumnRenamed("used", "rolling").join(F.broadcast(priors), ["regime", "feature"])
+
+
+@query("W12_rolling_thresholds", f"with recursive {_ROLLING} select symbol, regime, feature, op, month, round(fixed, 6) as fixed, round(rolling, 6) as rolling from used")
+def rolling_thresholds(spark, sf):
+    return rounded(_thresholds(spark, sf).select("symbol", "regime", "feature", "op", "month", "fixed", "rolling"))
+
+
+_MODES = """wide as (select symbol, regime, month, """ + ", ".join(f"max(case when feature = '{f}' then {c} end) as {c[0]}_{f}" for f in _FEATURES for c in ("fixed", "rolling")) + """ from used group by 1, 2, 3),
+ballots as (select g.event_id, g.symbol, g.regime, w.month, "pnl_net_rr1.00_rf10_ts60"::double as pnl, """ + ", ".join(f"coalesce({f} {op}= {c[0]}_{f}, false)::int as {c[0]}{k}" for k, (f, (op, _)) in enumerate(_FEATURES.items()) for c in ("fixed", "rolling")) + """, g.regime = 'CALM' as calm
+  from regimes g join wide w on w.symbol = g.symbol and w.regime = g.regime and w.month = day(g.t) // 6),
+modes as (
+  select *, 'fixed_noflux' as mode, f0 + f1 + f2 >= case when calm then 3 else 2 end as kept from ballots
+  union all select *, 'rolling_noflux', r0 + r1 + r2 >= case when calm then 3 else 2 end from ballots
+  union all select *, 'fixed_flux', case when calm then f0 + f1 + f2 >= 3 else f0 + f1 + f2 + f3 >= 3 end from ballots
+  union all select *, 'rolling_flux', case when calm then r0 + r1 + r2 >= 3 else r0 + r1 + r2 + r3 >= 3 end from ballots)"""
 
 
-@query("A35_monthly_expectancy", f"with {_VOTE}, m as (select *, day(t) // 10 as month, 'flux' as mode from voted union all select * replace (yes >= 2 as kept), day(t) // 10, 'loose' from voted) select month, mode, {_EXPECT} from m group by month, mode")
+def _moded(spark, sf):
+    """Every row in each of four modes: fixed or rolling thresholds, with or without the flux vote."""
+    wide = _thresholds(spark, sf).groupBy("symbol", "regime", "month").agg(*[F.max(F.when(F.col("feature") == f, F.col(c))).alias(f"{c}_{f}") for f in _FEATURES for c in ("fixed", "rolling")])
+    g = _regimes(spark, sf).withColumns({"month": F.floor(F.dayofmonth("t") / 6), "pnl": F.col("`pnl_net_rr1.00_rf10_ts60`").cast("double")})
+    rows = g.join(F.broadcast(wide), ["symbol", "regime", "month"])
+    calm = F.col("regime") == "CALM"
+
+    def vote(kind, flux):
+        conditions = {}
+        for k, (f, (op, _)) in enumerate(_FEATURES.items()):
+            limit = F.col(f"{kind}_{f}")
+            there = F.col(f).isNotNull() & limit.isNotNull()
+            there = there & F.lit(flux) & ~calm if k == 3 else there
+            conditions[f] = (F.col(f) <= limit if op == "<" else F.col(f) >= limit, there)
+        return rt.majority_vote(conditions, calm)
+
+    modes = F.array(*[F.struct(F.lit(f"{kind}_{'flux' if flux else 'noflux'}").alias("mode"), vote(kind, flux).alias("kept")) for kind in ("fixed", "rolling") for flux in (False, True)])
+    return rows.select("event_id", "symbol", "regime", "month", "pnl", F.inline(modes))
+
+
+@query("A35_monthly_expectancy", f"with recursive {_ROLLING}, {_MODES} select month, mode, {_EXPECT} from modes group by month, mode")
 def monthly_expectancy(spark, sf):
-    v = _voted(spark, sf).withColumn("month", F.floor(F.dayofmonth("t") / 10))
-    modes = F.inline(F.array(F.struct(F.lit("flux").alias("mode"), F.col("kept").alias("k2")), F.struct(F.lit("loose").alias("mode"), (F.col("yes") >= 2).alias("k2"))))
-    return _expect(v.select("month", "pnl", modes).withColumnRenamed("k2", "kept"), ["month", "mode"])
+    return _expect(_moded(spark, sf), ["month", "mode"])
 
 
-@query("M09_router_evaluation", f"with {_VOTE} select regime, day(t) // 10 as month, {_EXPECT} from voted group by 1, 2")
+@query("M09_router_evaluation", f"with recursive {_ROLLING}, {_MODES} select symbol, regime, month, mode, {_EXPECT} from modes group by all")
 def router_evaluation(spark, sf):
-    return _expect(_voted(spark, sf).withColumn("month", F.floor(F.dayofmonth("t") / 10)), ["regime", "month"])
+    """The job's diagnostic table: each symbol, regime, month and mode."""
+    return _expect(_moded(spark, sf), ["symbol", "regime", "month", "mode"])
+
+
+@query("M09_strict_evaluation", f"with {_STRICT}, k as (select event_id, bool_and(verdict = 'keep') as kept from judged group by event_id), j as (select r.symbol, r.regime, k.kept, \"pnl_net_rr1.00_rf10_ts60\"::double as pnl from regimes r join k using (event_id)) select symbol, regime, {_EXPECT} from j group by symbol, regime")
+def strict_evaluation(spark, sf):
+    """The job with strict cut-offs instead of votes."""
+    kept = rt.strict_filter(_reasons(spark, sf), ["event_id"], ["symbol", "regime"]).select("event_id", "kept")
+    rows = _regimes(spark, sf).select("event_id", "symbol", "regime", F.col("`pnl_net_rr1.00_rf10_ts60`").cast("double").alias("pnl"))
+    return _expect(rows.join(kept, "event_id"), ["symbol", "regime"])
 
 
 @query("A36_coverage", f"with {_STRICT}, params(symbol, regime, rr_min) as (values {', '.join(f'({s!r}, {g!r}, {v})' for s, g, v in _PARAMS)}) select symbol, regime, count(*) as n, max((rr_min is not null)::int) as has_params, max(coalesce(k, 0)) as n_cuts from regimes left join params using (symbol, regime) left join (select symbol, regime, count(*) as k from cutoffs group by all) using (symbol, regime) group by symbol, regime")
@@ -274,38 +399,66 @@ def coverage(spark, sf):
     return j.select("symbol", "regime", "n", F.col("rr_min").isNotNull().cast("int").alias("has_params"), F.coalesce("n_cuts", F.lit(0)).alias("n_cuts"))
 
 
-_GRID = [(a, b) for a in (0.3, 0.5, 0.7) for b in (0.4, 0.6, 0.8)]
+_GRID = {"spread_bps_entry": ("<", [0.3, 0.5, 0.7]), "quote_churn_10s": ("<", [0.4, 0.6, 0.8]), "obi_5": (">", [0.2, 0.4, 0.6])}
+_points = lambda k, f, qs: f"p{k} as (select regime, unnest({qs}) as q_{f}, unnest(quantile_cont({f}, {qs})) as l{k} from regimes group by regime)"
+_GRID_SQL = f"""{_REGIME}, {", ".join(_points(k, f, qs) for k, (f, (_, qs)) in enumerate(_GRID.items()))},
+totals as (select regime, count("pnl_net_rr1.00_rf10_ts60") as all_n from regimes group by regime),
+passed as (select g.regime, {", ".join(f"q_{f}" for f in _GRID)}, day(t) // 10 as month, "pnl_net_rr1.00_rf10_ts60"::double as pnl
+  from regimes g join p0 using (regime) join p1 using (regime) join p2 using (regime)
+  where {" + ".join(f"coalesce({f} {op} l{k}, false)::int" for k, (f, (op, _)) in enumerate(_GRID.items()))} >= 2),
+monthly as (select regime, {", ".join(f"q_{f}" for f in _GRID)}, month, count(pnl) as n, sum(pnl) as s, count(*) filter (where pnl > 0) as w from passed group by all)"""
 
 
-@query("A37_grid_search", f"""with points(point, a, b) as (values {', '.join(f'({k}, {a}, {b})' for k, (a, b) in enumerate(_GRID))}),
-lim as (select point, a, b, (select quantile_cont(spread_bps_entry, 0.3) from grid_v) s3, (select quantile_cont(spread_bps_entry, 0.5) from grid_v) s5, (select quantile_cont(spread_bps_entry, 0.7) from grid_v) s7, (select quantile_cont(quote_churn_10s, 0.4) from grid_v) c4, (select quantile_cont(quote_churn_10s, 0.6) from grid_v) c6, (select quantile_cont(quote_churn_10s, 0.8) from grid_v) c8 from points),
-m as (select point, day(t) // 10 as month, count(*) as n_all, count(*) filter (where ok) as n, avg(pnl) filter (where ok) as ev, avg((pnl > 0)::int) filter (where ok) as wr from (
-  select point, t, "pnl_net_rr1.00_rf10_ts60" as pnl, spread_bps_entry <= case a when 0.3 then s3 when 0.5 then s5 else s7 end and quote_churn_10s <= case b when 0.4 then c4 when 0.6 then c6 else c8 end as ok from grid_v cross join lim) group by 1, 2)
-select point, sum(n)::bigint as n, round(sum(n) / sum(n_all), 5) as coverage, round(sum(ev * n) / sum(n) * 1e4, 4) as ev, round(sum(wr * n) / sum(n), 5) as winrate from m where n >= 1 group by point""")
+@query("A37_grid_search", f"with {_GRID_SQL} select regime, {', '.join(f'q_{f}::double as q_{f}' for f in _GRID)}, sum(n)::bigint as n, round(sum(n) / min(all_n), 5) as coverage, round(sum(s) / sum(n) * 1e4, 9) as ev, round(sum(w) / sum(n), 5) as winrate, min(n) as least_month from monthly join totals using (regime) group by all having regime <> 'CALM'")
 def grid_search(spark, sf):
-    g = view(spark, sf, "grid_v").withColumns({"pnl": F.col("`pnl_net_rr1.00_rf10_ts60`").cast("double"), "month": F.floor(F.dayofmonth("t") / 10)})
-    out = rt.grid_search(g.select("pnl", "month", "spread_bps_entry", "quote_churn_10s"), "pnl", ["spread_bps_entry", "quote_churn_10s"], _GRID, "month")
-    return out.select("point", "n", r("coverage", 5).alias("coverage"), r(F.col("ev") * 1e4, 4).alias("ev"), r("winrate", 5).alias("winrate"))
+    """Three features with two votes of three, in the regimes that are searched."""
+    g = _regimes(spark, sf).where("regime <> 'CALM'").withColumns({"pnl": F.col("`pnl_net_rr1.00_rf10_ts60`").cast("double"), "month": F.floor(F.dayofmonth("t") / 10)})
+    out = rt.grid_search(g, "pnl", _GRID, "month", ["regime"], 2)
+    return out.select("regime", *[f"q_{f}" for f in _GRID], "n", r("coverage", 5).alias("coverage"), r(F.col("ev") * 1e4, 9).alias("ev"), r("winrate", 5).alias("winrate"), "least_month")
 
 
-_LOCAL = "loc as (select symbol, day(t) // 5 as month, quantile_cont(quote_churn_10s, 0.6) as v, count(*) as n from grid_v group by 1, 2), seq as (select *, row_number() over (partition by symbol order by month) as k from loc)"
+_FLUX = [0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
 
-@query("W12_rolling_thresholds", f"""with recursive {_LOCAL},
-fold as (select symbol, month, k, 58.0::double as used, case when n < 100 then 58.0 when n >= 300 then greatest(m, 58.0) else m end::double as next from (select *, least(greatest((1 - n / (n + 300)) * 58.0 + n / (n + 300) * v, 58.0 - 58.0 * 0.07), 58.0 + 58.0 * 0.07) as m from seq where k = 1)
- union all select s.symbol, s.month, s.k, f.next, case when s.n < 100 then f.next when s.n >= 300 then greatest(m, f.next) else m end from fold f join lateral (select * , least(greatest((1 - n / (n + 300)) * f.next + n / (n + 300) * v, f.next - abs(f.next) * 0.07), f.next + abs(f.next) * 0.07) as m from seq q where q.symbol = f.symbol and q.k = f.k + 1) s on true)
-select symbol, month, round(used, 5) as used, round(next, 5) as next from fold""")
-def rolling_thresholds(spark, sf):
-    g = view(spark, sf, "grid_v").withColumn("month", F.floor(F.dayofmonth("t") / 5))
-    local = g.groupBy("symbol", "month").agg(F.percentile("quote_churn_10s", F.lit(0.6)).alias("v"), F.count("*").alias("n")).withColumn("prior", F.lit(58.0))
-    return rounded(rt.rolling_thresholds(local, ["symbol"], "month", "prior", "v", "n", 300, 100), 5)
+@query("A37_flux_grid", f"with {_REGIME}, p as (select regime, unnest({_FLUX}) as q, unnest(quantile_cont(aggr_ratio_10s, {_FLUX})) as lim from regimes group by regime), totals as (select regime, count(*) as all_n from regimes group by regime), t as (select regime, q::double as q_aggr_ratio_10s, count(*) as n, count(*) / min(all_n)::double as cov, avg(\"pnl_net_rr1.00_rf10_ts60\") as e, avg((\"pnl_net_rr1.00_rf10_ts60\" > 0)::int) as w from regimes join p using (regime) join totals using (regime) where aggr_ratio_10s > lim group by regime, q), k as (select *, row_number() over (partition by regime order by round(e * 1e4, 9) desc, round(w, 5) desc, n desc, q_aggr_ratio_10s) as place from t where n >= 5 and cov between 0.08 and 0.5) select regime, q_aggr_ratio_10s, n, round(cov, 5) as coverage, round(e * 1e4, 9) as ev, round(w, 5) as winrate, place from k where place <= 20")
+def flux_grid(spark, sf):
+    """The flux alone, in each regime: the best points, twenty at most, whose coverage is in the tunnel."""
+    g = _regimes(spark, sf).withColumns({"pnl": F.col("`pnl_net_rr1.00_rf10_ts60`").cast("double"), "month": F.lit(0)})
+    out = rt.grid_search(g, "pnl", {"aggr_ratio_10s": (">", _FLUX)}, "month", ["regime"], 1)
+    out = out.where("n >= 5 and coverage between 0.08 and 0.5").select(
+        "regime", "q_aggr_ratio_10s", "n", r("coverage", 5).alias("coverage"), r(F.col("ev") * 1e4, 9).alias("ev"), r("winrate", 5).alias("winrate")
+    )
+    best = W.partitionBy("regime").orderBy(F.desc("ev"), F.desc("winrate"), F.desc("n"), "q_aggr_ratio_10s")
+    return out.withColumn("place", F.row_number().over(best)).where("place <= 20")
+
 
+_PROBE = "select symbol, day(timestamp) // 10 as part, count(*) as n_rows, epoch_us(min(timestamp)) as first_us, epoch_us(max(timestamp)) as last_us, epoch_us(min(received_time)) as first_received_us, epoch_us(max(received_time)) as last_received_us, quantile_cont((seq % 7 - 1)::double, 0.5) as latency_p50, quantile_cont((seq % 7 - 1)::double, 0.9) as latency_p90, quantile_cont((seq % 7 - 1)::double, 0.99) as latency_p99, count(*) filter (where seq % 7 = 0) as latency_negative, 1 - count(distinct epoch_us(timestamp) // 3600000000) / (max(epoch_us(timestamp) // 3600000000) - min(epoch_us(timestamp) // 3600000000) + 1) as gap_ratio, count(*) filter (where ask_0_price < bid_0_price) as crossed, count(*) filter (where seq < before) as seq_falls, quantile_cont(ask_0_price - bid_0_price, 0.1) as spread_p10, quantile_cont(ask_0_price - bid_0_price, 0.5) as spread_p50, quantile_cont(ask_0_price - bid_0_price, 0.9) as spread_p90 from b group by 1, 2"
+_ROUNDED = ("latency_p50", "latency_p90", "latency_p99", "gap_ratio", "spread_p10", "spread_p50", "spread_p90")
 
-@query("A29_book_probe", "with b as (select *, timestamp + (seq % 7 - 1) * interval 1 millisecond as received_time, lag(seq) over (partition by symbol order by timestamp, seq) as before from book_v) select symbol, count(*) as n_rows, epoch_us(min(timestamp)) as first_us, epoch_us(max(timestamp)) as last_us, round(quantile_cont((seq % 7 - 1)::double, 0.5), 5) as latency_p50, count(*) filter (where seq % 7 = 0) as latency_negative, count(*) filter (where ask_0_price < bid_0_price) as crossed, count(*) filter (where seq < before) as seq_falls, round(quantile_cont(ask_0_price - bid_0_price, 0.9), 5) as spread_p90 from b group by symbol")
+
+@query("A29_book_probe", f"""with b as (select *, timestamp + (seq % 7 - 1) * interval 1 millisecond as received_time, lag(seq) over (partition by symbol, day(timestamp) // 10 order by timestamp, seq) as before from book_v), p as ({_PROBE}),
+tr as (select symbol, day(timestamp) // 10 as part, count(*) as n_trades from trades_v where timestamp >= timestamp '2024-01-10' group by 1, 2),
+grid as (select symbol, part from (select distinct symbol from trades_v union all select 'ghost') cross join (values (0), (1), (2), (3)) v(part))
+select grid.symbol, grid.part, coalesce(n_rows, 0) as n_rows, coalesce(n_trades, 0) as n_trades, first_us, last_us, first_received_us, last_received_us, {', '.join(f'round({c}, 5) as {c}' for c in _ROUNDED)}, latency_negative, crossed, seq_falls,
+ concat_ws(';', case when n_rows is null then 'no_book' end, case when n_trades is null then 'no_trades' end, case when gap_ratio > 0.3 then 'gaps' end, case when latency_p99 > 4 then 'late' end, case when latency_negative > 0 then 'negative_latency' end, case when crossed > 0 then 'crossed' end) as flags
+from grid left join p using (symbol, part) left join tr using (symbol, part)""")
 def book_probe(spark, sf):
-    b = view(spark, sf, "book_v").withColumn("received_time", F.timestamp_micros(F.unix_micros("timestamp") + (F.col("seq") % 7 - 1) * 1000))
-    out = ql.book_probe(b, ["symbol"])
-    return out.select("symbol", "n_rows", "first_us", "last_us", r("latency_p50", 5).alias("latency_p50"), "latency_negative", "crossed", "seq_falls", r("spread_p90", 5).alias("spread_p90"))
+    """Each expected symbol and part of the month, missing ones too."""
+    part = F.floor(F.dayofmonth("timestamp") / 10)
+    b = view(spark, sf, "book_v").withColumns({"received_time": F.timestamp_micros(F.unix_micros("timestamp") + (F.col("seq") % 7 - 1) * 1000), "part": part})
+    t = view(spark, sf, "trades_v").withColumn("part", part)
+    symbols = t.select("symbol").distinct().union(spark.createDataFrame([("ghost",)], "symbol string"))
+    expected = symbols.select("symbol", F.explode(F.array(*[F.lit(k).cast("long") for k in range(4)])).alias("part"))
+    out = ql.io_scan(b, t.where("timestamp >= timestamp '2024-01-10'"), expected, ["symbol", "part"], 3600, 0.3, 4.0)
+    return rounded(out, 5)
+
+
+@query("A30_book_checks", """with b as (select *, lag(timestamp) over (partition by symbol order by timestamp, seq) as before, lag(seq) over (partition by symbol order by timestamp, seq) as seq_before from book_v),
+c as (select symbol, count(*) filter (where timestamp = before) as same_time, count(*) filter (where ask_0_price < bid_0_price) as crossed, count(*) filter (where not (bid_0_price > 0 and ask_0_price > 0)) as no_price, count(*) filter (where (epoch_us(timestamp) - epoch_us(before)) / 1e6 > 7200) as gap, count(*) filter (where seq < seq_before) as seq_falls,
+ count(*) filter (where """ + " or ".join(f"bid_{i}_price > bid_{i - 1}_price or ask_{i}_price < ask_{i - 1}_price" for i in range(1, 15)) + """) as levels_out_of_order, count(*) filter (where """ + " or ".join(f"{s}_{i}_size <= 0" for i in range(15) for s in ("bid", "ask")) + """) as no_size, 1::bigint as missing_columns from b group by symbol)
+select symbol, "check", n_bad from c unpivot (n_bad for "check" in (same_time, crossed, no_price, gap, seq_falls, levels_out_of_order, no_size, missing_columns))""")
+def book_checks(spark, sf):
+    return ql.book_checks(view(spark, sf, "book_v"), ["symbol"], ["timestamp", "seq", "received_time"], 15, 7200.0)
 
 
 @query("A30_trade_checks", "select symbol, 'bad_price' as \"check\", count(*) filter (where price <= 100.5) as n_bad, count(*) filter (where price <= 100.5) <= 100 as ok from trades_v group by symbol union all select symbol, 'bad_qty', count(*) filter (where qty <= 0), count(*) filter (where qty <= 0) <= 100 from trades_v group by symbol union all select symbol, 'no_side', count(*) filter (where side is null), count(*) filter (where side is null) <= 100 from trades_v group by symbol")
@@ -352,16 +505,29 @@ def gap_report(spark, sf):
     return ql.gap_report(view(spark, sf, "candles_v"), 3600)
 
 
-@query("M10_candle_cleaning", f"with {_ANOMALY} select symbol, count(*) as n_left, round(sum(volume), 4) as volume from c where (symbol, timestamp) not in (select symbol, timestamp from anomalies where type in ('zero_volume', 'flat_run')) group by symbol")
+@query("M10_candle_cleaning", f"""with {_ANOMALY},
+runs as (select symbol, timestamp, epoch(timestamp)::bigint - row_number() over (partition by symbol order by timestamp) * 3600 as g from (select distinct symbol, timestamp from anomalies where type = 'flat_run')),
+long_runs as (select symbol, timestamp from (select *, count(*) over (partition by symbol, g) as n from runs) where n >= 2),
+bad as (select symbol, timestamp, 'zero_volume' as why from anomalies where type = 'zero_volume' union all select symbol, timestamp, 'flat_run' from long_runs
+ union all select symbol, timestamp, 'excluded' from c where timestamp >= timestamp '2024-01-10' and timestamp < timestamp '2024-01-11 12:00:00' and symbol in ('click', 'view')),
+first_of as (select symbol, timestamp, min(why) as why from bad group by all)
+select symbol, count(*) as n_all, count(*) filter (where why is null) as n_left, round(coalesce(sum(volume) filter (where why is null), 0), 4) as volume, count(*) filter (where why = 'zero_volume') as n_zero_volume, count(*) filter (where why = 'flat_run') as n_flat_run, count(*) filter (where why = 'excluded') as n_excluded
+from c left join first_of using (symbol, timestamp) group by symbol""")
 def candle_cleaning(spark, sf):
+    """What the cleaning of each symbol leaves, and what it drops for which reason; runs of two hours at the fixture's scale."""
     c = _odd_candles(spark, sf)
-    bad = ql.anomalies(c, 2, 0.3).where(F.col("type").isin("zero_volume", "flat_run"))
-    return rounded(ql.cleaned(c, bad).groupBy("symbol").agg(F.count("*").alias("n_left"), F.sum("volume").alias("volume")), 4)
+    windows = spark.createDataFrame([("click",), ("view",)], "symbol string").select(
+        "symbol", F.lit("2024-01-10").cast("timestamp").alias("start"), F.lit("2024-01-11 12:00:00").cast("timestamp").alias("end")
+    )
+    out = ql.auto_cleaned(c, ql.anomalies(c, 2, 0.3), 3600, 2, windows)
+    dropped = [F.count_if(F.col("why") == w).alias(f"n_{w}") for w in ("zero_volume", "flat_run", "excluded")]
+    left = F.coalesce(F.sum(F.when(F.col("why").isNull(), F.col("volume"))), F.lit(0.0)).alias("volume")
+    return rounded(out.groupBy("symbol").agg(F.count("*").alias("n_all"), F.count_if(F.col("why").isNull()).alias("n_left"), left, *dropped), 4)
 
 
 @query("K01_sorted", "select symbol, trade_id, round(price, 6) as price from trades_v")
 def sorted_rows(spark, sf):
-    t = view(spark, sf, "trades_v").repartition("symbol").sortWithinPartitions("symbol", "timestamp", "trade_id")
+    t = view(spark, sf, "trades_v").orderBy("timestamp", "symbol", "trade_id")
     return rounded(t.select("symbol", "trade_id", "price"))
 
 

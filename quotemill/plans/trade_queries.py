@@ -10,7 +10,10 @@ from quotemill.operators import bootstrap as bs
 from quotemill.operators import thresholds as th
 from quotemill.operators import timejoins as tj
 from quotemill.operators.bucketing import resample
+from quotemill.plans import core_queries
 from quotemill.plans.registry import query, r, rounded, us
+from quotemill.plans.stage0 import TAGS_SQL
+from quotemill.sources.scratch import stored
 from quotemill.sources.views import view
 
 UNIT = 60.0  # the fixture's horizons are minutes
@@ -101,7 +104,7 @@ def forward_range(spark, sf):
     return tj.range_join(view(spark, sf, "signals_v"), book, 0.0, 180 * 60.0).select("event_id", F.col("seq_r").alias("seq"))
 
 
-_WINDOWS_SQL = """spans as (select symbol, timestamp - interval 120 second as a, timestamp + interval 185 minute as b from signals_v),
+_WINDOWS_SQL = """spans as (select symbol, timestamp - interval 120 second as a, timestamp + interval 185 minute as b from signals_v where ms >= 150),
 ordered as (select *, max(b) over (partition by symbol order by a rows between unbounded preceding and 1 preceding) as reach from spans),
 island as (select *, sum(case when reach is null or a > reach then 1 else 0 end) over (partition by symbol order by a rows unbounded preceding) as g from ordered),
 windows as (select symbol, min(a) as s, max(b) as e, count(*) as n_events from island group by symbol, g)"""
@@ -109,25 +112,25 @@ windows as (select symbol, min(a) as s, max(b) as e, count(*) as n_events from i
 
 @query("J06_merged_windows", f"with {_WINDOWS_SQL} select symbol, epoch_us(s) as start, epoch_us(e) as \"end\", n_events from windows")
 def merged_windows(spark, sf):
-    return us(tj.merged_windows(view(spark, sf, "signals_v"), PRE, POST), "start", "end")
+    return us(tj.merged_windows(view(spark, sf, "signals_v").where("ms >= 150"), PRE, POST), "start", "end")
 
 
 @query("J05_rows_in_windows", f"with {_WINDOWS_SQL} select symbol, seq from book_v b where exists (select 1 from windows w where w.symbol = b.symbol and b.timestamp between w.s and w.e)")
 def rows_in_windows(spark, sf):
-    windows = tj.merged_windows(view(spark, sf, "signals_v"), PRE, POST)
+    windows = tj.merged_windows(view(spark, sf, "signals_v").where("ms >= 150"), PRE, POST)
     return tj.in_windows(view(spark, sf, "book_v"), windows, POST).select("symbol", "seq")
 
 
 @query("S04_book_in_windows", f"with {_WINDOWS_SQL} select symbol, seq, round((bid_0_price + ask_0_price) / 2, 6) as mid from book_v b where bid_0_price > 0 and ask_0_price > 0 and exists (select 1 from windows w where w.symbol = b.symbol and b.timestamp between w.s and w.e)")
 def book_in_windows(spark, sf):
-    windows = tj.merged_windows(view(spark, sf, "signals_v"), PRE, POST)
+    windows = tj.merged_windows(view(spark, sf, "signals_v").where("ms >= 150"), PRE, POST)
     book = view(spark, sf, "book_v").where("bid_0_price > 0 and ask_0_price > 0").select("symbol", "timestamp", "seq", r(x.mid()).alias("mid"))
     return tj.in_windows(book, windows, POST).select("symbol", "seq", "mid")
 
 
-@query("F07_exclusion_windows", "select trade_id from trades_v t where not exists (select 1 from signals_v s where s.event_id % 5 = 0 and s.symbol = t.symbol and t.timestamp >= s.timestamp and t.timestamp < s.timestamp + interval 6 hour)")
+@query("F07_exclusion_windows", "select trade_id from trades_v t where not exists (select 1 from signals_v s where s.ms >= 200 and s.symbol = t.symbol and t.timestamp >= s.timestamp and t.timestamp < s.timestamp + interval 6 hour)")
 def exclusion_windows(spark, sf):
-    s = view(spark, sf, "signals_v").where("event_id % 5 = 0")
+    s = view(spark, sf, "signals_v").where("ms >= 200")
     bad = s.select("symbol", F.col("timestamp").alias("start"), (F.col("timestamp") + F.make_dt_interval(hours=F.lit(6))).alias("end"))
     return tj.in_windows(view(spark, sf, "trades_v"), bad, 6 * 3600, anti=True, half_open=True).select("trade_id")
 
@@ -144,10 +147,10 @@ def left_join(spark, sf):
     return view(spark, sf, "router_v").join(s, "event_id", "left").select("event_id", "ms")
 
 
-@query("J09_full_join", "select event_id, r.pnl_net_bps as pnl, s.ms from (select event_id, pnl_net_bps from router_v where event_id % 2 = 0) r full join (select event_id, ms from signals_v) s using (event_id)")
+@query("J09_full_join", "select event_id, r.pnl_net_bps as pnl, s.ms from (select event_id, pnl_net_bps from router_v where pnl_net_bps > 0) r full join (select event_id, ms from signals_v where dir0 > 0) s using (event_id)")
 def full_join(spark, sf):
-    a = view(spark, sf, "router_v").where("event_id % 2 = 0").select("event_id", F.col("pnl_net_bps").cast("double").alias("pnl"))
-    return a.join(view(spark, sf, "signals_v").select("event_id", "ms"), "event_id", "full_outer").select("event_id", "pnl", "ms")
+    a = view(spark, sf, "router_v").where("pnl_net_bps > 0").select("event_id", F.col("pnl_net_bps").cast("double").alias("pnl"))
+    return a.join(view(spark, sf, "signals_v").where("dir0 > 0").select("event_id", "ms"), "event_id", "full_outer").select("event_id", "pnl", "ms")
 
 
 @query("J10_events_by_config", f"with {TRADES_SQL} select event_id, config, kept, round(pnl_net_bps, 5) as pnl_net_bps from trades")
@@ -216,7 +219,8 @@ bucketed as (select v.*, 'b' || ((atr_bps > e1)::int + (atr_bps > e2)::int + (at
 
 def _bucketed(spark, sf):
     kept = _trades(spark, sf).where("kept").select("event_id", "config", "symbol", "timestamp", "day", "month", "mode", "pnl_net_bps")
-    vol = bt.with_volatility(kept, view(spark, sf, "candles_v"), 4 * 3600, 14).persist()
+    vol = bt.with_volatility(kept, view(spark, sf, "candles_v"), 4 * 3600, 14)
+    vol = stored(vol, "volatility")
     edges = th.bucket_edges(vol, "atr_bps", 5)
     out = vol.crossJoin(F.broadcast(edges.select("edges")))
     return out.withColumn("vol_bucket", th.bucket_of(F.col("atr_bps"), F.col("edges"))).drop("edges")
@@ -235,11 +239,18 @@ def bucket_edges(spark, sf):
 
 @query("A18_bucket_summary", f"with {_ATR_TRADES} select config, vol_bucket, count(*) as n, count(distinct day) as n_days, round(avg(pnl_net_bps), 5) as mean, round(median(atr_bps), 5) as med_atr from bucketed group by config, vol_bucket")
 def bucket_summary(spark, sf):
-    t = _bucketed(spark, sf).persist()
+    return bucket_summary_intervals(spark, sf).select("config", "vol_bucket", "n", "n_days", "mean", "med_atr")
+
+
+@query("A18_bucket_summary_intervals")
+def bucket_summary_intervals(spark, sf):
+    """The summary with both intervals: rows drawn one by one, and whole days."""
+    t = _bucketed(spark, sf)
     by = ["config", "vol_bucket"]
-    blocks = bs.day_interval(t, "pnl_net_bps", "day", by, reps=200)
+    days = bs.day_interval(t, "pnl_net_bps", "day", by, reps=200).withColumnsRenamed({"ci_lo": "day_lo", "ci_hi": "day_hi"})
+    rows = bs.iid_interval(t, "pnl_net_bps", "event_id", by, reps=100).select(*by, F.col("ci_lo").alias("iid_lo"), F.col("ci_hi").alias("iid_hi"))
     med = t.groupBy(*by).agg(F.percentile("atr_bps", F.lit(0.5)).alias("med_atr"))
-    return rounded(blocks.join(med, by).select(*by, "n", "n_days", "mean", "med_atr"), 5)
+    return rounded(days.join(rows, by).join(med, by), 5)
 
 
 @query("A15_iid_interval")
@@ -273,16 +284,31 @@ def candidate_sets(n: int) -> list[tuple[str, list[str]]]:
 
 @query("A20_router_search", "with sets as (select 'b' || i || '-b' || j as name, i, j, -1 as skip from range(5) a(i), range(5) b(j) where i <= j union all select 'not b' || i, 0, 4, i from range(5) a(i)) select name, count(*) as n, round(avg(pnl_net_bps), 5) as mean, count(distinct day) as n_days from router_v join sets on right(vol_bucket, 1)::int between i and j and right(vol_bucket, 1)::int <> skip group by name")
 def router_search(spark, sf):
+    return router_search_ranked(spark, sf).select("name", "n", "mean", "n_days")
+
+
+@query("A20_router_search_ranked")
+def router_search_ranked(spark, sf):
+    """Bucket sets from the highest lower bound on, with their intervals."""
+    t = view(spark, sf, "router_v").withColumn("v", F.col("pnl_net_bps").cast("double"))
+    return rounded(_ranked_sets(spark, t, "v"), 5)
+
+
+def _ranked_sets(spark, trades, value):
     sets = spark.createDataFrame([(n, b) for n, bs_ in candidate_sets(5) for b in bs_], "name string, vol_bucket string")
-    t = view(spark, sf, "router_v").withColumn("v", F.col("pnl_net_bps").cast("double")).join(F.broadcast(sets), "vol_bucket")
-    ranked = bs.day_interval(t, "v", "day", ["name"], reps=200).orderBy(F.desc_nulls_last("ci_lo"), F.desc("mean"), "name")
-    return rounded(ranked.select("name", "n", "mean", "n_days"), 5)
+    out = bs.day_interval(trades.join(F.broadcast(sets), "vol_bucket"), value, "day", ["name"], reps=200)
+    return out.orderBy(F.desc_nulls_last("ci_lo"), F.desc("mean"), "name")
 
 
-@query("A21_bucket_delta", "select vol_bucket, round(avg(pnl_net_bps) filter (where side = 'MR') - avg(pnl_net_bps) filter (where side = 'BO'), 5) as delta from (select *, case when event_id % 2 = 0 then 'MR' else 'BO' end as side from router_v) group by vol_bucket")
+@query("A21_bucket_delta", "select vol_bucket, round(avg(pnl_net_bps) filter (where router_pick = 'MR') - avg(pnl_net_bps) filter (where router_pick = 'BO'), 5) as delta from router_v group by vol_bucket")
 def bucket_delta(spark, sf):
-    t = view(spark, sf, "router_v").withColumns({"v": F.col("pnl_net_bps").cast("double"), "side": F.when(F.col("event_id") % 2 == 0, "MR").otherwise("BO")})
-    return rounded(bs.day_delta(t, "v", "day", "side", "MR", "BO", ["vol_bucket"], reps=200).select("vol_bucket", "delta"), 5)
+    return bucket_delta_interval(spark, sf).select("vol_bucket", "delta")
+
+
+@query("A21_bucket_delta_interval")
+def bucket_delta_interval(spark, sf):
+    t = view(spark, sf, "router_v").withColumn("v", F.col("pnl_net_bps").cast("double"))
+    return rounded(bs.day_delta(t, "v", "day", "router_pick", "MR", "BO", ["vol_bucket"], reps=200), 5)
 
 
 _PATH_SQL = """spr as (select (ask_0_price - bid_0_price) / ((ask_0_price + bid_0_price) / 2 + 1e-12) * 1e4 as s from book_v),
@@ -306,10 +332,12 @@ def path_labels(spark, sf):
     return rounded(out.select("event_id", F.col("net_max").cast("double"), F.col("net_min").cast("double"), "label", "reason", r("seconds", 3).alias("seconds")), 5)
 
 
-@query("M04_eval_ready", "select event_id, epoch_us(timestamp) as timestamp, dir0, fees_rt_bps, slip_bps, ms from signals_v where event_id % 2 = 0 and ms is not null")
+@query("M04_eval_ready", f"with {TAGS_SQL} select symbol, epoch_us(bucket) as timestamp, dir0, 8.0::double as fees_rt_bps, 2.0::double as slip_bps, round(ms, 4) as ms from tags where pass_all_hard and ms is not null")
 def eval_ready(spark, sf):
-    s = view(spark, sf, "signals_v").withColumn("pass_all_hard", F.col("event_id") % 2 == 0).where("pass_all_hard")
-    return us(s.select("event_id", "timestamp", "dir0", *[x.finite(c).alias(c) for c in ("fees_rt_bps", "slip_bps", "ms")]).dropna(), "timestamp")
+    """What the funnel passes, with the columns of an evaluation; rows with an unknown number are left out."""
+    t = core_queries._tags(spark, sf).where("pass_all_hard").withColumns({"fees_rt_bps": F.lit(8.0), "slip_bps": F.lit(2.0)})
+    out = t.select("symbol", F.col("bucket").alias("timestamp"), "dir0", *[x.finite(c).alias(c) for c in ("fees_rt_bps", "slip_bps", "ms")])
+    return us(rounded(out.dropna(), 4), "timestamp")
 
 
 _DATASET_SQL = f"""{PNL_SQL}, {_BARS_SQL},
@@ -322,24 +350,35 @@ p as (select *, dir_use * raw_60 - 10.0 as p60, dir_use * raw_180 - 10.0 as p180
 
 
 def stageb_dataset(spark, sf):
-    """Signals with volatility bucket, branch, flipped direction, results and labels, in one plan."""
-    vol = bt.with_volatility(_pnl(spark, sf), view(spark, sf, "candles_v"), 4 * 3600, 14).persist()
+    """Signals with volatility bucket, branch, flipped direction, gate, results and labels, in one plan.
+
+    Only book rows that an entry or an exit can use are read.
+    """
+    signals, book = view(spark, sf, "signals_v"), view(spark, sf, "book_v")
+    reach = UNIT * max(bt.HORIZONS) + TOL
+    book = tj.in_windows(book, tj.merged_windows(signals, TOL, reach), reach)
+    vol = bt.with_volatility(bt.horizon_pnl(signals, book, bt.HORIZONS, UNIT, TOL), view(spark, sf, "candles_v"), 4 * 3600, 14)
+    vol = stored(vol, "volatility")
     out = vol.crossJoin(F.broadcast(th.bucket_edges(vol, "atr_bps", 5).select("edges")))
     out = out.withColumn("vol_bucket", th.bucket_of(F.col("atr_bps"), F.col("edges")))
     out = out.withColumn("router_branch", x.router_branch("vol_bucket")).withColumn("dir_use", x.branch_direction("router_branch", "dir0"))
+    known = F.lit(True)
+    for t in bt.HORIZONS:
+        known = known & F.col(f"raw_{t}").isNotNull()
     out = out.withColumn("pnl", x.exit_pnl(bt.net_pnl(60, F.col("dir_use")), bt.net_pnl(180, F.col("dir_use"))))
     return out.withColumns(
         {
             "y_go": x.positive("pnl"),
+            "pass_gate": known & F.coalesce(bt.net_pnl(30, F.col("dir_use")) > -15.0, F.lit(False)),
             "is_tradeable": F.col("pnl").isNotNull().cast("int"),
             "split": x.month_split(F.date_format("timestamp", "dd"), ("01", "15"), ("16", "22"), ("23", "31")),
         }
     )
 
 
-@query("M03_stageb_dataset", f"with {_DATASET_SQL} select event_id, vol_bucket, router_branch, dir_use, round(case when p60 < 0 then p60 else p180 end, 5) as pnl, coalesce(case when p60 < 0 then p60 else p180 end > 0, false)::int as y_go, case when day(timestamp) <= 15 then 'train' when day(timestamp) <= 22 then 'val' else 'test' end as split from p")
+@query("M03_stageb_dataset", f"with {_DATASET_SQL} select event_id, vol_bucket, router_branch, dir_use, round(case when p60 < 0 then p60 else p180 end, 5) as pnl, coalesce(case when p60 < 0 then p60 else p180 end > 0, false)::int as y_go, coalesce(raw_30 is not null and raw_45 is not null and raw_60 is not null and raw_120 is not null and raw_180 is not null and dir_use * raw_30 - 10.0 > -15, false) as pass_gate, case when day(timestamp) <= 15 then 'train' when day(timestamp) <= 22 then 'val' else 'test' end as split from p")
 def stageb(spark, sf):
-    return rounded(stageb_dataset(spark, sf).select("event_id", "vol_bucket", "router_branch", "dir_use", "pnl", "y_go", "split"), 5)
+    return rounded(stageb_dataset(spark, sf).select("event_id", "vol_bucket", "router_branch", "dir_use", "pnl", "y_go", "pass_gate", "split"), 5)
 
 
 @query("M08_backtest", f"with {_ATR_TRADES} select month, vol_bucket, count(*) as n, round(avg(pnl_net_bps), 5) as ev, round(quantile_cont(pnl_net_bps, 0.5), 5) as p50 from bucketed where mode = case when vol_bucket = 'b2' then 'MR' else 'BO' end group by month, vol_bucket")
@@ -347,3 +386,29 @@ def backtest(spark, sf):
     picked = bt.router_pick(_bucketed(spark, sf).withColumnRenamed("mode", "router_pick"))
     out = picked.groupBy("month", "vol_bucket").agg(F.count("*").alias("n"), F.avg("pnl_net_bps").alias("ev"), F.percentile("pnl_net_bps", F.lit(0.5)).alias("p50"))
     return rounded(out, 5)
+
+
+@query("M08_config_months", f"with {_ATR_TRADES} select config, month, count(*) as n, round(avg(pnl_net_bps), 5) as ev, round(quantile_cont(pnl_net_bps, 0.05), 5) as p05, round(quantile_cont(pnl_net_bps, 0.95), 5) as p95, count(*) filter (where mode = case when vol_bucket = 'b2' then 'MR' else 'BO' end) as n_routed, round(avg(pnl_net_bps) filter (where mode = case when vol_bucket = 'b2' then 'MR' else 'BO' end), 5) as ev_routed from bucketed group by config, month")
+def backtest_config_months(spark, sf):
+    """The backtest's table of each configuration and month: all trades, and those that the router takes."""
+    t = _bucketed(spark, sf)
+    routed = F.when(F.col("mode") == F.when(F.col("vol_bucket") == "b2", "MR").otherwise("BO"), F.col("pnl_net_bps"))
+    p = lambda q: F.percentile("pnl_net_bps", F.lit(q))
+    return rounded(
+        t.groupBy("config", "month").agg(
+            F.count("*").alias("n"), F.avg("pnl_net_bps").alias("ev"), p(0.05).alias("p05"), p(0.95).alias("p95"), F.count(routed).alias("n_routed"), F.avg(routed).alias("ev_routed")
+        ),
+        5,
+    )
+
+
+@query("M08_candidate_search")
+def backtest_candidate_search(spark, sf):
+    """The backtest's router candidates: bucket sets of the trades of all configurations, ranked by their lower bound."""
+    return rounded(_ranked_sets(spark, _bucketed(spark, sf), "pnl_net_bps"), 5)
+
+
+@query("M08_router_delta")
+def backtest_router_delta(spark, sf):
+    """Of each bucket, what trading against the signal earns over trading with it, with its interval."""
+    return rounded(bs.day_delta(_bucketed(spark, sf), "pnl_net_bps", "day", "mode", "MR", "BO", ["vol_bucket"], reps=200), 5)

@@ -24,6 +24,14 @@ TRADES = T.StructType(
 )
 
 
+def book_schema(levels: int = 15) -> T.StructType:
+    """Times, sequence number, prices as doubles and sizes as floats of each level and side, top spread."""
+    fields = [T.StructField("symbol", T.StringType()), T.StructField("timestamp", T.TimestampType()), T.StructField("received_time", T.TimestampType()), T.StructField("seq", T.LongType())]
+    kinds = {"price": T.DoubleType(), "size": T.FloatType()}
+    fields += [T.StructField(f"{s}_{i}_{k}", kind) for i in range(levels) for s in ("bid", "ask") for k, kind in kinds.items()]
+    return T.StructType([*fields, T.StructField("spread_top", T.DoubleType())])
+
+
 def months_between(first: str, last: str) -> list[str]:
     """'yyyy-MM' from ``first`` to ``last``, both included."""
     a, b = (int(m[:4]) * 12 + int(m[5:7]) - 1 for m in (first, last))
@@ -89,6 +97,13 @@ def epoch_timestamp(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.timestamp_millis(x) if median is None or median < 1e15 else F.timestamp_micros(F.expr(f"cast(`{column}` as bigint) div 1000")))
 
 
+def with_times(raw: DataFrame) -> DataFrame:
+    """``raw`` with those of its known time columns that are numbers or texts as timestamps."""
+    for c in ("origin_time", "received_time", "timestamp"):
+        raw = epoch_timestamp(raw, c) if c in raw.columns else raw
+    return raw
+
+
 def normalize_l1(raw: DataFrame) -> DataFrame:
     """Best quotes with spread; rows without a time are dropped."""
     names = {"best_bid": "bid_0_price", "best_ask": "ask_0_price", "bid_qty": "bid_0_size", "ask_qty": "ask_0_size"}
@@ -98,6 +113,7 @@ def normalize_l1(raw: DataFrame) -> DataFrame:
 
 def normalize_trades(raw: DataFrame) -> DataFrame:
     """Trades under any of the known names: times, price or last_price, quantity or qty, side or is_buyer_maker."""
+    raw = with_times(raw)
     side = F.lower(first_of(raw, "side"))
     by_side = F.when(side == "buy", True).when(side == "sell", False)
     flags = [F.col("is_aggr_buy")] if "is_aggr_buy" in raw.columns else []
@@ -109,18 +125,19 @@ def normalize_trades(raw: DataFrame) -> DataFrame:
         finite(first_of(raw, "price", "last_price")).alias("price"), finite(first_of(raw, "quantity", "qty")).alias("qty"),
         buy.alias("is_aggr_buy"), first_of(raw, "trade_id").try_cast("long").alias("trade_id"), F.when(buy, "buy").when(~buy, "sell").alias("side"),
     )
-    out = epoch_timestamp(epoch_timestamp(out, "timestamp"), "received_time")
     return conform(out.where("timestamp is not null"), TRADES)
 
 
 def normalize_book(raw: DataFrame, levels: int = 15) -> DataFrame:
-    """``levels`` levels as doubles (missing columns and values: NULL), seq -1 where unknown, top spread."""
+    """Rows of ``book_schema``: missing columns and values are NULL, an unknown seq is -1; rows without a time go."""
+    raw = with_times(raw)
     sides = [f"{s}_{i}_{k}" for i in range(levels) for s in ("bid", "ask") for k in ("price", "size")]
     cols = [(finite(c) if c in raw.columns else F.lit(None).cast("double")).alias(c) for c in sides]
     seq = F.coalesce(first_of(raw, "sequence_number", "seq").try_cast("long"), F.lit(-1).cast("long")).alias("seq")
-    out = raw.select("symbol", first_of(raw, "origin_time", "timestamp").alias("timestamp"), seq, *cols)
-    out = epoch_timestamp(out, "timestamp").where("timestamp is not null")
-    return out.withColumn("spread_top", F.col("ask_0_price") - F.col("bid_0_price"))
+    received = first_of(raw, "received_time", "origin_time", "timestamp").alias("received_time")
+    out = raw.select("symbol", first_of(raw, "origin_time", "timestamp").alias("timestamp"), received, seq, *cols)
+    out = out.where("timestamp is not null")
+    return conform(out.withColumn("spread_top", F.col("ask_0_price") - F.col("bid_0_price")), book_schema(levels))
 
 
 def normalize_candles(raw: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -150,7 +167,8 @@ def write_monthly(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "
 
 
 def write_yearly(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "overwrite") -> None:
-    out = df.withColumn("year", F.year(ts)).repartition("symbol", "year").sortWithinPartitions("symbol", "year", ts)
+    # By month, so that a symbol with most rows is many tasks; a task's rows of a year are a file in time order.
+    out = df.withColumn("year", F.year(ts)).repartition("symbol", "year", F.month(ts)).sortWithinPartitions("symbol", "year", ts)
     out.write.mode(mode).partitionBy("symbol", "year").parquet(path)
 
 

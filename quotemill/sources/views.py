@@ -30,7 +30,7 @@ VIEWS = {
     "from trades_v group by symbol, date_trunc('hour', timestamp)",
     "signals_v": "select event_id, event_type as symbol, ts as timestamp, "
     "case when event_id % 3 = 0 then -1 else 1 end as dir0, 8.0 as fees_rt_bps, 2.0 as slip_bps, value as ms "
-    "from tape where event_id % 7 = 0",
+    "from tape",
     "grid_v": "select event_type as symbol, ts as t, event_id, 0.001 + value/10000.0 as atr_pct, "
     "cast(user_id % 50 as double)/10.0 as spread_bps_entry, cast(event_id % 97 as double) as quote_churn_10s, "
     "cast((event_id % 41) - 20 as double)/20.0 as obi_5, cast((event_id % 31) as double)/31.0 as aggr_ratio_10s, "
@@ -39,11 +39,11 @@ VIEWS = {
     "cast((event_id*17 % 103) - 50 as double)/10000.0 as {q}pnl_net_rr1.50_rf10_ts60{q}, "
     "cast((event_id*19 % 107) - 50 as double)/10000.0 as {q}pnl_net_rr2.00_rf20_ts90{q} from tape",
     "router_v": "select event_id, ts as timestamp, date_trunc('day', ts) as day, event_type as symbol, "
-    "case when event_id % 5 = 2 then 'MR' else 'BO' end as router_pick, "
+    "case when user_id % 3 = 2 then 'MR' else 'BO' end as router_pick, value as strength, "
     "concat('b', cast(event_id % 5 as varchar(9))) as vol_bucket, "
     "cast((event_id*23 % 211) - 100 as double)/10.0 as pnl_net_bps, "
     "case when event_id % 11 = 0 then null else cast((event_id*29 % 997) as double)/997.0 end as score "
-    "from tape where event_id % 3 = 0",
+    "from tape",
 }
 
 

@@ -20,7 +20,7 @@ def rows(frame):
         if v is None or (isinstance(v, float) and math.isnan(v)) or str(v) in ("NaT", "<NA>", "nan"):
             return "null"
         if isinstance(v, (int, float)) or hasattr(v, "dtype"):
-            return f"{float(v) + 0.0:.4f}"
+            return f"{round(float(v), 6) + 0.0:.6f}"
         return str(v)
 
     frame = frame[sorted(frame.columns)]

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from quotemill.operators import bucketing, funnel, quality, study, timejoins, windows
+from quotemill.operators import bucketing, funnel, quality, routing, study, timejoins, windows
 from quotemill.operators import thresholds as th
 from quotemill.sources import ingest
 
@@ -147,3 +147,57 @@ def test_epoch_texts_and_failures(spark):
 
 def test_missing_json_gives_an_empty_table(spark, tmp_path):
     assert ingest.read_json_or_empty(spark, str(tmp_path / "none"), "a int").count() == 0
+
+
+def test_rolling_thresholds_only_get_stricter(spark):
+    rows = [(op, m, 10.0, v, n, on) for op, on in (("<", True), (">", True), ("<", False)) for m, (v, n) in enumerate([(20.0, 100), (0.0, 100), (20.0, 20), (5.0, 3), (None, 100)])]
+    local = frame(spark, rows, "op string, month int, prior double, v double, n long, on boolean").withColumn("g", F.concat("op", F.col("on").cast("string")))
+    out = routing.rolling_thresholds(local, ["g"], "month", "prior", "v", "n", 50, 10, enabled="on").orderBy("g", "month").collect()
+    used = {g: [round(r.used, 6) for r in out if r.g == g] for g in ("<true", ">true", "<false")}
+    # from n0 rows on: < may only fall, > only rise; fewer than that: either way, by 7 % at most; too few or unknown: kept
+    assert used["<true"] == [10, 10, 9.3, 9.951, 9.951] and used[">true"] == [10, 10.7, 10.7, 11.449, 11.449] and used["<false"] == [10] * 5
+
+
+def test_binned_regime_falls_back(spark):
+    flat = [("a", 1.0)] * 4 + [("b", float(k)) for k in range(10)]
+    got = routing.binned_regime(frame(spark, flat, "s string, v double"), "v", [F.col("s")]).collect()
+    assert {r.regime for r in got if r.s == "a"} == {"CALM"}  # group edges don't rise: those of all rows, 1.2 and 4.75
+    assert [r.regime for r in sorted((r for r in got if r.s == "b"), key=lambda r: r.v)] == ["CALM"] * 4 + ["NORMAL"] * 3 + ["VOLATILE"] * 3
+    same = routing.binned_regime(frame(spark, [("a", 1.0)] * 4, "s string, v double"), "v", [F.col("s")])
+    assert {r.regime for r in same.collect()} == {"NORMAL"}
+
+
+def test_labelled_rows_sample_the_last_flag(spark):
+    rows = [(i, False, False, True) for i in range(30)]
+    tags = frame(spark, rows, "id long, pass_all_hard boolean, pass_ms_keep boolean, pass_up_to_sign_ti boolean")
+    one = {r.id for r in funnel.labelled_rows(tags, 5, ["id"]).collect()}
+    assert len(one) == 5 and one == {r.id for r in funnel.labelled_rows(tags.repartition(7), 5, ["id"]).collect()}
+    assert funnel.labelled_rows(tags, 30, ["id"]).count() == 30 and funnel.labelled_rows(tags.where("id < 0"), 30, ["id"]).count() == 0
+
+
+def test_regime_edges_need_rows(spark):
+    df = frame(spark, [(float(i),) for i in range(10)], "x double")
+    assert th.regime_edges(df, "x").first().lo is None and th.regime_edges(df, "x", least_rows=10).first().lo == 3.6
+
+
+def test_frequencies(spark):
+    from quotemill.functions import expr as x
+
+    df = frame(spark, [("250ms",), ("5m",), ("1h",), ("1d",), ("soon",)], "f string")
+    assert [tuple(r) for r in df.select(x.frequency_ms("f"), x.resample_name("f")).collect()] == [(250, "250ms"), (300_000, "5min"), (3_600_000, "1h"), (86_400_000, "1d"), (None, "soon")]
+
+
+def test_working_tables_are_deleted(spark):
+    import os
+
+    from quotemill.sources.scratch import kept, stored, working_tables
+
+    path = lambda df: df.inputFiles()[0].removeprefix("file:").lstrip("/")
+    with working_tables(spark):
+        with working_tables(spark):
+            gone = path(stored(spark.range(3).coalesce(1), "a"))
+            left = kept(spark.range(3).coalesce(1), "b")
+        assert not os.path.exists(f"/{gone}") and left.count() == 3
+        left = path(left)
+    assert not os.path.exists(f"/{left}")
+    assert kept(spark.range(3), "c").count() == 3
