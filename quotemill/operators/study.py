@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -57,27 +58,24 @@ def learned_sizes(train: DataFrame, test: DataFrame, score: str, value: str, q:
 def governor(trades: DataFrame, day: str, order: list[str], pnl: str, size: str, steps: list[tuple[float, float]], floor: float) -> DataFrame:
     """Drawdown governor: a day's trades in order, each scaled by the running result before it.
 
-    ``steps``: (result above which, multiplier), from the highest. A day is one row's array, folded natively, so a
-    day's trades must fit a row.
+    ``steps``: (result above which, multiplier), from the highest. Each result depends on all before it, so a day is folded
+    in one task, in time that grows with its trades; days are dealt over the tasks.
     """
-    rows = trades.groupBy(day).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(pnl).cast("double").alias("p"), F.col(size).cast("double").alias("z")))).alias("t"))
-
-    def scaled(total: Column) -> Column:
-        out = F.lit(floor)
-        for least, m in sorted(steps):
-            test = total >= least if least == 0 else total > least
-            out = F.when(test, F.lit(m)).otherwise(out)
-        return out
-
-    def step(acc: Column, x: Column) -> Column:
-        m = scaled(acc["total"])
-        done = F.struct(*[x[c].alias(c) for c in order], (x["z"] * m).alias("size_used"), acc["total"].alias("before"))
-        return F.struct((acc["total"] + x["p"] * x["z"] * m).alias("total"), F.concat(acc["done"], F.array(done)).alias("done"))
-
-    kinds = ", ".join(f"{c}:{trades.schema[c].dataType.simpleString()}" for c in order)
-    empty = F.array().cast(f"array<struct<{kinds},size_used:double,before:double>>")
-    start = F.struct(F.lit(0.0).alias("total"), empty.alias("done"))
-    return rows.select(day, F.inline(F.aggregate("t", start, step)["done"]))
+    kinds = {c: trades.schema[c].dataType.simpleString() for c in (day, *order)}
+
+    def fold(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(order, kind="stable")
+        total, used, before = 0.0, [], []
+        for p, z in zip(rows["p_"].to_numpy(), rows["z_"].to_numpy(), strict=True):
+            m = next((m for least, m in steps if (total >= least if least == 0 else total > least)), floor)
+            used.append(z * m)
+            before.append(total)
+            total += p * z * m
+        return rows[[day, *order]].assign(size_used=used, before=before)
+
+    own = trades.select(day, *order, F.col(pnl).cast("double").alias("p_"), F.col(size).cast("double").alias("z_"))
+    schema = ", ".join(f"`{c}` {t}" for c, t in kinds.items()) + ", size_used double, before double"
+    return own.groupBy(day).applyInPandas(fold, schema)
 
 
 def metrics(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:

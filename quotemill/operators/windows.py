@@ -1,7 +1,9 @@
 """Ordered features: rolling sums, medians and ranges, sign persistence, run lengths.
 
-Row-count windows over one big symbol would be one task. ``row_chunks`` numbers a symbol's rows by parts of its
-time line, cuts them into chunks of fixed length and repeats the rows that reach into the next chunk.
+A window over all rows of one big symbol would be one task. ``row_chunks`` numbers a symbol's rows by parts of its
+time line, cuts them into chunks of fixed length and repeats the rows that reach into the next chunk; ``time_parts``
+does so for windows of time. What has no bounded reach (persistence, runs) is made within parts, and one row of each
+part is handed on to the later ones.
 """
 
 from __future__ import annotations
@@ -57,28 +59,45 @@ def flow_features(buckets: DataFrame, rows: int, seconds: float) -> DataFrame:
     return flow_rates(over_rows(buckets, ["bucket"], {f"{c}_w": (F.sum(c), rows) for c in names}), seconds)
 
 
-def time_median(df: DataFrame, value: str, seconds: float, ts: str = "bucket", key: str = "symbol") -> Column:
+def time_parts(df: DataFrame, halo: float, part: float, ts: str = "bucket") -> DataFrame:
+    """``df`` with part_ and own_: every row in its part of ``part`` seconds, the last ``halo`` seconds also in the next."""
+    width, reach = int(part * 1_000_000), int(halo * 1_000_000)
+    home = F.floor(micros(ts) / F.lit(width))
+    also = F.when(F.pmod(micros(ts), F.lit(width)) >= width - reach, F.array(home, home + 1)).otherwise(F.array(home))
+    return df.withColumn("part_", F.explode(also)).withColumn("own_", F.col("part_") == F.floor(micros(ts) / F.lit(width)))
+
+
+def time_median(value: str, seconds: float, ts: str, keys: list[str]) -> Column:
     """Median of ``value`` over (t - seconds, t]."""
-    frame = W.partitionBy(key).orderBy(micros(ts)).rangeBetween(-int(seconds * 1_000_000) + 1, 0)
+    frame = W.partitionBy(*keys).orderBy(micros(ts)).rangeBetween(-int(seconds * 1_000_000) + 1, 0)
     return F.percentile(value, F.lit(0.5)).over(frame)
 
 
-def relative_spread(df: DataFrame, short: float, long: float, least_rows: int = 10, ts: str = "bucket", key: str = "symbol") -> DataFrame:
-    """Short median of the spread, its own long median, and their ratio.
+def time_medians(
+    df: DataFrame, short: float, long: float, depths: dict[str, str], depth_seconds: float, least_rows: int = 10, part: float | None = None, ts: str = "bucket", key: str = "symbol"
+) -> DataFrame:
+    """Relative spread and thinning, from medians over time.
 
-    With fewer than ``least_rows`` rows in the long frame the long median is the short one and the ratio 1.
+    ``spread_1s`` is the median of spread_bps over ``short`` seconds, ``spread_med`` its own median over ``long`` and
+    ``spread_rel`` their ratio; with fewer than ``least_rows`` rows in the long frame the long median is the short one
+    and the ratio 1. ``depths``: name to depth column, (median - depth) / median over ``depth_seconds``. A symbol's time
+    line is cut into parts of ``part`` seconds (eight times what the windows reach back), so that none is one task.
     """
-    frame = W.partitionBy(key).orderBy(micros(ts)).rangeBetween(-int(long * 1_000_000) + 1, 0)
-    out = df.withColumn("spread_1s", time_median(df, "spread_bps", short, ts, key))
+    halo = max(short + long, depth_seconds)
+    rows, keys = time_parts(df, halo, part or 8 * halo, ts), [key, "part_"]
+    frame = W.partitionBy(*keys).orderBy(micros(ts)).rangeBetween(-int(long * 1_000_000) + 1, 0)
+    rows = rows.withColumn("spread_1s", time_median("spread_bps", short, ts, keys))
     enough = F.count("spread_1s").over(frame) >= least_rows
-    med = F.when(enough, F.percentile("spread_1s", F.lit(0.5)).over(frame))
-    out = out.withColumn("med_", med)
-    return out.withColumns(
+    rows = rows.withColumn("med_", F.when(enough, F.percentile("spread_1s", F.lit(0.5)).over(frame)))
+    rows = rows.withColumns({f"{n}_": time_median(c, depth_seconds, ts, keys) for n, c in depths.items()}).where("own_")
+    out = rows.withColumns(
         {
             "spread_med": F.coalesce("med_", "spread_1s"),
             "spread_rel": F.coalesce(F.col("spread_1s") / (F.col("med_") + TINY), F.lit(1.0)),
+            **{n: (F.col(f"{n}_") - F.col(c)) / (F.col(f"{n}_") + SMALL) for n, c in depths.items()},
         }
-    ).drop("med_")
+    )
+    return out.drop("med_", "part_", "own_", *[f"{n}_" for n in depths])
 
 
 def range_parts(value: str, rows: int, name: str) -> dict[str, tuple[Column, int]]:
@@ -92,24 +111,41 @@ def range_bps(value: str, rows: int, name: str) -> Column:
     return F.when(F.col(f"{name}_n") >= rows, full).otherwise(0.0)
 
 
-def persistence_ms(df: DataFrame, signs: str, cap_ms: int, order: list[str], ts: str = "bucket", key: str = "symbol") -> Column:
-    """Milliseconds since the sign last changed or was 0, at most ``cap_ms``; 0 in the first row."""
-    by = W.partitionBy(key).orderBy(*order)
-    before = F.lag(signs).over(by)
-    reset = before.isNull() | (F.col(signs) == 0) | (F.col(signs) != before)
-    since = F.last(F.when(reset, micros(ts)), True).over(by.rowsBetween(W.unboundedPreceding, 0))
-    return F.least((micros(ts) - since) / 1000.0, F.lit(float(cap_ms)))
+def _handed_on(df: DataFrame, values: dict[str, Column], key: str) -> DataFrame:
+    """(key, part_, names): of each part the last known values of the parts before it; ``values`` are aggregates of a part."""
+    before = W.partitionBy(key).orderBy("part_").rowsBetween(W.unboundedPreceding, -1)
+    parts = df.groupBy(key, "part_").agg(*[c.alias(n) for n, c in values.items()])
+    return parts.select(key, "part_", *[F.last(n, True).over(before).alias(n) for n in values])
 
 
-def thinning(df: DataFrame, depth: str, seconds: float, ts: str = "bucket", key: str = "symbol") -> Column:
-    """(median depth - depth) / median depth over the last ``seconds``."""
-    med = time_median(df, depth, seconds, ts, key)
-    return (med - F.col(depth)) / (med + SMALL)
+def with_persistence(df: DataFrame, signs: dict[str, str], cap_ms: int, order: list[str], part_seconds: int = 7 * 86400, ts: str = "bucket", key: str = "symbol") -> DataFrame:
+    """Adds name: milliseconds since the sign column last changed or was 0, at most ``cap_ms``; 0 in the first row.
 
-
-def run_lengths(df: DataFrame, flag: str, order: list[str], key: str = "symbol") -> DataFrame:
-    """Runs of rows with ``flag``: key, first and last order value, number of rows."""
-    by = W.partitionBy(key).orderBy(*order)
-    rows = df.withColumn("break_", (~F.col(flag)).cast("int")).withColumn("island_", F.sum("break_").over(by.rowsBetween(W.unboundedPreceding, 0)))
+    A symbol is made in parts of its time line, each of which gets two values for a sign from those before it.
+    """
+    rows = df.withColumn("part_", F.floor(F.unix_seconds(ts) / F.lit(part_seconds)))
+    by, place = W.partitionBy(key, "part_").orderBy(*order), F.struct(*order)
+    rows = rows.join(_handed_on(rows, {f"last_{n}": F.max_by(c, place) for n, c in signs.items()}, key), [key, "part_"])
+    resets = {}
+    for n, c in signs.items():
+        before = F.coalesce(F.lag(c).over(by), F.col(f"last_{n}"))
+        resets[f"reset_{n}"] = F.when(before.isNull() | (F.col(c) == 0) | (F.col(c) != before), micros(ts))
+    rows = rows.withColumns(resets)
+    rows = rows.join(_handed_on(rows, {f"since_{n}": F.max(f"reset_{n}") for n in signs}, key), [key, "part_"])
+    up_to = by.rowsBetween(W.unboundedPreceding, 0)
+    since = {n: F.coalesce(F.last(f"reset_{n}", True).over(up_to), F.col(f"since_{n}")) for n in signs}
+    out = rows.withColumns({n: F.least((micros(ts) - s) / 1000.0, F.lit(float(cap_ms))) for n, s in since.items()})
+    return out.drop("part_", *[f"{k}_{n}" for n in signs for k in ("last", "reset", "since")])
+
+
+def run_lengths(df: DataFrame, flag: str, order: list[str], part_seconds: int = 7 * 86400, key: str = "symbol") -> DataFrame:
+    """Runs of rows with ``flag``: key, first and last order value, number of rows. Parts are given the breaks before them."""
+    rows = df.withColumn("part_", F.floor(F.unix_seconds(order[0]) / F.lit(part_seconds)))
+    breaks = (~F.col(flag)).cast("int")
+    parts = rows.groupBy(key, "part_").agg(F.sum(breaks).alias("n_"))
+    before = F.coalesce(F.sum("n_").over(W.partitionBy(key).orderBy("part_").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.join(parts.select(key, "part_", before.alias("before_")), [key, "part_"])
+    within = W.partitionBy(key, "part_").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("island_", F.col("before_") + F.sum(breaks).over(within))
     runs = rows.where(flag).groupBy(key, "island_")
     return runs.agg(F.min(order[0]).alias("first"), F.max(order[0]).alias("last"), F.count("*").alias("n")).drop("island_")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quotemill.functions import expr as x
 from quotemill.operators import windows as w
 from quotemill.operators.bucketing import last_snapshots, trade_flow, with_flow
+from quotemill.sources.scratch import stored
 from quotemill.sources.views import view
 
 
@@ -33,8 +34,11 @@ LIVE = Stage0("250 milliseconds", 8, 2.0, 1.0, 300.0, 240, 2400, 800, 2.0, 0.1)
 
 
 def features(book: DataFrame, trades: DataFrame, c: Stage0 = Stage0()) -> DataFrame:
-    """One row for each (symbol, bucket) with a valid last snapshot, with all features of the funnel."""
-    out = with_flow(last_snapshots(book, c.step), trade_flow(trades, c.step)).withColumn("mid", x.mid())
+    """One row for each (symbol, bucket) with a valid last snapshot, with all features of the funnel.
+
+    Buckets, and the features that need no time windows, are written once: several branches read each.
+    """
+    out = stored(with_flow(last_snapshots(book, c.step), trade_flow(trades, c.step)).withColumn("mid", x.mid()), "buckets")
     flow = {f"{n}_w": (F.sum(n), c.flow_rows) for n in ("notional_buy", "notional_sell", "ntr")}
     ranges = w.range_parts("mid", c.range_rows, "range60") | w.range_parts("mid", c.long_range_rows, "range600")
     out = w.flow_rates(w.over_rows(out, ["bucket"], flow | ranges), c.flow_seconds)
@@ -44,19 +48,10 @@ def features(book: DataFrame, trades: DataFrame, c: Stage0 = Stage0()) -> DataFr
     out = out.withColumns({"dir0": x.direction("ti", "micro_bias"), "sign_micro": x.sign("micro_bias"), "sign_obi": x.sign("obi10")})
     out = out.withColumns({f"opp{k}": F.when(F.col("dir0") > 0, F.col(f"da{k}")).otherwise(F.col(f"db{k}")) for k in (3, 10)})
     out = out.withColumns({"range60_bps": w.range_bps("mid", c.range_rows, "range60"), "range600_bps": w.range_bps("mid", c.long_range_rows, "range600")})
-    out = w.relative_spread(out, c.spread_short, c.spread_long)
-    out = out.withColumns(
-        {
-            "persist_micro_ms": w.persistence_ms(out, "sign_micro", c.persist_cap_ms, ["bucket"]),
-            "persist_obi_ms": w.persistence_ms(out, "sign_obi", c.persist_cap_ms, ["bucket"]),
-            "thin3": w.thinning(out, "opp3", c.thin_seconds),
-            "thin10": w.thinning(out, "opp10", c.thin_seconds),
-            "abs_micro": F.abs("micro_bias"),
-            "abs_obi10": F.abs("obi10"),
-            "abs_ti": F.abs("ti"),
-        }
-    )
-    return out
+    out = stored(out, "bucket-features")
+    out = w.with_persistence(out, {"persist_micro_ms": "sign_micro", "persist_obi_ms": "sign_obi"}, c.persist_cap_ms, ["bucket"])
+    out = w.time_medians(out, c.spread_short, c.spread_long, {"thin3": "opp3", "thin10": "opp10"}, c.thin_seconds)
+    return out.withColumns({"abs_micro": F.abs("micro_bias"), "abs_obi10": F.abs("obi10"), "abs_ti": F.abs("ti")})
 
 
 def tape_features(spark: SparkSession, sf_dir: str, c: Stage0 = Stage0()) -> DataFrame:

@@ -79,8 +79,24 @@ def test_time_joins_are_equi_joins(spark, make):
 def test_persistence_resets_and_caps(spark):
     rows = [("a", at(t), float(s)) for t, s in ((0, 1), (0.5, 1), (1.0, 1), (1.5, -1), (2.0, 0), (2.5, -1), (3.0, -1))]
     df = frame(spark, rows, "symbol string, bucket timestamp, s double")
-    got = [r[0] for r in df.withColumn("p", windows.persistence_ms(df, "s", 800, ["bucket"])).orderBy("bucket").select("p").collect()]
-    assert got == [0, 500, 800, 0, 0, 0, 500]
+    for part in (86400, 1):  # one part, and a part for each second
+        got = [r[0] for r in windows.with_persistence(df, {"p": "s"}, 800, ["bucket"], part).orderBy("bucket").select("p").collect()]
+        assert got == [0, 500, 800, 0, 0, 0, 500]
+
+
+def test_runs_go_over_parts(spark):
+    flags = [True, True, False, True, True, True, False, False, True]
+    df = frame(spark, [("a", at(3600 * i), f) for i, f in enumerate(flags)], "symbol string, timestamp timestamp, up boolean")
+    for part in (86400 * 99, 7200):
+        runs = windows.run_lengths(df, "up", ["timestamp"], part).orderBy("first").collect()
+        assert [((r.first - T0).seconds // 3600, r.n) for r in runs] == [(0, 2), (3, 3), (8, 1)]
+
+
+def test_time_medians_in_parts_equal_whole_ones(spark):
+    rows = [("a", at(600 * i * (1 + i % 3)), float(i * i % 17), float(i % 7 + 1)) for i in range(120)]
+    df = frame(spark, rows, "symbol string, bucket timestamp, spread_bps double, d double")
+    made = [windows.time_medians(df, 3000, 20_000, {"thin": "d"}, 9000, part=p).orderBy("bucket").collect() for p in (10**9, 25_000)]
+    assert made[0] == made[1] and len(made[0]) == 120
 
 
 def test_row_windows_in_chunks_equal_plain_ones(spark):
