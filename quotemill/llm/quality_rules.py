@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quotemill.llm.storage import stored
+from quotemill.llm.storage import kept, stored, working_tables
 
 # What separates words, and the symbols that the rules count.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -81,7 +81,7 @@ def repeated_lines(text: Column) -> Column:
 
 
 def with_class_counts(texts: DataFrame) -> DataFrame:
-    """``texts`` with word_chars, n_symbols and ``classes``: characters in each class, bytes beyond one a character
+    """``texts`` with word_chars, n_symbols, class_total and ``classes``: characters in each class, bytes beyond one a character
     (accents, other scripts), all other characters.
 
     Counts are columns before they are an array, so that each is made once. Matches are counted, not replaced: the
@@ -96,7 +96,8 @@ def with_class_counts(texts: DataFrame) -> DataFrame:
     known = [F.col("upper_"), F.col("digit_"), F.col("space_"), F.col("stop_"), F.col("n_symbols"), F.col("wide_")]
     rest = F.greatest(F.col("chars_") - reduce(lambda a, c: a + c, known), F.lit(0))
     classes = F.array(*[c.cast("double") for c in (*known, rest)])
-    return counted.withColumn("classes", classes).drop("chars_", "wide_", *own)
+    total = reduce(lambda a, c: a + c, known) + rest
+    return counted.withColumns({"classes": classes, "class_total": total.cast("double")}).drop("chars_", "wide_", *own)
 
 
 def shares(counts: Column) -> Column:
@@ -108,14 +109,13 @@ def shares(counts: Column) -> Column:
     return bind(counts, scaled)
 
 
-def jensen_shannon(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance (square root of the divergence in bits) of two share arrays, 0 to 1."""
-
-    def term(a: Column, m: Column) -> Column:
-        return F.when((a > 0) & (m > 0), a * F.log2(a / m)).otherwise(F.lit(0.0))
-
-    parts = F.zip_with(p, q, lambda a, b: (term(a, (a + b) / 2) + term(b, (a + b) / 2)) / 2)
-    return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
+def jensen_shannon(counts: Column, total: Column, q: Column) -> Column:
+    """Jensen-Shannon distance (square root of the divergence in bits), 0 to 1, of ``counts`` as shares of ``total`` and
+    the shares ``q``: the entropy of the mean histogram less the mean entropy of both."""
+    bits = lambda x: F.when(x > 0, x * F.log2(x)).otherwise(F.lit(0.0))
+    own = lambda c: c / F.greatest(total, F.lit(1.0))
+    parts = F.zip_with(counts, q, lambda c, b: bits(own(c)) + bits(b) - 2.0 * bits((own(c) + b) / 2.0))
+    return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x) / 2.0, F.lit(0.0)))
 
 
 def language_references(documents: DataFrame, rules: QualityRules) -> DataFrame:
@@ -131,6 +131,7 @@ def language_references(documents: DataFrame, rules: QualityRules) -> DataFrame:
     words = docs.select("ref_lang", F.explode(words_of(F.lower("text"))).alias("word"))
     short = F.length("word") <= rules.common_word_chars
     counts = words.groupBy("ref_lang", F.when(short, F.col("word")).alias("word")).agg(F.count("*").alias("n"))
+    counts = stored(counts, "quality-words")  # read twice: for the commonest words and for the total
     ranked = (
         counts.where("word is not null")
         .withColumn("rank", F.row_number().over(W.partitionBy("ref_lang").orderBy(F.desc("n"), "word")))
@@ -157,10 +158,11 @@ def apply_quality_rules(documents: DataFrame, rules: QualityRules = QualityRules
     """Rule counts, distances and verdict of every document; one row per input row.
 
     Null text counts as a text without words, and fails ``min_words``. A null language and an empty one are one
-    language, and so are all rows of a language nobody else has. Ties and repeated rows are judged alike, other columns are left out, an empty table gives an empty
+    language. Texts of fewer than ``min_words`` words have too small histograms: their distances are null. Ties and repeated rows are judged alike, other columns are left out, an empty table gives an empty
     result. Whole texts are judged.
     """
-    refs = stored(language_references(documents, rules), "quality-refs")
+    with working_tables(documents.sparkSession):
+        refs = kept(language_references(documents, rules), "quality-refs")
     text = F.coalesce("text", F.lit(""))
     docs = documents.select("doc_id", F.coalesce("lang", F.lit("")).alias("ref_lang"), text.alias("text"))
     words = with_class_counts(docs).withColumn("words", words_of(F.col("text")))
@@ -172,6 +174,7 @@ def apply_quality_rules(documents: DataFrame, rules: QualityRules = QualityRules
         F.col("word_chars").cast("long").alias("word_chars"),
         F.col("n_symbols").cast("long").alias("n_symbols"),
         "classes",
+        "class_total",
         repeated_lines(F.col("text")).alias("n_dup_lines"),
         repeated_window_words(F.col("words")).alias("n_repeat_words"),
     )
@@ -186,10 +189,11 @@ def apply_quality_rules(documents: DataFrame, rules: QualityRules = QualityRules
     )
     rest = bind(hits, lambda h: F.concat(h, F.array(n.cast("double") - F.aggregate(h, F.lit(0.0), lambda a, x: a + x))))
     allowance = F.lit(rules.noise) / F.sqrt(F.greatest(n, F.lit(1)).cast("double"))
+    guarded = lambda c: F.when(n >= rules.min_words, c)
     scored = joined.withColumns(
         {
-            "class_distance": jensen_shannon(shares(F.col("classes")), F.col("ref_class_shares")),
-            "word_distance": jensen_shannon(shares(rest), F.col("ref_word_shares")),
+            "class_distance": guarded(jensen_shannon(F.col("classes"), F.col("class_total"), F.col("ref_class_shares"))),
+            "word_distance": guarded(jensen_shannon(rest, n.cast("double"), F.col("ref_word_shares"))),
         }
     )
     near = (F.col("class_distance") <= rules.max_class_distance + allowance) & (

@@ -273,7 +273,7 @@ def test_op3_distances_equal_plain_ones(spark):
 
     from quotemill.llm.quality_rules import QualityRules
 
-    rules = QualityRules()
+    rules = QualityRules(min_words=0)
     rows = [(1, "en", "The cat and the dog, the END. 123 & more $$"), (2, "en", "a cat\nand THE dog the the"), (3, None, "Äpfel und Öl und"), (4, "", "und x"), (5, "en", None), (6, "xx", "")]
     kinds = [str.isupper, str.isdigit, lambda c: c in " \t\n\v\f\r", lambda c: c in ".,;:!?'\"()-", lambda c: c in "#*$%&|<>"]
 
@@ -286,14 +286,14 @@ def test_op3_distances_equal_plain_ones(spark):
         term = lambda x, y: np.sum([u * np.log2(u / v) for u, v in zip(x, y, strict=True) if u > 0 and v > 0])
         return max(0.0, (term(p, (p + q) / 2) + term(q, (p + q) / 2)) / 2) ** 0.5
 
-    got = {r.doc_id: r for r in apply_quality_rules(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    got = {r.doc_id: r for r in apply_quality_rules(spark.createDataFrame(rows, "doc_id long, lang string, text string"), rules).collect()}
     for doc_id, lang, text in rows:
         own = [t or "" for _, g, t in rows if (g or "") == (lang or "")]
         n = Counter(w for t in own for w in SPACE.findall(t.lower()))
         top = sorted((w for w in n if len(w) <= rules.common_word_chars), key=lambda w: (-n[w], w))[: rules.common_words]
         hist = lambda c: np.array([*(c[w] for w in top), sum(c.values()) - sum(c[w] for w in top)], dtype=float)  # noqa: B023, E731
-        assert abs(got[doc_id].class_distance - distance(classes(text or ""), sum(map(classes, own)))) < 1e-9
-        assert abs(got[doc_id].word_distance - distance(hist(Counter(SPACE.findall((text or "").lower()))), hist(n))) < 1e-9
+        assert abs(got[doc_id].class_distance - distance(classes(text or ""), sum(map(classes, own)))) < 1e-6
+        assert abs(got[doc_id].word_distance - distance(hist(Counter(SPACE.findall((text or "").lower()))), hist(n))) < 1e-6
 
 
 def test_op3_keeps_good_and_drops_bad(spark):
