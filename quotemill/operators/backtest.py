@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quotemill.functions.expr import TINY, exit_pnl, micros, mid
+from quotemill.operators.spread import exact_percentiles
 from quotemill.operators.timejoins import asof, asof_nearest, range_join
 
 HORIZONS = (30, 45, 60, 120, 180)
@@ -156,8 +157,9 @@ def path_labels(candidates: DataFrame, book: DataFrame, horizon: float, target:
     """
     if wide_spread is None:
         spreads = book.select(((F.col("ask_0_price") - F.col("bid_0_price")) / (mid() + TINY) * 1e4).alias("s"))
-        m = spreads.agg(F.percentile("s", F.lit(0.5)).alias("m"), F.percentile("s", F.lit(0.99)).alias("p99"))
-        mad = spreads.crossJoin(F.broadcast(m)).agg(F.percentile(F.abs(F.col("s") - F.col("m")), F.lit(0.5)).alias("mad"))
+        m = exact_percentiles(spreads, {"m": ("s", 0.5), "p99": ("s", 0.99)})
+        off = spreads.crossJoin(F.broadcast(m)).select(F.abs(F.col("s") - F.col("m")).alias("off"))
+        mad = exact_percentiles(off, {"mad": ("off", 0.5)})
         limit = m.crossJoin(mad).select(F.greatest("p99", F.col("m") + 5 * F.col("mad")).alias("limit"))
     else:
         limit = book.sparkSession.range(1).select(F.lit(float(wide_spread)).alias("limit"))

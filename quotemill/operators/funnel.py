@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quotemill.operators.spread import exact_percentiles
 from quotemill.operators.thresholds import ThresholdPlan, beside, score
 
 MASKS = (
@@ -58,7 +59,7 @@ def tagged(features: DataFrame, keep_share: float = 0.97, plan: ThresholdPlan =
         flags[f"pass_up_to_{n}"] = reduce(lambda a, b: a & b, [F.col(f"pass_{x}") for x in MASKS[: k + 1]])
     out = out.withColumns(flags).withColumn("pass_all_hard", F.col(f"pass_up_to_{MASKS[-1]}"))
     out = out.withColumn("ms", F.when(F.col("pass_all_hard"), score(plan)))
-    cut = out.groupBy(*(by or [])).agg(F.percentile("ms", F.lit(keep_share)).alias("ms_cut"))
+    cut = exact_percentiles(out, {"ms_cut": ("ms", keep_share)}, by)
     out = beside(out, cut, by or [])
     return out.withColumn("pass_ms_keep", F.coalesce(F.col("ms") >= F.col("ms_cut"), F.lit(False)))
 

@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quotemill.operators.spread import running
 from quotemill.operators.timejoins import in_windows
+from quotemill.operators.windows import numbered, with_previous
 
 
 def book_probe(book: DataFrame, by: list[str], ts: str = "timestamp", received: str = "received_time", seq: str = "seq", slot_seconds: int = 1) -> DataFrame:
     """One row a group: rows, time spans, latency percentiles, share of empty slots, crossed rows, falling sequence
     numbers, spread percentiles."""
-    order = W.partitionBy(*by).orderBy(ts, seq)
-    rows = book.withColumn("before_", F.lag(seq).over(order))
+    rows = with_previous(book, {"before_": seq}, [ts, seq], by)
     delay = (F.unix_micros(received) - F.unix_micros(ts)) / 1000.0
     spread = F.col("ask_0_price") - F.col("bid_0_price")
     slot = F.floor(F.unix_seconds(ts) / F.lit(slot_seconds))
@@ -48,8 +49,7 @@ def book_checks(book: DataFrame, by: list[str], need: list[str], levels: int, ga
     """(by, check, n_bad) of book snapshots: missing columns, rows of a time that has others, crossed and empty tops,
     gaps, falling sequence numbers, levels out of price order, levels without size."""
     lost = [c for c in need if c not in book.columns]
-    order = W.partitionBy(*by).orderBy(ts, seq)
-    rows = book.withColumns({"before_": F.lag(ts).over(order), "seq_before_": F.lag(seq).over(order)})
+    rows = with_previous(book, {"before_": ts, "seq_before_": seq}, [ts, seq], by)
     gap = (F.unix_micros(ts) - F.unix_micros("before_")) / 1e6
     price = lambda s, i: F.col(f"{s}_{i}_price")
     either = lambda conditions: reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions])
@@ -79,18 +79,18 @@ def anomalies(candles: DataFrame, run: int, jump: float, key: str = "symbol") ->
 
     A run is reported in its last row once it has ``run`` rows; a first row counts as flat. Nothing found: no rows.
     """
-    by = W.partitionBy(key).orderBy("timestamp")
-    before = F.lag("close").over(by)
-    rows = candles.withColumns(
+    before = F.col("before_")
+    rows = with_previous(candles, {"before_": "close"}, ["timestamp"], [key]).withColumns(
         {
             "flat_": F.coalesce(F.col("close") - before, F.lit(0.0)) == 0,
             "still_": F.coalesce(F.col("volume") == 0, F.lit(False)),
             "move_": F.abs(F.col("close") / before - 1),
         }
     )
+    breaks = {f"{c}i": (~F.col(c)).cast("int") for c in ("flat_", "still_")}
+    rows = running(rows, [key], [F.asc("timestamp")], breaks, "candle-runs")
     for c in ("flat_", "still_"):
-        rows = rows.withColumn("i_", F.sum((~F.col(c)).cast("int")).over(by.rowsBetween(W.unboundedPreceding, 0)))
-        in_run = W.partitionBy(key, "i_", c).orderBy("timestamp")
+        in_run = W.partitionBy(key, f"{c}i", c).orderBy("timestamp")
         rows = rows.withColumns({f"{c}n": F.when(F.col(c), F.row_number().over(in_run)), f"{c}end": F.lead("timestamp").over(in_run).isNull()})
     bad_shape = (F.col("high") < F.greatest("open", "close")) | (F.col("low") > F.least("open", "close"))
     prices = [F.col(c) for c in ("open", "high", "low", "close")]
@@ -107,9 +107,8 @@ def anomalies(candles: DataFrame, run: int, jump: float, key: str = "symbol") ->
 
 def consecutive_runs(rows: DataFrame, step: int, least: int, key: str = "symbol") -> DataFrame:
     """Rows that belong to runs of at least ``least`` rows ``step`` seconds apart."""
-    by = W.partitionBy(key).orderBy("timestamp")
-    island = F.unix_seconds("timestamp") - F.row_number().over(by) * step
-    marked = rows.withColumn("island_", island)
+    island = F.unix_seconds("timestamp") - F.col("row_no") * step
+    marked = numbered(rows, ["timestamp"], key=key).withColumn("island_", island).drop("row_no")
     return marked.withColumn("n_", F.count("*").over(W.partitionBy(key, "island_"))).where(F.col("n_") >= least).drop("island_", "n_")
 
 
@@ -136,9 +135,8 @@ def auto_cleaned(candles: DataFrame, flagged: DataFrame, step: int, least: int =
 
 def gap_report(candles: DataFrame, step: int, key: str = "symbol") -> DataFrame:
     """(key, n_rows, n_gaps, largest gap in seconds, duplicates, first and last time)."""
-    by = W.partitionBy(key).orderBy("timestamp")
-    gap = F.unix_seconds("timestamp") - F.unix_seconds(F.lag("timestamp").over(by))
-    rows = candles.withColumn("gap_", gap)
+    gap = F.unix_seconds("timestamp") - F.unix_seconds("before_")
+    rows = with_previous(candles, {"before_": "timestamp"}, ["timestamp"], [key]).withColumn("gap_", gap)
     return rows.groupBy(key).agg(
         F.count("*").alias("n_rows"), F.count_if(F.col("gap_") > step).alias("n_gaps"), F.max("gap_").alias("largest_gap"),
         F.count_if(F.col("gap_") == 0).alias("duplicates"), F.unix_micros(F.min("timestamp")).alias("first_us"), F.unix_micros(F.max("timestamp")).alias("last_us"),

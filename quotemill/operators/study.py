@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quotemill.operators.spread import running
+
 
 def group_stats(df: DataFrame, by: list[str], value: str) -> DataFrame:
     p = lambda q: F.percentile(value, F.lit(q))
@@ -14,10 +16,9 @@ def group_stats(df: DataFrame, by: list[str], value: str) -> DataFrame:
 
 
 def _ranked(df: DataFrame, score: str, tie: str, by: list[str]) -> DataFrame:
-    order = W.partitionBy(*by) if by else W.partitionBy()
-    return df.where(F.col(score).isNotNull()).withColumns(
-        {"rank": F.row_number().over(order.orderBy(F.desc(score), tie)), "n_all": F.count("*").over(order)}
-    )
+    """``rank`` from the best score on, equal ones by ``tie``, and ``n_all``; rows without a score are left out."""
+    rows = df.where(F.col(score).isNotNull())
+    return running(rows, by, [F.desc(score), F.asc(tie)], {"rank": F.lit(1)}, "ranks").withColumnRenamed("all_rank", "n_all")
 
 
 def score_bins(df: DataFrame, score: str, tie: str, q: int, by: list[str] = []) -> DataFrame:  # noqa: B006
@@ -79,22 +80,20 @@ def governor(trades: DataFrame, day: str, order: list[str], pnl: str, size: str,
 
 
 def metrics(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
-    """AUC by rank sums (ties share ranks), average precision by steps, log loss; NULL with one class only."""
-    group = W.partitionBy(*by)
+    """AUC by rank sums (ties share ranks), average precision by steps, log loss; NULL with one class only.
+
+    Rows are counted by score before they are ranked.
+    """
     rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    ranks = rows.withColumns(
-        {
-            "lo_": F.rank().over(group.orderBy(score)),
-            "same_": F.count("*").over(W.partitionBy(*by, score)),
-            "pos_": F.sum(label).over(group.orderBy(F.desc(score)).rangeBetween(W.unboundedPreceding, 0)),
-            "seen_": F.count("*").over(group.orderBy(F.desc(score)).rangeBetween(W.unboundedPreceding, 0)),
-        }
-    )
+    counts = rows.groupBy(*by, score).agg(F.count("*").alias("n_"), F.sum(F.col(label).cast("double")).alias("p_"))
+    best = running(counts, by, [F.desc(score)], {"seen_": F.col("n_"), "pos_": F.col("p_")}, "score-counts")
+    n_, p_ = F.col("n_"), F.col("p_")
     p = F.least(F.greatest(F.col(score), F.lit(1e-15)), F.lit(1 - 1e-15))
-    y = F.col(label).cast("double")
-    pos, n = F.sum(y), F.count("*")
-    auc = (F.sum(y * (F.col("lo_") + (F.col("same_") - 1) / 2)) - pos * (pos + 1) / 2) / (pos * (n - pos))
-    ap = F.sum(y * F.col("pos_") / F.col("seen_")) / pos
-    loss = -F.avg(y * F.log(p) + (1 - y) * F.log(1 - p))
+    pos, n = F.sum(p_), F.sum(n_)
+    # The mean of the ranks that equal scores share, from the lowest score on.
+    rank = F.col("all_seen_") - F.col("seen_") + (n_ + 1) / 2
+    auc = (F.sum(p_ * rank) - pos * (pos + 1) / 2) / (pos * (n - pos))
+    ap = F.sum(p_ * F.col("pos_") / F.col("seen_")) / pos
+    loss = -F.sum(p_ * F.log(p) + (n_ - p_) * F.log(1 - p)) / n
     both = (pos > 0) & (pos < n)
-    return ranks.groupBy(*by).agg(n.alias("n"), F.when(both, auc).alias("auc"), F.when(both, ap).alias("ap"), F.when(both, loss).alias("logloss"))
+    return best.groupBy(*by).agg(n.alias("n"), F.when(both, auc).alias("auc"), F.when(both, ap).alias("ap"), F.when(both, loss).alias("logloss"))

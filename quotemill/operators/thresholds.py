@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotemill.functions.expr import finite
+from quotemill.operators.spread import exact_percentiles
 
 
 def percentiles(df: DataFrame, columns: dict[str, tuple[str, float]], by: list[str] | None = None) -> DataFrame:
-    """name: (column, share): exact percentiles with linear interpolation, NaN and NULL left out; one pass."""
-    return df.groupBy(*(by or [])).agg(*[F.percentile(finite(c), F.lit(q)).alias(name) for name, (c, q) in columns.items()])
+    """name: (column, share): exact percentiles with linear interpolation, NaN and NULL left out."""
+    return exact_percentiles(df, columns, by)
 
 
 def beside(df: DataFrame, few: DataFrame, by: list[str]) -> DataFrame:
@@ -20,13 +21,17 @@ def beside(df: DataFrame, few: DataFrame, by: list[str]) -> DataFrame:
     return df.join(F.broadcast(few), by) if by else df.crossJoin(F.broadcast(few))
 
 
+def _with_mads(df: DataFrame, fitted: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """``fitted``, which has med_<c>, with mad_<c>."""
+    off = {f"off_{c}": F.abs(finite(c) - F.col(f"med_{c}")) for c in columns}
+    spread = beside(df.select(*by, *columns), fitted, by).select(*by, *[x.alias(n) for n, x in off.items()])
+    return beside(fitted, exact_percentiles(spread, {f"mad_{c}": (f"off_{c}", 0.5) for c in columns}, by), by)
+
+
 def median_mad(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
     """A row for each group: med_<c> and mad_<c>, the median of absolute deviations from the median."""
-    by = by or []
-    medians = df.groupBy(*by).agg(*[F.percentile(finite(c), F.lit(0.5)).alias(f"med_{c}") for c in columns])
-    spread = beside(df.select(*by, *columns), medians, by)
-    mads = spread.groupBy(*by).agg(*[F.percentile(F.abs(finite(c) - F.col(f"med_{c}")), F.lit(0.5)).alias(f"mad_{c}") for c in columns])
-    return beside(medians, mads, by)
+    medians = exact_percentiles(df, {f"med_{c}": (c, 0.5) for c in columns}, by)
+    return _with_mads(df, medians, columns, by or [])
 
 
 @dataclass(frozen=True)
@@ -52,8 +57,8 @@ class ThresholdPlan:
 
 def fit_thresholds(train: DataFrame, plan: ThresholdPlan = ThresholdPlan(), by: list[str] | None = None) -> DataFrame:
     """A row for each group (of no columns: one) with all cut-offs, medians and deviations of the plan."""
-    cuts = percentiles(train, {name: (c, q) for name, c, q in plan.cuts}, by)
-    return beside(cuts, median_mad(train, list(plan.scored), by), by or [])
+    cuts = {name: (c, q) for name, c, q in plan.cuts} | {f"med_{c}": (c, 0.5) for c in plan.scored}
+    return _with_mads(train, exact_percentiles(train, cuts, by), list(plan.scored), by or [])
 
 
 def score(plan: ThresholdPlan = ThresholdPlan()) -> Column:
@@ -67,16 +72,16 @@ def score(plan: ThresholdPlan = ThresholdPlan()) -> Column:
 
 def regime_edges(train: DataFrame, column: str, lo: float = 0.4, hi: float = 0.75, least_rows: int = 50_000) -> DataFrame:
     """One row (lo, hi); NULL where the training rows are fewer than ``least_rows``."""
-    n = F.count(finite(column))
-    cut = lambda q: F.when(n >= least_rows, F.percentile(finite(column), F.lit(q)))
-    return train.agg(cut(lo).alias("lo"), cut(hi).alias("hi"), n.alias("n_rows"))
+    counts = train.agg(F.count(finite(column)).alias("n_rows"))
+    both = exact_percentiles(train, {"lo": (column, lo), "hi": (column, hi)}).crossJoin(counts)
+    return both.select(*[F.when(F.col("n_rows") >= least_rows, F.col(c)).alias(c) for c in ("lo", "hi")], "n_rows")
 
 
 def bucket_edges(df: DataFrame, column: str, n: int) -> DataFrame:
     """One row: ``edges``, the inner percentiles i/n, finite and never falling; with count, mean, min, max."""
-    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
-    x = finite(column)
-    raw = df.agg(F.percentile(x, shares).alias("e"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.min(x).alias("least"), F.max(x).alias("most"))
+    x, shares = finite(column), {f"e{i}": (column, i / n) for i in range(1, n)}
+    stats = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.min(x).alias("least"), F.max(x).alias("most"))
+    raw = exact_percentiles(df, shares).select(F.array(*shares).alias("e")).crossJoin(stats)
     rising = F.aggregate(
         "e",
         F.array().cast("array<double>"),

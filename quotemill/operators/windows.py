@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quotemill.functions.expr import SMALL, TINY, micros
+from quotemill.operators.spread import beside_keys
 
 
 def numbered(df: DataFrame, order: list[str], part_seconds: int = 86400, key: str = "symbol", name: str = "row_no") -> DataFrame:
@@ -118,6 +119,22 @@ def _handed_on(df: DataFrame, values: dict[str, Column], key: str) -> DataFrame:
     return parts.select(key, "part_", *[F.last(n, True).over(before).alias(n) for n in values])
 
 
+def with_previous(df: DataFrame, values: dict[str, str], order: list[str], by: list[str] | None = None, part_seconds: int = 7 * 86400) -> DataFrame:
+    """Adds name: the value of a column in the row before in ``order`` (time first), NULL in the first row of a group.
+
+    A group is made in parts of its time line; each gets the last row of the part before it.
+    """
+    by = by or ["symbol"]
+    rows = df.withColumn("part_", F.floor(F.unix_micros(order[0]) / F.lit(part_seconds * 1_000_000)))
+    lasts = rows.groupBy(*by, "part_").agg(F.max_by(F.struct(*values.values()), F.struct(*order)).alias("row_"))
+    earlier = W.partitionBy(*by).orderBy("part_")
+    lasts = lasts.select(*by, "part_", F.lag("row_").over(earlier).alias("row_"))
+    within = W.partitionBy(*by, "part_").orderBy(*order)
+    rows = rows.withColumns({"first_": F.row_number().over(within) == 1, **{n: F.lag(c).over(within) for n, c in values.items()}})
+    rows = beside_keys(rows, lasts, [*by, "part_"])
+    return rows.withColumns({n: F.when(F.col("first_"), F.col("row_")[c]).otherwise(F.col(n)) for n, c in values.items()}).drop("part_", "first_", "row_")
+
+
 def with_persistence(df: DataFrame, signs: dict[str, str], cap_ms: int, order: list[str], part_seconds: int = 7 * 86400, ts: str = "bucket", key: str = "symbol") -> DataFrame:
     """Adds name: milliseconds since the sign column last changed or was 0, at most ``cap_ms``; 0 in the first row.
 

@@ -313,8 +313,8 @@ def run_lengths(spark, sf):
 
 @query("W08_lag_change", "select symbol, trade_id, round(price - lag(price) over w, 6) as diff, round(price / lag(price) over w - 1, 6) as pct from trades_v window w as (partition by symbol order by timestamp, trade_id)")
 def lag_change(spark, sf):
-    before = F.lag("price").over(W.partitionBy("symbol").orderBy("timestamp", "trade_id"))
-    return view(spark, sf, "trades_v").select("symbol", "trade_id", r(F.col("price") - before).alias("diff"), r(F.col("price") / before - 1).alias("pct"))
+    rows = w.with_previous(view(spark, sf, "trades_v"), {"before": "price"}, ["timestamp", "trade_id"])
+    return rows.select("symbol", "trade_id", r(F.col("price") - F.col("before")).alias("diff"), r(F.col("price") / F.col("before") - 1).alias("pct"))
 
 
 @query("W09_row_numbers", "select symbol, trade_id, row_number() over (partition by symbol order by timestamp, trade_id) - 1 as row_no from trades_v")

@@ -5,9 +5,11 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from quotemill.operators import bucketing, funnel, quality, routing, study, timejoins, windows
 from quotemill.operators import thresholds as th
+from quotemill.operators.spread import running
 from quotemill.sources import ingest
 
 T0 = dt.datetime(2024, 1, 1)
@@ -217,3 +219,23 @@ def test_working_tables_are_deleted(spark):
         left = path(left)
     assert not os.path.exists(f"/{left}")
     assert kept(spark.range(3), "c").count() == 3
+
+
+def test_percentiles_equal_the_aggregate(spark):
+    rows = [(s, float(v)) for s, scale in (("a", 1e-9), ("b", 1.0), ("b", 1e9), ("c", 0.0)) for v in (scale * (i * 37 % 101) ** 3 for i in range(300))]
+    df = spark.createDataFrame([*rows, ("d", None), (None, 2.0), (None, 5.0), *[("b", 7.0)] * 300], "s string, x double").repartition(7)
+    shares = {"p0": 0.0, "p3": 0.3, "p5": 0.5, "p97": 0.97, "p100": 1.0}
+    got = {r.s: r.asDict() for r in th.percentiles(df, {n: ("x", q) for n, q in shares.items()}, ["s"]).collect()}
+    want = {r.s: r.asDict() for r in df.groupBy("s").agg(*[F.percentile("x", F.lit(q)).alias(n) for n, q in shares.items()]).collect()}
+    assert got == want and got["d"]["p5"] is None and got[None]["p5"] == 3.5
+
+
+def test_running_sums_and_previous_rows_cross_parts(spark):
+    rows = spark.range(5000).select((F.col("id") % 2).alias("g"), (F.hash("id") % 1000).alias("v"), "id", F.timestamp_seconds(F.col("id") * 1000).alias("t"))
+    rows = rows.withColumn("v", F.when(F.col("id") % 9 != 0, F.col("v")))
+    order = W.partitionBy("g").orderBy(F.desc("v"), "id")
+    summed = running(rows, ["g"], [F.desc("v"), F.asc("id")], {"up": F.lit(1)}, "test-running")
+    assert summed.withColumn("want", F.row_number().over(order)).where("up <> want or all_up <> 2500").count() == 0 and summed.count() == 5000
+    before = windows.with_previous(rows, {"b": "v"}, ["t", "id"], ["g"], part_seconds=7777)
+    want = F.lag("v").over(W.partitionBy("g").orderBy("t", "id"))
+    assert before.withColumn("want", want).where("not b <=> want").count() == 0 and before.count() == 5000
