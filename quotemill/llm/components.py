@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotemill.llm.joins import spread_join
 from quotemill.llm.storage import stored
 
+#: Parts that the links of a node with most of them are dealt to.
+SALTS = 8
+
 
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_003).alias("h")).first()
@@ -17,13 +21,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of ``u`` is linked to the smallest of ``u`` and its neighbours."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return spread_join(both.where("v > u"), least, "u", SALTS).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """``u`` and its smaller neighbours are linked to the smallest of them. Edges have u > v."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    moved = spread_join(edges, least, "u", SALTS).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 

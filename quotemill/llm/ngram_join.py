@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quotemill.llm.components import connected_components
-from quotemill.llm.folded import bloom_of, folded
+from quotemill.llm.folded import bloom_of, folded, parted
+from quotemill.llm.joins import spread_join
 from quotemill.llm.storage import kept, stored, working_tables
 from quotemill.llm.tokens import Words, as_bytes, groups_of, int64_list, mixed, multipliers, window_hashes
 
@@ -45,6 +46,8 @@ class JaccardJoin:
     part_members: int = 64
     #: Texts of which a task remembers the node, to send equal texts once.
     remembered: int = 200_000
+    #: Parts that the rows of one class are dealt to where its name is joined to them.
+    salts: int = 8
 
 
 def shingle_sets(words: Words, n: int) -> Iterator[np.ndarray]:
@@ -283,9 +286,10 @@ def _labelled(documents: DataFrame, join: JaccardJoin) -> DataFrame:
     second = stored(found.groupBy("a", "of").agg(F.min("b").alias("b")).select("a", "b"), "jaccard-group-links")
 
     classes = connected_components(first.union(second))
-    labelled = profiles.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
-    labelled = kept(labelled.withColumn("class", F.coalesce("component", "node")).drop("component"), "jaccard-labelled")
-    return labelled
+    rows = profiles.select("doc_id", "n_shingles", "node")
+    linked, alone = parted(rows, F.coalesce("node", F.lit(0)), classes.select("node"))
+    labelled = spread_join(linked, classes, "node", join.salts, "left").select(*rows.columns, F.coalesce("component", "node").alias("class"))
+    return kept(labelled.union(alone.withColumn("class", F.col("node"))), "jaccard-labelled")
 
 
 def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
@@ -299,6 +303,6 @@ def jaccard_classes(documents: DataFrame, join: JaccardJoin = JaccardJoin()) ->
     with working_tables(documents.sparkSession):
         labelled = _labelled(documents, join)
     names = labelled.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(names, "class", "left").select(
-        "doc_id", "n_shingles", "node", F.coalesce("component_id", F.when(F.col("node").isNull(), F.col("doc_id"))).alias("component_id")
-    )
+    named = spread_join(labelled.where("class is not null"), names, "class", join.salts).select("doc_id", "n_shingles", "node", "component_id")
+    empty = labelled.where("class is null").select("doc_id", "n_shingles", "node", F.col("doc_id").alias("component_id"))
+    return named.union(empty)

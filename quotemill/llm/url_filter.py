@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotemill.llm.joins import spread_join
 from quotemill.llm.storage import kept, stored, working_tables
 
 # Words of hosts that nobody wants in a corpus; the seeds of the class block.
@@ -111,13 +112,6 @@ def seeded(host: Column) -> Column:
     return F.exists(F.split(host, r"[.\-]"), lambda p: p.isin(*SEEDS))
 
 
-def spread_join(rows: DataFrame, table: DataFrame, on: str, salts: int, how: str = "inner") -> DataFrame:
-    """``rows`` joined with ``table``, which has a row for each ``on``: a key with most rows is dealt to ``salts`` parts."""
-    salted = rows.withColumn("salt_", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
-    copies = table.withColumn("salt_", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return salted.join(copies, [on, "salt_"], how).drop("salt_")
-
-
 def unigrams(hosts: DataFrame, model: UrlModel) -> DataFrame:
     """(word, n) of the words between separators in distinct hosts.
 
