@@ -206,12 +206,12 @@ def _near(pairs: DataFrame, nodes: DataFrame, join: JaccardJoin, label: str) ->
     return stored(near.drop("ma", "mb"), f"jaccard-{label}-pairs")
 
 
-def _sets_of(near: DataFrame, documents: DataFrame, join: JaccardJoin, label: str) -> DataFrame:
+def sets_of(near: DataFrame, documents: DataFrame, join: JaccardJoin, label: str) -> DataFrame:
     wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
     return _sets(documents, stored(wanted, f"jaccard-{label}-wanted"), join)
 
 
-def _verified(near: DataFrame, sets: DataFrame, join: JaccardJoin) -> DataFrame:
+def verified(near: DataFrame, sets: DataFrame, join: JaccardJoin) -> DataFrame:
     """The pairs (a, b, na, nb) whose whole sets are similar."""
     both = near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
@@ -228,11 +228,11 @@ def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _grouped(profiles: DataFrame, nodes: DataFrame, documents: DataFrame, join: JaccardJoin) -> tuple[DataFrame, DataFrame]:
     """Links to pivots, and the classes that they make. After the first pivot only what is still apart is compared."""
     near = _near(_pivot_pairs(profiles, join), nodes, join, "pivot")
-    sets = _sets_of(near, documents, join, "pivot")
-    first = _verified(near.where("turn = 0").drop("turn"), sets, join).select("a", "b")
+    sets = sets_of(near, documents, join, "pivot")
+    first = verified(near.where("turn = 0").drop("turn"), sets, join).select("a", "b")
     first = stored(first, "jaccard-pivot-links")
     rest = _apart(near.where("turn > 0").drop("turn"), connected_components(first))
-    links = first.union(stored(_verified(rest, sets, join).select("a", "b"), "jaccard-pivot-links"))
+    links = first.union(stored(verified(rest, sets, join).select("a", "b"), "jaccard-pivot-links"))
     classes = connected_components(links)
     return links, classes
 
@@ -281,7 +281,7 @@ def _labelled(documents: DataFrame, join: JaccardJoin) -> DataFrame:
     left = F.transform(opened, lambda m: F.struct(m["node"].alias("b"), m["n"].alias("nb")))
     near = bounded.select(F.col("node").alias("a"), F.col("n").alias("na"), "of", F.inline(left))
     near = stored(near, "jaccard-group-pairs")
-    found = _verified(near, _sets_of(near, documents, join, "group"), join)
+    found = verified(near, sets_of(near, documents, join, "group"), join)
     # One link of a node with a class is enough.
     second = stored(found.groupBy("a", "of").agg(F.min("b").alias("b")).select("a", "b"), "jaccard-group-links")
 

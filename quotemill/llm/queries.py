@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotemill.llm.bottom_k import bottom_k_classes
 from quotemill.llm.decontaminate import contaminated_items
+from quotemill.llm.hard_negatives import mine_hard_negatives
 from quotemill.llm.license_scan import scan_licences
 from quotemill.llm.line_dedup import line_report
 from quotemill.llm.mixture import mix_sources
@@ -14,6 +16,7 @@ from quotemill.llm.oracles import ORACLE_SQL  # noqa: F401
 from quotemill.llm.quality_classifier import quality_report
 from quotemill.llm.quality_rules import apply_quality_rules
 from quotemill.llm.span_dedup import removed_sentences
+from quotemill.llm.spelling import spelling_variants
 from quotemill.llm.storage import read_table
 from quotemill.llm.toxicity import score_toxicity
 from quotemill.llm.url_filter import judge_urls
@@ -70,6 +73,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_bottom_k_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottom_k_classes(read_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,5 +98,8 @@ QUERIES = {
         op8_substring_dedup,
         op9_url_filters,
         op10_quality_classifier,
+        op11_spelling_variants,
+        op12_bottom_k_dedup,
+        op13_hard_negatives,
     )
 }
