@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quotemill.functions.expr import TINY, exit_pnl, micros, mid
-from quotemill.operators.spread import exact_percentiles
+from quotemill.operators.spread import exact_percentiles, stats_by
 from quotemill.operators.timejoins import asof, asof_nearest, range_join
 
 HORIZONS = (30, 45, 60, 120, 180)
@@ -83,8 +83,7 @@ def evaluated(pnl: DataFrame, configs: DataFrame) -> DataFrame:
 
 def config_stats(trades: DataFrame, by: list[str]) -> DataFrame:
     """Counts of each drop and of known legs, and n, mean and percentiles of the kept results."""
-    p = lambda q: F.percentile("pnl_net_bps", F.lit(q))
-    return trades.groupBy(*by).agg(
+    counts = [
         F.count("*").alias("n_events"),
         *[F.count(f"pnl_{t}").alias(f"ok_{t}") for t in HORIZONS],
         F.count_if(~F.col("known")).alias("drop_unknown"),
@@ -92,10 +91,9 @@ def config_stats(trades: DataFrame, by: list[str]) -> DataFrame:
         F.count_if(F.col("known") & F.col("calm") & ~F.col("gated")).alias("drop_gate"),
         F.count("pnl_net_bps").alias("n"),
         F.avg("pnl_net_bps").alias("ev"),
-        p(0.05).alias("p05"),
-        p(0.5).alias("p50"),
-        p(0.95).alias("p95"),
-    )
+    ]
+    used = [*by, *[f"pnl_{t}" for t in HORIZONS], "known", "calm", "gated", "pnl_net_bps"]
+    return stats_by(trades.select(*used), by, counts, {f"p{q:02d}": ("pnl_net_bps", q / 100) for q in (5, 50, 95)})
 
 
 def monthly_pivot(stats: DataFrame, months: list[str]) -> DataFrame:

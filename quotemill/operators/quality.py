@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quotemill.operators.spread import running
+from quotemill.operators.spread import running, stats_by
 from quotemill.operators.timejoins import in_windows
 from quotemill.operators.windows import numbered, with_previous
 
@@ -17,20 +17,18 @@ def book_probe(book: DataFrame, by: list[str], ts: str = "timestamp", received:
     """One row a group: rows, time spans, latency percentiles, share of empty slots, crossed rows, falling sequence
     numbers, spread percentiles."""
     rows = with_previous(book, {"before_": seq}, [ts, seq], by)
-    delay = (F.unix_micros(received) - F.unix_micros(ts)) / 1000.0
-    spread = F.col("ask_0_price") - F.col("bid_0_price")
+    rows = rows.withColumns({"d_": (F.unix_micros(received) - F.unix_micros(ts)) / 1000.0, "s_": F.col("ask_0_price") - F.col("bid_0_price")})
+    rows = rows.select(*by, ts, received, seq, "before_", "d_", "s_")
     slot = F.floor(F.unix_seconds(ts) / F.lit(slot_seconds))
-    percents = lambda c, *qs: F.percentile(c, F.array(*map(F.lit, qs)))
-    stats = rows.groupBy(*by).agg(
+    counts = [
         F.count("*").alias("n_rows"), F.unix_micros(F.min(ts)).alias("first_us"), F.unix_micros(F.max(ts)).alias("last_us"),
         F.unix_micros(F.min(received)).alias("first_received_us"), F.unix_micros(F.max(received)).alias("last_received_us"),
-        percents(delay, 0.5, 0.9, 0.99).alias("d_"), F.count_if(delay < 0).alias("latency_negative"),
+        F.count_if(F.col("d_") < 0).alias("latency_negative"),
         (1 - F.count_distinct(slot) / (F.max(slot) - F.min(slot) + 1)).alias("gap_ratio"),
-        F.count_if(spread < 0).alias("crossed"), F.count_if(F.col(seq) < F.col("before_")).alias("seq_falls"),
-        percents(spread, 0.1, 0.5, 0.9).alias("s_"),
-    )
-    named = {f"latency_p{q}": F.col("d_")[k] for k, q in enumerate((50, 90, 99))} | {f"spread_p{q}": F.col("s_")[k] for k, q in enumerate((10, 50, 90))}
-    return stats.withColumns(named).drop("d_", "s_")
+        F.count_if(F.col("s_") <= 0).alias("crossed"), F.count_if(F.col(seq) < F.col("before_")).alias("seq_falls"),
+    ]
+    shares = {f"latency_p{q}": ("d_", q / 100) for q in (50, 90, 99)} | {f"spread_p{q}": ("s_", q / 100) for q in (10, 50, 90)}
+    return stats_by(rows, by, counts, shares)
 
 
 def io_scan(book: DataFrame, trades: DataFrame, expected: DataFrame, by: list[str], slot_seconds: int, most_gaps: float, most_delay_ms: float) -> DataFrame:
@@ -39,7 +37,7 @@ def io_scan(book: DataFrame, trades: DataFrame, expected: DataFrame, by: list[st
     out = expected.join(book_probe(book, by, slot_seconds=slot_seconds), by, "left").join(counts, by, "left")
     out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_rows", "n_trades")})
     flags = F.array(
-        F.when(F.col("n_rows") == 0, "no_book"), F.when(F.col("n_trades") == 0, "no_trades"), F.when(F.col("gap_ratio") > most_gaps, "gaps"),
+        F.when(F.col("n_rows") == 0, "no_book"), F.when(F.col("n_trades") == 0, "no_trades"), F.when(F.coalesce("gap_ratio", F.lit(1.0)) > most_gaps, "gaps"),
         F.when(F.col("latency_p99") > most_delay_ms, "late"), F.when(F.col("latency_negative") > 0, "negative_latency"), F.when(F.col("crossed") > 0, "crossed"),
     )
     return out.withColumn("flags", F.array_join(F.array_compact(flags), ";"))
@@ -55,7 +53,7 @@ def book_checks(book: DataFrame, by: list[str], need: list[str], levels: int, ga
     either = lambda conditions: reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions])
     rules = {
         "same_time": F.coalesce(F.col(ts) == F.col("before_"), F.lit(False)),
-        "crossed": price("ask", 0) < price("bid", 0),
+        "crossed": price("ask", 0) <= price("bid", 0),
         "no_price": ~F.coalesce((price("bid", 0) > 0) & (price("ask", 0) > 0), F.lit(False)),
         "gap": gap > gap_seconds,
         "seq_falls": F.col(seq) < F.col("seq_before_"),

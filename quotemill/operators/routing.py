@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quotemill.operators.spread import beside_keys, exact_percentiles, stats_by
+
 COMBO = r"^pnl_net_rr([0-9.]+)_rf([0-9]+)_ts([0-9]+)$"
 
 
@@ -31,8 +33,8 @@ def group_regime(df: DataFrame, value: str, by: list[Column], lo: float = 0.4, h
     """Regime of each row by its group's percentiles; VOLATILE wins, unknown values and small groups are NORMAL."""
     named = df.withColumns({f"g{i}_": c for i, c in enumerate(by)})
     keys = [f"g{i}_" for i in range(len(by))]
-    cuts = named.groupBy(*keys).agg(F.percentile(value, F.lit(lo)).alias("lo_"), F.percentile(value, F.lit(hi)).alias("hi_"), F.count(value).alias("n_"))
-    joined = named.join(F.broadcast(cuts), keys)
+    cuts = stats_by(named.select(*keys, value), keys, [F.count(value).alias("n_")], {"lo_": (value, lo), "hi_": (value, hi)})
+    joined = beside_keys(named, cuts, keys)
     regime = F.when(F.col("n_") < least_rows, "NORMAL").when(F.col(value) >= F.col("hi_"), "VOLATILE").when(F.col(value) <= F.col("lo_"), "CALM").otherwise("NORMAL")
     return joined.withColumn("regime", regime).drop(*keys, "lo_", "hi_", "n_")
 
@@ -42,15 +44,14 @@ def binned_regime(df: DataFrame, value: str, by: list[Column], lo: float = 0.4,
     where those don't either the median of all. Unknown values have no regime."""
     named = df.withColumns({f"g{i}_": c for i, c in enumerate(by)})
     keys = [f"g{i}_" for i in range(len(by))]
-    p = lambda q: F.percentile(value, F.lit(q))
-    own = named.groupBy(*keys).agg(p(lo).alias("lo_"), p(hi).alias("hi_"))
-    every = df.agg(p(lo).alias("all_lo_"), p(hi).alias("all_hi_"), p(0.5).alias("med_"))
+    own = exact_percentiles(named, {"lo_": (value, lo), "hi_": (value, hi)}, keys)
+    every = exact_percentiles(df, {"all_lo_": (value, lo), "all_hi_": (value, hi), "med_": (value, 0.5)})
     rises, all_rise = F.col("lo_") < F.col("hi_"), F.col("all_lo_") < F.col("all_hi_")
     pick = lambda a, b, m: F.when(rises, F.col(a)).when(all_rise, F.col(b)).otherwise(m)
     edges = own.crossJoin(F.broadcast(every)).select(
         *keys, pick("lo_", "all_lo_", F.col("med_") - 1e-12).alias("e1_"), pick("hi_", "all_hi_", F.col("med_") + 1e-12).alias("e2_")
     )
-    joined = named.join(F.broadcast(edges), keys)
+    joined = beside_keys(named, edges, keys)
     regime = F.when(F.col(value) <= F.col("e1_"), "CALM").when(F.col(value) <= F.col("e2_"), "NORMAL").when(F.col(value).isNotNull(), "VOLATILE")
     return joined.withColumn("regime", regime).drop(*keys, "e1_", "e2_")
 
@@ -128,8 +129,10 @@ def grid_search(df: DataFrame, value: str, features: dict[str, tuple[str, list[f
     the group, q_<feature>, n, coverage, ev, winrate (weighted by months' counts), least_month. Points whose cut-off is
     unknown or which let nothing pass are left out. Cut-offs are one pass over all shares, a few rows beside the rows.
     """
-    cuts = df.groupBy(*by).agg(*[F.percentile(f, F.array(*map(F.lit, qs))).alias(f"c_{f}") for f, (_, qs) in features.items()], F.count(value).alias("all_"))
-    points = cuts
+    names = {f: [f"c{k}_{f}" for k in range(len(qs))] for f, (_, qs) in features.items()}
+    cuts = {n: (f, q) for f, (_, qs) in features.items() for n, q in zip(names[f], qs, strict=True)}
+    points = stats_by(df.select(*by, value, *features), by, [F.count(value).alias("all_")], cuts)
+    points = points.select(*by, "all_", *[F.array(*ns).alias(f"c_{f}") for f, ns in names.items()])
     for f, (_, qs) in features.items():
         places = F.array(*[F.struct(F.lit(float(q)).alias(f"q_{f}"), F.lit(k).alias("k_")) for k, q in enumerate(qs)])
         points = points.select("*", F.inline(places)).withColumn(f"l_{f}", F.get(f"c_{f}", F.col("k_"))).where(F.col(f"l_{f}").isNotNull()).drop("k_", f"c_{f}")

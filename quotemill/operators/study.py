@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quotemill.operators.spread import running
+from quotemill.operators.spread import exact_percentiles, running, stats_by
 
 
 def group_stats(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    p = lambda q: F.percentile(value, F.lit(q))
-    return df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), p(0.5).alias("p50"), p(0.95).alias("p95"), F.min(value).alias("least"), F.max(value).alias("most"))
+    """Count, mean, median, 95 % percentile, least and most value of each group."""
+    counts = [F.count(value).alias("n"), F.avg(value).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most")]
+    return stats_by(df.select(*by, value), by, counts, {"p50": (value, 0.5), "p95": (value, 0.95)})
 
 
 def _ranked(df: DataFrame, score: str, tie: str, by: list[str]) -> DataFrame:
@@ -33,8 +34,9 @@ def top_shares(df: DataFrame, score: str, value: str, tie: str, shares: list[flo
     ranked = _ranked(df, score, tie, by)
     cut = ranked.withColumn("share", F.explode(F.array(*map(F.lit, shares))))
     k = F.floor(F.col("n_all") * F.col("share")) if whole else F.greatest(F.bround(F.col("n_all") * F.col("share")), F.lit(1))
-    p = lambda q: F.percentile(value, F.lit(q))
-    return cut.where(F.col("rank") <= k).groupBy(*by, "share").agg(F.count("*").alias("k"), F.avg(value).alias("ev"), p(0.5).alias("p50"), p(0.95).alias("p95"), F.min(score).alias("score_cut"))
+    best = cut.where(F.col("rank") <= k).select(*by, "share", value, score)
+    counts = [F.count("*").alias("k"), F.avg(value).alias("ev"), F.min(score).alias("score_cut")]
+    return stats_by(best, [*by, "share"], counts, {"p50": (value, 0.5), "p95": (value, 0.95)})
 
 
 def bin_sizes(bins: DataFrame, value: str, most: float = 2.0) -> DataFrame:
@@ -47,7 +49,8 @@ def bin_sizes(bins: DataFrame, value: str, most: float = 2.0) -> DataFrame:
 
 def learned_sizes(train: DataFrame, test: DataFrame, score: str, value: str, q: int = 5) -> DataFrame:
     """``size`` of the test rows: train edges of the score, mean of each interval over the train mean, kept from falling."""
-    edges = train.agg(F.percentile(score, F.array(*[F.lit(i / q) for i in range(1, q)])).alias("edges"), F.avg(value).alias("all_mean"))
+    cuts = {f"e{i}_": (score, i / q) for i in range(1, q)}
+    edges = exact_percentiles(train, cuts).crossJoin(train.agg(F.avg(value).alias("all_mean"))).select(F.array(*cuts).alias("edges"), "all_mean")
     place = F.size(F.filter("edges", lambda e: e < F.col(score)))
     means = train.crossJoin(F.broadcast(edges)).where(F.col(score).isNotNull()).groupBy(place.alias("bin")).agg((F.avg(value) / F.first("all_mean")).alias("ratio"))
     rising = F.max("ratio").over(W.orderBy("bin").rowsBetween(W.unboundedPreceding, 0))

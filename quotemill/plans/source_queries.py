@@ -175,6 +175,7 @@ def trailing_months(spark, sf):
 
 _FEATS = ["ms", "micro_bias", "abs_micro", "obi10", "abs_obi10", "ti", "abs_ti", "thin3", "persist_micro_ms", "persist_obi_ms", "range60_bps", "atr_bps"]
 LEAST_TRAINING_ROWS = 80
+TREES = 200
 
 
 def _scored(spark, sf):
@@ -191,7 +192,7 @@ def _scored(spark, sf):
     train = rows.where("split = 'train'")
     if train.count() < LEAST_TRAINING_ROWS:
         return None, rows.withColumn("score", F.lit(None).cast("double"))
-    model = GBTClassifier(maxDepth=3, stepSize=0.1, maxIter=10, subsamplingRate=0.8, seed=7).fit(train.orderBy("event_id"))
+    model = GBTClassifier(maxDepth=3, stepSize=0.03, maxIter=TREES, subsamplingRate=0.8, seed=7).fit(train.orderBy("event_id"))
     return model, model.transform(rows).withColumn("score", vector_to_array("probability")[1])
 
 
@@ -211,10 +212,11 @@ def model_rows(spark, sf):
 
 @query("M02_feature_importance")
 def feature_importance(spark, sf):
+    """The weight of each feature in the model; without a model (``fitted`` false) it is unknown."""
     model, scored = _scored(spark, sf)
-    found = model.featureImportances.toArray() if model else [0.0] * len(_FEATS)
-    weights = F.create_map(*[v for k, w in enumerate(found) for v in (F.lit(_FEATS[k]), F.lit(float(w)))])
-    return rounded(scored.agg(F.count("*").alias("n")).select("n", F.explode(weights).alias("feature", "importance")))
+    found = model.featureImportances.toArray().tolist() if model else [None] * len(_FEATS)
+    weights = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(w).cast("double").alias("importance")) for f, w in zip(_FEATS, found, strict=True)])
+    return rounded(scored.agg(F.count("*").alias("n")).select("n", F.lit(model is not None).alias("fitted"), F.inline(weights)))
 
 
 _RECORD_SQL = TAGS_SQL.replace("from feat cross join fitted where day(bucket) > 20", "from feat cross join fitted where day(bucket) <= 20")

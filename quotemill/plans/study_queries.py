@@ -10,6 +10,8 @@ from quotemill.operators import quality as ql
 from quotemill.operators import routing as rt
 from quotemill.operators import study as st
 from quotemill.operators import bootstrap as bs
+from quotemill.operators.spread import exact_percentiles, stats_by
+from quotemill.plans import intervals as iv
 from quotemill.plans.registry import query, r, rounded, us
 from quotemill.sources.scratch import kept
 from quotemill.sources.views import view
@@ -61,30 +63,43 @@ def bin_sizes(spark, sf):
     return rounded(st.bin_sizes(bins, "v").select("bin", "n", "ev", "ratio", "size"), 5)
 
 
+_STRATEGIES = "s as (select 'base' as strategy, day, pnl_net_bps as w, 1.0 as size from sized union all select 'sized', day, pnl_net_bps * size, size from sized union all select 'cut', day, pnl_net_bps, 1.0 from sized where score is null or score >= 0.3)"
 _SIZED = "sized as (select *, case when score is null then 0.5 when score >= 0.8 then 1.5 when score >= 0.6 then 1.2 when score >= 0.4 then 1.0 else 0.5 end as size from router_v)"
 
 
+def _strategies(t, *by):
+    """(by, strategy, w, z): each row's result and size in the strategies that take it."""
+    every = F.array(
+        F.struct(F.lit("base").alias("strategy"), F.col("v").alias("w"), F.lit(1.0).alias("z")),
+        F.struct(F.lit("sized").alias("strategy"), (F.col("v") * F.col("size")).alias("w"), F.col("size").alias("z")),
+        F.when(F.col("score").isNull() | (F.col("score") >= 0.3), F.struct(F.lit("cut").alias("strategy"), F.col("v").alias("w"), F.lit(1.0).alias("z"))),
+    )
+    return t.select(*by, F.inline(F.array_compact(every)))
+
+
 def _sized(spark, sf):
     return _router(spark, sf).withColumn("size", x.size_steps("score", [(0.8, 1.5), (0.6, 1.2), (0.4, 1.0)], 0.5, 0.5))
 
 
-@query("A26_strategy_summary", f"with {_SIZED}, s as (select 'base' as strategy, day, pnl_net_bps as v, 1.0 as size from sized union all select 'sized', day, pnl_net_bps * size, size from sized union all select 'cut', day, pnl_net_bps, 1.0 from sized where score is null or score >= 0.3) select strategy, count(*) as n, count(distinct day) as n_days, round(avg(v), 5) as mean, round(avg(size), 5) as avg_size from s group by strategy")
+@query("A26_strategy_summary", f"with {_SIZED}, {_STRATEGIES} select strategy, count(*) as n, count(distinct day) as n_days, round(avg(w), 10) as mean, round(avg(size), 10) as avg_size from s group by strategy")
 def strategy_summary(spark, sf):
     return strategy_intervals(spark, sf).select("strategy", "n", "n_days", "mean", "avg_size")
 
 
-@query("A26_strategy_intervals")
+@query("A26_strategy_intervals", f"with {_SIZED}, {_STRATEGIES}, {iv.factors()}, {iv.days('s', 'w', 'strategy', 'ci')} select strategy, round(avg(w), 10) as mean, count(*) as n, count(distinct day) as n_days, round(min(ci_lo), 6) as ci_lo, round(min(ci_hi), 6) as ci_hi, round(avg(size), 10) as avg_size from s join ci using (strategy) group by strategy")
 def strategy_intervals(spark, sf):
     """The comparison of strategies with the intervals of their means, whole days drawn."""
-    t = _sized(spark, sf)
-    every = F.array(
-        F.struct(F.lit("base").alias("strategy"), F.col("v").alias("w"), F.lit(1.0).alias("z")),
-        F.struct(F.lit("sized").alias("strategy"), (F.col("v") * F.col("size")).alias("w"), F.col("size").alias("z")),
-        F.when(F.col("score").isNull() | (F.col("score") >= 0.3), F.struct(F.lit("cut").alias("strategy"), F.col("v").alias("w"), F.lit(1.0).alias("z"))),
-    )
-    rows = t.select("day", F.inline(F.array_compact(every)))
-    out = bs.day_interval(rows, "w", "day", ["strategy"], reps=200).join(rows.groupBy("strategy").agg(F.avg("z").alias("avg_size")), "strategy")
-    return rounded(out, 5)
+    rows = _strategies(_sized(spark, sf), "day")
+    out = bs.day_interval(rows, "w", "day", ["strategy"]).join(rows.groupBy("strategy").agg(r(F.avg("z"), 10).alias("avg_size")), "strategy")
+    return out.withColumns({"mean": r("mean", 10), "ci_lo": r("ci_lo"), "ci_hi": r("ci_hi")})
+
+
+@query("A27_gain_description", f"with {_SIZED}, g as (select avg(pnl_net_bps * size) - avg(pnl_net_bps) as gain from sized group by day) select count(*) as n, round(avg(gain), 5) as mean, round(stddev_samp(gain), 5) as std, round(min(gain), 5) as least, round(quantile_cont(gain, 0.25), 5) as p25, round(quantile_cont(gain, 0.5), 5) as p50, round(quantile_cont(gain, 0.75), 5) as p75, round(max(gain), 5) as most from g")
+def gain_description(spark, sf):
+    """What the daily gains of the policy over the baseline are like: one row."""
+    days = _sized(spark, sf).groupBy("day").agg((F.avg(F.col("v") * F.col("size")) - F.avg("v")).alias("gain")).select("gain")
+    counts = [F.count("gain").alias("n"), F.avg("gain").alias("mean"), F.stddev_samp("gain").alias("std"), F.min("gain").alias("least"), F.max("gain").alias("most")]
+    return rounded(stats_by(days, [], counts, {"p25": ("gain", 0.25), "p50": ("gain", 0.5), "p75": ("gain", 0.75)}), 5)
 
 
 @query("A27_daily_policy", f"with {_SIZED} select epoch_us(day) as day, round(avg(pnl_net_bps), 5) as base, round(avg(pnl_net_bps * size), 5) as policy, round(avg(pnl_net_bps * size) - avg(pnl_net_bps), 5) as gain from sized group by day")
@@ -93,11 +108,11 @@ def daily_policy(spark, sf):
     return us(rounded(out.withColumn("gain", F.col("policy") - F.col("base")), 5), "day")
 
 
-@query("A28_monthly_policies", f"with {_SIZED} select day(timestamp) // 10 as month, count(*) as n, round(avg(pnl_net_bps), 5) as base, round(avg(pnl_net_bps * size), 5) as sized, round(quantile_cont(pnl_net_bps, 0.5), 5) as p50, round(quantile_cont(pnl_net_bps, 0.95), 5) as p95 from sized group by 1")
+@query("A28_monthly_policies", f"with {_SIZED}, s as (select day(timestamp) // 10 as month, 'base' as strategy, pnl_net_bps::double as w from sized union all select day(timestamp) // 10, 'sized', pnl_net_bps * size from sized union all select day(timestamp) // 10, 'cut', pnl_net_bps from sized where score is null or score >= 0.3) select month, strategy, count(*) as n, round(avg(w), 10) as ev, round(quantile_cont(w, 0.5), 10) as p50, round(quantile_cont(w, 0.95), 10) as p95 from s group by 1, 2")
 def monthly_policies(spark, sf):
-    t = _sized(spark, sf).withColumn("month", F.floor(F.dayofmonth("timestamp") / 10))
-    p = lambda q: F.percentile("v", F.lit(q))
-    return rounded(t.groupBy("month").agg(F.count("*").alias("n"), F.avg("v").alias("base"), F.avg(F.col("v") * F.col("size")).alias("sized"), p(0.5).alias("p50"), p(0.95).alias("p95")), 5)
+    """The three strategies side by side: count, mean and percentiles of each month."""
+    t = _strategies(_sized(spark, sf).withColumn("month", F.floor(F.dayofmonth("timestamp") / 10)), "month")
+    return rounded(stats_by(t.drop("z"), ["month", "strategy"], [F.count("*").alias("n"), F.avg("w").alias("ev")], {"p50": ("w", 0.5), "p95": ("w", 0.95)}), 10)
 
 
 @query("A39_classifier_metrics", "with l as (select symbol, score, (pnl_net_bps > 0)::int as y from router_v where score is not null), k as (select *, rank() over (partition by symbol order by score) as lo, count(*) over (partition by symbol, score) as same, sum(y) over (partition by symbol order by score desc range unbounded preceding) as pos, count(*) over (partition by symbol order by score desc range unbounded preceding) as seen, least(greatest(score, 1e-15), 1 - 1e-15) as p from l) select symbol, count(*) as n, round((sum(y * (lo + (same - 1) / 2)) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * (count(*) - sum(y))), 5) as auc, round(sum(y * pos / seen) / sum(y), 5) as ap, round(-avg(y * ln(p) + (1 - y) * ln(1 - p)), 5) as logloss from k group by symbol")
@@ -116,7 +131,7 @@ def policies(spark, sf):
 def intersection(spark, sf):
     """Rows that pass both filters, their cut-offs learned on the training days; neither looks at a result."""
     t = _router(spark, sf)
-    cut = t.where(F.dayofmonth("timestamp") <= 20).agg(F.percentile("score", F.lit(0.9)).alias("a"), F.percentile("strength", F.lit(0.1)).alias("b"))
+    cut = exact_percentiles(t.where(F.dayofmonth("timestamp") <= 20), {"a": ("score", 0.9), "b": ("strength", 0.1)})
     return t.where(F.dayofmonth("timestamp") > 20).crossJoin(F.broadcast(cut)).where("score >= a and strength >= b").select("event_id")
 
 
@@ -258,8 +273,8 @@ voted as (select *, yes >= case when regime = 'CALM' then there else 3 end as ke
 
 def _voted(spark, sf):
     g = kept(_regimes(spark, sf), "regimes")
-    p = lambda c, q: F.percentile(c, F.lit(q))
-    cuts = g.groupBy("regime").agg(p("spread_bps_entry", 0.6).alias("s"), p("quote_churn_10s", 0.6).alias("c"), p("obi_5", 0.4).alias("o"), p("aggr_ratio_10s", 0.4).alias("f"))
+    shares = {"s": ("spread_bps_entry", 0.6), "c": ("quote_churn_10s", 0.6), "o": ("obi_5", 0.4), "f": ("aggr_ratio_10s", 0.4)}
+    cuts = exact_percentiles(g, shares, ["regime"])
     j = g.join(F.broadcast(cuts), "regime")
     calm = F.col("regime") == "CALM"
     there = lambda n: F.col(n).isNotNull()
@@ -327,8 +342,12 @@ def _thresholds(spark, sf):
     g = _regimes(spark, sf).withColumn("month", F.floor(F.dayofmonth("t") / 6))
     each = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(op).alias("op"), F.lit(q).alias("q"), F.col(f).cast("double").alias("v")) for f, (op, q) in _FEATURES.items()])
     long = g.select("symbol", "regime", "t", "month", F.inline(each))
-    shares = sorted({q for _, q in _FEATURES.values()})
-    cut = lambda by, rows: rows.groupBy(*by).agg(F.percentile("v", F.array(*map(F.lit, shares))).alias("c"), F.min("q").alias("q"), F.min("op").alias("op"), F.count("v").alias("n")).withColumn("c", F.element_at("c", F.array_position(F.array(*map(F.lit, shares)), F.col("q")).cast("int")))  # noqa: E731, E501
+    shares = {f"c{k}": q for k, q in enumerate(sorted({q for _, q in _FEATURES.values()}))}
+
+    def cut(by, rows):
+        found = stats_by(rows, by, [F.min("q").alias("q"), F.min("op").alias("op"), F.count("v").alias("n")], {c: ("v", q) for c, q in shares.items()})
+        return found.withColumn("c", F.coalesce(*[F.when(F.col("q") == q, F.col(c)) for c, q in shares.items()]))
+
     priors = cut(["regime", "feature"], long.where(F.dayofmonth("t") <= 10)).select("regime", "feature", F.col("c").alias("fixed"))
     local = cut(["symbol", "regime", "feature", "month"], long).join(F.broadcast(priors), ["regime", "feature"]).withColumn("on", F.col("regime") != "CALM")
     by = ["symbol", "regime", "feature", "op"]
@@ -432,7 +451,7 @@ def flux_grid(spark, sf):
     return out.withColumn("place", F.row_number().over(best)).where("place <= 20")
 
 
-_PROBE = "select symbol, day(timestamp) // 10 as part, count(*) as n_rows, epoch_us(min(timestamp)) as first_us, epoch_us(max(timestamp)) as last_us, epoch_us(min(received_time)) as first_received_us, epoch_us(max(received_time)) as last_received_us, quantile_cont((seq % 7 - 1)::double, 0.5) as latency_p50, quantile_cont((seq % 7 - 1)::double, 0.9) as latency_p90, quantile_cont((seq % 7 - 1)::double, 0.99) as latency_p99, count(*) filter (where seq % 7 = 0) as latency_negative, 1 - count(distinct epoch_us(timestamp) // 3600000000) / (max(epoch_us(timestamp) // 3600000000) - min(epoch_us(timestamp) // 3600000000) + 1) as gap_ratio, count(*) filter (where ask_0_price < bid_0_price) as crossed, count(*) filter (where seq < before) as seq_falls, quantile_cont(ask_0_price - bid_0_price, 0.1) as spread_p10, quantile_cont(ask_0_price - bid_0_price, 0.5) as spread_p50, quantile_cont(ask_0_price - bid_0_price, 0.9) as spread_p90 from b group by 1, 2"
+_PROBE = "select symbol, day(timestamp) // 10 as part, count(*) as n_rows, epoch_us(min(timestamp)) as first_us, epoch_us(max(timestamp)) as last_us, epoch_us(min(received_time)) as first_received_us, epoch_us(max(received_time)) as last_received_us, quantile_cont((seq % 7 - 1)::double, 0.5) as latency_p50, quantile_cont((seq % 7 - 1)::double, 0.9) as latency_p90, quantile_cont((seq % 7 - 1)::double, 0.99) as latency_p99, count(*) filter (where seq % 7 = 0) as latency_negative, 1 - count(distinct epoch_us(timestamp) // 3600000000) / (max(epoch_us(timestamp) // 3600000000) - min(epoch_us(timestamp) // 3600000000) + 1) as gap_ratio, count(*) filter (where bid_0_price >= ask_0_price) as crossed, count(*) filter (where seq < before) as seq_falls, quantile_cont(ask_0_price - bid_0_price, 0.1) as spread_p10, quantile_cont(ask_0_price - bid_0_price, 0.5) as spread_p50, quantile_cont(ask_0_price - bid_0_price, 0.9) as spread_p90 from b group by 1, 2"
 _ROUNDED = ("latency_p50", "latency_p90", "latency_p99", "gap_ratio", "spread_p10", "spread_p50", "spread_p90")
 
 
@@ -440,7 +459,7 @@ _ROUNDED = ("latency_p50", "latency_p90", "latency_p99", "gap_ratio", "spread_p1
 tr as (select symbol, day(timestamp) // 10 as part, count(*) as n_trades from trades_v where timestamp >= timestamp '2024-01-10' group by 1, 2),
 grid as (select symbol, part from (select distinct symbol from trades_v union all select 'ghost') cross join (values (0), (1), (2), (3)) v(part))
 select grid.symbol, grid.part, coalesce(n_rows, 0) as n_rows, coalesce(n_trades, 0) as n_trades, first_us, last_us, first_received_us, last_received_us, {', '.join(f'round({c}, 5) as {c}' for c in _ROUNDED)}, latency_negative, crossed, seq_falls,
- concat_ws(';', case when n_rows is null then 'no_book' end, case when n_trades is null then 'no_trades' end, case when gap_ratio > 0.3 then 'gaps' end, case when latency_p99 > 4 then 'late' end, case when latency_negative > 0 then 'negative_latency' end, case when crossed > 0 then 'crossed' end) as flags
+ concat_ws(';', case when n_rows is null then 'no_book' end, case when n_trades is null then 'no_trades' end, case when coalesce(gap_ratio, 1.0) > 0.3 then 'gaps' end, case when latency_p99 > 4 then 'late' end, case when latency_negative > 0 then 'negative_latency' end, case when crossed > 0 then 'crossed' end) as flags
 from grid left join p using (symbol, part) left join tr using (symbol, part)""")
 def book_probe(spark, sf):
     """Each expected symbol and part of the month, missing ones too."""
@@ -454,7 +473,7 @@ def book_probe(spark, sf):
 
 
 @query("A30_book_checks", """with b as (select *, lag(timestamp) over (partition by symbol order by timestamp, seq) as before, lag(seq) over (partition by symbol order by timestamp, seq) as seq_before from book_v),
-c as (select symbol, count(*) filter (where timestamp = before) as same_time, count(*) filter (where ask_0_price < bid_0_price) as crossed, count(*) filter (where not (bid_0_price > 0 and ask_0_price > 0)) as no_price, count(*) filter (where (epoch_us(timestamp) - epoch_us(before)) / 1e6 > 7200) as gap, count(*) filter (where seq < seq_before) as seq_falls,
+c as (select symbol, count(*) filter (where timestamp = before) as same_time, count(*) filter (where bid_0_price >= ask_0_price) as crossed, count(*) filter (where not (bid_0_price > 0 and ask_0_price > 0)) as no_price, count(*) filter (where (epoch_us(timestamp) - epoch_us(before)) / 1e6 > 7200) as gap, count(*) filter (where seq < seq_before) as seq_falls,
  count(*) filter (where """ + " or ".join(f"bid_{i}_price > bid_{i - 1}_price or ask_{i}_price < ask_{i - 1}_price" for i in range(1, 15)) + """) as levels_out_of_order, count(*) filter (where """ + " or ".join(f"{s}_{i}_size <= 0" for i in range(15) for s in ("bid", "ask")) + """) as no_size, 1::bigint as missing_columns from b group by symbol)
 select symbol, "check", n_bad from c unpivot (n_bad for "check" in (same_time, crossed, no_price, gap, seq_falls, levels_out_of_order, no_size, missing_columns))""")
 def book_checks(spark, sf):

@@ -10,7 +10,9 @@ from quotemill.operators import bootstrap as bs
 from quotemill.operators import thresholds as th
 from quotemill.operators import timejoins as tj
 from quotemill.operators.bucketing import resample
+from quotemill.operators.spread import exact_percentiles, stats_by
 from quotemill.plans import core_queries
+from quotemill.plans import intervals as iv
 from quotemill.plans.registry import query, r, rounded, us
 from quotemill.plans.stage0 import TAGS_SQL
 from quotemill.sources.scratch import stored
@@ -242,31 +244,47 @@ def bucket_summary(spark, sf):
     return bucket_summary_intervals(spark, sf).select("config", "vol_bucket", "n", "n_days", "mean", "med_atr")
 
 
-@query("A18_bucket_summary_intervals")
+_SETS_SQL = "sets as (select 'b' || i || '-b' || j as name, i, j, -1 as skip from range(5) a(i), range(5) b(j) where i <= j union all select 'not b' || i, 0, 4, i from range(5) a(i))"
+_IN_SETS = "right(vol_bucket, 1)::int between i and j and right(vol_bucket, 1)::int <> skip"
+
+
+@query(
+    "A18_bucket_summary_intervals",
+    f"with {_ATR_TRADES}, {iv.factors()}, {iv.days('bucketed', 'pnl_net_bps', 'config, vol_bucket', 'by_day')}, {iv.iid('bucketed', 'pnl_net_bps', 'event_id', 'config, vol_bucket', 'by_row')}, st as (select config, vol_bucket, avg(pnl_net_bps) as mean, count(*) as n, count(distinct day) as n_days, median(atr_bps) as med_atr from bucketed group by 1, 2) select config, vol_bucket, n, n_days, round(mean, 5) as mean, round(med_atr, 5) as med_atr, round(d.ci_lo, 5) as day_lo, round(d.ci_hi, 5) as day_hi, round(i.ci_lo, 5) as iid_lo, round(i.ci_hi, 5) as iid_hi from st join by_day d using (config, vol_bucket) join by_row i using (config, vol_bucket)",
+)
 def bucket_summary_intervals(spark, sf):
     """The summary with both intervals: rows drawn one by one, and whole days."""
     t = _bucketed(spark, sf)
     by = ["config", "vol_bucket"]
-    days = bs.day_interval(t, "pnl_net_bps", "day", by, reps=200).withColumnsRenamed({"ci_lo": "day_lo", "ci_hi": "day_hi"})
-    rows = bs.iid_interval(t, "pnl_net_bps", "event_id", by, reps=100).select(*by, F.col("ci_lo").alias("iid_lo"), F.col("ci_hi").alias("iid_hi"))
-    med = t.groupBy(*by).agg(F.percentile("atr_bps", F.lit(0.5)).alias("med_atr"))
+    days = bs.day_interval(t, "pnl_net_bps", "day", by).withColumnsRenamed({"ci_lo": "day_lo", "ci_hi": "day_hi"})
+    rows = bs.iid_interval(t, "pnl_net_bps", "event_id", by).select(*by, F.col("ci_lo").alias("iid_lo"), F.col("ci_hi").alias("iid_hi"))
+    med = exact_percentiles(t, {"med_atr": ("atr_bps", 0.5)}, by)
     return rounded(days.join(rows, by).join(med, by), 5)
 
 
-@query("A15_iid_interval")
+def _results(spark, sf):
+    return view(spark, sf, "router_v").withColumn("v", F.col("pnl_net_bps").cast("double"))
+
+
+@query("A15_iid_interval", f"with {iv.factors()}, {iv.iid('router_v', 'pnl_net_bps', 'event_id', 'router_pick', 'ci')} select router_pick, round(avg(pnl_net_bps), 10) as mean, count(*) as n, round(min(ci_lo), 6) as ci_lo, round(min(ci_hi), 6) as ci_hi from router_v join ci using (router_pick) group by router_pick")
 def iid_interval(spark, sf):
-    return rounded(bs.iid_interval(view(spark, sf, "router_v").withColumn("v", F.col("pnl_net_bps").cast("double")), "v", "event_id", ["router_pick"], reps=300))
+    out = bs.iid_interval(_results(spark, sf), "v", "event_id", ["router_pick"])
+    return out.withColumns({"mean": r("mean", 10), "ci_lo": r("ci_lo"), "ci_hi": r("ci_hi")})
 
 
-@query("A16_day_interval")
+@query("A16_day_interval", f"with {iv.factors()}, {iv.days('router_v', 'pnl_net_bps', 'router_pick', 'ci')} select router_pick, round(avg(pnl_net_bps), 10) as mean, count(*) as n, count(distinct day) as n_days, round(min(ci_lo), 6) as ci_lo, round(min(ci_hi), 6) as ci_hi from router_v join ci using (router_pick) group by router_pick")
 def day_interval(spark, sf):
-    return rounded(bs.day_interval(view(spark, sf, "router_v").withColumn("v", F.col("pnl_net_bps").cast("double")), "v", "day", ["router_pick"], reps=500))
+    out = bs.day_interval(_results(spark, sf), "v", "day", ["router_pick"])
+    return out.withColumns({"mean": r("mean", 10), "ci_lo": r("ci_lo"), "ci_hi": r("ci_hi")})
+
 
+_DELTA = "avg(pnl_net_bps) filter (where {0} = 'MR') - avg(pnl_net_bps) filter (where {0} = 'BO')"
 
-@query("A17_day_delta")
+
+@query("A17_day_delta", f"with {iv.factors()}, {iv.factors(8)}, {iv.delta('router_v', 'pnl_net_bps', 'router_pick', 'MR', 'BO', 'symbol', 'ci')} select symbol, round({_DELTA.format('router_pick')}, 10) as delta, round(min(ci_lo), 6) as ci_lo, round(min(ci_hi), 6) as ci_hi from router_v join ci using (symbol) group by symbol")
 def day_delta(spark, sf):
-    t = view(spark, sf, "router_v").withColumn("v", F.col("pnl_net_bps").cast("double"))
-    return rounded(bs.day_delta(t, "v", "day", "router_pick", "MR", "BO", ["symbol"], reps=500))
+    out = bs.day_delta(_results(spark, sf), "v", "day", "router_pick", "MR", "BO", ["symbol"])
+    return out.withColumns({"delta": r("delta", 10), "ci_lo": r("ci_lo"), "ci_hi": r("ci_hi")})
 
 
 @query("A19_router_pick", "select event_id, vol_bucket, router_pick from router_v where router_pick = case when vol_bucket = 'b2' then 'MR' else 'BO' end")
@@ -282,33 +300,33 @@ def candidate_sets(n: int) -> list[tuple[str, list[str]]]:
     return list(out.items())
 
 
-@query("A20_router_search", "with sets as (select 'b' || i || '-b' || j as name, i, j, -1 as skip from range(5) a(i), range(5) b(j) where i <= j union all select 'not b' || i, 0, 4, i from range(5) a(i)) select name, count(*) as n, round(avg(pnl_net_bps), 5) as mean, count(distinct day) as n_days from router_v join sets on right(vol_bucket, 1)::int between i and j and right(vol_bucket, 1)::int <> skip group by name")
+@query("A20_router_search", f"with {_SETS_SQL} select name, count(*) as n, round(avg(pnl_net_bps), 10) as mean, count(distinct day) as n_days from router_v join sets on {_IN_SETS} group by name")
 def router_search(spark, sf):
     return router_search_ranked(spark, sf).select("name", "n", "mean", "n_days")
 
 
-@query("A20_router_search_ranked")
+@query("A20_router_search_ranked", f"with {_SETS_SQL}, members as (select name, day, pnl_net_bps from router_v join sets on {_IN_SETS}), {iv.factors()}, {iv.days('members', 'pnl_net_bps', 'name', 'ci')} select name, round(avg(pnl_net_bps), 10) as mean, count(*) as n, count(distinct day) as n_days, round(min(ci_lo), 6) as ci_lo, round(min(ci_hi), 6) as ci_hi from members join ci using (name) group by name")
 def router_search_ranked(spark, sf):
     """Bucket sets from the highest lower bound on, with their intervals."""
-    t = view(spark, sf, "router_v").withColumn("v", F.col("pnl_net_bps").cast("double"))
-    return rounded(_ranked_sets(spark, t, "v"), 5)
+    return _ranked_sets(spark, _results(spark, sf), "v")
 
 
 def _ranked_sets(spark, trades, value):
     sets = spark.createDataFrame([(n, b) for n, bs_ in candidate_sets(5) for b in bs_], "name string, vol_bucket string")
-    out = bs.day_interval(trades.join(F.broadcast(sets), "vol_bucket"), value, "day", ["name"], reps=200)
+    out = bs.day_interval(trades.join(F.broadcast(sets), "vol_bucket"), value, "day", ["name"])
+    out = out.withColumns({"mean": r("mean", 10), "ci_lo": r("ci_lo"), "ci_hi": r("ci_hi")})
     return out.orderBy(F.desc_nulls_last("ci_lo"), F.desc("mean"), "name")
 
 
-@query("A21_bucket_delta", "select vol_bucket, round(avg(pnl_net_bps) filter (where router_pick = 'MR') - avg(pnl_net_bps) filter (where router_pick = 'BO'), 5) as delta from router_v group by vol_bucket")
+@query("A21_bucket_delta", f"select vol_bucket, round({_DELTA.format('router_pick')}, 10) as delta from router_v group by vol_bucket")
 def bucket_delta(spark, sf):
     return bucket_delta_interval(spark, sf).select("vol_bucket", "delta")
 
 
-@query("A21_bucket_delta_interval")
+@query("A21_bucket_delta_interval", f"with {iv.factors()}, {iv.factors(8)}, {iv.delta('router_v', 'pnl_net_bps', 'router_pick', 'MR', 'BO', 'vol_bucket', 'ci')} select vol_bucket, round({_DELTA.format('router_pick')}, 10) as delta, round(min(ci_lo), 6) as ci_lo, round(min(ci_hi), 6) as ci_hi from router_v join ci using (vol_bucket) group by vol_bucket")
 def bucket_delta_interval(spark, sf):
-    t = view(spark, sf, "router_v").withColumn("v", F.col("pnl_net_bps").cast("double"))
-    return rounded(bs.day_delta(t, "v", "day", "router_pick", "MR", "BO", ["vol_bucket"], reps=200), 5)
+    out = bs.day_delta(_results(spark, sf), "v", "day", "router_pick", "MR", "BO", ["vol_bucket"])
+    return out.withColumns({"delta": r("delta", 10), "ci_lo": r("ci_lo"), "ci_hi": r("ci_hi")})
 
 
 _PATH_SQL = """spr as (select (ask_0_price - bid_0_price) / ((ask_0_price + bid_0_price) / 2 + 1e-12) * 1e4 as s from book_v),
@@ -384,8 +402,8 @@ def stageb(spark, sf):
 @query("M08_backtest", f"with {_ATR_TRADES} select month, vol_bucket, count(*) as n, round(avg(pnl_net_bps), 5) as ev, round(quantile_cont(pnl_net_bps, 0.5), 5) as p50 from bucketed where mode = case when vol_bucket = 'b2' then 'MR' else 'BO' end group by month, vol_bucket")
 def backtest(spark, sf):
     picked = bt.router_pick(_bucketed(spark, sf).withColumnRenamed("mode", "router_pick"))
-    out = picked.groupBy("month", "vol_bucket").agg(F.count("*").alias("n"), F.avg("pnl_net_bps").alias("ev"), F.percentile("pnl_net_bps", F.lit(0.5)).alias("p50"))
-    return rounded(out, 5)
+    picked = picked.select("month", "vol_bucket", "pnl_net_bps")
+    return rounded(stats_by(picked, ["month", "vol_bucket"], [F.count("*").alias("n"), F.avg("pnl_net_bps").alias("ev")], {"p50": ("pnl_net_bps", 0.5)}), 5)
 
 
 @query("M08_config_months", f"with {_ATR_TRADES} select config, month, count(*) as n, round(avg(pnl_net_bps), 5) as ev, round(quantile_cont(pnl_net_bps, 0.05), 5) as p05, round(quantile_cont(pnl_net_bps, 0.95), 5) as p95, count(*) filter (where mode = case when vol_bucket = 'b2' then 'MR' else 'BO' end) as n_routed, round(avg(pnl_net_bps) filter (where mode = case when vol_bucket = 'b2' then 'MR' else 'BO' end), 5) as ev_routed from bucketed group by config, month")
@@ -393,22 +411,18 @@ def backtest_config_months(spark, sf):
     """The backtest's table of each configuration and month: all trades, and those that the router takes."""
     t = _bucketed(spark, sf)
     routed = F.when(F.col("mode") == F.when(F.col("vol_bucket") == "b2", "MR").otherwise("BO"), F.col("pnl_net_bps"))
-    p = lambda q: F.percentile("pnl_net_bps", F.lit(q))
-    return rounded(
-        t.groupBy("config", "month").agg(
-            F.count("*").alias("n"), F.avg("pnl_net_bps").alias("ev"), p(0.05).alias("p05"), p(0.95).alias("p95"), F.count(routed).alias("n_routed"), F.avg(routed).alias("ev_routed")
-        ),
-        5,
-    )
+    counts = [F.count("*").alias("n"), F.avg("pnl_net_bps").alias("ev"), F.count("routed_").alias("n_routed"), F.avg("routed_").alias("ev_routed")]
+    rows = t.select("config", "month", "pnl_net_bps", routed.alias("routed_"))
+    return rounded(stats_by(rows, ["config", "month"], counts, {"p05": ("pnl_net_bps", 0.05), "p95": ("pnl_net_bps", 0.95)}), 5)
 
 
-@query("M08_candidate_search")
+@query("M08_candidate_search", f"with {_ATR_TRADES}, {_SETS_SQL}, members as (select name, day, pnl_net_bps from bucketed join sets on {_IN_SETS}), {iv.factors()}, {iv.days('members', 'pnl_net_bps', 'name', 'ci')} select name, round(avg(pnl_net_bps), 8) as mean, count(*) as n, count(distinct day) as n_days, round(min(ci_lo), 6) as ci_lo, round(min(ci_hi), 6) as ci_hi from members join ci using (name) group by name")
 def backtest_candidate_search(spark, sf):
     """The backtest's router candidates: bucket sets of the trades of all configurations, ranked by their lower bound."""
-    return rounded(_ranked_sets(spark, _bucketed(spark, sf), "pnl_net_bps"), 5)
+    return _ranked_sets(spark, _bucketed(spark, sf), "pnl_net_bps").withColumn("mean", r("mean", 8))
 
 
-@query("M08_router_delta")
+@query("M08_router_delta", f"with {_ATR_TRADES}, {iv.factors()}, {iv.factors(8)}, {iv.delta('bucketed', 'pnl_net_bps', 'mode', 'MR', 'BO', 'vol_bucket', 'ci')} select vol_bucket, round({_DELTA.format('mode')}, 5) as delta, round(min(ci_lo), 5) as ci_lo, round(min(ci_hi), 5) as ci_hi from bucketed join ci using (vol_bucket) group by vol_bucket")
 def backtest_router_delta(spark, sf):
     """Of each bucket, what trading against the signal earns over trading with it, with its interval."""
-    return rounded(bs.day_delta(_bucketed(spark, sf), "pnl_net_bps", "day", "mode", "MR", "BO", ["vol_bucket"], reps=200), 5)
+    return rounded(bs.day_delta(_bucketed(spark, sf), "pnl_net_bps", "day", "mode", "MR", "BO", ["vol_bucket"]), 5)

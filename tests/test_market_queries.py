@@ -19,12 +19,22 @@ def test_matches_sql(spark, db, name):
     spark.catalog.clearCache()
 
 
-def test_intervals_hold_the_mean_and_repeat(spark):
+def test_intervals_hold_the_mean(spark):
     for name, mid in (("A15_iid_interval", "mean"), ("A16_day_interval", "mean"), ("A17_day_delta", "delta")):
-        one, two = (QUERIES[name](spark, SF).toPandas() for _ in range(2))
-        known = one.dropna()
+        known = QUERIES[name](spark, SF).toPandas().dropna()
         assert len(known) and ((known["ci_lo"] <= known[mid]) & (known[mid] <= known["ci_hi"])).all()
-        assert_same(one, two)
+
+
+def test_row_weights_are_those_of_a_bootstrap():
+    """Draws of many rows: a mean and a variance of one in each replicate, and no two replicates alike."""
+    import numpy as np
+
+    from quotemill.operators.bootstrap import PRIME, _word, multipliers, poisson_cuts
+
+    a, b = (np.array([_word(f"7|{i}", at) for i in range(4000)]) for at in (0, 8))
+    weights = np.searchsorted(poisson_cuts(), (a[:, None] * multipliers(7, 200) + b[:, None]) % PRIME, "right")
+    assert abs(weights.mean() - 1) < 0.01 and abs(weights.var() - 1) < 0.02
+    assert np.abs(np.corrcoef(weights.T) - np.eye(200)).max() < 0.09
 
 
 def test_stream_buckets_agree_with_batch(spark):
@@ -35,10 +45,16 @@ def test_stream_buckets_agree_with_batch(spark):
     assert ((both["notional_buy"] - both["notional_buy_b"]).abs() < 1e-6).all() and (both["ntr"] == both["ntr_b"]).all()
 
 
-def test_model_scores_every_split(spark):
-    assert set(QUERIES["M01_boosted_trees"](spark, SF).toPandas()["split"]) == {"train", "val", "test"}
+def test_no_model_of_too_few_rows(spark):
+    """62 training rows are too few: no scores, and importances that are unknown, not 0."""
     weights = QUERIES["M02_feature_importance"](spark, SF).toPandas()
-    assert abs(weights["importance"].sum() - 1) < 1e-4 and len(weights) == 12
+    assert len(weights) == 12 and weights["importance"].isna().all() and not weights["fitted"].any()
+    assert QUERIES["M01_boosted_trees"](spark, SF).toPandas()["auc"].isna().all()
+
+
+def test_model_scores_every_split(spark):
+    weights = QUERIES["M02_feature_importance"](spark, SF.replace("0.001", "0.01")).toPandas()
+    assert abs(weights["importance"].sum() - 1) < 1e-4 and len(weights) == 12 and weights["fitted"].all()
 
 
 def test_entry_and_registry(spark):
