@@ -8,9 +8,14 @@ part is handed on to the later ones.
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quotemill.functions.expr import SMALL, TINY, micros
 from quotemill.operators.spread import beside_keys
@@ -34,11 +39,33 @@ def row_chunks(df: DataFrame, order: list[str], halo: int, chunk: int = 1 << 20,
     return rows.withColumn("chunk_", F.explode(also)).withColumn("own_", F.col("chunk_") == home)
 
 
-def over_rows(df: DataFrame, order: list[str], columns: dict[str, tuple[Column, int]], key: str = "symbol") -> DataFrame:
-    """Adds columns (aggregate, rows): the aggregate over that many rows up to and with the current one."""
-    chunks = row_chunks(df, order, max(n for _, n in columns.values()) - 1, key=key)
+def over_rows(df: DataFrame, order: list[str], columns: dict[str, tuple[Column, int]], extremes: dict[str, tuple[str, int]] | None = None, key: str = "symbol") -> DataFrame:
+    """Adds columns (aggregate, rows): the aggregate over that many rows up to and with the current one.
+
+    Extremes (value, rows) add <name>_hi, <name>_lo and <name>_n, in a few steps for a row whatever the number of rows:
+    rows are cut into blocks of that many, and the last rows are the end of one block and the start of the next, so
+    that two running extremes, from the ends of both blocks, are all that is needed.
+    """
+    extremes = extremes or {}
+    chunks = row_chunks(df, order, max(n for _, n in [*columns.values(), *extremes.values()]) - 1, key=key)
     by = W.partitionBy(key, "chunk_").orderBy("row_no")
     wide = chunks.withColumns({name: agg.over(by.rowsBetween(1 - n, 0)) for name, (agg, n) in columns.items()})
+    for name, (value, n) in extremes.items():
+        wide = wide.withColumn("block_", F.floor(F.col("row_no") / F.lit(n)))
+        block = W.partitionBy(key, "chunk_", "block_")
+        from_start, from_end = (block.orderBy(o).rowsBetween(W.unboundedPreceding, 0) for o in (F.asc("row_no"), F.desc("row_no")))
+        kinds = {"hi": F.max(value), "lo": F.min(value), "n": F.count(value)}
+        wide = wide.withColumns({f"{k}end_": agg.over(from_end) for k, agg in kinds.items()} | {f"{k}start_": agg.over(from_start) for k, agg in kinds.items()})
+        # The window's first row, n - 1 rows ago: what its block has from there on. With it in the current block, that is the block.
+        wide = wide.withColumns({f"{k}end_": F.lag(f"{k}end_", n - 1).over(by) for k in kinds})
+        split = F.col("row_no") % n != n - 1
+        wide = wide.withColumns(
+            {
+                f"{name}_hi": F.greatest("hiend_", "histart_"),
+                f"{name}_lo": F.least("loend_", "lostart_"),
+                f"{name}_n": F.col("nstart_") + F.when(split, F.coalesce("nend_", F.lit(0))).otherwise(0),
+            }
+        ).drop("block_", *[f"{k}{e}_" for k in kinds for e in ("start", "end")])
     return wide.where("own_").drop("chunk_", "own_", "row_no")
 
 
@@ -68,10 +95,73 @@ def time_parts(df: DataFrame, halo: float, part: float, ts: str = "bucket") -> D
     return df.withColumn("part_", F.explode(also)).withColumn("own_", F.col("part_") == F.floor(micros(ts) / F.lit(width)))
 
 
-def time_median(value: str, seconds: float, ts: str, keys: list[str]) -> Column:
-    """Median of ``value`` over (t - seconds, t]."""
-    frame = W.partitionBy(*keys).orderBy(micros(ts)).rangeBetween(-int(seconds * 1_000_000) + 1, 0)
-    return F.percentile(value, F.lit(0.5)).over(frame)
+class SlidingMedian:
+    """The median of the values of a window whose two ends only move on: two heaps, the lower and the upper half.
+
+    Values that the window has left are dropped when they come to the top, so that a step costs the logarithm of the window.
+    """
+
+    def __init__(self) -> None:
+        self.low: list[tuple[float, int]] = []  # negated values: the largest of the lower half is on top
+        self.high: list[tuple[float, int]] = []
+        self.n = [0, 0]
+        self.side: dict[int, int] = {}
+
+    def _top(self, side: int) -> float:
+        heap = self.high if side else self.low
+        while heap[0][1] not in self.side or self.side[heap[0][1]] != side:
+            heappop(heap)
+        return heap[0][0]
+
+    def _move(self, side: int) -> None:
+        value, i = -self._top(side), (self.high if side else self.low)[0][1]
+        heappop(self.high if side else self.low)
+        heappush(self.low if side else self.high, (value, i))
+        self.side[i] = 1 - side
+        self.n[side] -= 1
+        self.n[1 - side] += 1
+
+    def _balance(self) -> None:
+        while self.n[0] > self.n[1] + 1:
+            self._move(0)
+        while self.n[1] > self.n[0]:
+            self._move(1)
+
+    def add(self, i: int, value: float) -> None:
+        side = int(self.n[0] > 0 and value > -self._top(0))
+        heappush(self.high if side else self.low, (value if side else -value, i))
+        self.side[i] = side
+        self.n[side] += 1
+        self._balance()
+
+    def remove(self, i: int) -> None:
+        self.n[self.side.pop(i)] -= 1
+        self._balance()
+
+    def median(self) -> float | None:
+        if not self.n[0]:
+            return None
+        return -self._top(0) if self.n[0] > self.n[1] else (self._top(1) - self._top(0)) / 2
+
+
+def sliding_medians(times: list[int], values: list[float | None], reach: int) -> tuple[list[float | None], list[int]]:
+    """Median and number of the known values in (t - reach, t] for each of the rising ``times``, rows of the same time included."""
+    medians: list[float | None] = []
+    counts: list[int] = []
+    window, first, at = SlidingMedian(), 0, 0
+    while at < len(times):
+        now, start = times[at], at
+        while at < len(times) and times[at] == now:
+            if values[at] is not None:
+                window.add(at, values[at])
+            at += 1
+        while times[first] <= now - reach:
+            if values[first] is not None:
+                window.remove(first)
+            first += 1
+        medians += [window.median()] * (at - start)
+        counts += [sum(window.n)] * (at - start)
+    return medians, counts
 
 
 def time_medians(
@@ -82,15 +172,27 @@ def time_medians(
     ``spread_1s`` is the median of spread_bps over ``short`` seconds, ``spread_med`` its own median over ``long`` and
     ``spread_rel`` their ratio; with fewer than ``least_rows`` rows in the long frame the long median is the short one
     and the ratio 1. ``depths``: name to depth column, (median - depth) / median over ``depth_seconds``. A symbol's time
-    line is cut into parts of ``part`` seconds (eight times what the windows reach back), so that none is one task.
+    line is cut into parts of ``part`` seconds (eight times what the windows reach back), so that none is one task; a
+    part is one group, and each of its rows a few steps in two heaps.
     """
     halo = max(short + long, depth_seconds)
-    rows, keys = time_parts(df, halo, part or 8 * halo, ts), [key, "part_"]
-    frame = W.partitionBy(*keys).orderBy(micros(ts)).rangeBetween(-int(long * 1_000_000) + 1, 0)
-    rows = rows.withColumn("spread_1s", time_median("spread_bps", short, ts, keys))
-    enough = F.count("spread_1s").over(frame) >= least_rows
-    rows = rows.withColumn("med_", F.when(enough, F.percentile("spread_1s", F.lit(0.5)).over(frame)))
-    rows = rows.withColumns({f"{n}_": time_median(c, depth_seconds, ts, keys) for n, c in depths.items()}).where("own_")
+    rows = time_parts(df, halo, part or 8 * halo, ts).withColumn("us_", micros(ts))
+    made = ["spread_1s", "med_", *[f"{n}_" for n in depths]]
+
+    def slide(table: pa.Table) -> pa.Table:
+        table = table.sort_by("us_")
+        times = table["us_"].to_pylist()
+        known = lambda c: [None if v is None or v != v else float(v) for v in table[c].to_pylist()]
+        near, _ = sliding_medians(times, known("spread_bps"), int(short * 1_000_000))
+        far, n = sliding_medians(times, near, int(long * 1_000_000))
+        columns = [near, [m if k >= least_rows else None for m, k in zip(far, n, strict=True)]]
+        columns += [sliding_medians(times, known(c), int(depth_seconds * 1_000_000))[0] for c in depths.values()]
+        for name, values in zip(made, columns, strict=True):
+            table = table.append_column(name, pa.array(values, pa.float64()))
+        return table.filter(pc.field("own_")).drop_columns(["part_", "own_", "us_"])
+
+    fields = [f for f in rows.schema.fields if f.name not in ("part_", "own_", "us_")] + [StructField(n, DoubleType()) for n in made]
+    rows = rows.groupBy(key, "part_").applyInArrow(slide, StructType(fields))
     out = rows.withColumns(
         {
             "spread_med": F.coalesce("med_", "spread_1s"),
@@ -98,12 +200,7 @@ def time_medians(
             **{n: (F.col(f"{n}_") - F.col(c)) / (F.col(f"{n}_") + SMALL) for n, c in depths.items()},
         }
     )
-    return out.drop("med_", "part_", "own_", *[f"{n}_" for n in depths])
-
-
-def range_parts(value: str, rows: int, name: str) -> dict[str, tuple[Column, int]]:
-    """The rolled columns that ``range_bps`` needs."""
-    return {f"{name}_hi": (F.max(value), rows), f"{name}_lo": (F.min(value), rows), f"{name}_n": (F.count(value), rows)}
+    return out.drop("med_", *[f"{n}_" for n in depths])
 
 
 def range_bps(value: str, rows: int, name: str) -> Column:

@@ -40,8 +40,8 @@ def features(book: DataFrame, trades: DataFrame, c: Stage0 = Stage0()) -> DataFr
     """
     out = stored(with_flow(last_snapshots(book, c.step), trade_flow(trades, c.step)).withColumn("mid", x.mid()), "buckets")
     flow = {f"{n}_w": (F.sum(n), c.flow_rows) for n in ("notional_buy", "notional_sell", "ntr")}
-    ranges = w.range_parts("mid", c.range_rows, "range60") | w.range_parts("mid", c.long_range_rows, "range600")
-    out = w.flow_rates(w.over_rows(out, ["bucket"], flow | ranges), c.flow_seconds)
+    ranges = {"range60": ("mid", c.range_rows), "range600": ("mid", c.long_range_rows)}
+    out = w.flow_rates(w.over_rows(out, ["bucket"], flow, ranges), c.flow_seconds)
     depths = {f"{'db' if s == 'bid' else 'da'}{k}": x.depth(s, k) for s in ("bid", "ask") for k in (1, 3, 5, 10, 14)}
     out = out.withColumns({"spread_bps": x.spread_bps(), "spread_ticks": x.spread_ticks(c.tick), "micro_bias": x.micro_bias_bps(), **depths})
     out = out.withColumns({f"obi{k}": x.imbalance(F.col(f"db{k}"), F.col(f"da{k}")) for k in (1, 3, 5, 10, 14)})

@@ -110,6 +110,40 @@ def test_row_windows_in_chunks_equal_plain_ones(spark):
     assert [r.s for r in wide] == [sum(values[max(0, i - 4) : i + 1]) for i in range(50)]
 
 
+def test_row_extremes_equal_plain_ones(spark):
+    values = [None if i % 11 == 3 else float(i * 37 % 23) for i in range(60)]
+    df = frame(spark, [("a", at(i * 40000), v) for i, v in enumerate(values)], "symbol string, bucket timestamp, v double")
+    for n in (1, 4, 7, 80):
+        wide = windows.over_rows(df, ["bucket"], {}, {"x": ("v", n), "y": ("v", 3)}).orderBy("bucket").collect()
+        last = [[v for v in values[max(0, i - n + 1) : i + 1] if v is not None] for i in range(60)]
+        assert [(r.x_hi, r.x_lo, r.x_n) for r in wide] == [(max(w, default=None), min(w, default=None), len(w)) for w in last]
+
+
+def test_sliding_medians_equal_plain_ones():
+    from random import Random
+    from statistics import median
+
+    r = Random(1)
+    for _ in range(60):
+        times = sorted(r.randrange(200) for _ in range(r.randrange(1, 150)))
+        values = [None if r.random() < 0.1 else float(r.randrange(12)) for _ in times]
+        reach = r.choice((1, 5, 30, 500))
+        want = [[v for t, v in zip(times, values, strict=True) if now - reach < t <= now and v is not None] for now in times]
+        assert windows.sliding_medians(times, values, reach) == ([median(w) if w else None for w in want], [len(w) for w in want])
+
+
+def test_sliding_medians_take_few_steps_for_a_row(monkeypatch):
+    """Heap moves of 20 000 rows, with windows of 50 and of 5000: about the same number."""
+    moved = []
+    monkeypatch.setattr(windows, "heappop", lambda h, pop=windows.heappop: moved.append(1) or pop(h))
+    counts = []
+    for reach in (50, 5000):
+        moved.clear()
+        windows.sliding_medians(list(range(20_000)), [float(i * 7919 % 10_007) for i in range(20_000)], reach)
+        counts.append(len(moved))
+    assert max(counts) < 60_000
+
+
 def test_percentiles_leave_out_nan_and_null(spark):
     df = frame(spark, [(1.0,), (2.0,), (math.nan,), (None,), (math.inf,)], "x double")
     assert th.percentiles(df, {"m": ("x", 0.5)}).first().m == 1.5
