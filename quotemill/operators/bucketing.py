@@ -21,22 +21,31 @@ def last_snapshots(book: DataFrame, step: str, tie: tuple[str, ...] = ("timestam
     """
     rows = F.struct(*[c for c in book.columns if c != "symbol"])
     last = book.groupBy("symbol", right_edge("timestamp", step).alias("bucket")).agg(F.max_by(rows, F.struct(*tie)).alias("r"))
-    out = last.select("symbol", "bucket", "r.*")
+    return last.select("symbol", "bucket", "r.*").where(valid_top(bid, ask))
+
+
+def valid_top(bid: str = "bid_0_price", ask: str = "ask_0_price") -> Column:
+    """Both prices are known, finite and positive."""
     valid = lambda c: F.coalesce((F.col(c) > 0) & (F.col(c) < float("inf")) & ~F.isnan(c), F.lit(False))
-    return out.where(valid(bid) & valid(ask))
+    return valid(bid) & valid(ask)
 
 
 def trade_flow(trades: DataFrame, step: str) -> DataFrame:
     """Notional and quantity by aggressor, and the number of trades, of each (symbol, bucket)."""
+    return trades.groupBy("symbol", right_edge("timestamp", step).alias("bucket")).agg(*flow_sums())
+
+
+def flow_sums(is_trade: Column | None = None) -> list[Column]:
+    """The aggregates of ``trade_flow``; ``is_trade`` tells its rows from others."""
     buy, notional = F.col("is_aggr_buy"), F.col("price") * F.col("qty")
     split = lambda x, is_buy: F.sum(F.when(buy == is_buy, x).otherwise(0.0))
-    return trades.groupBy("symbol", right_edge("timestamp", step).alias("bucket")).agg(
+    return [
         split(notional, True).alias("notional_buy"),
         split(notional, False).alias("notional_sell"),
         split(F.col("qty"), True).alias("qty_buy"),
         split(F.col("qty"), False).alias("qty_sell"),
-        F.count("*").alias("ntr"),
-    )
+        (F.count("*") if is_trade is None else F.count_if(is_trade)).alias("ntr"),
+    ]
 
 
 FLOW = ["notional_buy", "notional_sell", "qty_buy", "qty_sell", "ntr"]

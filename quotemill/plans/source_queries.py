@@ -16,7 +16,7 @@ from quotemill.operators import thresholds as th
 from quotemill.operators import timejoins as tj
 from quotemill.plans.core_queries import LEAST_ROWS
 from quotemill.plans.registry import query, r, rounded, us
-from quotemill.plans.stage0 import FEATURES_SQL, TAGS_SQL, is_train, tape_features
+from quotemill.plans.stage0 import FEATURES_SQL, TAGS_SQL, Stage0, is_train, snapshot_columns, tape_features
 from quotemill.plans.study_queries import _GOVERNOR, _sized
 from quotemill.plans.trade_queries import _DATASET_SQL, _PATH_SQL, stageb_dataset
 from quotemill.operators import backtest as bt
@@ -305,10 +305,11 @@ def label_summary(spark, sf):
     return out.groupBy("reason").agg(F.count("*").alias("n"), F.sum("label").cast("long").alias("hits"))
 
 
-def _stream(spark, df, name, parts: int = 4, ts: str = "timestamp"):
+def _stream(spark, df, name, parts: int = 4, ts: str = "timestamp", mixed: bool = False):
     """``df`` as files that are written one after the other, by days, and read as a stream in that order.
 
-    A stream of files takes them by the time they were written. A day is in one part, and a part is one micro-batch.
+    A stream of files takes them by the time they were written. A day is in one part, and a part is one micro-batch;
+    ``mixed``: half of the rows come one part later than their day, and no file is sorted.
     """
     path = _folder(spark, name)
     day = F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date"))
@@ -317,8 +318,10 @@ def _stream(spark, df, name, parts: int = 4, ts: str = "timestamp"):
         df.write.parquet(path)
     else:
         part = F.floor((day - ends["a"]) * parts / (ends["b"] - ends["a"] + 1))
-        for k in range(parts):
-            df.where(part == k).coalesce(1).sortWithinPartitions(ts).write.mode("append").parquet(path)
+        order = F.xxhash64(*[c for c, t in df.dtypes if t != "void"]) if mixed else F.col(ts)
+        part = part + F.pmod(order, F.lit(2)) if mixed else part
+        for k in range(parts + mixed):
+            df.where(part == k).coalesce(1).sortWithinPartitions(order).write.mode("append").parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -330,22 +333,47 @@ def stream_buckets(spark, sf):
     return us(rounded(live.run_to_end(out, "buckets", _folder(spark, "stream"))), "bucket")
 
 
-@query("X02_stream_scored", "with c as (select median(price) as med, median(qty) as lim from trades_v where day(timestamp) <= 20) select trade_id, coalesce(qty >= lim, false) as pass_all, round(case when qty >= lim then price - med end, 6) as live_score from trades_v cross join c")
-def stream_scored(spark, sf):
-    t = view(spark, sf, "trades_v")
-    fitted = t.where(is_train("timestamp")).agg(F.percentile("price", F.lit(0.5)).alias("med"), F.percentile("qty", F.lit(0.5)).alias("lim"))
-    out = live.stream_scored(_stream(spark, t, "quotes"), fitted, [F.col("qty") >= F.col("lim")], F.col("price") - F.col("med"))
-    return rounded(live.run_to_end(out.select("trade_id", "pass_all", "live_score"), "scored", _folder(spark, "stream")))
+_CLOSED = "bucket <= (select max(timestamp) - interval 2 day from book_v)"
+
+
+@query("X01_stream_book", f"with {FEATURES_SQL} select symbol, epoch_us(bucket) as bucket, seq, round((bid_0_price + ask_0_price) / 2, 6) as mid, round(notional_buy, 6) as notional_buy, round(notional_sell, 6) as notional_sell, ntr from joined where {_CLOSED}")
+def stream_book(spark, sf):
+    """Closed buckets of the book with their trade flow, from two streams."""
+    out = _book_buckets(spark, sf).select("symbol", "bucket", "seq", x.mid().alias("mid"), "notional_buy", "notional_sell", "ntr")
+    return us(rounded(live.run_to_end(out, "book-buckets", _folder(spark, "stream"))), "bucket")
+
 
+def _book_buckets(spark, sf):
+    book, trades = _stream(spark, view(spark, sf, "book_v"), "book"), _stream(spark, view(spark, sf, "trades_v"), "ticks")
+    return live.stream_book_buckets(book, trades, "1 hour", "2 days")
 
-@query("X03_stream_governor", _GOVERNOR)
+
+@query("X02_stream_tags", f"with {TAGS_SQL}, e as (select quantile_cont(range600_bps, 1/3) as e1, quantile_cont(range600_bps, 2/3) as e2 from train) select symbol, epoch_us(bucket) as bucket, pass_all_hard as pass_all, round(ms, 4) as live_score, case when range600_bps <= e1 then 'low' when range600_bps <= e2 then 'mid' else 'high' end as vol_bucket from tags cross join e where {_CLOSED}")
+def stream_tags(spark, sf):
+    """Buckets tagged as they close: rolling features from bounded state, the funnel and score of frozen thresholds.
+
+    The thresholds and the edges of the range are those that the batch job fits on the training days.
+    """
+    c = Stage0()
+    train = stored(tape_features(spark, sf).where(is_train()), "live-train")
+    edges = th.bucket_edges(train, "range600_bps", 3).select("edges")
+    fitted = stored(th.fit_thresholds(train).crossJoin(edges), "live-thresholds")
+    closed = _book_buckets(spark, sf).withColumns({"mid": x.mid(), **snapshot_columns(c)})
+    closed = closed.withColumns({"obi10": x.imbalance(F.col("db10"), F.col("da10")), "us": F.unix_micros("bucket"), "ntr": F.col("ntr").cast("long")})
+    names = ["symbol", "bucket", "us", "mid", "notional_buy", "notional_sell", "ntr", "spread_bps", "spread_ticks", "micro_bias", "obi10", "da3", "db3", "da10", "db10"]
+    closed = live.run_to_end(closed.select(*names), "closed", _folder(spark, "stream"))
+    reach = live.Reach(c.flow_rows, c.flow_seconds, c.range_rows, c.long_range_rows, c.spread_short, c.spread_long, c.thin_seconds, c.persist_cap_ms)
+    features = live.stream_features(_stream(spark, closed, "closed", ts="bucket"), reach)
+    features = features.withColumns({"abs_micro": F.abs("micro_bias"), "abs_obi10": F.abs("obi10"), "abs_ti": F.abs("ti")}).where(~is_train())
+    out = live.stream_scored(features, fitted, [m for _, m in fn.masks()], th.score())
+    out = out.withColumn("vol_bucket", th.bucket_of(F.col("range600_bps"), F.col("edges"), ["low", "mid", "high"]))
+    tags = live.run_with_state(out.select("symbol", "bucket", "pass_all", "live_score", "vol_bucket"), "tags", _folder(spark, "stream"))
+    return us(rounded(tags, 4), "bucket")
+
+
+@query("X03_stream_governor", _GOVERNOR + " where d + interval 1 day <= (select max(timestamp) - interval 12 day from router_v)")
 def stream_governor(spark, sf):
+    """Days that are closed, folded in order although their trades come in files that overlap in time."""
     trades = _sized(spark, sf).select("day", "event_id", "timestamp", F.col("v").alias("pnl"), F.col("size").alias("z"))
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, live.ROCKSDB)
-    try:
-        out = live.run_to_end(live.stream_governor(_stream(spark, trades, "governed")), "governor", _folder(spark, "stream"))
-    finally:
-        spark.conf.set(key, before)
+    out = live.run_with_state(live.stream_governor(_stream(spark, trades, "governed", parts=6, mixed=True), "12 days"), "governor", _folder(spark, "stream"))
     return out.select("event_id", r("size_used", 5).alias("size_used"), r("before", 4).alias("before"))

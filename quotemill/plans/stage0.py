@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill.functions import expr as x
@@ -42,9 +42,8 @@ def features(book: DataFrame, trades: DataFrame, c: Stage0 = Stage0()) -> DataFr
     flow = {f"{n}_w": (F.sum(n), c.flow_rows) for n in ("notional_buy", "notional_sell", "ntr")}
     ranges = {"range60": ("mid", c.range_rows), "range600": ("mid", c.long_range_rows)}
     out = w.flow_rates(w.over_rows(out, ["bucket"], flow, ranges), c.flow_seconds)
-    depths = {f"{'db' if s == 'bid' else 'da'}{k}": x.depth(s, k) for s in ("bid", "ask") for k in (1, 3, 5, 10, 14)}
-    out = out.withColumns({"spread_bps": x.spread_bps(), "spread_ticks": x.spread_ticks(c.tick), "micro_bias": x.micro_bias_bps(), **depths})
-    out = out.withColumns({f"obi{k}": x.imbalance(F.col(f"db{k}"), F.col(f"da{k}")) for k in (1, 3, 5, 10, 14)})
+    out = out.withColumns(snapshot_columns(c))
+    out = out.withColumns({f"obi{k}": x.imbalance(F.col(f"db{k}"), F.col(f"da{k}")) for k in _K})
     out = out.withColumns({"dir0": x.direction("ti", "micro_bias"), "sign_micro": x.sign("micro_bias"), "sign_obi": x.sign("obi10")})
     out = out.withColumns({f"opp{k}": F.when(F.col("dir0") > 0, F.col(f"da{k}")).otherwise(F.col(f"db{k}")) for k in (3, 10)})
     out = out.withColumns({"range60_bps": w.range_bps("mid", c.range_rows, "range60"), "range600_bps": w.range_bps("mid", c.long_range_rows, "range600")})
@@ -54,6 +53,12 @@ def features(book: DataFrame, trades: DataFrame, c: Stage0 = Stage0()) -> DataFr
     return out.withColumns({"abs_micro": F.abs("micro_bias"), "abs_obi10": F.abs("obi10"), "abs_ti": F.abs("ti")})
 
 
+def snapshot_columns(c: Stage0 = Stage0()) -> dict[str, Column]:
+    """What a snapshot has by itself: spread, bias of the microprice, and depths."""
+    depths = {f"{'db' if s == 'bid' else 'da'}{k}": x.depth(s, k) for s in ("bid", "ask") for k in _K}
+    return {"spread_bps": x.spread_bps(), "spread_ticks": x.spread_ticks(c.tick), "micro_bias": x.micro_bias_bps(), **depths}
+
+
 def tape_features(spark: SparkSession, sf_dir: str, c: Stage0 = Stage0()) -> DataFrame:
     return features(view(spark, sf_dir, "book_v"), view(spark, sf_dir, "trades_v"), c)
 

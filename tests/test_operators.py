@@ -273,3 +273,51 @@ def test_running_sums_and_previous_rows_cross_parts(spark):
     before = windows.with_previous(rows, {"b": "v"}, ["t", "id"], ["g"], part_seconds=7777)
     want = F.lag("v").over(W.partitionBy("g").orderBy("t", "id"))
     assert before.withColumn("want", want).where("not b <=> want").count() == 0 and before.count() == 5000
+
+
+def test_live_features_keep_a_bounded_state():
+    """Fed one bucket at a time or all at once, the features are the same, and what is held doesn't grow."""
+    import pandas as pd
+
+    from quotemill.streaming.live import Reach, RollingFeatures
+
+    class Kept:
+        def __init__(self):
+            self.value = None
+
+        def get(self):
+            return self.value or ([] if self.rows else None)
+
+        def put(self, value):
+            self.value = value
+
+        update = put
+
+    class Handle:
+        def __init__(self):
+            self.states = []
+
+        def state(self, rows):
+            k = Kept()
+            k.rows = rows
+            self.states.append(k)
+            return k
+
+        getListState = lambda self, *a: self.state(True)
+        getValueState = lambda self, *a: self.state(False)
+
+    n = 200
+    rows = pd.DataFrame({"bucket": pd.date_range("2024-01-01", periods=n, freq="h"), "us": [i * 3_600_000_000 for i in range(n)]})
+    for k, c in enumerate(("mid", "notional_buy", "notional_sell", "spread_bps", "spread_ticks", "micro_bias", "obi10", "da3", "db3", "da10", "db10")):
+        rows[c] = [float((i * (7 + k)) % 13 - (6 if c in ("micro_bias", "obi10") else 0)) + (1.0 if c == "mid" else 0.0) for i in range(n)]
+    rows["ntr"] = [i % 5 for i in range(n)]
+    reach = Reach(3, 10800.0, 4, 9, 7200.0, 36000.0, 14400.0, 10**7, 4)
+    made = []
+    for size in (n, 1, 17):
+        processor, handle = RollingFeatures(reach), Handle()
+        processor.init(handle)
+        parts = [next(iter(processor.handleInputRows(("a",), iter([rows[i : i + size]]), None))) for i in range(0, n, size)]
+        made.append(pd.concat(parts, ignore_index=True))
+        assert len(handle.states[0].value) <= 12
+    pd.testing.assert_frame_equal(made[0], made[1])
+    pd.testing.assert_frame_equal(made[0], made[2])
