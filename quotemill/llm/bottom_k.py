@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 
 from quotemill.llm import ngram_join as whole
 from quotemill.llm.components import connected_components
-from quotemill.llm.folded import folded, parted
+from quotemill.llm.folded import bloom_of, folded, parted
 from quotemill.llm.joins import spread_join
 from quotemill.llm.storage import kept, stored, working_tables
 from quotemill.llm.tokens import as_bytes, groups_of, mixed
@@ -40,7 +40,9 @@ class BottomK:
     #: Chance that the union of a similar pair retains fewer shared values than the filters ask for.
     risk: float = 1e-12
     #: Counters of the order by rarity.
-    counters: int = 1 << 22
+    counters: int = 1 << 20
+    #: 64-bit words of a sketch's bit map.
+    map_words: int = 8
     #: Nodes of a list whose pairs are rows; longer ones are compared by blocks of so many nodes on average.
     short_list: int = 64
     block_nodes: int = 512
@@ -80,13 +82,9 @@ def sketch_of(shingles: np.ndarray, join: BottomK) -> np.ndarray:
 
 
 def listed_values(sketch: np.ndarray, n: int, counts: np.ndarray, join: BottomK, shared: int) -> np.ndarray:
-    """The rarest values of a sketch: so many that ``_asked`` shared ones can't all be among the others.
-
-    A value that only one text has brings no pair together.
-    """
+    """The rarest values of a sketch: so many that ``_asked`` shared ones can't all be among the others."""
     seen = counts[(sketch & np.uint64(join.counters - 1)).astype(np.int64)]
-    order = np.lexsort((sketch, seen))[: len(sketch) - _asked(n, join, shared) + 1]
-    return sketch[order[seen[order] > 1]]
+    return sketch[np.lexsort((sketch, seen))[: len(sketch) - _asked(n, join, shared) + 1]]
 
 
 def _counts(documents: DataFrame, join: BottomK) -> np.ndarray:
@@ -100,56 +98,96 @@ def _counts(documents: DataFrame, join: BottomK) -> np.ndarray:
 
 
 def _profiles(documents: DataFrame, join: BottomK) -> DataFrame:
-    """(doc_id, n_shingles, node, listed, sketch); the last two once for a node and task, if it is in any list."""
+    """(doc_id, n_shingles, node, listed); the last once for a node and task."""
     counts = documents.sparkSession.sparkContext.broadcast(_counts(documents, join))
     shared = least_shared(join)
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            n, nodes, listed, sketches = [], [], [], []
+            n, nodes, listed = [], [], []
             for words in groups_of(as_bytes(batch["text"])):
                 for s in whole.shingle_sets(words, join.shingle_words):
                     n.append(len(s))
                     nodes.append(whole.node_of(s) if len(s) else None)
-                    values = None
-                    if len(s) and nodes[-1] not in seen:
+                    new = len(s) and nodes[-1] not in seen
+                    if new:
                         if len(seen) >= join.remembered:
                             seen.clear()
                         seen.add(nodes[-1])
-                        sketch = sketch_of(s, join)
-                        values = listed_values(sketch, len(s), counts.value, join, shared)
-                        values = values if len(values) else None
-                    listed.append(None if values is None else values.view(np.int64))
-                    sketches.append(None if values is None else sketch.tobytes())
+                    listed.append(listed_values(sketch_of(s, join), len(s), counts.value, join, shared).view(np.int64) if new else None)
             columns = {"doc_id": batch["doc_id"], "n_shingles": pa.array(n, pa.int64()), "node": pa.array(nodes, pa.int64())}
-            yield pa.RecordBatch.from_pydict(columns | {"listed": pa.array(listed, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.binary())})
+            yield pa.RecordBatch.from_pydict(columns | {"listed": pa.array(listed, pa.list_(pa.int64()))})
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.mapInArrow(profile, "doc_id long, n_shingles long, node long, listed array<long>, sketch binary")
+    return docs.mapInArrow(profile, "doc_id long, n_shingles long, node long, listed array<long>")
+
 
+def _lists(profiles: DataFrame) -> DataFrame:
+    """(value, node) of the values that two nodes or more are listed under.
 
-def _lists(profiles: DataFrame, join: BottomK) -> DataFrame:
-    """(value, node) of the values that two nodes or more are listed under."""
+    Values are counted first, by 40 of their bits and without their nodes; most are alone, and only the others' rows
+    are dealt with their nodes. A key with most rows is left to Spark, which splits the large side of a skewed join.
+    """
     rows = profiles.where("listed is not null").select(F.explode("listed").alias("value"), "node")
-    several = rows.groupBy("value").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("value")
+    short = F.shiftright("value", 24)
+    several = rows.groupBy(short.alias("short")).agg(F.count("*").alias("n")).where("n > 1").select("short")
     several = stored(several, "bottom-values")
-    likely, _ = parted(rows, F.col("value"), several)
-    return stored(spread_join(likely, several, "value", join.salts).select("value", "node").distinct(), "bottom-lists")
+    likely, _ = parted(rows.withColumn("short", short), F.col("short"), several)
+    return stored(likely.join(several, "short").select("value", "node").distinct(), "bottom-lists")
 
 
-def _with_sketches(pairs: DataFrame, nodes: DataFrame, join: BottomK) -> DataFrame:
-    """``pairs`` (a, b) of nodes of similar size with (na, sa, nb, sb)."""
-    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}"))
-    sizes = nodes.select("node", "n")
-    size = lambda k: sizes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"))
-    near = spread_join(pairs.join(size("a"), "a"), size("b"), "b", join.salts).where(_sizes_meet("na", "nb", join))
-    # A pivot with very many nodes is left to Spark, which splits the large side of a skewed join.
-    return near.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+def _nodes(documents: DataFrame, lists: DataFrame, join: BottomK) -> DataFrame:
+    """(node, n, sketch, bits) of the nodes in ``lists``, read again from the texts."""
+    shared = documents.sparkSession.sparkContext.broadcast(bloom_of(lists.select("node").distinct()))
 
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            rows = []
+            for words in groups_of(as_bytes(batch["text"])):
+                sets = [s for s in whole.shingle_sets(words, join.shingle_words) if len(s)]
+                names = np.array([whole.node_of(s) for s in sets], dtype=np.int64)
+                for k in np.flatnonzero(shared.value.may_hold(names.view(np.uint64))):
+                    if int(names[k]) not in seen:
+                        if len(seen) >= join.remembered:
+                            seen.clear()
+                        seen.add(int(names[k]))
+                        sketch = sketch_of(sets[k], join)
+                        rows.append((int(names[k]), len(sets[k]), sketch.tobytes(), whole.bit_map(sketch, join.map_words)))
+            if rows:
+                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_pydict({n: pa.array(c, k) for n, c, k in zip(("node", "n", "sketch", "bits"), zip(*rows, strict=True), kinds, strict=True)})
 
-def _sizes_meet(a: str, b: str, join: BottomK) -> Column:
-    return 100 * F.least(a, b) >= join.percent * F.greatest(a, b)
+    found = documents.select("text").mapInArrow(sketches, "node long, n long, sketch binary, bits array<long>")
+    return stored(found.dropDuplicates(["node"]), "bottom-nodes")
+
+
+def _may_be_similar(join: BottomK) -> Column:
+    """False only for pairs that can't be: sizes too far apart, or more bits that one sketch has alone than values may be.
+
+    Of sets that are wholly retained the values of one alone are known; of others a sketch has as many as it
+    retains, less what is shared.
+    """
+    sizes = 100 * F.least("na", "nb") >= join.percent * F.greatest("na", "nb")
+    counted = F.zip_with("ma", "mb", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int"))
+    apart = F.aggregate(counted, F.lit(0), lambda total, bits: total + bits)
+    kept_of = lambda n: F.least(F.col(n), F.lit(join.retained))
+    by_sketch = apart <= kept_of("na") + kept_of("nb") - 2 * F.least(F.lit(least_shared(join)), F.ceil(join.percent * F.greatest("na", "nb") / 100))
+    whole_sets = (F.col("na") <= join.retained) & (F.col("nb") <= join.retained)
+    by_set = (100 + join.percent) * apart <= (100 - join.percent) * (F.col("na") + F.col("nb"))
+    return sizes & F.when(whole_sets, by_set).otherwise(by_sketch)
+
+
+def _with_sketches(pairs: DataFrame, nodes: DataFrame, join: BottomK) -> DataFrame:
+    """``pairs`` (a, b) that sizes and bit maps don't rule out, with (na, sa, nb, sb).
+
+    A pivot with very many nodes is left to Spark, which splits the large side of a skewed join.
+    """
+    small = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"m{k}"))
+    near = stored(pairs.join(small("a"), "a").join(small("b"), "b").where(_may_be_similar(join)).select("a", "b"), "bottom-pairs")
+    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}"))
+    return near.join(side("a"), "a").join(side("b"), "b")
 
 
 #: Matches of a value from which on it is counted by matrices, and columns of a matrix.
@@ -262,7 +300,7 @@ def _pivot_pairs(lists: DataFrame, join: BottomK) -> DataFrame:
     """(a, b): a node and the pivots that it shares most lists with."""
     least = F.min(F.struct(F.xxhash64("node").alias("h"), "node"))["node"]
     pivots = lists.groupBy("value").agg(least.alias("b"))
-    met = spread_join(lists, pivots, "value", join.salts).where("node <> b").groupBy(F.col("node").alias("a"), "b").count()
+    met = lists.join(pivots, "value").where("node <> b").groupBy(F.col("node").alias("a"), "b").count()
     best = W.partitionBy("a").orderBy(F.desc("count"), "b")
     return met.withColumn("place", F.row_number().over(best)).where(F.col("place") <= join.pivots).select("a", "b")
 
@@ -272,7 +310,7 @@ def _class_of(lists: DataFrame, classes: DataFrame) -> DataFrame:
     rows = lists.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
     mixed_lists = rows.groupBy("value").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("size"))
     mixed_lists = stored(mixed_lists.where("lo <> hi").select("value", "size"), "bottom-open")
-    return stored(spread_join(rows, mixed_lists, "value", 8), "bottom-open-lists")
+    return stored(rows.join(mixed_lists, "value"), "bottom-open-lists")
 
 
 def _short_pairs(lists: DataFrame, join: BottomK) -> DataFrame:
@@ -312,10 +350,8 @@ def _long_near(lists: DataFrame, nodes: DataFrame, join: BottomK) -> DataFrame:
 def _labelled(documents: DataFrame, join: BottomK) -> DataFrame:
     """(doc_id, n_shingles, node, class) of every row, ``class`` being the smallest node of its component."""
     profiles = stored(_profiles(documents, join), "bottom-profiles")
-    lists = _lists(profiles, join)
-    nodes = profiles.where("sketch is not null").select("node", F.col("n_shingles").alias("n"), "sketch")
-    listed, _ = parted(nodes, F.col("node"), lists.select("node").distinct())
-    nodes = stored(listed.join(lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "bottom-nodes")
+    lists = _lists(profiles)
+    nodes = _nodes(documents, lists, join)
 
     first = _confirmed(_estimated(_pivot_pairs(lists, join), nodes, join), documents, join)
     apart = _class_of(lists, connected_components(first))
