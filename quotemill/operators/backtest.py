@@ -10,7 +10,9 @@ from pyspark.sql import Window as W
 
 from quotemill.functions.expr import TINY, exit_pnl, micros, mid
 from quotemill.operators.spread import exact_percentiles, stats_by
-from quotemill.operators.timejoins import asof, asof_nearest, range_join
+from quotemill.operators.timejoins import asof, asof_nearest
+from quotemill.operators.windows import numbered
+from quotemill.sources.scratch import stored
 
 HORIZONS = (30, 45, 60, 120, 180)
 
@@ -131,27 +133,40 @@ def atr_bps(candles: DataFrame, n: int, key: str = "symbol") -> DataFrame:
     return rows.withColumn("atr_bps", atr / F.col("close") * 1e4)
 
 
-def forward_path(candidates: DataFrame, book: DataFrame, horizon: float) -> DataFrame:
-    """Book rows from each candidate on to ``horizon`` seconds later, with the entry row's prices and a number k from 0."""
-    prices = book.select("symbol", "timestamp", "seq", F.col("bid_0_price").alias("bid"), F.col("ask_0_price").alias("ask"))
-    paths = range_join(candidates, prices, 0.0, horizon)
-    by = W.partitionBy("event_id").orderBy("timestamp_r", "seq_r")
-    return paths.withColumns(
-        {
-            "k": F.row_number().over(by) - 1,
-            "entry_bid": F.first("bid_r").over(by),
-            "entry_ask": F.first("ask_r").over(by),
-        }
-    )
+def _extremes(end: str) -> dict[str, Column]:
+    return {f"{end}_{k}_{c}": (F.max if k == "max" else F.min)(c) for k in ("max", "min") for c in ("bid", "ask")}
+
+
+def path_rows(book: DataFrame, limit: DataFrame, block_rows: int, chunk_blocks: int = 4096) -> DataFrame:
+    """Book rows numbered in the order of time, in blocks of ``block_rows``: extremes from the block's start to the row
+    (``pre``) and from the row to its end (``suf``), and the number of the next row that is wide (itself included)."""
+    rows = numbered(book.select("symbol", "timestamp", "seq", F.col("bid_0_price").alias("bid"), F.col("ask_0_price").alias("ask")), ["timestamp", "seq"])
+    spread = (F.col("ask") - F.col("bid")) / ((F.col("ask") + F.col("bid")) / 2 + TINY) * 1e4
+    rows = rows.crossJoin(F.broadcast(limit)).withColumn("wide", spread >= F.col("limit")).drop("limit")
+    rows = rows.withColumns({"block": F.floor(F.col("row_no") / F.lit(block_rows)), "chunk": F.floor(F.col("row_no") / F.lit(block_rows * chunk_blocks))})
+    block = W.partitionBy("symbol", "block")
+    up, down = (block.orderBy(o).rowsBetween(W.unboundedPreceding, 0) for o in (F.asc("row_no"), F.desc("row_no")))
+    rows = rows.withColumns({n: c.over(up) for n, c in _extremes("pre").items()} | {n: c.over(down) for n, c in _extremes("suf").items()})
+    wide = F.when(F.col("wide"), F.col("row_no"))
+    chunks = rows.groupBy("symbol", "chunk").agg(F.min(wide).alias("first"))
+    later = F.min("first").over(W.partitionBy("symbol").orderBy(F.desc("chunk")).rowsBetween(W.unboundedPreceding, -1))
+    chunks = chunks.select("symbol", "chunk", later.alias("later"))
+    within = F.min(wide).over(W.partitionBy("symbol", "chunk").orderBy(F.desc("row_no")).rowsBetween(W.unboundedPreceding, 0))
+    rows = rows.withColumn("within", within).join(chunks, ["symbol", "chunk"])
+    return rows.withColumn("next_wide", F.coalesce("within", "later")).drop("within", "later", "chunk", "wide")
 
 
-def path_labels(candidates: DataFrame, book: DataFrame, horizon: float, target: float, wide_spread: float | None = None) -> DataFrame:
+def path_labels(candidates: DataFrame, book: DataFrame, horizon: float, target: float, wide_spread: float | None = None, block_rows: int = 256) -> DataFrame:
     """What comes first on a candidate's path: the net target, or a spread expansion that goes on.
 
     Long: (bid - entry ask) / entry ask; short: (entry bid - ask) / entry bid; net of fees and slippage. An expansion
     is a spread of at least max(p99, median + 5 MAD) of the book (``wide_spread`` fixes it), confirmed if the raw
     result two rows later (the last row, if the path ends) is higher. A tie is the target's. Candidates without a
     path, or without a direction, have reason 'none' and NULL times.
+
+    A path is the rows between two row numbers, found by two as-of joins. Its extremes are those of the end of its first
+    block, the start of its last, and the blocks between; the first block whose best price reaches the target is opened,
+    a row for each of its rows, and no other (a path within one block opens that one).
     """
     if wide_spread is None:
         spreads = book.select(((F.col("ask_0_price") - F.col("bid_0_price")) / (mid() + TINY) * 1e4).alias("s"))
@@ -161,26 +176,46 @@ def path_labels(candidates: DataFrame, book: DataFrame, horizon: float, target:
         limit = m.crossJoin(mad).select(F.greatest("p99", F.col("m") + 5 * F.col("mad")).alias("limit"))
     else:
         limit = book.sparkSession.range(1).select(F.lit(float(wide_spread)).alias("limit"))
-    path = forward_path(candidates.where("dir0 <> 0"), book, horizon).crossJoin(F.broadcast(limit))
-    long = (F.col("bid_r") - F.col("entry_ask")) / F.col("entry_ask") * 1e4
-    short = (F.col("entry_bid") - F.col("ask_r")) / F.col("entry_bid") * 1e4
-    path = path.withColumn("raw", F.when(F.col("dir0") > 0, long).otherwise(short))
-    path = path.withColumn("net", F.col("raw") - F.col("fees_rt_bps") - F.col("slip_bps"))
-    spread = (F.col("ask_r") - F.col("bid_r")) / ((F.col("ask_r") + F.col("bid_r")) / 2 + TINY) * 1e4
-    by = W.partitionBy("event_id").orderBy("k")
-    end = F.last("raw").over(by.rowsBetween(0, W.unboundedFollowing))
-    path = path.withColumn("later", F.coalesce(F.lead("raw", 2).over(by), end))
-    path = path.withColumn("wide", (spread >= F.col("limit")))
-    hit = F.col("net") >= target
-    per = path.groupBy("event_id").agg(
-        F.max("raw").alias("raw_max"), F.min("raw").alias("raw_min"), F.max("net").alias("net_max"), F.min("net").alias("net_min"),
-        F.min(F.when(hit, F.col("k"))).alias("k_hit"),
-        F.min(F.when(F.col("wide"), F.struct("k", (F.col("later") > F.col("raw")).alias("goes_on")))).alias("first_wide"),
-        F.min(F.when(hit, micros("timestamp_r"))).alias("us_hit"),
-        F.min(F.when(F.col("wide"), micros("timestamp_r"))).alias("us_wide"),
-    )
-    k_sp = F.when(F.col("first_wide.goes_on"), F.col("first_wide.k"))
-    per = per.withColumn("k_wide", k_sp).withColumn("us_wide", F.when(F.col("k_wide").isNotNull(), F.col("us_wide")))
+    rows = stored(path_rows(book, limit, block_rows), "path-rows")
+    paths = stored(_paths(candidates.where("dir0 <> 0"), rows, horizon), "paths")
+
+    raw = lambda bid, ask: F.when(F.col("dir0") > 0, (bid - F.col("entry_ask")) / F.col("entry_ask") * 1e4).otherwise((F.col("entry_bid") - ask) / F.col("entry_bid") * 1e4)
+    net = lambda x: x - F.col("fees_rt_bps") - F.col("slip_bps")
+    best = lambda e: raw(F.col(f"{e}_max_bid"), F.col(f"{e}_min_ask"))
+    worst = lambda e: raw(F.col(f"{e}_min_bid"), F.col(f"{e}_max_ask"))
+
+    blocks = rows.groupBy("symbol", "block").agg(*[c.alias(n) for n, c in _extremes("mid").items()])
+    between = paths.where("last_block > block + 1").select("event_id", "symbol", "dir0", "fees_rt_bps", "slip_bps", "entry_bid", "entry_ask", F.explode(F.sequence(F.col("block") + 1, F.col("last_block") - 1)).alias("block"))
+    between = between.join(blocks, ["symbol", "block"])
+    between = between.groupBy("event_id").agg(F.max(best("mid")).alias("mid_best"), F.min(worst("mid")).alias("mid_worst"), F.min(F.when(net(best("mid")) >= target, F.col("block"))).alias("mid_hit"))
+    inside = F.col("block") == F.col("last_block")
+    apart = paths.join(between, "event_id", "left")
+    hit_block = F.when(inside, F.col("block")).when(net(best("suf")) >= target, F.col("block")).otherwise(F.coalesce("mid_hit", F.when(net(best("pre")) >= target, F.col("last_block"))))
+    apart = apart.withColumns(
+        {
+            "hit_block": hit_block,
+            "far_best": F.when(~inside, F.greatest(best("suf"), best("pre"), "mid_best")),
+            "far_worst": F.when(~inside, F.least(worst("suf"), worst("pre"), "mid_worst")),
+        }
+    ).drop("mid_best", "mid_worst", "mid_hit")
+    apart = stored(apart, "path-blocks")
+    prices = rows.select("symbol", "block", F.col("row_no").alias("k"), micros("timestamp").alias("us"), "bid", "ask")
+    opened = apart.where("hit_block is not null").drop("block").join(prices.withColumnRenamed("block", "hit_block"), ["symbol", "hit_block"]).where("k between row_no and last_row")
+    x, hit = raw(F.col("bid"), F.col("ask")), net(raw(F.col("bid"), F.col("ask"))) >= target
+    opened = opened.groupBy("event_id").agg(F.max(x).alias("near_best"), F.min(x).alias("near_worst"), F.min(F.when(hit, F.col("k"))).alias("k_hit"), F.min(F.when(hit, F.col("us"))).alias("us_hit"))
+
+    # The first wide row, and the row two later or the last one.
+    ends = apart.where("next_wide <= last_row")
+    wanted = F.array(F.struct(F.lit(0).alias("role"), F.col("next_wide").alias("k")), F.struct(F.lit(1).alias("role"), F.least(F.col("next_wide") + 2, F.col("last_row")).alias("k")))
+    looked = ends.select("event_id", "symbol", "dir0", "entry_bid", "entry_ask", F.inline(wanted)).join(prices, ["symbol", "k"])
+    looked = looked.withColumn("x", raw(F.col("bid"), F.col("ask")))
+    first = lambda role, c: F.max(F.when(F.col("role") == role, F.col(c)))
+    looked = looked.groupBy("event_id").agg(first(0, "k").alias("k_wide"), first(0, "us").alias("us_wide"), (first(1, "x") > first(0, "x")).alias("goes_on"))
+    looked = looked.where("goes_on").drop("goes_on")
+
+    per = apart.join(opened, "event_id", "left").join(looked, "event_id", "left")
+    per = per.select("event_id", F.coalesce("far_best", "near_best").alias("raw_max"), F.coalesce("far_worst", "near_worst").alias("raw_min"), "fees_rt_bps", "slip_bps", "k_hit", "us_hit", "k_wide", "us_wide")
+    per = per.withColumns({"net_max": net(F.col("raw_max")), "net_min": net(F.col("raw_min"))}).drop("fees_rt_bps", "slip_bps")
     first_hit = F.col("k_hit").isNotNull() & (F.col("k_wide").isNull() | (F.col("k_hit") <= F.col("k_wide")))
     reason = F.when(first_hit, "pnl_net").when(F.col("k_wide").isNotNull(), "spread").otherwise("none")
     out = candidates.join(per.withColumn("reason", reason), "event_id", "left")
@@ -194,6 +229,17 @@ def path_labels(candidates: DataFrame, book: DataFrame, horizon: float, target:
     )
 
 
+def _paths(candidates: DataFrame, rows: DataFrame, horizon: float) -> DataFrame:
+    """Candidates with the first and last row of their path: numbers, blocks, the entry's prices, extremes of both blocks."""
+    own = candidates.select("event_id", "symbol", "timestamp", "dir0", F.col("fees_rt_bps").cast("double").alias("fees_rt_bps"), F.col("slip_bps").cast("double").alias("slip_bps"))
+    until = F.col("timestamp") + F.make_dt_interval(secs=F.lit(float(horizon)).cast("decimal(18,6)"))
+    entry = rows.select("symbol", "timestamp", "seq", "row_no", "block", "next_wide", F.col("bid").alias("entry_bid"), F.col("ask").alias("entry_ask"), *_extremes("suf"))
+    first = asof(own, entry, [c for c in entry.columns if c not in ("symbol", "timestamp", "seq")], ["seq"], forward=True)
+    ends = rows.select("symbol", "timestamp", "seq", F.col("row_no").alias("last_row"), F.col("block").alias("last_block"), *_extremes("pre"))
+    last = asof(own.select("event_id", "symbol", until.alias("timestamp")), ends, [c for c in ends.columns if c not in ("symbol", "timestamp", "seq")], ["seq"])
+    return first.join(last.drop("symbol", "timestamp"), "event_id").where("row_no <= last_row")
+
+
 def with_volatility(trades: DataFrame, candles: DataFrame, bar_seconds: int, n: int, label: str = "right") -> DataFrame:
     """Trades with the ATR of the last bar at or before them; trades before the first known ATR are dropped.
 

@@ -28,19 +28,13 @@ def asof(left: DataFrame, right: DataFrame, take: list[str], order: list[str], f
     mine = F.struct(*[F.col(c) for c in left.columns])
     probes = left.select(key, F.col(ts).alias("at_"), part.alias("part_"), mine.alias("row_"), F.lit(1 if not forward else 0).alias("side_"))
     both = rows.unionByName(probes, allowMissingColumns=True)
-    by = W.partitionBy(key, "part_").orderBy("at_", "side_", "tie_")
-    if forward:
-        near = F.first("hit_", True).over(by.rowsBetween(0, W.unboundedFollowing))
-        edge = F.min_by("hit_", F.struct("at_", "tie_"))
-    else:
-        near = F.last("hit_", True).over(by.rowsBetween(W.unboundedPreceding, 0))
-        edge = F.max_by("hit_", F.struct("at_", "tie_"))
+    # Forward: from the latest row on, so that what is next is the last one seen.
+    turn = F.desc if forward else F.asc
+    near = F.last("hit_", True).over(W.partitionBy(key, "part_").orderBy(*[turn(c) for c in ("at_", "side_", "tie_")]).rowsBetween(W.unboundedPreceding, 0))
+    place = F.when(F.col("side_") == int(forward), F.struct("at_", "tie_"))  # of right rows only
+    edge = F.min_by("hit_", place) if forward else F.max_by("hit_", place)
     parts = both.groupBy(key, "part_").agg(edge.alias("edge_"))
-    chain = W.partitionBy(key).orderBy("part_")
-    if forward:
-        carried = F.first("edge_", True).over(chain.rowsBetween(1, W.unboundedFollowing))
-    else:
-        carried = F.last("edge_", True).over(chain.rowsBetween(W.unboundedPreceding, -1))
+    carried = F.last("edge_", True).over(W.partitionBy(key).orderBy(turn("part_")).rowsBetween(W.unboundedPreceding, -1))
     carried = parts.select(key, "part_", carried.alias("carried_"))
     found = both.withColumn("near_", near).where(F.col("row_").isNotNull()).join(carried, [key, "part_"])
     return found.select("row_.*", *[F.coalesce("near_", "carried_")[c].alias(c if c not in left.columns else f"{c}_r") for c in take])

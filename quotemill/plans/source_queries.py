@@ -295,13 +295,13 @@ _WALK_PATH_SQL = _PATH_SQL.replace("from signals_v", "from cands")
 def walk_labels(spark, sf):
     """Labels of the tagged candidates of each month, from the book that follows them."""
     c = _walk(spark, sf).where("pass_up_to_obi").select(F.col("seq").alias("event_id"), "symbol", F.col("bucket").alias("timestamp"), "dir0", F.lit(8.0).alias("fees_rt_bps"), F.lit(2.0).alias("slip_bps"), "target")
-    out = bt.path_labels(c, view(spark, sf, "book_v"), 360 * 60.0, 20.0)
+    out = bt.path_labels(c, view(spark, sf, "book_v"), 360 * 60.0, 20.0, block_rows=8)
     return out.groupBy(F.col("target").alias("month"), "reason").agg(F.count("*").alias("n"), F.sum("label").cast("long").alias("hits"))
 
 
 @query("M07_label_summary", f"with {_PATH_SQL} select coalesce(reason, 'none') as reason, count(*) as n, sum(coalesce((net_max >= 20)::int, 0))::bigint as hits from signals_v left join res using (event_id) group by 1")
 def label_summary(spark, sf):
-    out = bt.path_labels(view(spark, sf, "signals_v"), view(spark, sf, "book_v"), 360 * 60.0, 20.0)
+    out = bt.path_labels(view(spark, sf, "signals_v"), view(spark, sf, "book_v"), 360 * 60.0, 20.0, block_rows=8)
     return out.groupBy("reason").agg(F.count("*").alias("n"), F.sum("label").cast("long").alias("hits"))
 
 

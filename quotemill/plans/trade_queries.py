@@ -346,7 +346,7 @@ res as (select *, case when k_hit is not null and (not coalesce(goes_on, false)
 
 @query("W10_path_labels", f"with {_PATH_SQL} select event_id, round(net_max, 5) as net_max, round(net_min, 5) as net_min, coalesce((net_max >= 20)::int, 0) as label, coalesce(reason, 'none') as reason, round(case reason when 'pnl_net' then us_hit - u0 when 'spread' then us_w - u0 end / 1e6, 3) as seconds from signals_v left join res using (event_id)")
 def path_labels(spark, sf):
-    out = bt.path_labels(view(spark, sf, "signals_v"), view(spark, sf, "book_v"), 360 * 60.0, 20.0)
+    out = bt.path_labels(view(spark, sf, "signals_v"), view(spark, sf, "book_v"), 360 * 60.0, 20.0, block_rows=8)
     return rounded(out.select("event_id", F.col("net_max").cast("double"), F.col("net_min").cast("double"), "label", "reason", r("seconds", 3).alias("seconds")), 5)
 
 

@@ -321,3 +321,51 @@ def test_live_features_keep_a_bounded_state():
         assert len(handle.states[0].value) <= 12
     pd.testing.assert_frame_equal(made[0], made[1])
     pd.testing.assert_frame_equal(made[0], made[2])
+
+
+@pytest.mark.parametrize("forward", [False, True])
+def test_asof_hands_on_right_rows_past_probes(spark, forward):
+    """The last (first) row of a part of the time line is a probe: what is handed on is still the right row of that part."""
+    sign = -1 if forward else 1
+    right = frame(spark, [("a", at(86400 * 10 + sign * h * 3600), h) for h in (-60, 2, 5)], "symbol string, timestamp timestamp, k long")
+    left = frame(spark, [("a", at(86400 * 10 + sign * h * 3600), h) for h in (6, 20, 30, 55)], "symbol string, timestamp timestamp, id long")
+    got = {r.id: r.k for r in timejoins.asof(left, right, ["k"], ["k"], forward=forward).collect()}
+    assert got == {6: 5, 20: 5, 30: 5, 55: 5}
+
+
+def path_by_hand(row, book, horizon, target, wide):
+    """One candidate's label by walking over its path."""
+    path = [b for b in book if row["symbol"] == b["symbol"] and 0 <= (b["t"] - row["t"]) <= horizon]
+    if not row["dir0"] or not path:
+        return None, None, 0, "none", None
+    ea, eb = path[0]["ask"], path[0]["bid"]
+    raws = [(b["bid"] - ea) / ea * 1e4 if row["dir0"] > 0 else (eb - b["ask"]) / eb * 1e4 for b in path]
+    nets = [x - 1.0 for x in raws]
+    hit = next((k for k, x in enumerate(nets) if x >= target), None)
+    w = next((k for k, b in enumerate(path) if (b["ask"] - b["bid"]) / ((b["ask"] + b["bid"]) / 2 + 1e-12) * 1e4 >= wide), None)
+    if w is not None and not raws[min(w + 2, len(path) - 1)] > raws[w]:
+        w = None
+    reason = "pnl_net" if hit is not None and (w is None or hit <= w) else "spread" if w is not None else "none"
+    k = {"pnl_net": hit, "spread": w}.get(reason)
+    return max(nets), min(nets), int(max(nets) >= target), reason, None if k is None else float(path[k]["t"] - row["t"])
+
+
+@pytest.mark.parametrize("block_rows", [1, 4, 16, 1000])
+def test_path_labels_equal_a_walk_along_each_path(spark, block_rows):
+    from random import Random
+
+    from quotemill.operators import backtest
+
+    r = Random(block_rows)
+    book = [{"symbol": s, "t": t, "seq": t, "bid": 100 + r.choice((-1, 0, 1, 2)) * 0.1, "ask": 0.0} for s in "ab" for t in sorted(r.sample(range(400_000), 120))]
+    for b in book:
+        b["ask"] = b["bid"] + r.choice((0.1, 0.1, 0.1, 0.5))
+    rows = [{"event_id": i, "symbol": r.choice("abc"), "t": r.randrange(400_000), "dir0": r.choice((-1, 0, 1))} for i in range(150)]
+    b = frame(spark, [(x["symbol"], at(x["t"]), x["seq"], x["bid"], x["ask"]) for x in book], "symbol string, timestamp timestamp, seq long, bid_0_price double, ask_0_price double")
+    c = frame(spark, [(x["event_id"], x["symbol"], at(x["t"]), x["dir0"], 0.5, 0.5) for x in rows], "event_id long, symbol string, timestamp timestamp, dir0 int, fees_rt_bps double, slip_bps double")
+    for horizon in (2_000, 90_000):
+        got = {x.event_id: x for x in backtest.path_labels(c, b, horizon, 9.0, wide_spread=40.0, block_rows=block_rows).collect()}
+        for row in rows:
+            x = got[row["event_id"]]
+            rounded = lambda values: tuple(round(v, 6) if isinstance(v, float) else v for v in values)
+            assert rounded((x.net_max, x.net_min, x.label, x.reason, x.seconds)) == rounded(path_by_hand(row, book, horizon, 9.0, 40.0))
