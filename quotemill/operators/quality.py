@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quotemill.functions.expr import finite, mid
 from quotemill.operators.spread import running, stats_by
-from quotemill.operators.timejoins import in_windows
+from quotemill.operators.timejoins import in_windows, range_join
 from quotemill.operators.windows import numbered, with_previous
 
 
@@ -65,6 +66,28 @@ def book_checks(book: DataFrame, by: list[str], need: list[str], levels: int, ga
     return counts.select(*by, F.inline(found))
 
 
+def probes(book: DataFrame, n: int, seconds: float, seed: int = 7, key: str = "symbol", ts: str = "timestamp") -> DataFrame:
+    """(key, probe, n_rows, first_us, last_us): what stands around ``n`` random times of each key, ``seconds`` to either side.
+
+    Times are drawn by md5 from the key's span, the same on any layout; a probe may find nothing.
+    """
+    span = book.groupBy(key).agg(F.unix_micros(F.min(ts)).alias("a_"), F.unix_micros(F.max(ts)).alias("b_"))
+    drawn = span.withColumn("probe", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), key, F.col("probe").cast("string")).cast("binary")), 1, 8), 16, 10).cast("long")
+    at = F.col("a_") + F.floor((F.col("b_") - F.col("a_")) / 1000 * u / (1 << 32)) * 1000
+    drawn = drawn.select(key, "probe", F.timestamp_micros(at.cast("long")).alias("timestamp"))
+    rows = range_join(drawn, book.select(key, F.col(ts).alias("timestamp")), seconds, seconds, key)
+    found = rows.groupBy(key, "probe").agg(F.count("*").alias("n_rows"), F.unix_micros(F.min("timestamp_r")).alias("first_us"), F.unix_micros(F.max("timestamp_r")).alias("last_us"))
+    return drawn.drop("timestamp").join(found, [key, "probe"], "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
+def spread_stats(book: DataFrame, by: list[str]) -> DataFrame:
+    """Spread in bps of each group: known ones, those that are not positive, those that are 0, percentiles."""
+    rows = book.select(*by, finite((F.col("ask_0_price") - F.col("bid_0_price")) / mid() * 1e4).alias("s_"))
+    counts = [F.count("s_").alias("n"), F.count_if(F.col("s_") <= 0).alias("not_positive"), F.count_if(F.col("s_") == 0).alias("zero")]
+    return stats_by(rows, by, counts, {f"p{q}": ("s_", q / 100) for q in (10, 50, 90)})
+
+
 def checks(df: DataFrame, rules: dict[str, Column], by: list[str], most: int = 0) -> DataFrame:
     """(by, check, n_bad, ok): how many rows break each rule, from one pass."""
     counts = df.groupBy(*by).agg(*[F.count_if(F.coalesce(c, F.lit(True))).alias(n) for n, c in rules.items()])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quotemill.functions.expr import finite
 from quotemill.operators.spread import beside_keys, exact_percentiles, stats_by
 
 COMBO = r"^pnl_net_rr([0-9.]+)_rf([0-9]+)_ts([0-9]+)$"
@@ -57,15 +58,19 @@ def binned_regime(df: DataFrame, value: str, by: list[Column], lo: float = 0.4,
 
 
 def strict_reasons(df: DataFrame, cuts: DataFrame, features: list[str], ids: list[str], on: list[str]) -> DataFrame:
-    """(ids, on, feature, verdict): keep, reject or na of each row and feature against range cut-offs.
+    """(ids, on, feature, verdict): keep, reject or na of each row and feature against its cut-off.
 
-    A missing cut-off and a missing value are na, and reject the row.
+    A cut-off is a range (``least``, ``most``, each end optional), or binary where ``cuts`` has a ``keep`` that is known:
+    whether the value is not 0 must be what it says. A missing cut-off and a missing or infinite value are na, and
+    reject the row.
     """
-    values = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
+    cuts = cuts if "keep" in cuts.columns else cuts.withColumn("keep", F.lit(None).cast("int"))
+    values = F.array(*[F.struct(F.lit(f).alias("feature"), finite(f).alias("x")) for f in features])
     rows = df.select(*ids, *on, F.inline(values))
     both = rows.join(F.broadcast(cuts), [*on, "feature"], "left")
     inside = (F.col("x") >= F.coalesce("least", F.lit(float("-inf")))) & (F.col("x") <= F.coalesce("most", F.lit(float("inf"))))
-    missing = F.col("x").isNull() | (F.col("least").isNull() & F.col("most").isNull())
+    inside = F.when(F.col("keep").isNotNull(), (F.col("x") != 0) == (F.col("keep") != 0)).otherwise(inside)
+    missing = F.col("x").isNull() | (F.col("least").isNull() & F.col("most").isNull() & F.col("keep").isNull())
     return both.withColumn("verdict", F.when(missing, "na").when(inside, "keep").otherwise("reject"))
 
 
@@ -148,6 +153,26 @@ def grid_search(df: DataFrame, value: str, features: dict[str, tuple[str, list[f
     ).drop("all_")
 
 
+def recap(monthly: DataFrame, by: list[str], n: str, ev: str, winrate: str) -> DataFrame:
+    """Months put together: rows, and mean and win rate weighted by the rows of each month; the mean in bps."""
+    weighted = lambda c: F.try_divide(F.sum(F.col(n) * F.col(c)), F.sum(F.when(F.col(c).isNotNull(), F.col(n))))
+    return monthly.groupBy(*by).agg(F.sum(n).alias("n"), (weighted(ev) * 1e4).alias("ev_bps"), weighted(winrate).alias("winrate"))
+
+
+def presence(groups: DataFrame, params: DataFrame, cuts: DataFrame, columns: list[str], on: list[str]) -> DataFrame:
+    """Of each group whether its result column and the features of its cut-offs are among ``columns``.
+
+    ``params``: on, rr_min, rf, ts. ``groups`` with chosen, combo_exists, n_features, n_present and missing (``;``-joined).
+    """
+    chosen = F.format_string("pnl_net_rr%.2f_rf%d_ts%d", "rr_min", "rf", "ts")
+    known = F.col("feature").isin(*columns)
+    features = cuts.groupBy(*on).agg(F.count("*").alias("n_features"), F.count_if(known).alias("n_present"), F.array_join(F.array_sort(F.collect_set(F.when(~known, F.col("feature")))), ";").alias("missing"))
+    named = params.select(*on, chosen.alias("chosen"))
+    out = beside_keys(beside_keys(groups, named, on, "left"), features, on, "left")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_features", "n_present")}
+    return out.withColumns({"combo_exists": F.coalesce(F.col("chosen").isin(*columns), F.lit(False)).cast("int"), "missing": F.coalesce("missing", F.lit("")), **zero})
+
+
 def shares_by(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Counts of each value and their share in the group."""
     counts = df.groupBy(*by, value).agg(F.count("*").alias("n"))

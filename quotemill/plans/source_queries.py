@@ -8,6 +8,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotemill.operators import funnel as fn
 from quotemill.operators import study as st
@@ -142,6 +143,31 @@ def contract_check(spark, sf):
     return t.groupBy("symbol").agg(F.count("*").alias("n")).select("symbol", "n", F.lit(lost[0]).alias("missing_trades"), F.lit(lost[1]).alias("missing_strict"))
 
 
+_DAY_KINDS = "case when d % 7 = 3 then 'qty' else '' end as missing, case when d % 7 = 5 then 'price' else '' end as other_type"
+
+
+def _days(spark, sf):
+    """The trades as a folder for each day, some of which lack a column or have prices as text."""
+    t = view(spark, sf, "trades_v").select("trade_id", "symbol", "timestamp", "price", "qty", F.date_format("timestamp", "yyyy-MM-dd").alias("day"))
+    path, turn = _folder(spark, "days"), F.dayofmonth("timestamp") % 7
+    for rows in (t.where(~turn.isin(3, 5)), t.where(turn == 3).drop("qty"), t.where(turn == 5).withColumn("price", F.col("price").cast("string"))):
+        rows.repartition("day").write.mode("append").partitionBy("day").parquet(path)
+    need = T.StructType().add("trade_id", "long").add("symbol", "string").add("timestamp", "timestamp").add("price", "double").add("qty", "double")
+    return ig.checked_days(spark, path, need)
+
+
+@query("S17_checked_days", "select trade_id, round(price, 6) as price, qty from trades_v where day(timestamp) % 7 not in (3, 5)")
+def checked_days(spark, sf):
+    """The rows of the days that keep the contract."""
+    return rounded(_days(spark, sf)[0].select("trade_id", "price", "qty"))
+
+
+@query("S17_quarantine", f"select day, {_DAY_KINDS} from (select distinct strftime(timestamp, '%Y-%m-%d') as day, day(timestamp) as d from trades_v) where d % 7 in (3, 5)")
+def quarantine(spark, sf):
+    """The days that don't, and why."""
+    return _days(spark, sf)[1]
+
+
 @query("S18_epoch_units", "select trade_id, epoch_us(timestamp) // 1000 * 1000 as ms_us, epoch_us(timestamp) as ns_us, epoch_us(timestamp) // 1000 * 1000 as text_us from trades_v")
 def epoch_units(spark, sf):
     t = view(spark, sf, "trades_v").select("trade_id", F.unix_millis("timestamp").alias("ms"), (F.unix_micros("timestamp") * 1000).alias("ns"), F.unix_millis("timestamp").cast("string").alias("text"))
@@ -219,7 +245,10 @@ def feature_importance(spark, sf):
     return rounded(scored.agg(F.count("*").alias("n")).select("n", F.lit(model is not None).alias("fitted"), F.inline(weights)))
 
 
-_RECORD_SQL = TAGS_SQL.replace("from feat cross join fitted where day(bucket) > 20", "from feat cross join fitted where day(bucket) <= 20")
+#: The months that a fit for ``REFERENCE`` looks back on.
+REFERENCE, TRAILING = "2024-02", 3
+_TRAILING_SQL = "where bucket >= timestamp '2023-11-01' and bucket < timestamp '2024-02-01'"
+_RECORD_SQL = TAGS_SQL.replace("from feat cross join fitted where day(bucket) > 20", f"from feat cross join fitted {_TRAILING_SQL}").replace("from feat where day(bucket) <= 20", f"from feat {_TRAILING_SQL}")
 
 
 @query("M06_production_thresholds", f"""with {_RECORD_SQL}, reg as (select quantile_cont(range600_bps, 0.4) as lo, quantile_cont(range600_bps, 0.75) as hi from train)
@@ -227,11 +256,12 @@ select 'hard' as record, thr_spread_rel as a, thr_nps as b, null::double as c fr
 union all select 'score', round(med_nps, 5), round(mad_nps, 5), (select round(max(ms_cut), 4) from tags) from fitted
 union all select 'regime', case when (select count(*) from train) >= {LEAST_ROWS} then round(lo, 5) end, case when (select count(*) from train) >= {LEAST_ROWS} then round(hi, 5) end, null from reg""")
 def production_thresholds(spark, sf):
-    """Fitted on a sample of each trailing month; three JSON records: hard cut-offs, score with its cut, regime edges.
+    """Fitted on a sample of each of the months before the reference month; three JSON records: hard cut-offs, score
+    with its cut, regime edges.
 
     The sample takes all rows of the fixture, whose months have fewer.
     """
-    train = tape_features(spark, sf).where(is_train())
+    train = ig.in_months(tape_features(spark, sf), ig.trailing_months(REFERENCE, TRAILING), "bucket")
     train = stored(fn.sampled(train, 250_000, [F.date_format("bucket", "yyyy-MM")], ["symbol", "bucket"], 7), "production-train")
     fitted = th.fit_thresholds(train)
     cut = fn.tagged(fn.with_thresholds(train, fitted)).agg(F.max("ms_cut").alias("ms_cut"))

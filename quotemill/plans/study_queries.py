@@ -254,6 +254,16 @@ def strict_filter(spark, sf):
     return rt.strict_filter(_reasons(spark, sf), ["event_id"], ["symbol", "regime"]).select("event_id", "kept")
 
 
+_FLAGS = [("click", "CALM", "net_delta_15s", None, None, 1), ("view", "NORMAL", "net_delta_15s", None, None, 0), ("error", "CALM", "net_delta_15s", -5.0, None, None)]
+
+
+@query("F08_binary_cutoffs", f"with {_REGIME}, cutoffs(symbol, regime, feature, least, most, keep) as (values {', '.join('(' + ', '.join(_sql(v) for v in c) + ')' for c in _FLAGS)}) select event_id, case when net_delta_15s is null or (least is null and keep is null) then 'na' when keep is not null then case when (net_delta_15s <> 0) = (keep <> 0) then 'keep' else 'reject' end when net_delta_15s >= least then 'keep' else 'reject' end as verdict from regimes left join cutoffs using (symbol, regime)")
+def binary_cutoffs(spark, sf):
+    """A feature that must be 0, or must not be, beside one with a range."""
+    cuts = spark.createDataFrame(_FLAGS, "symbol string, regime string, feature string, least double, most double, keep int")
+    return rt.strict_reasons(_regimes(spark, sf), cuts, ["net_delta_15s"], ["event_id"], ["symbol", "regime"]).select("event_id", "verdict")
+
+
 @query("F09_reject_reasons", f"with {_STRICT} select symbol, regime, feature, count(*) filter (where verdict = 'keep') as n_keep, count(*) filter (where verdict = 'reject') as n_reject, count(*) filter (where verdict = 'na') as n_na from judged group by all")
 def reject_reasons(spark, sf):
     counts_of = [F.count_if(F.col("verdict") == v).alias(f"n_{v}") for v in ("keep", "reject", "na")]
@@ -409,6 +419,36 @@ def strict_evaluation(spark, sf):
     return _expect(rows.join(kept, "event_id"), ["symbol", "regime"])
 
 
+@query("M09_router_column", f"with {_STRICT}, {_LONG}, params(symbol, regime, rr_min) as (values {', '.join(f'({s!r}, {g!r}, {v})' for s, g, v in _PARAMS)}), fit as (select l.event_id, l.pnl, row_number() over (partition by l.event_id order by l.rr) as n from long l join regimes g on g.event_id = l.event_id join params p on p.symbol = g.symbol and p.regime = g.regime where l.rr >= p.rr_min), k as (select event_id, bool_and(verdict = 'keep') as kept from judged group by event_id), j as (select r.symbol, r.regime, k.kept, fit.pnl::double as pnl from regimes r join k using (event_id) join fit on fit.event_id = r.event_id and fit.n = 1) select symbol, regime, {_EXPECT} from j group by symbol, regime")
+def router_column(spark, sf):
+    """The strict job on the result that its parameters choose for each symbol and regime; rows without one are left out."""
+    kept = rt.strict_filter(_reasons(spark, sf), ["event_id"], ["symbol", "regime"]).select("event_id", "kept")
+    g = _regimes(spark, sf).select("event_id", "symbol", "regime")
+    params = spark.createDataFrame(_PARAMS, "symbol string, regime string, rr_min double")
+    rows = rt.long_results(view(spark, sf, "grid_v"), ["event_id"]).join(g, "event_id")
+    chosen = rt.chosen_result(rows, params, ["symbol", "regime"], ["event_id"]).drop("rr")
+    return _expect(g.join(chosen, "event_id").join(kept, "event_id"), ["symbol", "regime"])
+
+
+@query("A35_recap", f"with recursive {_ROLLING}, {_MODES}, m as (select month, mode, count(pnl) filter (where kept) as n, avg(pnl) filter (where kept) as e, avg((pnl > 0)::int) filter (where kept) as w from modes group by month, mode) select mode, sum(n)::bigint as n, round(sum(n * e) / sum(case when e is not null then n end) * 1e4, 8) as ev_bps, round(sum(n * w) / sum(case when w is not null then n end), 8) as winrate from m group by mode")
+def monthly_recap(spark, sf):
+    """The months of each mode put together, weighted by their trades."""
+    monthly = rt.expectancy(_moded(spark, sf), ["month", "mode"], "pnl", "kept")
+    return rounded(rt.recap(monthly, ["mode"], "n_kept", "ev_kept", "winrate"), 8)
+
+
+_COMBOS = [("click", "CALM", 1.0, 10, 60), ("click", "NORMAL", 1.2, 10, 60), ("view", "VOLATILE", 2.0, 20, 90), ("error", "CALM", 2.0, 10, 60)]
+
+
+@query("A36_columns", f"with {_REGIME}, params(symbol, regime, chosen) as (values {', '.join(f'({s!r}, {g!r}, {f"pnl_net_rr{rr:.2f}_rf{rf}_ts{ts}"!r})' for s, g, rr, rf, ts in _COMBOS)}), cutoffs(symbol, regime, feature) as (values {', '.join(f'({c[0]!r}, {c[1]!r}, {c[2]!r})' for c in [*_CUTS, ('click', 'CALM', 'gone_5s')])}), f as (select symbol, regime, count(*) as n_features, count(*) filter (where feature <> 'gone_5s') as n_present, coalesce(string_agg(feature, ';' order by feature) filter (where feature = 'gone_5s'), '') as missing from cutoffs group by all), g as (select symbol, regime, count(*) as n from regimes group by all) select symbol, regime, n, chosen, coalesce(chosen in ('pnl_net_rr1.00_rf10_ts60', 'pnl_net_rr1.50_rf10_ts60', 'pnl_net_rr2.00_rf20_ts90'), false)::int as combo_exists, coalesce(n_features, 0) as n_features, coalesce(n_present, 0) as n_present, coalesce(missing, '') as missing from g left join params using (symbol, regime) left join f using (symbol, regime)")
+def column_presence(spark, sf):
+    """Whether the chosen result column and the features of the cut-offs exist, for each symbol and regime."""
+    params = spark.createDataFrame(_COMBOS, "symbol string, regime string, rr_min double, rf int, ts int")
+    cuts = spark.createDataFrame([c[:3] for c in _CUTS] + [("click", "CALM", "gone_5s")], "symbol string, regime string, feature string")
+    n = _regimes(spark, sf).groupBy("symbol", "regime").agg(F.count("*").alias("n"))
+    return rt.presence(n, params, cuts, view(spark, sf, "grid_v").columns, ["symbol", "regime"])
+
+
 @query("A36_coverage", f"with {_STRICT}, params(symbol, regime, rr_min) as (values {', '.join(f'({s!r}, {g!r}, {v})' for s, g, v in _PARAMS)}) select symbol, regime, count(*) as n, max((rr_min is not null)::int) as has_params, max(coalesce(k, 0)) as n_cuts from regimes left join params using (symbol, regime) left join (select symbol, regime, count(*) as k from cutoffs group by all) using (symbol, regime) group by symbol, regime")
 def coverage(spark, sf):
     params = spark.createDataFrame(_PARAMS, "symbol string, regime string, rr_min double")
@@ -480,6 +520,17 @@ def book_checks(spark, sf):
     return ql.book_checks(view(spark, sf, "book_v"), ["symbol"], ["timestamp", "seq", "received_time"], 15, 7200.0)
 
 
+@query("A30_spread_stats", "select symbol, count(s) as n, count(*) filter (where s <= 0) as not_positive, count(*) filter (where s = 0) as zero, round(quantile_cont(s, 0.1), 6) as p10, round(quantile_cont(s, 0.5), 6) as p50, round(quantile_cont(s, 0.9), 6) as p90 from (select symbol, (ask_0_price - bid_0_price) / ((ask_0_price + bid_0_price) / 2) * 1e4 as s from book_v) group by symbol")
+def spread_stats(spark, sf):
+    return rounded(ql.spread_stats(view(spark, sf, "book_v"), ["symbol"]))
+
+
+@query("A30_probes", "with span as (select symbol, epoch_us(min(timestamp)) as a, epoch_us(max(timestamp)) as b from book_v group by symbol), drawn as (select symbol, probe::int as probe, a + floor((b - a) / 1000 * ('0x' || substr(md5('7|' || symbol || '|' || probe), 1, 8))::bigint / 4294967296)::bigint * 1000 as t from span cross join range(5) r(probe)) select d.symbol, probe, count(k.timestamp) as n_rows, epoch_us(min(k.timestamp)) as first_us, epoch_us(max(k.timestamp)) as last_us from drawn d left join book_v k on k.symbol = d.symbol and epoch_us(k.timestamp) between t - 7200000000 and t + 7200000000 group by 1, 2")
+def random_probes(spark, sf):
+    """Five random windows of each symbol, two hours to either side."""
+    return ql.probes(view(spark, sf, "book_v"), 5, 7200.0)
+
+
 @query("A30_trade_checks", "select symbol, 'bad_price' as \"check\", count(*) filter (where price <= 100.5) as n_bad, count(*) filter (where price <= 100.5) <= 100 as ok from trades_v group by symbol union all select symbol, 'bad_qty', count(*) filter (where qty <= 0), count(*) filter (where qty <= 0) <= 100 from trades_v group by symbol union all select symbol, 'no_side', count(*) filter (where side is null), count(*) filter (where side is null) <= 100 from trades_v group by symbol")
 def trade_checks(spark, sf):
     rules = {"bad_price": F.col("price") <= 100.5, "bad_qty": F.col("qty") <= 0, "no_side": F.col("side").isNull()}

@@ -71,6 +71,32 @@ def require(df: DataFrame, need: list[str]) -> None:
         raise ValueError(f"missing columns: {', '.join(lost)}")
 
 
+def checked_days(spark: SparkSession, root: str, need: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows of the days that keep the contract, quarantine) of a folder with a folder ``day=...`` for each day.
+
+    Days are files of their own and may differ in their columns: a day that lacks a needed column, or has one of another
+    type, is not read; the quarantine has its name with what is missing and what is of another type. Only the schemas
+    come to the driver, one for each day; days of one schema are one scan.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    folder = F.regexp_extract("path", r"^(.*/day=[^/]*)/", 1)
+    days = sorted(r.folder for r in listed.select(folder.alias("folder")).where("folder <> ''").distinct().collect())
+    kept: dict[str, list[str]] = {}
+    bad = []
+    for path in days:
+        have = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+        missing = [f.name for f in need.fields if f.name not in have]
+        other = [f.name for f in need.fields if f.name in have and have[f.name] != f.dataType]
+        if missing or other:
+            bad.append((path.rsplit("day=", 1)[1], ";".join(missing), ";".join(other)))
+        else:
+            kept.setdefault(str(sorted(have)), []).append(path)
+    rows = spark.createDataFrame([], need)
+    for paths in kept.values():
+        rows = rows.unionByName(spark.read.schema(need).parquet(*paths))
+    return rows, spark.createDataFrame(bad, "day string, missing string, other_type string")
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` in the columns, order and types of ``schema``; what is missing is NULL, what can't be cast too."""
     cols = [(F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
