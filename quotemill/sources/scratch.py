@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: str | None = None
-#: Paths stored by each open ``working_tables`` block, outermost first.
-_open: list[list[str]] = []
+#: Paths stored by each open ``working_tables`` block of this thread or task of the event loop, outermost first.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("open_tables", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,9 +37,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quotemill/{label}-{uuid.uuid4().hex}"
+    if blocks := _open.get():
+        blocks[-1].append(path)
     df.write.parquet(path)
-    if _open:
-        _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -50,23 +52,40 @@ def _drop(spark: SparkSession, path: str) -> None:
 def working_tables(spark: SparkSession) -> Iterator[list[str]]:
     """Deletes at its end what ``stored`` wrote within, but for tables that ``kept`` wrote.
 
-    What leaves the block must be read from kept tables alone. Where the block fails nothing is deleted.
+    What leaves the block must be read from kept tables alone. A block that fails deletes what it wrote, kept tables
+    of its own blocks included. Threads that build queries at once have blocks of their own.
     """
     own: list[str] = []
-    _open.append(own)
+    token = _open.set((*_open.get(), own))
     try:
         yield own
     finally:
-        _open.pop()
-    for path in own:
-        _drop(spark, path)
+        _open.reset(token)
+        for path in own:
+            _drop(spark, path)
+
+
+def sweep(spark: SparkSession, seconds: float) -> int:
+    """Deletes tables of the shared folder that were written more than ``seconds`` ago, and counts them.
+
+    Tables that a returned DataFrame reads are kept for as long as someone may read it, and have no owner after that: a
+    job that runs this, with an age that no query reaches, is their end.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/quotemill")
+    files, gone = root.getFileSystem(conf), 0
+    if files.exists(root):
+        for status in files.listStatus(root):
+            if status.getModificationTime() < (time.time() - seconds) * 1000:
+                files.delete(status.getPath(), True)
+                gone += 1
+    return gone
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
     """``stored``, for a table that outlives the innermost ``working_tables`` block; a block around that one owns it."""
-    inner = _open.pop() if _open else None
+    token = _open.set(_open.get()[:-1])
     try:
         return stored(df, label)
     finally:
-        if inner is not None:
-            _open.append(inner)
+        _open.reset(token)

@@ -255,6 +255,36 @@ def test_working_tables_are_deleted(spark):
     assert kept(spark.range(3), "c").count() == 3
 
 
+def test_working_tables_of_threads_and_failures(spark):
+    import os
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    from quotemill.sources.scratch import kept, stored, sweep, working_tables
+
+    path = lambda df: "/" + df.inputFiles()[0].removeprefix("file:").lstrip("/")
+    both = Barrier(2)
+
+    def build(k):
+        with working_tables(spark):
+            mine = path(stored(spark.range(3).coalesce(1), f"t{k}"))
+            both.wait()
+            out = kept(spark.range(k).coalesce(1), f"k{k}")
+            assert os.path.exists(mine)
+            both.wait()
+        return mine, out
+
+    with ThreadPoolExecutor(2) as pool:
+        for mine, out in pool.map(build, (4, 5)):
+            assert not os.path.exists(mine) and out.count() in (4, 5)
+    with pytest.raises(ZeroDivisionError), working_tables(spark):
+        lost = path(stored(spark.range(3).coalesce(1), "f"))
+        raise ZeroDivisionError
+    assert not os.path.exists(lost)
+    old = kept(spark.range(3).coalesce(1), "old")
+    assert sweep(spark, 3600) == 0 and old.count() == 3 and os.path.exists(path(old))
+
+
 def test_percentiles_equal_the_aggregate(spark):
     rows = [(s, float(v)) for s, scale in (("a", 1e-9), ("b", 1.0), ("b", 1e9), ("c", 0.0)) for v in (scale * (i * 37 % 101) ** 3 for i in range(300))]
     df = spark.createDataFrame([*rows, ("d", None), (None, 2.0), (None, 5.0), *[("b", 7.0)] * 300], "s string, x double").repartition(7)
