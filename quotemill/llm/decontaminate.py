@@ -29,7 +29,8 @@ class SpacedSeeds:
     #: An overlap has so many equal words, and so many of a hundred of its words are equal.
     min_equal: int = 10
     min_percent: int = 75
-    #: Shorter items than min_equal words are overlaps as a whole, down to this length (that of the plain mask).
+    #: Shorter items than min_equal words are overlaps as a whole, down to this length (that of the plain mask); still
+    #: shorter ones are everywhere, and are overlaps only of texts that are nothing else.
     min_item: int = 5
 
     def offsets(self) -> list[tuple[int, ...]]:
@@ -44,6 +45,12 @@ def seeds_of(words: Words, masks: SpacedSeeds) -> Iterator[tuple[np.ndarray, np.
             hashes = window_hashes(words.hashes, offsets, salt=k + 1)
             at = np.flatnonzero(np.arange(len(hashes)) + offsets[-1] < last[: len(hashes)])
             yield at, hashes[at]
+    # A text too short for any mask has one seed, all its words.
+    lengths = np.diff(words.bounds)
+    for n in range(1, masks.min_item):
+        at = words.bounds[:-1][lengths == n]
+        if len(at):
+            yield at, window_hashes(words.hashes, tuple(range(n)), salt=len(masks.masks) + n)[at]
 
 
 def _benchmark_tables(benchmark: DataFrame, masks: SpacedSeeds) -> tuple[DataFrame, DataFrame]:
@@ -134,7 +141,7 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame, masks: SpacedSeeds
     Columns: doc_id, item_id, doc_word and item_word (first words, from 0), n_words, n_equal: of each diagonal the run
     with the most equal words. Words are split at ASCII white space after lower-casing A-Z. Null and empty texts
     overlap nothing, null ids stay null; an item of fewer than ``min_equal`` words must stand in the text as a whole,
-    one of fewer than ``min_item`` words is no evidence. Repeated rows give one row, as do repeated items; an empty
+    one of fewer than ``min_item`` words must be the whole text. Repeated rows give one row, as do repeated items; an empty
     table on either side gives an empty result; other columns are left out.
     """
     with working_tables(documents.sparkSession):
@@ -164,7 +171,7 @@ def _overlaps(documents: DataFrame, benchmark: DataFrame, masks: SpacedSeeds) ->
                 equal = np.asarray(r.d) == np.asarray(r.t)
                 a, b = best_overlap(equal, masks.min_percent)
                 n = int(equal[a:b].sum())
-                if n >= (min(masks.min_equal, r.item_words) if r.item_words >= masks.min_item else masks.min_equal):
+                if n >= min(masks.min_equal, r.item_words):
                     rows.append((r.doc_id, r.item_id, r.p + a, r.q + a, b - a, n))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "doc_word", "item_word", "n_words", "n_equal"]).astype(
                 {"doc_id": "Int64", "item_id": "Int64"}

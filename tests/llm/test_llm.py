@@ -171,6 +171,13 @@ def test_op2_substitutions(spark):
     assert got == {(1, 1, 3, 35), (4, 1, 0, 12)}
 
 
+def test_op2_shortest_items_are_whole_texts(spark):
+    items = spark.createDataFrame([(1, "Yes"), (2, "one two three four"), (3, "a b c d e"), (4, None), (5, " ")], "item_id long, text string")
+    rows = [(1, "yes"), (2, "yes yes"), (3, "ONE  two\nthree four"), (4, "one two three four five six"), (5, "one two three"), (6, "x a b c d e y"), (7, ""), (8, None), (9, "four three two one")]
+    found = find_overlaps(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id, r.doc_word, r.n_equal) for r in found} == {(1, 1, 0, 1), (3, 2, 0, 4), (6, 3, 1, 5)}
+
+
 def test_op2_every_accepted_pattern_holds_a_seed():
     """Of all runs of equal and other words that hold no seed, however long, none has enough equal words."""
     from quotemill.llm.decontaminate import SpacedSeeds
