@@ -24,7 +24,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from quotemill.llm.components import connected_components
 from quotemill.llm.folded import bloom_of, folded, parted
@@ -237,15 +236,21 @@ def _grouped(profiles: DataFrame, nodes: DataFrame, documents: DataFrame, join:
     return links, classes
 
 
+def _of_several(rows: DataFrame, name: str) -> DataFrame:
+    """The rows of tokens that have more than one ``name``: grouped ends of each token, and a join that Spark can split."""
+    ends = rows.groupBy("token").agg(F.min(name).alias("lo"), F.max(name).alias("hi")).where("lo <> hi").select("token")
+    ends = stored(ends, "jaccard-tokens")
+    likely, _ = parted(rows, F.col("token"), ends)
+    return likely.join(ends, "token")
+
+
 def _labelled(documents: DataFrame, join: JaccardJoin) -> DataFrame:
     """(doc_id, n_shingles, node, class) of every row, ``class`` being the smallest node of its component."""
     profiles = stored(_profiles(documents, join), "jaccard-profiles")
     prefix = profiles.where("prefix is not null").select("node", "n_shingles", F.posexplode("prefix").alias("place", "token"))
     # What a set has from this shingle on bounds the overlap of two sets that meet in it first.
     prefix = prefix.select("token", "node", (F.col("n_shingles") - F.col("place")).alias("rest"))
-    by_token = W.partitionBy("token")
-    shared = prefix.withColumns({"lo": F.min("node").over(by_token), "hi": F.max("node").over(by_token)})
-    postings = stored(shared.where("lo <> hi").select("token", "node", "rest").distinct(), "jaccard-postings")
+    postings = stored(_of_several(prefix, "node").select("token", "node", "rest").distinct(), "jaccard-postings")
     nodes = profiles.where("bits is not null").dropDuplicates(["node"])
     nodes = stored(nodes.select("node", F.col("n_shingles").alias("n"), "bits"), "jaccard-nodes")
 
@@ -254,12 +259,11 @@ def _labelled(documents: DataFrame, join: JaccardJoin) -> DataFrame:
     members = members.withColumn("component", F.coalesce("component", "node"))
     sizes = members.groupBy("component").agg(F.count("*").alias("members"))
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / F.lit(join.part_members)))
-    members = members.join(sizes, "component").select("node", "n", "bits", "component", part.alias("part"))
+    members = spread_join(members, sizes, "component", join.salts).select("node", "n", "bits", "component", part.alias("part"))
     members = stored(members, "jaccard-members")
 
     placed = postings.join(members.select("node", "n", "component", "part"), "node")
-    span = placed.withColumns({"lo": F.min("component").over(by_token), "hi": F.max("component").over(by_token)})
-    matrix = stored(span.where("lo <> hi").drop("lo", "hi"), "jaccard-matrix")
+    matrix = stored(_of_several(placed, "component"), "jaccard-matrix")
     columns = matrix.groupBy("token", "component", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("most_rest"))
     columns = columns.select("token", F.col("component").alias("of"), F.col("part").alias("of_part"), "least", "most", "most_rest")
     need = join.percent * (F.col("n") + F.col("least"))
