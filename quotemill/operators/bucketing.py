@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quotemill.functions.expr import floor_time
+from quotemill.operators.timejoins import asof
+from quotemill.operators.windows import row_chunks
 
 
 def right_edge(ts: Column | str, step: str) -> Column:
@@ -85,26 +87,23 @@ def aligned_windows(candles: DataFrame, tf_bars: dict[int, int], step: int, warm
 
     A bar counts if it started by the step (with ``closed_only``: ended by it). Columns: symbol, step_ts and an
     array ``bars_<tf>`` of structs, oldest first.
+
+    Bars are numbered by parts of the time line and listed in chunks that repeat the last bars of the one before; a step
+    finds the number of its last bar by an as-of join. No symbol is one task.
     """
     many = resample_many(candles, list(tf_bars))
     steps = candles.select("symbol", floor_time("timestamp", step).alias("step_ts")).distinct()
     out = steps
     for tf, n in tf_bars.items():
-        bars = many.where(F.col("tf") == tf).drop("tf")
-        back = W.partitionBy("symbol").orderBy("timestamp")
+        bars = row_chunks(many.where(F.col("tf") == tf).drop("tf"), ["timestamp"], n - 1)
+        back = W.partitionBy("symbol", "chunk_").orderBy("row_no").rowsBetween(1 - n, 0)
         bar = F.struct("timestamp", "open", "high", "low", "close", "volume")
-        lists = bars.select(
-            "symbol",
-            (F.col("timestamp") + F.make_dt_interval(secs=F.lit(tf if closed_only else 0))).alias("ready"),
-            F.collect_list(bar).over(back.rowsBetween(1 - n, 0)).alias("bars"),
-            F.row_number().over(back).alias("n"),
-        )
-        side = steps.select("symbol", F.col("step_ts").alias("ready"), F.lit(None).cast(lists.schema["bars"].dataType).alias("bars"), F.lit(None).cast("int").alias("n"), F.lit(1).alias("is_step"))
-        both = lists.withColumn("is_step", F.lit(0)).unionByName(side)
-        at = W.partitionBy("symbol").orderBy("ready", "is_step").rowsBetween(W.unboundedPreceding, 0)
-        filled = both.withColumns({"bars": F.last("bars", True).over(at), "n": F.last("n", True).over(at)})
-        ready = filled.where((F.col("is_step") == 1) & (F.col("n") >= warmup + n))
-        out = out.join(ready.select("symbol", F.col("ready").alias("step_ts"), F.col("bars").alias(f"bars_{tf}")), ["symbol", "step_ts"])
+        name = f"bars_{tf}"
+        lists = bars.withColumn(name, F.collect_list(bar).over(back)).where(F.col("own_") & (F.col("row_no") >= warmup + n - 1))
+        ready = F.col("timestamp") + F.make_dt_interval(secs=F.lit(tf if closed_only else 0))
+        last = asof(steps, lists.select("symbol", ready.alias("step_ts"), "row_no"), ["row_no"], ["row_no"], part_seconds=7 * 86400, ts="step_ts")
+        found = last.where("row_no is not null").join(lists.select("symbol", "row_no", name), ["symbol", "row_no"])
+        out = out.join(found.drop("row_no"), ["symbol", "step_ts"])
     return out
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quotemill.functions.expr import finite, mid
-from quotemill.operators.spread import running, stats_by
+from quotemill.operators.spread import stats_by
 from quotemill.operators.timejoins import in_windows, range_join
-from quotemill.operators.windows import numbered, with_previous
+from quotemill.operators.windows import numbered, run_lengths, with_previous
+from quotemill.sources.scratch import kept, stored, working_tables
 
 
 def book_probe(book: DataFrame, by: list[str], ts: str = "timestamp", received: str = "received_time", seq: str = "seq", slot_seconds: int = 1) -> DataFrame:
@@ -99,6 +100,7 @@ def anomalies(candles: DataFrame, run: int, jump: float, key: str = "symbol") ->
     """(key, timestamp, type, severity): flat and zero-volume runs, jumps, inconsistent and invalid candles.
 
     A run is reported in its last row once it has ``run`` rows; a first row counts as flat. Nothing found: no rows.
+    Runs are counted by breaks that parts of the time line hand on, so that one that lasts for years is not one task.
     """
     before = F.col("before_")
     rows = with_previous(candles, {"before_": "close"}, ["timestamp"], [key]).withColumns(
@@ -108,22 +110,22 @@ def anomalies(candles: DataFrame, run: int, jump: float, key: str = "symbol") ->
             "move_": F.abs(F.col("close") / before - 1),
         }
     )
-    breaks = {f"{c}i": (~F.col(c)).cast("int") for c in ("flat_", "still_")}
-    rows = running(rows, [key], [F.asc("timestamp")], breaks, "candle-runs")
-    for c in ("flat_", "still_"):
-        in_run = W.partitionBy(key, f"{c}i", c).orderBy("timestamp")
-        rows = rows.withColumns({f"{c}n": F.when(F.col(c), F.row_number().over(in_run)), f"{c}end": F.lead("timestamp").over(in_run).isNull()})
     bad_shape = (F.col("high") < F.greatest("open", "close")) | (F.col("low") > F.least("open", "close"))
     prices = [F.col(c) for c in ("open", "high", "low", "close")]
     invalid = F.exists(F.array(*prices), lambda x: x.isNull() | F.isnan(x) | (x <= 0)) | (F.col("volume") < 0)
     found = F.array(
-        F.when((F.col("flat_n") >= run) & F.col("flat_end"), F.struct(F.lit("flat_run").alias("type"), F.lit("warn").alias("severity"))),
-        F.when((F.col("still_n") >= run) & F.col("still_end"), F.struct(F.lit("zero_volume").alias("type"), F.lit("warn").alias("severity"))),
         F.when(F.col("move_") > jump, F.struct(F.lit("jump").alias("type"), F.lit("error").alias("severity"))),
         F.when(bad_shape, F.struct(F.lit("inconsistent").alias("type"), F.lit("error").alias("severity"))),
         F.when(invalid, F.struct(F.lit("invalid").alias("type"), F.lit("error").alias("severity"))),
     )
-    return rows.select(key, "timestamp", F.inline(F.filter(found, lambda x: x.isNotNull())))
+    with working_tables(candles.sparkSession):
+        kind = lambda name, level: F.struct(F.lit(name).alias("type"), F.lit(level).alias("severity"))
+        rows = stored(rows.select(key, "timestamp", "flat_", "still_", F.array_compact(found).alias("found_")), "candle-runs")
+        out = rows.select(key, "timestamp", F.inline("found_"))
+        for flag, event in (("flat_", kind("flat_run", "warn")), ("still_", kind("zero_volume", "warn"))):
+            runs = run_lengths(rows, flag, ["timestamp"], key=key).where(F.col("n") >= run)
+            out = out.union(runs.select(key, F.col("last").alias("timestamp"), F.inline(F.array(event))))
+        return kept(out, "candle-anomalies")
 
 
 def consecutive_runs(rows: DataFrame, step: int, least: int, key: str = "symbol") -> DataFrame:

@@ -180,6 +180,54 @@ def test_flat_runs_of_k_and_fewer(spark):
     assert quality.anomalies(df.where("close < 0"), 3, 9.0).count() == 0
 
 
+def test_runs_that_last_for_weeks(spark):
+    """Runs across the 7-day parts of the time line, for flat and for zero-volume candles, against a loop over rows."""
+    from random import Random
+
+    r, rows, close, volume = Random(5), [], 1.0, 1.0
+    for symbol in ("a", "b"):
+        for i in range(120):
+            close, volume = (close if r.random() < 0.93 else close + 1), (volume if r.random() < 0.9 else 1 - volume)
+            rows.append((symbol, at(6 * 3600 * i), close, close, close, close, volume))
+    want = set()
+    for symbol in ("a", "b"):
+        own = [x for x in rows if x[0] == symbol]
+        flags = {"flat_run": [i == 0 or own[i][5] == own[i - 1][5] for i in range(len(own))], "zero_volume": [x[6] == 0 for x in own]}
+        for kind, flag in flags.items():
+            n = 0
+            for i, on in enumerate(flag):
+                n = n + 1 if on else 0
+                if n >= 3 and not (i + 1 < len(flag) and flag[i + 1]):
+                    want.add((symbol, own[i][1], kind))
+    df = frame(spark, rows, "symbol string, timestamp timestamp, open double, high double, low double, close double, volume double")
+    got = [(x.symbol, x.timestamp, x.type) for x in quality.anomalies(df, 3, 99.0).collect()]
+    assert set(got) == want and len(got) == len(want) > 10
+
+
+@pytest.mark.parametrize("closed_only", [False, True])
+def test_aligned_windows_are_the_last_bars_of_each_step(spark, closed_only):
+    from random import Random
+
+    r = Random(3)
+    hours = {s: sorted(r.sample(range(400), 150)) for s in ("a", "b")}
+    rows = [(s, at(3600 * h), float(h), h + 1.0, h - 1.0, h + 0.5, 1.0) for s in hours for h in hours[s]]
+    df = frame(spark, rows, "symbol string, timestamp timestamp, open double, high double, low double, close double, volume double")
+    got = {(x.symbol, x.step_ts): ([b.close for b in x.bars_7200], [b.close for b in x.bars_14400]) for x in bucketing.aligned_windows(df, {7200: 4, 14400: 3}, 7200, 2, closed_only).collect()}
+    want = {}
+    for s, own in hours.items():
+        for step in {h // 2 * 2 for h in own}:
+            lists = []
+            for length, n in ((2, 4), (4, 3)):
+                bars = {}
+                for h in own:
+                    bars[h // length * length] = h + 0.5  # hours rise: the last one is the close
+                seen = [bars[b] for b in sorted(bars) if b + (length if closed_only else 0) <= step]
+                lists.append(seen[-n:] if len(seen) >= 2 + n else None)
+            if None not in lists:
+                want[s, at(3600 * step)] = tuple(lists)
+    assert got == want and len(want) > 100
+
+
 def test_masks_are_false_for_null(spark):
     fields = ["dir0", "spread_rel", "thr_spread_rel", "spread_ticks", "thr_spread_ticks", "range60_bps", "thr_range60", "abs_obi10", "thr_obi", "abs_micro", "thr_micro", "notional_buy_w", "notional_sell_w", "abs_ti", "thr_ti", "nps", "thr_nps", "persist_micro_ms", "thr_persist_micro", "persist_obi_ms", "thr_persist_obi", "thin3", "thr_thin", "micro_bias", "ti"]
     df = frame(spark, [tuple([None] * len(fields))], ", ".join(f"{f} double" for f in fields))
