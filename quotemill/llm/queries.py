@@ -66,7 +66,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(read_table(spark, sf_dir, "pages"))
+    return judge_urls(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "documents"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

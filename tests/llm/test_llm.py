@@ -505,32 +505,82 @@ def test_op9_segments_equal_all_splits():
 
 
 def test_op9_scores_equal_plain_counting(spark):
-    """Naive Bayes by counting in dictionaries, over the words that the operator itself found."""
+    """Naive Bayes and its beliefs by counting in dictionaries, over the words that the operator itself found."""
     from collections import Counter
-    from math import log
+    from math import exp, log
 
     from quotemill.llm.url_filter import SEEDS, UrlModel
 
-    a = UrlModel().smoothing
-    sf = SF.replace("0.001", "0.01")
-    rows = judge_urls(spark.read.parquet(f"{sf}/pages.parquet")).toPandas()
-    bad = lambda host: bool(set(re.split(r"[.-]", host)) & set(SEEDS))
-    counts = {True: Counter(), False: Counter()}
+    m = UrlModel()
+    rows = judge_urls(spark.read.parquet(f"{SF.replace('0.001', '0.01')}/pages.parquet")).toPandas()
     hosts, paths = {}, set()
     for x in rows.itertuples():
         words = x.words.split()
         hosts[x.host] = [w for w in words if w.startswith("h:")]
         paths.add((x.host, tuple(w for w in words if w.startswith("p:"))))
-    for host, words in hosts.items():
-        counts[bad(host)].update(words)
-    for host, words in paths:
-        counts[bad(host)].update(words)
-    n_bad, size = sum(map(bad, hosts)), len(counts[True] | counts[False])
-    total = {k: sum(c.values()) for k, c in counts.items()}
-    share = lambda w, k: (counts[k][w] + a) / (total[k] + a * size)
+    of_host = {h: m.seen if any(w[2:] in SEEDS for w in words) else m.unseen for h, words in hosts.items()}
+    of_path = {p: max(of_host[p[0]], m.seen if len({w[2:] for w in p[1]} & set(SEEDS)) > 1 else m.unseen) for p in paths}
+    first_host, first_path = of_host, of_path
+    believed = lambda score, first: round(1000 / (1 + exp(-score))) if abs(score) >= m.sure else first
+    for _ in range(m.rounds):
+        block, allow = Counter(), Counter()
+        for words, belief in [*((hosts[h], b) for h, b in of_host.items()), *((p[1], b) for p, b in of_path.items())]:
+            for w in words:
+                block[w] += belief
+                allow[w] += 1000 - belief
+        for w in block:
+            block[w] += int(1000 * m.seed_count) if w[2:] in SEEDS else 0
+        size, b_all, a_all = len(block), sum(block.values()), sum(allow.values())
+        share = lambda n, total: (n / 1000 + m.smoothing) / (total / 1000 + m.smoothing * size)  # noqa: B023, E731
+        odds = {w: log(share(block[w], b_all)) - log(share(allow[w], a_all)) for w in block}
+        b = sum(of_host.values())
+        prior = log((b / 1000 + m.smoothing) / ((1000 * len(hosts) - b) / 1000 + m.smoothing))
+        host_score = {h: prior + sum(odds[w] for w in words) for h, words in hosts.items()}
+        score = {p: host_score[p[0]] + sum(odds[w] for w in p[1]) for p in paths}
+        of_host, of_path = ({k: believed(v, first[k]) for k, v in x.items()} for x, first in ((host_score, first_host), (score, first_path)))
     for x in rows.itertuples():
-        want = log((n_bad + a) / (len(hosts) - n_bad + a)) + sum(log(share(w, True) / share(w, False)) for w in x.words.split())
-        assert abs(want - x.score) < 1e-6
+        assert abs(score[x.host, tuple(w for w in x.words.split() if w.startswith("p:"))] - x.score) < 1e-6
+
+
+def judged_hosts(spark, urls, texts=None, **more):
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    texts = texts and spark.createDataFrame([(t,) for t in texts], "text string")
+    return {urls[r.page_id]: (r.verdict, r.words.split(), r.score) for r in judge_urls(pages, texts, rules=(), **more).collect()}
+
+
+def test_op9_words_of_texts_split_hosts(spark):
+    """``online`` and ``gambling`` stand in no host by themselves; ``essex`` is a word, and not two; digits separate."""
+    texts = ["Online gambling is not online shopping.", "The town halls of Essex and Sussex.", None, "", "gambling in essex", "weather of the town"]
+    good = [f"https://{a}-{b}.org/" for a in ("town", "garden", "weather", "music") for b in ("hall", "news", "maps", "club", "shop")]
+    bad = [f"https://{a}-{b}.org/" for a in ("casino", "poker", "slots") for b in ("gambling", "bets", "jackpot")]
+    new = ["https://onlinegamblingbets.org/", "https://onlinegambling.org/", "https://essex.org/", "https://bet365.org/", "https://essexmaps.org/"]
+    got = judged_hosts(spark, [*good, *bad, *new], texts)
+    assert [got[u][1][:-1] for u in new] == [["h:online", "h:gambling", "h:bets"], ["h:online", "h:gambling"], ["h:essex"], ["h:bet"], ["h:essex", "h:maps"]]
+    assert [got[u][0] for u in [new[0], *new[2:]]] == ["block", "allow", "block", "allow"]
+    assert got[new[1]][2] > max(got[u][2] for u in good)  # one learned word is not enough to block, but counts
+    assert all(got[u][0] == "allow" for u in good) and all(got[u][0] == "block" for u in bad)
+
+
+def test_op9_finds_hosts_of_seeds_that_it_is_not_told(spark):
+    """A third of the seeds is hidden: hosts that show two of them are found, one beside unknown words is not enough."""
+    from quotemill.llm.url_filter import SEEDS
+
+    hidden = ("bets", "jackpot", "pills", "porn", "slots", "spam")
+    told = tuple(w for w in SEEDS if w not in hidden)
+    good = [f"https://{a}-{b}.org/" for a in ("town", "garden", "weather", "music", "cooking") for b in ("hall", "news", "maps", "club", "free")]
+    both = [f"https://{a}-{b}.org/" for a in ("casino", "poker", "viagra", "escort") for b in hidden]
+    alone = [f"https://{a}-{b}.org/" for a, b in zip(hidden[::2], hidden[1::2], strict=True)]
+    got = judged_hosts(spark, [*good, *both, *alone], seeds=told)
+    assert [u for u in [*both, *alone] if got[u][0] != "block"] == [] == [u for u in good if got[u][0] != "allow"]
+
+
+def test_op9_paths_count(spark):
+    """Two seeds in a path are enough on a host of which nothing is known; the same host's other paths stay."""
+    good = [f"https://{a}-{b}.org/{p}" for a in ("town", "garden", "weather", "music") for b in ("hall", "news") for p in ("about/staff", "contact", "photos/summer")]
+    bad = [f"https://forum-{x}.net/casino/slots/bets/{x}" for x in ("alpha", "beta", "gamma")]
+    same = [f"https://forum-{x}.net/about/staff" for x in ("alpha", "beta", "gamma")]
+    got = judged_hosts(spark, [*good, *bad, *same])
+    assert all(got[u][0] == "allow" for u in [*good, *same]) and all(got[u][0] == "block" for u in bad)
 
 
 def test_op9_blocks_bad_hosts_and_no_others(spark):
