@@ -21,7 +21,7 @@ def horizon_pnl(events: DataFrame, book: DataFrame, horizons: tuple[int, ...] =
     """Events with ``raw_<T>``: (exit mid / entry mid - 1) in bps, T units after the event; NULL if a leg is missing.
 
     All legs are one as-of join: the entry (T = 0) and the exits are rows of one probe table. The direction is left
-    out, so that configurations that trade either way share the join.
+    out, so that configurations that trade either way share the join. Results are as many as events: neither is broadcast.
     """
     legs = events.select("event_id", "symbol", "timestamp", F.explode(F.array(*[F.lit(t) for t in (0, *horizons)])).alias("T"))
     legs = legs.withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(secs=(F.col("T") * unit).cast("decimal(18,6)")))
@@ -29,7 +29,7 @@ def horizon_pnl(events: DataFrame, book: DataFrame, horizons: tuple[int, ...] =
     hits = asof_nearest(legs, prices, ["mid"], tolerance, ["event_id", "T"], "seq")
     wide = hits.groupBy("event_id").agg(*[F.max(F.when(F.col("T") == t, F.when(F.col("mid") > 0, F.col("mid")))).alias(f"mid_{t}") for t in (0, *horizons)])
     raws = [((F.col(f"mid_{t}") / F.col("mid_0") - 1) * 1e4).alias(f"raw_{t}") for t in horizons]
-    return events.join(wide.select("event_id", F.col("mid_0").alias("entry"), *raws), "event_id", "left")
+    return events.join(wide.select("event_id", F.col("mid_0").alias("entry"), *raws).hint("merge"), "event_id", "left")
 
 
 def net_pnl(T: int, direction: Column) -> Column:

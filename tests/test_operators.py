@@ -49,6 +49,25 @@ def test_asof_nearest_ties_and_tolerance(spark):
     assert nearest(spark, book, [15.1], 10) == [3]
 
 
+def test_asof_nearest_makes_no_pairs(spark):
+    """A row looks at the row before and the one after it, however many are near, also over the ends of parts of the time line."""
+    from random import Random
+
+    r = Random(3)
+    book = [(r.randrange(400), k) for k in range(300)]
+    events = [r.randrange(-20, 420) for _ in range(200)]
+
+    def by_hand(e, tol):
+        near = [(abs(t - e), t > e, k if t > e else -k, k) for t, k in book if abs(t - e) <= tol]
+        return min(near)[3] if near else None
+
+    for tol in (1, 10):
+        assert nearest(spark, book, events, tol) == [by_hand(e, tol) for e in events]
+    e = frame(spark, [("a", at(1), 1)], "symbol string, timestamp timestamp, id long")
+    b = frame(spark, [("a", at(1), 1, 1.0)], "symbol string, timestamp timestamp, seq long, mid double")
+    assert "Join" not in timejoins.asof_nearest(e, b, ["mid"], 5, ["id"], "seq")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_asof_backward_and_forward_cross_parts(spark):
     right = frame(spark, [("a", at(0), 1), ("a", at(86400 * 3), 2)], "symbol string, timestamp timestamp, v long")
     left = frame(spark, [("a", at(86400 * 2), 1), ("a", at(-5), 2), ("a", at(86400 * 9), 3)], "symbol string, timestamp timestamp, id long")
