@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from quotemill.functions.expr import TINY, exit_pnl, micros, mid
+from quotemill.functions.expr import TINY, exit_pnl, mid
 from quotemill.operators.spread import exact_percentiles, stats_by
-from quotemill.operators.timejoins import asof, asof_nearest
-from quotemill.operators.windows import numbered
-from quotemill.sources.scratch import stored
+from quotemill.operators.timejoins import asof, asof_nearest, by_parts, extreme_of, levels, ranges_of
 
 HORIZONS = (30, 45, 60, 120, 180)
 
@@ -133,29 +135,6 @@ def atr_bps(candles: DataFrame, n: int, key: str = "symbol") -> DataFrame:
     return rows.withColumn("atr_bps", atr / F.col("close") * 1e4)
 
 
-def _extremes(end: str) -> dict[str, Column]:
-    return {f"{end}_{k}_{c}": (F.max if k == "max" else F.min)(c) for k in ("max", "min") for c in ("bid", "ask")}
-
-
-def path_rows(book: DataFrame, limit: DataFrame, block_rows: int, chunk_blocks: int = 4096) -> DataFrame:
-    """Book rows numbered in the order of time, in blocks of ``block_rows``: extremes from the block's start to the row
-    (``pre``) and from the row to its end (``suf``), and the number of the next row that is wide (itself included)."""
-    rows = numbered(book.select("symbol", "timestamp", "seq", F.col("bid_0_price").alias("bid"), F.col("ask_0_price").alias("ask")), ["timestamp", "seq"])
-    spread = (F.col("ask") - F.col("bid")) / ((F.col("ask") + F.col("bid")) / 2 + TINY) * 1e4
-    rows = rows.crossJoin(F.broadcast(limit)).withColumn("wide", spread >= F.col("limit")).drop("limit")
-    rows = rows.withColumns({"block": F.floor(F.col("row_no") / F.lit(block_rows)), "chunk": F.floor(F.col("row_no") / F.lit(block_rows * chunk_blocks))})
-    block = W.partitionBy("symbol", "block")
-    up, down = (block.orderBy(o).rowsBetween(W.unboundedPreceding, 0) for o in (F.asc("row_no"), F.desc("row_no")))
-    rows = rows.withColumns({n: c.over(up) for n, c in _extremes("pre").items()} | {n: c.over(down) for n, c in _extremes("suf").items()})
-    wide = F.when(F.col("wide"), F.col("row_no"))
-    chunks = rows.groupBy("symbol", "chunk").agg(F.min(wide).alias("first"))
-    later = F.min("first").over(W.partitionBy("symbol").orderBy(F.desc("chunk")).rowsBetween(W.unboundedPreceding, -1))
-    chunks = chunks.select("symbol", "chunk", later.alias("later"))
-    within = F.min(wide).over(W.partitionBy("symbol", "chunk").orderBy(F.desc("row_no")).rowsBetween(W.unboundedPreceding, 0))
-    rows = rows.withColumn("within", within).join(chunks, ["symbol", "chunk"])
-    return rows.withColumn("next_wide", F.coalesce("within", "later")).drop("within", "later", "chunk", "wide")
-
-
 def path_labels(candidates: DataFrame, book: DataFrame, horizon: float, target: float, wide_spread: float | None = None, block_rows: int = 256) -> DataFrame:
     """What comes first on a candidate's path: the net target, or a spread expansion that goes on.
 
@@ -164,9 +143,9 @@ def path_labels(candidates: DataFrame, book: DataFrame, horizon: float, target:
     result two rows later (the last row, if the path ends) is higher. A tie is the target's. Candidates without a
     path, or without a direction, have reason 'none' and NULL times.
 
-    A path is the rows between two row numbers, found by two as-of joins. Its extremes are those of the end of its first
-    block, the start of its last, and the blocks between; the first block whose best price reaches the target is opened,
-    a row for each of its rows, and no other (a path within one block opens that one).
+    Candidates and book meet in parts of the time line, where a path is the rows between two row numbers. Its extremes
+    are those of two runs of 2**j rows, and its first hit is found by leaving out runs that don't reach the target: a
+    candidate costs the logarithm of its path. ``block_rows`` * 4096 candidates are looked at together.
     """
     if wide_spread is None:
         spreads = book.select(((F.col("ask_0_price") - F.col("bid_0_price")) / (mid() + TINY) * 1e4).alias("s"))
@@ -176,68 +155,73 @@ def path_labels(candidates: DataFrame, book: DataFrame, horizon: float, target:
         limit = m.crossJoin(mad).select(F.greatest("p99", F.col("m") + 5 * F.col("mad")).alias("limit"))
     else:
         limit = book.sparkSession.range(1).select(F.lit(float(wide_spread)).alias("limit"))
-    rows = stored(path_rows(book, limit, block_rows), "path-rows")
-    paths = stored(_paths(candidates.where("dir0 <> 0"), rows, horizon), "paths")
-
-    raw = lambda bid, ask: F.when(F.col("dir0") > 0, (bid - F.col("entry_ask")) / F.col("entry_ask") * 1e4).otherwise((F.col("entry_bid") - ask) / F.col("entry_bid") * 1e4)
-    net = lambda x: x - F.col("fees_rt_bps") - F.col("slip_bps")
-    best = lambda e: raw(F.col(f"{e}_max_bid"), F.col(f"{e}_min_ask"))
-    worst = lambda e: raw(F.col(f"{e}_min_bid"), F.col(f"{e}_max_ask"))
-
-    blocks = rows.groupBy("symbol", "block").agg(*[c.alias(n) for n, c in _extremes("mid").items()])
-    between = paths.where("last_block > block + 1").select("event_id", "symbol", "dir0", "fees_rt_bps", "slip_bps", "entry_bid", "entry_ask", F.explode(F.sequence(F.col("block") + 1, F.col("last_block") - 1)).alias("block"))
-    between = between.join(blocks, ["symbol", "block"])
-    between = between.groupBy("event_id").agg(F.max(best("mid")).alias("mid_best"), F.min(worst("mid")).alias("mid_worst"), F.min(F.when(net(best("mid")) >= target, F.col("block"))).alias("mid_hit"))
-    inside = F.col("block") == F.col("last_block")
-    apart = paths.join(between, "event_id", "left")
-    hit_block = F.when(inside, F.col("block")).when(net(best("suf")) >= target, F.col("block")).otherwise(F.coalesce("mid_hit", F.when(net(best("pre")) >= target, F.col("last_block"))))
-    apart = apart.withColumns(
-        {
-            "hit_block": hit_block,
-            "far_best": F.when(~inside, F.greatest(best("suf"), best("pre"), "mid_best")),
-            "far_worst": F.when(~inside, F.least(worst("suf"), worst("pre"), "mid_worst")),
-        }
-    ).drop("mid_best", "mid_worst", "mid_hit")
-    apart = stored(apart, "path-blocks")
-    prices = rows.select("symbol", "block", F.col("row_no").alias("k"), micros("timestamp").alias("us"), "bid", "ask")
-    opened = apart.where("hit_block is not null").drop("block").join(prices.withColumnRenamed("block", "hit_block"), ["symbol", "hit_block"]).where("k between row_no and last_row")
-    x, hit = raw(F.col("bid"), F.col("ask")), net(raw(F.col("bid"), F.col("ask"))) >= target
-    opened = opened.groupBy("event_id").agg(F.max(x).alias("near_best"), F.min(x).alias("near_worst"), F.min(F.when(hit, F.col("k"))).alias("k_hit"), F.min(F.when(hit, F.col("us"))).alias("us_hit"))
-
-    # The first wide row, and the row two later or the last one.
-    ends = apart.where("next_wide <= last_row")
-    wanted = F.array(F.struct(F.lit(0).alias("role"), F.col("next_wide").alias("k")), F.struct(F.lit(1).alias("role"), F.least(F.col("next_wide") + 2, F.col("last_row")).alias("k")))
-    looked = ends.select("event_id", "symbol", "dir0", "entry_bid", "entry_ask", F.inline(wanted)).join(prices, ["symbol", "k"])
-    looked = looked.withColumn("x", raw(F.col("bid"), F.col("ask")))
-    first = lambda role, c: F.max(F.when(F.col("role") == role, F.col(c)))
-    looked = looked.groupBy("event_id").agg(first(0, "k").alias("k_wide"), first(0, "us").alias("us_wide"), (first(1, "x") > first(0, "x")).alias("goes_on"))
-    looked = looked.where("goes_on").drop("goes_on")
-
-    per = apart.join(opened, "event_id", "left").join(looked, "event_id", "left")
-    per = per.select("event_id", F.coalesce("far_best", "near_best").alias("raw_max"), F.coalesce("far_worst", "near_worst").alias("raw_min"), "fees_rt_bps", "slip_bps", "k_hit", "us_hit", "k_wide", "us_wide")
-    per = per.withColumns({"net_max": net(F.col("raw_max")), "net_min": net(F.col("raw_min"))}).drop("fees_rt_bps", "slip_bps")
-    first_hit = F.col("k_hit").isNotNull() & (F.col("k_wide").isNull() | (F.col("k_hit") <= F.col("k_wide")))
-    reason = F.when(first_hit, "pnl_net").when(F.col("k_wide").isNotNull(), "spread").otherwise("none")
-    out = candidates.join(per.withColumn("reason", reason), "event_id", "left")
-    at = F.when(F.col("reason") == "pnl_net", F.col("us_hit")).when(F.col("reason") == "spread", F.col("us_wide"))
-    return out.withColumns(
-        {
-            "label": F.coalesce((F.col("net_max") >= target).cast("int"), F.lit(0)),
-            "reason": F.coalesce("reason", F.lit("none")),
-            "seconds": (at - micros("timestamp")) / 1e6,
-        }
-    )
-
-
-def _paths(candidates: DataFrame, rows: DataFrame, horizon: float) -> DataFrame:
-    """Candidates with the first and last row of their path: numbers, blocks, the entry's prices, extremes of both blocks."""
-    own = candidates.select("event_id", "symbol", "timestamp", "dir0", F.col("fees_rt_bps").cast("double").alias("fees_rt_bps"), F.col("slip_bps").cast("double").alias("slip_bps"))
-    until = F.col("timestamp") + F.make_dt_interval(secs=F.lit(float(horizon)).cast("decimal(18,6)"))
-    entry = rows.select("symbol", "timestamp", "seq", "row_no", "block", "next_wide", F.col("bid").alias("entry_bid"), F.col("ask").alias("entry_ask"), *_extremes("suf"))
-    first = asof(own, entry, [c for c in entry.columns if c not in ("symbol", "timestamp", "seq")], ["seq"], forward=True)
-    ends = rows.select("symbol", "timestamp", "seq", F.col("row_no").alias("last_row"), F.col("block").alias("last_block"), *_extremes("pre"))
-    last = asof(own.select("event_id", "symbol", until.alias("timestamp")), ends, [c for c in ends.columns if c not in ("symbol", "timestamp", "seq")], ["seq"])
-    return first.join(last.drop("symbol", "timestamp"), "event_id").where("row_no <= last_row")
+    spread = (F.col("ask") - F.col("bid")) / ((F.col("ask") + F.col("bid")) / 2 + TINY) * 1e4
+    rows = book.select("symbol", "timestamp", "seq", *[F.col(f"{s}_0_price").cast("double").alias(s) for s in ("bid", "ask")])
+    rows = rows.crossJoin(F.broadcast(limit)).withColumn("wide", F.coalesce(spread >= F.col("limit"), F.lit(False))).drop("limit")
+    cost = {"side_": F.coalesce(F.signum(F.col("dir0")), F.lit(0.0)), **{f"{c}_": F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in ("fees_rt_bps", "slip_bps")}}
+    made = [StructField(c, t) for c, t in _PATH.items()]
+    walk = _path_walk(horizon, target, block_rows * 4096)
+    return by_parts(candidates.withColumns(cost), rows, 0.0, horizon, walk, StructType([*candidates.schema.fields, *made]))
+
+
+_PATH = {
+    **{c: DoubleType() for c in ("raw_max", "raw_min", "net_max", "net_min")},
+    **{c: LongType() for c in ("us_hit", "us_wide")},
+    "label": IntegerType(), "reason": StringType(), "seconds": DoubleType(),
+}
+
+
+def _path_walk(horizon: float, target: float, at_once: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """What ``path_labels`` adds to the candidates of a part of the time line."""
+
+    def walk(mine: pa.Table, book: pa.Table) -> pa.Table:
+        book = book.sort_by([("us_", "ascending"), ("seq", "ascending")])
+        price = {c: book[c].to_numpy() for c in ("us_", "bid", "ask", "wide")}
+        us, wide_rows = price["us_"], np.flatnonzero(price["wide"])
+        first, last = ranges_of(mine, us, 0.0, horizon)
+        side, fees, slip = (mine[c].to_numpy() for c in ("side_", "fees_rt_bps_", "slip_bps_"))
+        on = first <= last
+        longest = int((last - first + 1)[on].max(initial=1))
+        high, low = (np.full(len(side), np.nan) for _ in range(2))
+        us_hit, us_wide = (np.full(len(side), -1, "i8") for _ in range(2))
+        hits, widens = (np.zeros(len(side), bool) for _ in range(2))
+        for way, c, entry_of, best, worst in ((1, "bid", "ask", np.fmax, np.fmin), (-1, "ask", "bid", np.fmin, np.fmax)):
+            own = np.flatnonzero(on & (side == way))
+            if not len(own):
+                continue
+            tops, bottoms = levels(price[c], best, longest), levels(price[c], worst, longest)
+            for own in np.split(own, range(at_once, len(own), at_once)):
+                a, b = first[own], last[own]
+                entry = price[entry_of][a]
+                raw = lambda x, e: (x - e) / e * 1e4 if way > 0 else (e - x) / e * 1e4  # noqa: B023, E731
+                high[own], low[own] = raw(extreme_of(tops, best, a, b), entry), raw(extreme_of(bottoms, worst, a, b), entry)
+                k = a.copy()
+                for j in reversed(range(len(tops))):
+                    at = np.flatnonzero(k + 2**j - 1 <= b)
+                    net = raw(tops[j][k[at]], entry[at]) - fees[own[at]] - slip[own[at]]
+                    k[at[~(net >= target)]] += 2**j
+                hit = k <= b
+                w = np.append(wide_rows, len(us))[np.searchsorted(wide_rows, a)]
+                seen = np.flatnonzero(w <= b)
+                later = np.minimum(w[seen] + 2, b[seen])
+                seen = seen[raw(price[c][later], entry[seen]) > raw(price[c][w[seen]], entry[seen])]
+                hits[own], widens[own[seen]] = hit, True
+                us_hit[own[hit]], us_wide[own[seen]] = us[k[hit]], us[w[seen]]
+                # A tie of rows, not of times, is the target's.
+                late = seen[hit[seen] & (w[seen] < k[seen])]
+                hits[own[late]] = False
+        reason = np.where(hits, "pnl_net", np.where(widens, "spread", "none"))
+        net_max, net_min = high - fees - slip, low - fees - slip
+        seconds = (np.where(hits, us_hit, us_wide) - mine["us_"].fill_null(0).to_numpy()) / 1e6
+        known = lambda v: pa.array(v, pa.float64(), mask=np.isnan(v))
+        values = [known(high), known(low), known(net_max), known(net_min), *[pa.array(v, pa.int64(), mask=v == -1) for v in (us_hit, us_wide)]]
+        values += [pa.array((net_max >= target).astype("i4")), pa.array(reason.tolist(), pa.string()), pa.array(seconds, pa.float64(), mask=reason == "none")]
+        out = mine.drop_columns(["side_", "fees_rt_bps_", "slip_bps_", "us_"])
+        for name, v in zip(_PATH, values, strict=True):
+            out = out.append_column(name, v)
+        return out
+
+    return walk
 
 
 def with_volatility(trades: DataFrame, candles: DataFrame, bar_seconds: int, n: int, label: str = "right") -> DataFrame:

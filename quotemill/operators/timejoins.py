@@ -5,9 +5,14 @@ Left rows are kept apart by all their columns; give them an id where rows repeat
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from quotemill.functions.expr import micros
 
@@ -85,6 +90,78 @@ def range_join(left: DataFrame, right: DataFrame, before: float, after: float, k
     return pairs.drop("lo_", "hi_", "bin_", f"{key}_k", "bin_k", f"{key}_r")
 
 
+def by_parts(left: DataFrame, right: DataFrame, before: float, after: float, walk: Callable[[pa.Table, pa.Table], pa.Table], schema: StructType, key: str = "symbol", ts: str = "timestamp") -> DataFrame:
+    """``walk`` (left rows, right rows) of every part of a key's time line, as long as two ranges [t - before, t + after].
+
+    Both sides have ``us_``, microseconds; right rows are sorted by it, and go to each part from which a range reaches
+    them, two at most. No pairs are made: ``walk`` finds the ends of a range among the sorted rows.
+    """
+    lo, hi = _us(before), _us(after)
+    width = F.lit(max(1, 2 * (lo + hi)))
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    own = left.withColumn("us_", micros(ts)).withColumn("part_", F.floor(F.col("us_") / width))
+    near = right.where(known).withColumn("us_", micros(ts)).drop(ts)
+    near = near.withColumn("part_", F.explode(F.array_distinct(F.array(F.floor((F.col("us_") - hi) / width), F.floor((F.col("us_") + lo) / width)))))
+    made = lambda a, b: walk(a.drop_columns(["part_"]), b.sort_by("us_"))
+    return own.groupBy(key, "part_").cogroup(near.groupBy(key, "part_")).applyInArrow(made, schema)
+
+
+def ranges_of(left: pa.Table, us: np.ndarray, before: float, after: float) -> tuple[np.ndarray, np.ndarray]:
+    """First and last row of the sorted times ``us`` in the closed range of each left row; the last is before the first where there is none."""
+    at = left["us_"].fill_null(np.iinfo(np.int64).max // 2).to_numpy()
+    return np.searchsorted(us, at - _us(before), "left"), np.searchsorted(us, at + _us(after), "right") - 1
+
+
+def levels(values: np.ndarray, pick: np.ufunc, longest: int) -> list[np.ndarray]:
+    """At level j the extreme (``pick``) of 2**j values from each one on, for ranges of at most ``longest`` values."""
+    out = [values]
+    while 2 ** len(out) <= longest:
+        half = 2 ** (len(out) - 1)
+        out.append(pick(out[-1][:-half], out[-1][half:]))
+    return out
+
+
+def extreme_of(tops: list[np.ndarray], pick: np.ufunc, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The extreme of each range of rows, none of them empty: of two runs that overlap, whatever its length."""
+    out = np.empty(len(first), tops[0].dtype)
+    level = np.frexp(last - first + 1)[1] - 1
+    for j, top in enumerate(tops):
+        m = level == j
+        out[m] = pick(top[first[m]], top[last[m] - 2**j + 1])
+    return out
+
+
+def range_stats(left: DataFrame, right: DataFrame, before: float, after: float, left_id: str, total: str, least: str, key: str = "symbol", ts: str = "timestamp") -> DataFrame:
+    """(left_id, n, total, least) of the right rows within [t - before, t + after] of each left row that has any.
+
+    ``total`` is a sum, a difference of running ones; ``least``, a whole number, the least. A row costs the logarithm
+    of the rows in its range.
+    """
+
+    def walk(mine: pa.Table, rows: pa.Table) -> pa.Table:
+        first, last = ranges_of(mine, rows["us_"].to_numpy(), before, after)
+        some = last >= first
+        first, last = first[some], last[some]
+        none = np.iinfo(np.int64).max
+        x, low = rows[total].to_numpy().astype("f8"), rows[least].fill_null(none).to_numpy()
+        up_to = lambda v, t: np.concatenate([np.zeros(1, t), np.cumsum(v, dtype=t)])
+        within = lambda sums: sums[last + 1] - sums[first]
+        sums, known = within(up_to(np.nan_to_num(x), np.longdouble)).astype("f8"), within(up_to(~np.isnan(x), "i8"))
+        lows = extreme_of(levels(low, np.minimum, int((last - first + 1).max(initial=1))), np.minimum, first, last)
+        return pa.table(
+            {
+                left_id: mine[left_id].filter(pa.array(some)),
+                "n": pa.array(last - first + 1, pa.int64()),
+                total: pa.array(sums, pa.float64(), mask=known == 0),
+                least: pa.array(lows, pa.int64(), mask=lows == none),
+            }
+        )
+
+    fields = [left.schema[left_id], StructField("n", LongType()), StructField(total, DoubleType()), StructField(least, LongType())]
+    rows = right.select(key, ts, F.col(total).cast("double").alias(total), F.col(least).cast("long").alias(least))
+    return by_parts(left.select(left_id, key, ts), rows, before, after, walk, StructType(fields), key, ts)
+
+
 def merged_windows(events: DataFrame, before: float, after: float, key: str = "symbol", ts: str = "timestamp") -> DataFrame:
     """[t - before, t + after] of all events of a key; those that overlap or touch are one. Ends are closed."""
     gap = f"{_us(before + after) + 1} microseconds"

@@ -89,6 +89,18 @@ def test_range_join_equals_nested_loop(spark):
     assert got == {(i, k) for i in range(20) for k in range(60) if -5 <= 3 * k - 7 * i <= 11}
 
 
+def test_path_labels_make_no_rows_of_paths(spark):
+    """No rows are made for the blocks of a path: paths may be as long as the tape is dense."""
+    from quotemill.operators import backtest
+
+    b = frame(spark, [("a", at(1), 1, 1.0, 1.1)], "symbol string, timestamp timestamp, seq long, bid_0_price double, ask_0_price double")
+    c = frame(spark, [(1, "a", at(1), 1, 0.5, 0.5), (2, None, at(1), 1, 0.5, 0.5), (3, "a", at(1), None, 0.5, 0.5)], "event_id long, symbol string, timestamp timestamp, dir0 int, fees_rt_bps double, slip_bps double")
+    out = backtest.path_labels(c, b, 3600.0, 9.0, wide_spread=40.0)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan and plan.count("Join") <= 1  # the limit beside the book
+    assert {x.event_id: (x.label, x.reason, x.net_max is None) for x in out.collect()} == {1: (0, "none", False), 2: (0, "none", True), 3: (0, "none", True)}
+
+
 @pytest.mark.parametrize("make", [lambda e, b: timejoins.asof_nearest(e, b, ["mid"], 5, ["id"], "seq"), lambda e, b: timejoins.range_join(e, b, 1, 5), lambda e, b: timejoins.in_windows(b, timejoins.merged_windows(e, 1, 5), 5)])
 def test_time_joins_are_equi_joins(spark, make):
     e = frame(spark, [("a", at(1), 1)], "symbol string, timestamp timestamp, id long")
