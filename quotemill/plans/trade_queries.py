@@ -162,8 +162,8 @@ def events_by_config(spark, sf):
 
 @query("J11_event_windows", "select s.event_id, count(*) as n, round(sum(t.qty), 6) as qty, min(t.trade_id) as first_id from signals_v s join trades_v t on t.symbol = s.symbol and t.timestamp between s.timestamp - interval 2 minute and s.timestamp + interval 185 minute group by s.event_id")
 def event_windows(spark, sf):
-    pairs = tj.range_join(view(spark, sf, "signals_v"), view(spark, sf, "trades_v"), PRE, POST)
-    return pairs.groupBy("event_id").agg(F.count("*").alias("n"), r(F.sum("qty_r")).alias("qty"), F.min("trade_id_r").alias("first_id"))
+    found = tj.range_stats(view(spark, sf, "signals_v"), view(spark, sf, "trades_v"), PRE, POST, "event_id", "qty", "trade_id")
+    return found.groupBy("event_id").agg(F.sum("n").alias("n"), r(F.sum("qty")).alias("qty"), F.min("trade_id").alias("first_id"))
 
 
 @query("M05_horizon_pnl", f"with {PNL_SQL} select event_id, {', '.join(f'round(dir0 * raw_{t} - 10.0, 5) as pnl_{t}' for t in bt.HORIZONS)} from pnl")

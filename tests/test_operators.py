@@ -89,6 +89,25 @@ def test_range_join_equals_nested_loop(spark):
     assert got == {(i, k) for i in range(20) for k in range(60) if -5 <= 3 * k - 7 * i <= 11}
 
 
+def test_range_stats_make_no_pairs(spark):
+    """Count, sum and least number of the rows in a range equal a nested loop's, also over parts, with unknown values and ties."""
+    from random import Random
+
+    r = Random(5)
+    rows = [("a", at(r.randrange(500)), r.choice((None, 1.5, 2.0)), r.choice((None, k))) for k in range(300)]
+    events = [("a", at(r.randrange(-50, 600)), i) for i in range(100)] + [("b", at(1), 100), (None, at(1), 101), ("a", None, 102)]
+    left, right = frame(spark, events, "symbol string, timestamp timestamp, id long"), frame(spark, rows, "symbol string, timestamp timestamp, q double, k long")
+    out = timejoins.range_stats(left, right, 4, 11, "id", "q", "k")
+    want = {}
+    for symbol, t, i in events:
+        near = [x for x in rows if symbol == x[0] and t and -4 <= (x[1] - t).total_seconds() <= 11]
+        if near:
+            known, ids = [x[2] for x in near if x[2] is not None], [x[3] for x in near if x[3] is not None]
+            want[i] = (len(near), sum(known) if known else None, min(ids, default=None))
+    assert {x.id: (x.n, x.q, x.k) for x in out.collect()} == want
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_path_labels_make_no_rows_of_paths(spark):
     """No rows are made for the blocks of a path: paths may be as long as the tape is dense."""
     from quotemill.operators import backtest
