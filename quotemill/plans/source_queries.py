@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.ml.classification import GBTClassifier
@@ -336,23 +337,37 @@ def label_summary(spark, sf):
 
 
 def _stream(spark, df, name, parts: int = 4, ts: str = "timestamp", mixed: bool = False):
-    """``df`` as files that are written one after the other, by days, and read as a stream in that order.
+    """``df`` as files in the order of time, read as a stream in that order, in about ``parts`` micro-batches.
 
-    A stream of files takes them by the time they were written. A day is in one part, and a part is one micro-batch;
-    ``mixed``: half of the rows come one part later than their day, and no file is sorted.
+    A stream of files takes them by the time they were written: files are ranges of time, written at once by many
+    tasks, and given times of writing in their order. ``mixed``: half of the rows come one part later than their day,
+    and no file is sorted.
     """
     path = _folder(spark, name)
-    day = F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date"))
-    ends = df.agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
-    if ends["a"] is None:
-        df.write.parquet(path)
-    else:
-        part = F.floor((day - ends["a"]) * parts / (ends["b"] - ends["a"] + 1))
-        order = F.xxhash64(*[c for c, t in df.dtypes if t != "void"]) if mixed else F.col(ts)
-        part = part + F.pmod(order, F.lit(2)) if mixed else part
-        for k in range(parts + mixed):
-            df.where(part == k).coalesce(1).sortWithinPartitions(order).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    at_once = max(1, spark.sparkContext.defaultParallelism // parts)
+    order = [F.col(ts)]
+    if mixed:
+        day = F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date"))
+        ends = df.agg(F.coalesce(F.min(day), F.lit(0)).alias("a"), F.coalesce(F.max(day), F.lit(0)).alias("b")).first()
+        draw = F.xxhash64(*[c for c, t in df.dtypes if t != "void"])
+        order = [F.floor((day - ends["a"]) * parts / (ends["b"] - ends["a"] + 1)) + F.pmod(draw, F.lit(2)), draw]
+    df.repartitionByRange(parts * at_once, *order).sortWithinPartitions(*order).write.parquet(path)
+    _written_in_order(spark, path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", at_once).parquet(path)
+
+
+def _written_in_order(spark, path: str) -> None:
+    """Gives the files of ``path`` times of writing a second apart, by their names; fails on a file system that keeps none."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed = lambda: sorted((f for f in files.listStatus(where) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
+    found = listed()
+    start = int(time.time() - len(found)) * 1000
+    for k, f in enumerate(found):
+        files.setTimes(f.getPath(), start + 1000 * k, -1)
+    if [f.getModificationTime() for f in listed()] != [start + 1000 * k for k in range(len(found))]:
+        raise ValueError(f"{path}: the file system does not keep times of writing")
 
 
 @query("X01_stream_buckets", "with f as (select symbol, epoch_us(date_trunc('hour', timestamp) + interval 1 hour) as bucket, arg_max(price, (timestamp, trade_id)) as last_price, sum(case when is_aggr_buy then price * qty else 0 end) as notional_buy, sum(case when is_aggr_buy then 0 else price * qty end) as notional_sell, count(*) as ntr from trades_v group by 1, 2) select symbol, bucket, round(last_price, 6) as last_price, round(notional_buy, 6) as notional_buy, round(notional_sell, 6) as notional_sell, ntr from f where bucket <= (select epoch_us(max(timestamp)) - 172800000000 from trades_v)")
@@ -369,13 +384,15 @@ _CLOSED = "bucket <= (select max(timestamp) - interval 2 day from book_v)"
 @query("X01_stream_book", f"with {FEATURES_SQL} select symbol, epoch_us(bucket) as bucket, seq, round((bid_0_price + ask_0_price) / 2, 6) as mid, round(notional_buy, 6) as notional_buy, round(notional_sell, 6) as notional_sell, ntr from joined where {_CLOSED}")
 def stream_book(spark, sf):
     """Closed buckets of the book with their trade flow, from two streams."""
-    out = _book_buckets(spark, sf).select("symbol", "bucket", "seq", x.mid().alias("mid"), "notional_buy", "notional_sell", "ntr")
+    book = view(spark, sf, "book_v").select("symbol", "timestamp", "seq", "bid_0_price", "ask_0_price")
+    out = _book_buckets(spark, sf, book).select("symbol", "bucket", "seq", x.mid().alias("mid"), "notional_buy", "notional_sell", "ntr")
     return us(rounded(live.run_to_end(out, "book-buckets", _folder(spark, "stream"))), "bucket")
 
 
-def _book_buckets(spark, sf):
-    book, trades = _stream(spark, view(spark, sf, "book_v"), "book"), _stream(spark, view(spark, sf, "trades_v"), "ticks")
-    return live.stream_book_buckets(book, trades, "1 hour", "2 days")
+def _book_buckets(spark, sf, book):
+    """Closed buckets of ``book``, with the columns that are used of it and no others: a bucket's state is one of its rows."""
+    trades = view(spark, sf, "trades_v").select("symbol", "timestamp", "price", "qty", "is_aggr_buy")
+    return live.stream_book_buckets(_stream(spark, book, "book"), _stream(spark, trades, "ticks"), "1 hour", "2 days")
 
 
 @query("X02_stream_tags", f"with {TAGS_SQL}, e as (select quantile_cont(range600_bps, 1/3) as e1, quantile_cont(range600_bps, 2/3) as e2 from train) select symbol, epoch_us(bucket) as bucket, pass_all_hard as pass_all, round(ms, 4) as live_score, case when range600_bps <= e1 then 'low' when range600_bps <= e2 then 'mid' else 'high' end as vol_bucket from tags cross join e where {_CLOSED}")
@@ -388,9 +405,11 @@ def stream_tags(spark, sf):
     train = stored(tape_features(spark, sf).where(is_train()), "live-train")
     edges = th.bucket_edges(train, "range600_bps", 3).select("edges")
     fitted = stored(th.fit_thresholds(train).crossJoin(edges), "live-thresholds")
-    closed = _book_buckets(spark, sf).withColumns({"mid": x.mid(), **snapshot_columns(c)})
-    closed = closed.withColumns({"obi10": x.imbalance(F.col("db10"), F.col("da10")), "us": F.unix_micros("bucket"), "ntr": F.col("ntr").cast("long")})
-    names = ["symbol", "bucket", "us", "mid", "notional_buy", "notional_sell", "ntr", "spread_bps", "spread_ticks", "micro_bias", "obi10", "da3", "db3", "da10", "db10"]
+    book = view(spark, sf, "book_v").withColumns({"mid": x.mid(), **snapshot_columns(c)}).withColumn("obi10", x.imbalance(F.col("db10"), F.col("da10")))
+    own = ["mid", "spread_bps", "spread_ticks", "micro_bias", "obi10", "da3", "db3", "da10", "db10"]
+    closed = _book_buckets(spark, sf, book.select("symbol", "timestamp", "seq", "bid_0_price", "ask_0_price", *own))
+    closed = closed.withColumns({"us": F.unix_micros("bucket"), "ntr": F.col("ntr").cast("long")})
+    names = ["symbol", "bucket", "us", "notional_buy", "notional_sell", "ntr", *own]
     closed = live.run_to_end(closed.select(*names), "closed", _folder(spark, "stream"))
     reach = live.Reach(c.flow_rows, c.flow_seconds, c.range_rows, c.long_range_rows, c.spread_short, c.spread_long, c.thin_seconds, c.persist_cap_ms)
     features = live.stream_features(_stream(spark, closed, "closed", ts="bucket"), reach)
