@@ -68,6 +68,19 @@ def test_asof_nearest_makes_no_pairs(spark):
     assert "Join" not in timejoins.asof_nearest(e, b, ["mid"], 5, ["id"], "seq")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_horizon_results_are_not_broadcast(spark, tmp_path):
+    """A row for each event comes back to it by merge, however small Spark takes the table to be: no table of the tape's size goes to the driver."""
+    from quotemill.operators import backtest
+
+    events = frame(spark, [(1, "a", at(1))], "event_id long, symbol string, timestamp timestamp")
+    book = frame(spark, [("a", at(1), 1, 1.0, 2.0)], "symbol string, timestamp timestamp, seq long, bid_0_price double, ask_0_price double")
+    for df, name in ((events, "events"), (book, "book")):
+        df.write.parquet(f"{tmp_path}/{name}")
+    out = backtest.horizon_pnl(*[spark.read.parquet(f"{tmp_path}/{name}") for name in ("events", "book")])
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.select("entry", "raw_30").first() == (1.5, 0.0)
+
+
 def test_asof_backward_and_forward_cross_parts(spark):
     right = frame(spark, [("a", at(0), 1), ("a", at(86400 * 3), 2)], "symbol string, timestamp timestamp, v long")
     left = frame(spark, [("a", at(86400 * 2), 1), ("a", at(-5), 2), ("a", at(86400 * 9), 3)], "symbol string, timestamp timestamp, id long")
