@@ -182,11 +182,14 @@ def _may_be_similar(join: BottomK) -> Column:
 def _with_sketches(pairs: DataFrame, nodes: DataFrame, join: BottomK) -> DataFrame:
     """``pairs`` (a, b) that sizes and bit maps don't rule out, with (na, sa, nb, sb).
 
-    A pivot with very many nodes is left to Spark, which splits the large side of a skewed join.
+    A pivot with very many nodes is left to Spark, which splits the large side of a skewed join. Sketches of nodes that
+    no pair is left of are not dealt.
     """
     small = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"m{k}"))
     near = stored(pairs.join(small("a"), "a").join(small("b"), "b").where(_may_be_similar(join)).select("a", "b"), "bottom-pairs")
-    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}"))
+    ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    paired, _ = parted(nodes.select("node", "n", "sketch"), F.col("node"), ends)
+    side = lambda k: paired.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}"))
     return near.join(side("a"), "a").join(side("b"), "b")
 
 

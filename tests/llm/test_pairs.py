@@ -141,6 +141,30 @@ def test_op12_odd_rows(spark):
     assert bottom_k_classes(df.limit(0)).count() == 0
 
 
+def test_op12_deals_sketches_of_paired_nodes_only(spark, monkeypatch):
+    """Pairs that sizes or bit maps rule out bring no sketches: of a hundred nodes that meet, the two that may be similar."""
+    from quotemill.llm import bottom_k as bk
+
+    dealt, parted = [], bk.parted
+
+    def watched(df, *rest):
+        likely, others = parted(df, *rest)
+        dealt.append(sorted(x.node for x in likely.collect()))
+        return likely, others
+
+    monkeypatch.setattr(bk, "parted", watched)
+    join, r = BottomK(), np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 1 << 62, 100).astype(np.uint64)) for _ in range(100)]
+    sets[1] = np.append(sets[0][1:], np.uint64(7))
+    sketches = [sketch_of(s, join) for s in sets]
+    rows = [(k, len(s), s.tobytes(), bk.whole.bit_map(s, join.map_words).tolist()) for k, s in enumerate(sketches)]
+    nodes = spark.createDataFrame(rows, "node long, n long, sketch binary, bits array<long>")
+    pairs = spark.createDataFrame([(a, b) for a in range(10) for b in range(a + 1, 100)], "a long, b long")
+    got = bk._with_sketches(pairs, nodes, join).collect()
+    assert [(x.a, x.b, bytes(x.sa), bytes(x.sb)) for x in got] == [(0, 1, rows[0][2], rows[1][2])]
+    assert len(dealt) == 1 and {0, 1} <= set(dealt[0]) and len(dealt[0]) < 10
+
+
 def negatives(rows, m):
     """By scoring all pairs."""
     use = []
