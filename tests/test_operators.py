@@ -102,6 +102,47 @@ def test_range_join_equals_nested_loop(spark):
     assert got == {(i, k) for i in range(20) for k in range(60) if -5 <= 3 * k - 7 * i <= 11}
 
 
+def test_range_join_shuffles_each_row_about_once(spark):
+    """What is shuffled are the rows, and once more those that a range of the next part reaches, not a row for every bin."""
+    left = spark.range(4000).select((F.col("id") % 1).cast("string").alias("symbol"), F.timestamp_seconds(F.col("id") * 9).alias("timestamp"), "id")
+    right = left.withColumnRenamed("id", "k")
+    sc = spark.sparkContext._jsc.sc()
+
+    def stages():
+        sc.listenerBus().waitUntilEmpty()
+        none = spark.sparkContext._jvm.java.util.ArrayList()
+        found = sc.statusStore().stageList(none, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), none)
+        return {s.stageId(): s.shuffleWriteRecords() for s in (found.apply(i) for i in range(found.size()))}
+
+    seen = stages()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert timejoins.range_join(left, right, 0, 1800).count() == 4000 * 201 - 200 * 201 // 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    made = sum(n for i, n in stages().items() if i not in seen)
+    assert 8000 <= made <= 4000 + 1.3 * 4000 + 100  # the count's own few rows
+
+
+def test_range_join_of_odd_rows(spark):
+    """As a nested loop: unknown keys and times, times before 1970, ends of parts and slots, equal rows, ranges of no or odd length."""
+    from random import Random
+
+    r = Random(3)
+    old = -54 * 366 * 86400  # before 1970
+    for before, after in ((0, 0), (0, 0.000007), (2.5, 0.5), (0, 16), (-1, 3)):
+        span = max(1, round(4 * (before + after)))
+        times = lambda n: [at(o + r.choice((0, span, r.randrange(200) / 4)) + r.choice((0, 0.000001, -0.000001, after, -before))) for o in (0, old) for _ in range(n)]  # noqa: E731,B023
+        mine = [(r.choice(("a", "b", None)), r.choice((t, t, t, None)), i // 2) for i, t in enumerate(times(40))]
+        rows = [(r.choice(("a", "b", None)), r.choice((t, t, t, None)), i // 2) for i, t in enumerate(times(60))]
+        left, right = frame(spark, mine, "symbol string, timestamp timestamp, id long"), frame(spark, rows, "symbol string, timestamp timestamp, k long")
+        out = timejoins.range_join(left, right, before, after)
+        assert out.columns == ["symbol", "timestamp", "id", "timestamp_r", "k_r"]
+        us = lambda t: (t - T0) // dt.timedelta(microseconds=1)
+        want = sorted((*x, *y[1:]) for x in mine for y in rows if x[0] and x[0] == y[0] and x[1] and y[1] and -round(before * 1e6) <= us(y[1]) - us(x[1]) <= round(after * 1e6))
+        assert want and sorted(map(tuple, out.collect())) == want
+
+
 def test_range_stats_make_no_pairs(spark):
     """Count, sum and least number of the rows in a range equal a nested loop's, also over parts, with unknown values and ties."""
     from random import Random
